@@ -1,5 +1,6 @@
 """The operators' queries, and their SQL where SQL can express them."""
 
+from strandline.llm.jaccard import OP8_SQL, op8_ngram_jaccard
 from strandline.llm.secrets import op2_secret_scan
 from strandline.llm.tokens import op3_token_files, op6_pack
 
@@ -7,5 +8,6 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_token_files": op3_token_files,
     "op6_pack": op6_pack,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_ngram_jaccard": OP8_SQL}
