@@ -1,5 +1,6 @@
 """The operators' queries, and their SQL where SQL can express them."""
 
+from strandline.llm.decontam import OP4_SQL, op4_decontamination
 from strandline.llm.jaccard import OP8_SQL, op8_ngram_jaccard
 from strandline.llm.secrets import op2_secret_scan
 from strandline.llm.tokens import op3_token_files, op6_pack
@@ -7,7 +8,8 @@ from strandline.llm.tokens import op3_token_files, op6_pack
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_token_files": op3_token_files,
+    "op4_decontamination": op4_decontamination,
     "op6_pack": op6_pack,
     "op8_ngram_jaccard": op8_ngram_jaccard,
 }
-ORACLES: dict[str, str] = {"op8_ngram_jaccard": OP8_SQL}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op8_ngram_jaccard": OP8_SQL}
