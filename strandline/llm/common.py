@@ -107,6 +107,33 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return np.unique(h)
 
 
+class HashIndex:
+    """Where 64-bit hashes stand in an ascending array of them."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        bits = max(1, int(len(known)).bit_length() - 1)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(known >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64))
+        self.longest = int(np.diff(self.first).max()) if len(known) else 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The index of each hash, -1 where it is unknown."""
+        out = np.full(len(hashes), -1, np.int64)
+        bucket = (hashes >> self.shift).astype(np.int64)
+        at, end = self.first[bucket], self.first[bucket + 1]
+        rest = np.flatnonzero(at < end)
+        at, end, want = at[rest], end[rest], hashes[rest]
+        for _ in range(self.longest):
+            if not len(rest):
+                break
+            hit = self.known[at] == want
+            out[rest[hit]] = at[hit]
+            go = ~hit & (at + 1 < end)
+            rest, at, end, want = rest[go], at[go] + 1, end[go], want[go]
+        return out
+
+
 # ------------------------------------------------------------------ grouped streaming
 def by_group(keys: list[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]]):
     """A mapInArrow function over batches sorted by `keys` that calls fn with the whole rows of each key."""

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import Words, components, forest, map_groups, materialize, shingles, table, text_chunks
+from strandline.llm.common import HashIndex, Words, components, forest, map_groups, materialize, shingles, table, text_chunks
 
 #: Words of the frequency table; all others count as rarest. It only shapes the order, never what links.
 FREQUENT = 1 << 17
@@ -44,21 +44,15 @@ def frequent_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return w[order], top["n"].to_numpy()[order]
 
 
-def rarity(words: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(words), np.int64)
-    at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-    return np.where(known[at] == words, counts[at], 0)
-
-
 def shingle_sets(docs: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """(doc_id, n_shingles, digest, prefix): a row per document, with the digest and the first shingles of its set."""
     known, counts = frequent
 
     def run(batches):
+        index, count = HashIndex(known), np.append(counts, 0)
         for ids, texts in text_chunks(batches):
             w = Words(texts)
-            rare = rarity(w.hash, known, counts)
+            rare = count[index.find(w.hash)]
             sizes, digests, prefixes = [], [], []
             for k in range(len(texts)):
                 b, e = w.first[k], w.first[k + 1]

@@ -2,6 +2,8 @@
 
 from strandline.llm.decontam import OP4_SQL, op4_decontamination
 from strandline.llm.jaccard import OP8_SQL, op8_ngram_jaccard
+from strandline.llm.lm import op10_lm_scores
+from strandline.llm.quality import op5_quality
 from strandline.llm.secrets import op2_secret_scan
 from strandline.llm.tokens import op3_token_files, op6_pack
 
@@ -9,7 +11,9 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_token_files": op3_token_files,
     "op4_decontamination": op4_decontamination,
+    "op5_quality": op5_quality,
     "op6_pack": op6_pack,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op10_lm_scores": op10_lm_scores,
 }
 ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op8_ngram_jaccard": OP8_SQL}
