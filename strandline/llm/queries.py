@@ -1,19 +1,25 @@
 """The operators' queries, and their SQL where SQL can express them."""
 
+from strandline.llm.ann import OP1_SQL, op1_embedding_dedup
 from strandline.llm.decontam import OP4_SQL, op4_decontamination
 from strandline.llm.jaccard import OP8_SQL, op8_ngram_jaccard
+from strandline.llm.language import op7_language_id
 from strandline.llm.lm import op10_lm_scores
+from strandline.llm.pii import op9_pii
 from strandline.llm.quality import op5_quality
 from strandline.llm.secrets import op2_secret_scan
 from strandline.llm.tokens import op3_token_files, op6_pack
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_secret_scan": op2_secret_scan,
     "op3_token_files": op3_token_files,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_pack": op6_pack,
+    "op7_language_id": op7_language_id,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_pii": op9_pii,
     "op10_lm_scores": op10_lm_scores,
 }
-ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op8_ngram_jaccard": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_ngram_jaccard": OP8_SQL}
