@@ -117,7 +117,7 @@ def segments(texts: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            meta = batch.drop_columns(["text"]).to_pylist() if hasattr(batch, "drop_columns") else None
+            meta = batch.drop_columns(["text"]).to_pylist()
             at = 0
             for _, some in text_chunks(iter([pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text")], ["i", "t"])])):
                 w = Words(some)
@@ -126,8 +126,7 @@ def segments(texts: DataFrame, n: int) -> DataFrame:
                     m = meta[at + k]
                     s = shingles(w.hash[w.first[k] : w.first[k + 1]], n)
                     f = m["fragments"]
-                    cuts = np.searchsorted(s, (np.arange(f + 1) * ((1 << 64) // f)).astype(object).clip(0, (1 << 64) - 1).astype(np.uint64)) if f > 1 else [0, len(s)]
-                    cuts[-1] = len(s)
+                    cuts = [*np.searchsorted(s, np.array([(q << 64) // f for q in range(f)], np.uint64)), len(s)]
                     pieces = [s[cuts[q] : cuts[q + 1]].tobytes() for q in range(f)]
                     for other in range(m["blocks"]):
                         i, j = sorted((m["block"], other))
