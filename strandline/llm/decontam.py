@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from strandline.llm.common import materialize, table
 
 WINDOW_WORDS = 10
-#: Benchmark words up to which they are broadcast (about 30 MB at most); beyond, words are joined by shuffle.
-BROADCAST_WORDS = 200_000
+#: Benchmark words up to which prefix words are sent to the tasks (a few MB); beyond, words are joined by shuffle.
+BROADCAST_WORDS = 50_000
 
 
 def words_of(text: Column) -> Column:
@@ -53,18 +53,26 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, broadc
     needed = items.select(F.explode("item_words").alias("word")).distinct()
     counts = keyed.select(F.explode("words").alias("word")).join(hint(needed), "word").groupBy("word").agg(F.count("*").alias("n"))
     windows = materialize(_windows(items, counts, size))
-    length = F.least(F.size("item_words"), F.lit(size))
+    around = lambda p: F.struct(p.alias("p"), F.least(p, F.lit(size - 1)).alias("here"), F.slice("words", F.greatest(p - (size - 1), F.lit(0)) + 1, 2 * size - 1).alias("near"))
     if total <= broadcast_words:
-        found = keyed.select("doc_id", "digest", "words", F.posexplode("words").alias("p", "word")).join(F.broadcast(windows), "word")
+        # positions of prefix words, each with the few words around it: rows stay small however long the document
+        rare = [r["word"] for r in windows.select("word").distinct().toLocalIterator()]
+        places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.element_at("words", i + 1).isin(*rare or [""]))
+        place = keyed.where(F.size("words") > 0).select("doc_id", "digest", F.explode(F.transform(places, around)).alias("at_word"))
+        place = place.select("doc_id", "digest", "at_word.*").withColumn("word", F.element_at("near", F.col("here") + 1))
+        found = place.join(F.broadcast(windows), "word")
     else:
         place = keyed.select("doc_id", "digest", F.posexplode("words").alias("p", "word")).join(windows.drop("item_words"), "word")
         same = keyed.dropDuplicates(["doc_id", "digest"])
         found = place.join(same, place["doc_id"].eqNullSafe(same["doc_id"]) & (place["digest"] == same["digest"])).drop(same["doc_id"]).drop(same["digest"])
+        found = found.select("doc_id", "digest", "item_id", "at", "low", "high", around(F.col("p")).alias("at_word")).select("doc_id", "digest", "item_id", "at", "low", "high", "at_word.*")
         found = found.join(items.select("item_id", "item_words"), "item_id")
-    shift = F.col("p") - F.col("at")
-    fits = F.filter(F.sequence("low", "high"), lambda s: (shift + s >= 0) & (shift + s + length <= F.size("words")) & (F.slice("words", F.greatest(shift + s, F.lit(0)) + 1, length) == F.slice("item_words", s + 1, length)))
+    length = F.least(F.size("item_words"), F.lit(size))
+    shift = F.col("here") - F.col("at")  # from a word of the item to a word of `near`
+    fits = F.filter(F.sequence("low", "high"), lambda s: (shift + s >= 0) & (shift + s + length <= F.size("near")) & (F.slice("near", F.greatest(shift + s, F.lit(0)) + 1, length) == F.slice("item_words", s + 1, length)))
     found = found.withColumn("fits", fits).where(F.size("fits") > 0)
-    return found.select("doc_id", "digest", "item_id", (shift + F.array_min("fits")).alias("begin"), (shift + F.array_max("fits") + length).alias("end")), keyed
+    origin = F.col("p") - F.col("at")
+    return found.select("doc_id", "digest", "item_id", (origin + F.array_min("fits")).alias("begin"), (origin + F.array_max("fits") + length).alias("end")), keyed
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
