@@ -80,10 +80,13 @@ def quality_model(docs: DataFrame, labels: DataFrame, fold: int = 3, held_out: i
     """The model of labelled documents outside the held-out fold."""
     known = labels.where(F.col("quality").isin(0, 1)).where(remainder(F.col("doc_id"), fold) != held_out).groupBy("doc_id")
     known = known.agg(F.min("quality").alias("low"), F.max("quality").alias("quality")).where("low = quality").select("doc_id", "quality")
-    some = known.join(docs.select("doc_id", "text").where(F.length("text").between(1, SAMPLE_CHARS)), "doc_id").withColumn("h", F.xxhash64("doc_id"))
-    sample = []
-    for c in (1, 0):
-        sample += [(r["text"], c) for r in some.where(F.col("quality") == c).orderBy("h", "doc_id").limit(PER_CLASS).select("text").toLocalIterator()]
+    lengths = docs.select("doc_id", F.length("text").alias("n")).where(F.col("n").between(1, SAMPLE_CHARS)).select("doc_id")
+    some = known.join(lengths, "doc_id").distinct().withColumn("h", F.xxhash64("doc_id"))
+    first = lambda c: some.where(F.col("quality") == c).orderBy("h", "doc_id").limit(PER_CLASS)
+    chosen = first(0).unionByName(first(1))  # 2 * PER_CLASS rows at most, so their ids alone are joined and broadcast
+    texts = docs.select("doc_id", "text").where(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(chosen), "doc_id")
+    rows = sorted((r["h"], r["doc_id"], r["text"], r["quality"]) for r in texts.toLocalIterator())
+    sample = [(t, c) for k, (_, i, t, c) in enumerate(rows) if not k or rows[k - 1][1] != i]
     return fit(sample)
 
 
