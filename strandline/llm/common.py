@@ -59,12 +59,19 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-@functools.lru_cache(4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    up, down = np.full(n, _BASE), np.full(n, inverse)
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+_tables: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, at least n; a worker keeps its longest tables."""
+    if not _tables or len(_tables[0]) < n:
+        made = []
+        for base in (int(_BASE), pow(int(_BASE), -1, 1 << 64)):
+            power = np.full(n + n // 8, base, np.uint64)
+            power[0] = 1
+            made.append(np.cumprod(power, out=power))
+        _tables[:] = made
+    return _tables
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -83,9 +90,13 @@ class Words:
         space = _SPACE[a]
         edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
         start, end = edge[::2], edge[1::2]
-        up, down = _powers(1 << max(12, int(len(a)).bit_length()))
+        up, down = _powers(len(a))
         with np.errstate(over="ignore"):
-            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * up[: len(a)])))
+            total = np.zeros(len(a) + 1, np.uint64)
+            total[1:] = a
+            total[1:] += np.uint64(1)
+            total[1:] *= up[: len(a)]
+            np.cumsum(total, out=total)
             self.hash = mix((total[end] - total[start]) * down[start])
         tail = a[end - 1].astype(np.int64) * 257
         two = end - start > 1

@@ -32,7 +32,7 @@ def frequent_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     times in a megabyte of text: at most 2 MB, whatever the input."""
 
     def run(batches):
-        for _, texts in text_chunks(batches, 4 << 20):
+        for _, texts in text_chunks(batches):
             w, n = np.unique(Words(texts).hash, return_counts=True)
             keep = n >= 3
             yield pa.RecordBatch.from_arrays([pa.array(w[keep].view(np.int64)), pa.array(n[keep])], ["w", "n"])

@@ -26,6 +26,8 @@ from strandline.llm.common import HashIndex, Words, materialize, table, text_chu
 
 TABLE, TOP, SHARED, DIM, NOISE, BATCH = 1 << 19, 1000, 64, 16, 16, 8192
 SAMPLE_TEXTS, SAMPLE_CHARS = 1000, 4000
+#: Words that a task counts before it passes counts on.
+COUNTED = 3_000_000
 NAMES = ("context", "target", "bias", "weights")
 
 
@@ -128,10 +130,22 @@ def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2) -> DataFrame:
     train = docs.where(_split(F.col("doc_id"), fold) != held_out)
 
     def count(batches):
-        for ids, texts in text_chunks(batches, 16 << 20):
-            w = Words(texts)
-            h, first, n = np.unique(w.hash, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(h.view(np.int64), 0)), pa.array(np.append(w.last[first] % SHARED, -1)), pa.array(np.append(n, len(ids)))], ["w", "shared", "n"])
+        held: list[Words] = []
+        n_texts = 0
+
+        def flush():
+            h, first, n = np.unique(np.concatenate([w.hash for w in held]), return_index=True, return_counts=True)
+            last = np.concatenate([w.last for w in held])[first]
+            return pa.RecordBatch.from_arrays([pa.array(np.append(h.view(np.int64), 0)), pa.array(np.append(last % SHARED, -1)), pa.array(np.append(n, n_texts))], ["w", "shared", "n"])
+
+        for ids, texts in text_chunks(batches):
+            held.append(Words(texts))
+            n_texts += len(ids)
+            if sum(len(w.hash) for w in held) >= COUNTED:
+                yield flush()
+                held, n_texts = [], 0
+        if held:
+            yield flush()
 
     # the row with shared -1 counts the ends
     vocabulary = materialize(train.mapInArrow(count, "w long, shared long, n long").groupBy("w", (F.col("shared") < 0).alias("end")).agg(F.min("shared").alias("shared"), F.sum("n").alias("n")))
@@ -158,10 +172,10 @@ def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2) -> DataFrame:
     split = np.log10(mass + 1)
     tables = spark.sparkContext.broadcast((known, counts, classes))
 
-    def sequences(batches, size=4 << 20):
+    def sequences(batches):
         known, counts, classes = tables.value
         index = HashIndex(known)
-        for ids, texts in text_chunks(batches, size):
+        for ids, texts in text_chunks(batches):
             w = Words(texts)
             at = index.find(w.hash)
             yield ids, w, at, contexts(classes.of(at, w.last), w.first)
