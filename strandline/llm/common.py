@@ -42,13 +42,15 @@ def text_chunks(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Itera
     texts: list[str] = []
     held = 0
     for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids.append(i)
-            texts.append(t or "")
-            held += len(texts[-1])
-            if held >= size:
-                yield ids, texts
-                ids, texts, held = [], [], 0
+        for at in range(0, len(batch), 256):  # so that not all of a batch is held twice
+            part = batch.slice(at, 256)
+            for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                ids.append(i)
+                texts.append(t or "")
+                held += len(texts[-1])
+                if held >= size:
+                    yield ids, texts
+                    ids, texts, held = [], [], 0
     if ids:
         yield ids, texts
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import materialize, table
 
 PER_LANGUAGE, SAMPLE_CHARS, LANGUAGES, EVIDENCE, SMOOTH, BITS = 300, 20_000, 32, 60, 5.0, 15
+_LETTER = re.compile(r"[^\W\d_]")
 _TAGS = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 
 
@@ -55,21 +56,22 @@ def language_model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def _likelihoods(model: np.ndarray, markup: bool):
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            rows, empty = [], []
-            for t in texts:
-                t = (plain(t or "") if markup else t or "").lower()
-                raw = t.encode("utf-8", "surrogatepass")
-                n = max(0, len(raw) - 2)
-                empty.append(not any(map(str.isalpha, t)))
-                # the mean over all trigrams, as EVIDENCE of them or fewer
-                ll = np.bincount(_codes(raw), minlength=1 << BITS) @ model.T * min(n, EVIDENCE) / n if n and len(model) else np.zeros(len(model))
-                rows.append(ll - ll.max(initial=-np.inf) if len(ll) else ll)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array([r.tolist() for r in rows], pa.list_(pa.float64())), pa.array(empty)], [*batch.schema.names[1:], "ll", "empty"])
-
-    return run
+    """Log likelihood of a text by language, less that of the likeliest, and at the end 1 for a text without letters."""
+
+    @F.arrow_udf("array<double>")
+    def score(texts: pa.Array) -> pa.Array:
+        out = []
+        for value in texts:
+            t = value.as_py()
+            t = (plain(t or "") if markup else t or "").lower()
+            raw = t.encode("utf-8", "surrogatepass")
+            n = max(0, len(raw) - 2)
+            # the mean over all trigrams, as EVIDENCE of them or fewer
+            ll = np.bincount(_codes(raw), minlength=1 << BITS) @ model.T * min(n, EVIDENCE) / n if n and len(model) else np.zeros(len(model))
+            out.append([*(ll - ll.max(initial=-np.inf)).tolist(), 0.0 if _LETTER.search(t) else 1.0])
+        return pa.array(out, pa.list_(pa.float64()))
+
+    return score
 
 
 def _estimate(rows: DataFrame, key: list[str], parent: DataFrame | list[float], names: list[str]) -> DataFrame:
@@ -85,18 +87,18 @@ def _estimate(rows: DataFrame, key: list[str], parent: DataFrame | list[float],
     return joined.select(*key, F.zip_with(got, "up", lambda c, p: (c + SMOOTH * p) / (total + SMOOTH)).alias("p"))
 
 
-def identify(rows: DataFrame, names: list[str], model: np.ndarray, text: str, markup: bool) -> DataFrame:
-    """rows (key columns, declared, suffix, domain, host and the text column) without the text, with lang, confidence
+def identify(rows: DataFrame, names: list[str], model: np.ndarray, text: str, markup: bool, keep_text: bool = False) -> DataFrame:
+    """rows (key columns, declared, suffix, domain, host and the text column), without the text unless keep_text, with lang, confidence
     (its posterior), text_lang and empty."""
-    keep = [c for c in rows.columns if c != text]
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.select(*keep).dtypes)
-    seen = rows.select(text, *keep).mapInArrow(_likelihoods(model, markup), f"{schema}, ll array<double>, empty boolean")
+    keep = [c for c in rows.columns if keep_text or c != text]
+    n = len(names)
+    seen = rows.withColumn("__ll", _likelihoods(model, markup)(F.col(text)))
+    seen = seen.select(*keep, F.slice("__ll", 1, max(n, 1)).alias("ll"), (F.element_at("__ll", -1) == 1).alias("empty"))
     if not names:
         return seen.select(*keep, F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("text_lang"), "empty")
     langs = F.array(*map(F.lit, names))
     seen = materialize(seen.withColumn("text_lang", F.when(~F.col("empty"), F.element_at(langs, F.array_position("ll", F.array_max("ll")).cast("int")))))
     sure = seen.where("text_lang is not null")
-    n = len(names)
     counts = {r["text_lang"]: r["count"] for r in sure.groupBy("text_lang").count().collect()}  # a row per language
     whole = [(counts.get(v, 0) + 1) / (sum(counts.values()) + n) for v in names]
     by_suffix = _estimate(sure, ["suffix"], whole, names)
@@ -142,6 +144,6 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """docs whose language is clear: texts without letters, and those whose posterior is below `least`, go; `lang` is set
     to the language found. Their source stands for the host, their lang for the declaration."""
     names, model = language_model(docs)
-    rows = docs.withColumns({"suffix": F.lit(""), "domain": F.lit(""), "host": F.coalesce("source", F.lit("")), "declared": F.col("lang"), "__text": F.col("text"), "__lang": F.col("lang")}).drop("lang")
-    found = identify(rows, names, model, "__text", False)
+    rows = docs.withColumns({"suffix": F.lit(""), "domain": F.lit(""), "host": F.coalesce("source", F.lit("")), "declared": F.col("lang")}).drop("lang")
+    found = identify(rows, names, model, "text", False, True)
     return found.where((~F.col("empty")) & (F.col("confidence") >= least)).select(*docs.columns)

@@ -244,7 +244,7 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     def run(batches):
         s = scanner()
-        for batch in batches:
+        for batch in (b.slice(at, 1000) for b in batches for at in range(0, len(b), 1000)):
             k = batch.schema.get_field_index("text")
             texts = batch.column(k).to_pylist()
             new = [t and (redacted(t, [(b, e) for b, _, e in f], mark) if (f := s.of_text(t)) else t) for t in texts]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import heapq
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,27 +21,45 @@ from pyspark.sql import functions as F
 from strandline.llm.common import materialize, table, text_chunks
 
 VOCABULARY = "word_bpe_49k.json"
-#: Words, and word pieces, that a worker remembers; beyond, it forgets all and begins anew.
-REMEMBERED = 400_000
+#: Words, and word pieces, that a worker remembers. Those used since are kept when as many new ones have come.
+REMEMBERED = 100_000
 
 
-class _Pieces(dict):
+class _Remembered(dict):
+    """A dict that fills itself and keeps at most 2 * REMEMBERED values: when full, it forgets what wasn't used since it
+    was last full."""
+
+    def __init__(self):
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        if value is None:
+            value = self.made(key)
+        self[key] = value
+        return value
+
+
+class _Pieces(_Remembered):
     def __init__(self, tokenizer):
+        super().__init__()
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
         byte = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
         self.byte_level = {c: "".join(byte[b] for b in chr(c).encode()) for c in range(256)}
-        self.bpe = tokenizer.model
+        self.byte_pairs = tokenizer.model.tokenize
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self[piece] = np.array([t.id for t in self.bpe.tokenize(piece.translate(self.byte_level))], "<u4").tobytes()
-        return ids
+    def made(self, piece: str) -> bytes:
+        level = piece if piece.isascii() and piece.isalnum() else piece.translate(self.byte_level)
+        return array("I", [t.id for t in self.byte_pairs(level)]).tobytes()
 
 
-class _Words(dict):
+class _Words(_Remembered):
     def __init__(self, path: str):
+        super().__init__()
         import regex
         from tokenizers import Tokenizer
 
@@ -48,15 +67,13 @@ class _Words(dict):
         self.pieces = _Pieces(self.whole)
         self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if max(word) < "Ā" and "<|" not in word:
-            ids = b"".join([self.pieces[p] for p in self.cut(word.lower())])
-        else:
-            ids = self.encoded(word)
-        self[word] = ids
-        return ids
+    def made(self, word: str) -> bytes:
+        if (word.isascii() or max(word) < "Ā") and "<|" not in word:
+            lowered = word.lower()
+            if lowered.isalpha():  # within Latin-1 these are the letters
+                return self.pieces[lowered]
+            return b"".join([self.pieces[p] for p in self.cut(lowered)])
+        return self.encoded(word)
 
     def encoded(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
