@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,27 +96,27 @@ def offsets(records: DataFrame, group: str, order: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ sketches
-def kmers(sequence: Column, k: int) -> Column:
-    return F.when(F.length(sequence) >= k, F.transform(F.sequence(F.lit(1), F.length(sequence) - k + 1), lambda i: F.substring(sequence, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
-
-
-def canonical(kmer: Column) -> Column:
-    """The lesser of a DNA k-mer and its reverse complement."""
-    return F.least(kmer, F.reverse(F.translate(kmer, "ACGTacgt", "TGCAtgca")))
-
-
-def kmer_hash(kmer: Column, seed: int = 42) -> Column:
-    """52 bits of an MD5 digest, the same on any engine."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), kmer)), 1, 13), 16, 10).cast("long")
-
-
 HASHES = 1 << 52
+_COMPLEMENT = str.maketrans("ACGTacgt", "TGCAtgca")
 
 
 def sketch(sequence: Column, k: int = 31, scaled: int = 1000, seed: int = 42, dna: bool = True) -> Column:
-    """Scaled MinHash: the distinct k-mer hashes below 1/scaled of all."""
-    hashed = F.transform(kmers(sequence, k), lambda x: kmer_hash(canonical(x) if dna else x, seed))
-    return F.array_sort(F.array_distinct(F.filter(hashed, lambda h: h < HASHES // scaled)))
+    """Scaled MinHash: the distinct 52-bit hashes of k-mers below 1/scaled of all, ascending; of DNA a k-mer and its
+    reverse complement are one. An Arrow function, as Spark's substring walks a text from its beginning for each k-mer.
+    Null and shorter sequences have an empty sketch."""
+
+    @F.pandas_udf("array<bigint>")
+    def hashed(s: pd.Series) -> pd.Series:
+        def one(text: str | None) -> list[int]:
+            seen = {text[i : i + k] for i in range(len(text) - k + 1)} if text else set()
+            if dna:
+                seen = {min(x, x.translate(_COMPLEMENT)[::-1]) for x in seen}
+            values = (int.from_bytes(hashlib.md5(f"{seed}:{x}".encode()).digest()[:8], "big") >> 12 for x in seen)
+            return sorted({v for v in values if v < HASHES // scaled})
+
+        return s.map(one)
+
+    return hashed(sequence)
 
 
 def containment(a: Column, b: Column) -> Column:

@@ -134,10 +134,10 @@ def hsp_summary(spark, d):
     return H.hsp_summary(R.alignments(spark, d), "qseqid").withColumn("pident", F.round("pident", 6))
 
 
-@query(f"""WITH {M8_SQL} SELECT qseqid, arg_min(sseqid, ord) AS sseqid, round(sum(pident * length) / sum(length), 4) AS pident, CAST(sum(length) AS BIGINT) AS length, CAST(sum(mismatch) AS BIGINT) AS mismatch, min(qstart) AS qstart, max(qend) AS qend,
-  min(sstart) AS sstart, max(send) AS send, round(sum(evalue * length) / sum(length), 4) AS evalue, sum(bitscore) AS bitscore FROM m8 GROUP BY qseqid""")
+@query(f"""WITH {M8_SQL} SELECT qseqid, arg_min(sseqid, ord) AS sseqid, round(sum(pident * length) / sum(length) + 1e-9, 4) AS pident, CAST(sum(length) AS BIGINT) AS length, CAST(sum(mismatch) AS BIGINT) AS mismatch, min(qstart) AS qstart, max(qend) AS qend,
+  min(sstart) AS sstart, max(send) AS send, round(sum(evalue * length) / sum(length) + 1e-9, 4) AS evalue, sum(bitscore) AS bitscore FROM m8 GROUP BY qseqid""")
 def contig_synthesis(spark, d):
-    return H.contig_synthesis(R.alignments(spark, d)).drop("gapopen").withColumns({"pident": F.round("pident", 4), "evalue": F.round("evalue", 4)})
+    return H.contig_synthesis(R.alignments(spark, d)).drop("gapopen").withColumns({"pident": F.round(F.col("pident") + 1e-9, 4), "evalue": F.round(F.col("evalue") + 1e-9, 4)})
 
 
 @query(f"""WITH {M8_SQL}, {_CALLED} SELECT genus_taxid, count(*) AS n_reads, count(DISTINCT species_taxid) AS n_species, string_agg(DISTINCT accession_id, ';' ORDER BY accession_id) AS accessions FROM called WHERE genus_taxid > 0
