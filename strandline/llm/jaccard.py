@@ -1,7 +1,7 @@
 """N-gram Jaccard join (8): vertical partitioning of a global shingle order.
 
 Every text's set of 3-word shingles is put in one global order, rarest first: a shingle is as rare as its rarest word,
-by a bounded table of the corpus's most frequent words. Texts that can reach the threshold share one of the first
+by a table of fixed size that counts the corpus's words. Texts that can reach the threshold share one of the first
 n - ceil(0.9 n) + 1 shingles, so linking the neighbours (by set size) of each such shingle gives clusters outside which
 no link can be. Within clusters the order is cut into fragments; each fragment counts the shared shingles of its pairs
 by matrix products over blocks of texts, the counts are summed per pair and tested exactly, and links become components.
@@ -19,40 +19,54 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import HashIndex, Words, components, forest, map_groups, materialize, shingles, table, text_chunks
+from strandline.llm.common import Words, components, forest, map_groups, materialize, shingles, table, text_chunks
 
-#: Words of the frequency table; all others count as rarest. It only shapes the order, never what links.
-FREQUENT = 1 << 17
+#: Counters of the word table (a byte each), and the parts in which it is merged.
+SLOT_BITS, RANGES = 23, 64
 #: Texts of a block, and shingles of a cluster for each fragment that its order is cut into.
 BLOCK_TEXTS, FRAGMENT_SHINGLES = 256, 100_000
 
 
-def frequent_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, ascending, and counts of the FREQUENT most frequent words over all texts, as far as a word occurs three
-    times in a megabyte of text: at most 2 MB, whatever the input."""
+def word_table(docs: DataFrame) -> np.ndarray:
+    """How often words occur over all texts, 255 at most, by the top SLOT_BITS bits of their hash: 8 MB, whatever the
+    input. Words that share a counter look more frequent than they are, which only shapes the order, never what links."""
+    width = (1 << SLOT_BITS) // RANGES
 
-    def run(batches):
+    def count(batches):
+        total = np.zeros(1 << SLOT_BITS, np.uint32)
         for _, texts in text_chunks(batches):
-            w, n = np.unique(Words(texts).hash, return_counts=True)
-            keep = n >= 3
-            yield pa.RecordBatch.from_arrays([pa.array(w[keep].view(np.int64)), pa.array(n[keep])], ["w", "n"])
+            slot, n = np.unique(Words(texts).hash >> np.uint64(64 - SLOT_BITS), return_counts=True)
+            total[slot.astype(np.int64)] += n.astype(np.uint32)
+        used = np.flatnonzero(total)
+        cuts = np.searchsorted(used, np.arange(RANGES + 1) * width)
+        for r in np.flatnonzero(np.diff(cuts)).tolist():
+            own = used[cuts[r] : cuts[r + 1]]
+            row = [r, (own - r * width).astype(np.uint32).tobytes(), np.minimum(total[own], 255).astype(np.uint8).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], ["r", "slots", "n"])
+
+    def merge(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for r, slots, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sums.setdefault(r, np.zeros(width, np.uint32))[np.frombuffer(slots, np.uint32)] += np.frombuffer(n, np.uint8)
+        for r, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([r]), pa.array([np.minimum(total, 255).astype(np.uint8).tobytes()])], ["r", "n"])
 
-    counts = docs.select(F.lit(0).alias("i"), "text").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "w").limit(FREQUENT).toArrow()
-    w = top["w"].to_numpy().view(np.uint64)
-    order = np.argsort(w)
-    return w[order], top["n"].to_numpy()[order]
+    rows = docs.select(F.lit(0).alias("i"), "text").mapInArrow(count, "r long, slots binary, n binary").repartition("r").mapInArrow(merge, "r long, n binary").toArrow()
+    table_ = np.zeros((RANGES, width), np.uint8)
+    for r, n in zip(rows["r"].to_pylist(), rows["n"].to_pylist(), strict=True):
+        table_[r] = np.frombuffer(n, np.uint8)
+    return table_.ravel()
 
 
-def shingle_sets(docs: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def shingle_sets(docs: DataFrame, n: int, percent: int, counters: np.ndarray) -> DataFrame:
     """(doc_id, n_shingles, digest, prefix): a row per document, with the digest and the first shingles of its set."""
-    known, counts = frequent
+    shared = docs.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches):
-        index, count = HashIndex(known), np.append(counts, 0)
         for ids, texts in text_chunks(batches):
             w = Words(texts)
-            rare = count[index.find(w.hash)]
+            rare = shared.value[(w.hash >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
             sizes, digests, prefixes = [], [], []
             for k in range(len(texts)):
                 b, e = w.first[k], w.first[k + 1]
@@ -132,8 +146,11 @@ def segments(texts: DataFrame, n: int) -> DataFrame:
                         i, j = sorted((m["block"], other))
                         rows += [(m["cluster"], i, j, q, m["doc_id"], m["digest"], len(s), int(m["block"] != i), p) for q, p in enumerate(pieces)]
                 at += len(some)
+                if not rows:
+                    continue
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["cluster", "i", "j", "fragment", "doc_id", "digest", "n", "side", "ids"])
+                for low in range(0, len(rows), 500):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[low : low + 500], strict=True), kinds, strict=True)], ["cluster", "i", "j", "fragment", "doc_id", "digest", "n", "side", "ids"])
 
     return texts.mapInArrow(run, _SEGMENT)
 
@@ -191,7 +208,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, block: in
     """(doc_id, n_shingles, component_id): a row per document; documents whose sets have 100 * intersection >=
     percent * union link, component_id is the smallest doc_id reachable by links."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = materialize(shingle_sets(docs, n, percent, frequent_words(docs)))
+    sets = materialize(shingle_sets(docs, n, percent, word_table(docs)))
     clusters = components(candidate_edges(sets, percent)).withColumnRenamed("node", "doc_id")
     nodes = sets.where("n_shingles > 0").select("doc_id", "n_shingles", "digest").join(clusters, "doc_id", "left")
     nodes = materialize(nodes.select("doc_id", "n_shingles", "digest", F.coalesce("component", "doc_id").alias("cluster")).where("doc_id is not null"))
