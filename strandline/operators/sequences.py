@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,23 +101,55 @@ HASHES = 1 << 52
 _COMPLEMENT = str.maketrans("ACGTacgt", "TGCAtgca")
 
 
-def sketch(sequence: Column, k: int = 31, scaled: int = 1000, seed: int = 42, dna: bool = True) -> Column:
+def _portable_hashes(text: str, k: int, seed: int, dna: bool) -> np.ndarray:
+    """52 bits of the MD5 digests of the distinct k-mers: the same on any engine, but slow."""
+    seen = {text[i : i + k] for i in range(len(text) - k + 1)}
+    if dna:
+        seen = {min(x, x.translate(_COMPLEMENT)[::-1]) for x in seen}
+    return np.array([int.from_bytes(hashlib.md5(f"{seed}:{x}".encode(), usedforsecurity=False).digest()[:8], "big") >> 12 for x in seen], np.int64)
+
+
+def _rolling_hashes(text: str, k: int, seed: int, dna: bool) -> np.ndarray:
+    """52 bits of polynomial hashes modulo 2^64 of all k-mers, from prefix sums; of DNA the lesser of both strands'."""
+    n = len(text) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    base = (0x9E3779B97F4A7C15 ^ seed << 1) | 1
+    up, down = (np.full(len(text), b, np.uint64) for b in (base, pow(base, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    up, down = np.cumprod(up), np.cumprod(down)
+
+    def windows(codes: np.ndarray, powers: np.ndarray) -> np.ndarray:
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes.astype(np.uint64) * powers)))
+        return total[k:] - total[:-k]
+
+    def mixed(h: np.ndarray) -> np.ndarray:
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+        return (h ^ (h >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(12)
+
+    codes = lambda t: np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+    with np.errstate(over="ignore"):
+        h = mixed(windows(codes(text), up) * down[:n])
+        if dna:
+            h = np.minimum(h, mixed(windows(codes(text.translate(_COMPLEMENT)), down) * up[:n] * up[k - 1]))
+    return h.astype(np.int64)
+
+
+def sketch(sequence: Column, k: int = 31, scaled: int = 1000, seed: int = 42, dna: bool = True, portable: bool = False) -> Column:
     """Scaled MinHash: the distinct 52-bit hashes of k-mers below 1/scaled of all, ascending; of DNA a k-mer and its
     reverse complement are one. An Arrow function, as Spark's substring walks a text from its beginning for each k-mer.
     Null and shorter sequences have an empty sketch."""
+    hashes = _portable_hashes if portable else _rolling_hashes
 
     @F.pandas_udf("array<bigint>")
-    def hashed(s: pd.Series) -> pd.Series:
-        def one(text: str | None) -> list[int]:
-            seen = {text[i : i + k] for i in range(len(text) - k + 1)} if text else set()
-            if dna:
-                seen = {min(x, x.translate(_COMPLEMENT)[::-1]) for x in seen}
-            values = (int.from_bytes(hashlib.md5(f"{seed}:{x}".encode()).digest()[:8], "big") >> 12 for x in seen)
-            return sorted({v for v in values if v < HASHES // scaled})
+    def sketched(s: pd.Series) -> pd.Series:
+        def one(text: str | None) -> np.ndarray:
+            h = hashes(text or "", k, seed, dna)
+            return np.unique(h[h < HASHES // scaled])
 
         return s.map(one)
 
-    return hashed(sequence)
+    return sketched(sequence)
 
 
 def containment(a: Column, b: Column) -> Column:

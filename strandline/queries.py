@@ -399,15 +399,15 @@ def complexity_filter(spark, d):
 _SKETCH = """sk AS (SELECT doc_id, lang, length(text) AS n, text, list_sort(list_distinct(list_filter(list_transform(range(1, length(text) - 18), lambda i: CAST('0x' || substr(md5('42:' || substr(text, i, 20)), 1, 13) AS BIGINT)), lambda h: h < 4503599627370496 // 50))) AS s FROM documents WHERE length(text) >= 20)"""
 
 
-def _sketches(spark, d):
+def _sketches(spark, d, portable=False):
     docs = _docs(spark, d).where(F.length("seq") >= 20)
-    return docs.select("read_id", "lang", F.length("seq").alias("length"), S.sketch(F.col("seq"), 20, 50, dna=False).alias("sketch"))
+    return docs.select("read_id", "lang", F.length("seq").alias("length"), S.sketch(F.col("seq"), 20, 50, dna=False, portable=portable).alias("sketch"))
 
 
 @query(f"WITH {_SKETCH} SELECT doc_id AS read_id, CAST(len(s) AS INT) AS n, list_sum(s) % 1000003 AS digest FROM sk")
 def minhash_sketch(spark, d):
     total = F.aggregate("sketch", F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x).cast("decimal(38,0)"))
-    return _sketches(spark, d).select("read_id", F.size("sketch").alias("n"), F.when(F.size("sketch") > 0, (total % 1000003).cast("long")).alias("digest"))
+    return _sketches(spark, d, True).select("read_id", F.size("sketch").alias("n"), F.when(F.size("sketch") > 0, (total % 1000003).cast("long")).alias("digest"))
 
 
 @query()
