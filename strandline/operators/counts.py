@@ -99,3 +99,12 @@ def per_million(counts: DataFrame, column: str, taxid: str = "tax_id") -> DataFr
     total = counts.agg(F.sum(column).alias("__total"))
     rpm = F.greatest(F.lit(1.0), F.bround(F.col(column) * 1e6 / F.col("__total")))
     return counts.join(F.broadcast(total), F.lit(True)).where(F.col(taxid) >= 0).withColumn("rpm", rpm).drop("__total")
+
+
+def spike_in_counts(alignments: DataFrame) -> DataFrame:
+    """Reads per spike-in target."""
+    return alignments.where(F.col("rname").startswith("ERCC-")).groupBy(F.col("rname").alias("target")).agg(F.count("*").alias("n"))
+
+
+def accessions_per_taxon(accessions: DataFrame) -> DataFrame:
+    return accessions.groupBy("taxid").agg(F.count("*").alias("n"))

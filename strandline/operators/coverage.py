@@ -122,3 +122,22 @@ def longest_reads(reads: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
     distinct = reads.groupBy(*keys, "seq").agg(F.min("read_id").alias("read_id"))
     w = Window.partitionBy(*keys).orderBy(F.desc(F.length("seq")), "read_id")
     return distinct.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def accession_stats(hits: DataFrame) -> DataFrame:
+    """Per key of hits (key, length, b, e, mismatch): longest hit, bases per base, covered share, mean mismatch share."""
+    rows = hits.where("length > 0")
+    inside = rows.select("key", "b", F.least("e", "length").alias("e")).where("e > b")
+    size = F.col("e") - F.col("b")
+    per = rows.groupBy("key").agg(F.count("*").alias("n"), F.max(size).alias("max_aligned_length"), (F.sum(size) / F.max("length")).alias("depth"), F.avg(F.col("mismatch") / size).alias("prop_mismatch"), F.max("length").alias("__length"))
+    out = per.join(covered_length(inside, "key"), "key", "left")
+    return out.withColumn("breadth", F.coalesce("covered", F.lit(0)) / F.col("__length")).drop("covered", "__length")
+
+
+def alignment_context(positions: DataFrame, references: DataFrame, around: int = 100, longest: int = 6000) -> DataFrame:
+    """positions (accession, pos from 1) with the reference bases around them, null for references that aren't there, and
+    a note instead of the bases if more than `longest` were asked for."""
+    begin = F.greatest(F.col("pos") - around, F.lit(1))
+    n = F.col("pos") - begin + around + 1
+    context = F.when(n > longest, F.lit("too long to show")).otherwise(F.substring("seq", begin, n))
+    return positions.join(references.select("accession", "seq"), "accession", "left").withColumn("context", context).drop("seq")

@@ -88,3 +88,22 @@ def require_rows(df: DataFrame, least: int) -> DataFrame:
     if df.limit(least).count() < least:
         raise ValueError(f"fewer than {least} rows")
     return df
+
+
+def classified(reads: DataFrame, taxid: int) -> DataFrame:
+    """Reads whose header names the taxon that a classifier found."""
+    return reads.where(F.col("header").rlike(rf"kraken:taxid\|{taxid}(\s|$)"))
+
+
+def without_large_references(references: DataFrame, most: int = 100_000_000) -> DataFrame:
+    return references.where((F.coalesce("header_length", F.lit(0)) + F.col("sequence_length")) <= most)
+
+
+def has_rank(records: DataFrame, ancestors: str, ranks: list[str]) -> DataFrame:
+    """Records of whose ancestors (an array of structs with rank) one has any of the ranks."""
+    return records.where(F.exists(ancestors, lambda a: a["rank"].isin(ranks)))
+
+
+def lineages_of_phyla(lineages: DataFrame, names: tuple[str, ...] = ("Chordata", "Echinodermata", "Hemichordata")) -> DataFrame:
+    """Lineages that name one of the phyla in any column."""
+    return lineages.where(F.concat_ws(",", *lineages.columns).rlike("|".join(names)))

@@ -64,3 +64,40 @@ def unmapped_reads(reads: DataFrame, read2contig: DataFrame, hits: DataFrame) ->
     rest = reads.join(read2contig.select("read_id", "contig_id"), "read_id", "left")
     rest = rest.join(hits.select(F.col("id").alias("__id")), F.col("read_id") == F.col("__id"), "left_anti")
     return rest.join(hits.select(F.col("id").alias("__id")), F.col("contig_id") == F.col("__id"), "left_anti").select(*reads.columns)
+
+
+def step_counts(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(step, a, b): the counts of two runs side by side, null where a run lacks the step."""
+    return a.select("step", F.col("count").alias("a")).join(b.select("step", F.col("count").alias("b")), "step", "full_outer")
+
+
+def table_diff(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """(key, change): keys that were added, removed or have other values; rows are compared by digest."""
+    digest = lambda df: F.md5(F.to_json(F.struct(*sorted(c for c in df.columns if c != key)), {"ignoreNullFields": "false"}))
+    both = a.select(key, digest(a).alias("__a")).join(b.select(key, digest(b).alias("__b")), key, "full_outer")
+    change = F.when(F.col("__a").isNull(), "added").when(F.col("__b").isNull(), "removed").when(F.col("__a") != F.col("__b"), "changed")
+    return both.select(key, change.alias("change")).where("change is not null")
+
+
+def last_wins(key: str, *frames: DataFrame) -> DataFrame:
+    """The rows of all frames, of each key those of the last frame that has it."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.join(f.select(key).distinct(), key, "left_anti").unionByName(f)
+    return out
+
+
+def lost_ids(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Ids of before that after lacks, as often as they were there."""
+    return before.join(after.select("id").distinct(), "id", "left_anti")
+
+
+def relabelled(rows: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """rows with `column` replaced by the name that names (id, name) has for it, if any."""
+    known = names.select(F.col("id").alias("__id"), F.col("name").alias("__name"))
+    return rows.join(known, F.col(column) == F.col("__id"), "left").withColumn(column, F.coalesce("__name", column)).drop("__id", "__name")
+
+
+def changed_taxa_report(report: DataFrame, changes: DataFrame, fields: list[str]) -> DataFrame:
+    """Taxa of a report whose lineage changed in one of the fields."""
+    return report.join(changes.where(F.col("field").isin(fields)), "taxid")

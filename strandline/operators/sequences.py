@@ -194,3 +194,28 @@ def sync_pairs(one: DataFrame, two: DataFrame, max_fraction: float = 0.0) -> Dat
     if (broken or 0.0) > max_fraction:
         raise ValueError(f"{broken:.4f} of all fragments lack a mate; {max_fraction} may")
     return both.where("__1 = 1 and __2 = 1").drop("__1", "__2")
+
+
+def locators(records: DataFrame, fields: list[str]) -> DataFrame:
+    """(field, taxid, first_byte, last_byte, n): byte ranges of each taxon in a copy of the records (size and taxids)
+    sorted by each field; one pass makes all copies' sums."""
+    item = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("taxid")) for f in fields)))
+    per = records.select("size", item.alias("x")).groupBy("x.field", "x.taxid").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("bytes").over(Window.partitionBy("field").orderBy("taxid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return per.select("field", "taxid", before.alias("first_byte"), (before + F.col("bytes") - 1).alias("last_byte"), "n")
+
+
+def length_order(reads: DataFrame, group: str) -> DataFrame:
+    """reads with their place in their group, longest first, equal lengths by id."""
+    return reads.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(F.desc(F.length("seq")), "read_id")))
+
+
+def shuffled(reads: DataFrame, seed: int) -> DataFrame:
+    """reads in an order that depends on their id and the seed alone."""
+    return reads.orderBy(F.xxhash64(F.lit(seed), "read_id"), "read_id")
+
+
+def by_taxon(reads: DataFrame, accessions: DataFrame) -> DataFrame:
+    """reads with the taxid of their accession, 0 where unknown: for a write partitioned by taxid."""
+    one = accessions.groupBy("accession").agg(F.min("taxid").alias("taxid"))
+    return reads.withColumn("accession", F.substring_index("read_id", ".", 1)).join(one, "accession", "left").withColumn("taxid", F.coalesce("taxid", F.lit(0)))

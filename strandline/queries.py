@@ -404,7 +404,7 @@ def _sketches(spark, d, portable=False):
     return docs.select("read_id", "lang", F.length("seq").alias("length"), S.sketch(F.col("seq"), 20, 50, dna=False, portable=portable).alias("sketch"))
 
 
-@query(f"WITH {_SKETCH} SELECT doc_id AS read_id, CAST(len(s) AS INT) AS n, list_sum(s) % 1000003 AS digest FROM sk")
+@query(f"WITH {_SKETCH} SELECT doc_id AS read_id, CAST(len(s) AS INT) AS n, CAST(list_sum(s) % 1000003 AS BIGINT) AS digest FROM sk")
 def minhash_sketch(spark, d):
     total = F.aggregate("sketch", F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x).cast("decimal(38,0)"))
     return _sketches(spark, d, True).select("read_id", F.size("sketch").alias("n"), F.when(F.size("sketch") > 0, (total % 1000003).cast("long")).alias("digest"))
@@ -561,6 +561,72 @@ def header_parse(spark, d):
     return pages.select("page_id", X.header_taxid(F.col("h"), "species_nt").alias("species"), X.read_id(F.col("fastq")).alias("id"))
 
 
+# ------------------------------------------------------------------ tables of runs and references
+@query(f"""WITH {_HITS}, u AS ({_UNION.format(keys='key', rows='(SELECT key, b, least(e, length) AS e FROM ph WHERE least(e, length) > b)')})
+  SELECT ph.key, count(*) AS n, max(e - b) AS max_aligned_length, round(sum(e - b) / max(length), 6) AS depth, round(max(coalesce(covered, 0)) / max(length), 6) AS breadth, round(avg(mismatch / (e - b)), 6) AS prop_mismatch
+  FROM ph LEFT JOIN u ON u.key = ph.key WHERE length > 0 GROUP BY ph.key""")
+def accession_stats(spark, d):
+    return V.accession_stats(_part_hits(spark, d)).withColumns({c: F.round(c, 6) for c in ("depth", "breadth", "prop_mismatch")})
+
+
+@query("SELECT 'ERCC-' || l_suppkey AS target, count(*) AS n FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1")
+def spike_in_counts(spark, d):
+    name = F.concat(F.when(F.col("l_suppkey") % 3 == 0, "ERCC-").otherwise("chr"), F.col("l_suppkey"))
+    return C.spike_in_counts(table(spark, d, "lineitem").select(name.alias("rname")))
+
+
+@query(f"""WITH {_VERSIONS} SELECT coalesce(o.taxid, n.taxid) AS id, CASE WHEN o.taxid IS NULL THEN 'added' WHEN n.taxid IS NULL THEN 'removed' ELSE 'changed' END AS change FROM old o FULL JOIN new n ON n.taxid = o.taxid
+  WHERE o.taxid IS NULL OR n.taxid IS NULL OR o.genus IS DISTINCT FROM n.genus OR o.family IS DISTINCT FROM n.family""")
+def output_diff(spark, d):
+    old, new = _versions(spark, d)
+    return M.table_diff(old.withColumnRenamed("taxid", "id"), new.withColumnRenamed("taxid", "id"), "id")
+
+
+@query("""SELECT o_orderpriority AS step, count_if(o_orderstatus = 'F') AS a, count_if(o_orderstatus = 'O') AS b FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""")
+def step_counts(spark, d):
+    o = table(spark, d, "orders")
+    side = lambda s: o.where(F.col("o_orderstatus") == s).groupBy(F.col("o_orderpriority").alias("step")).agg(F.count("*").alias("count"))
+    return M.step_counts(side("F"), side("O"))
+
+
+@query("SELECT doc_id AS key, 'B' AS run FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, 'A' FROM documents WHERE doc_id % 2 = 1")
+def last_wins(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("key"))
+    return M.last_wins("key", docs.withColumn("run", F.lit("A")), docs.where("key % 2 = 0").withColumn("run", F.lit("B")))
+
+
+@query("""SELECT 'i' || doc_id AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def sequence_retention(spark, d):
+    before, after = (table(spark, d, t).select(F.concat(F.lit("i"), F.col("doc_id")).alias("id")) for t in ("documents", "labels"))
+    return M.lost_ids(before, after)
+
+
+@query("""WITH t AS (SELECT doc_id, strlen(text) + 1 AS size, doc_id % 3 AS species_nt, doc_id % 5 AS genus_nt FROM documents), u AS (SELECT 'species_nt' AS field, species_nt AS taxid, size FROM t UNION ALL SELECT 'genus_nt', genus_nt, size FROM t),
+  p AS (SELECT field, taxid, sum(size) AS bytes, count(*) AS n FROM u GROUP BY field, taxid), q AS (SELECT *, coalesce(sum(bytes) OVER (PARTITION BY field ORDER BY taxid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS f FROM p)
+  SELECT field, taxid, CAST(f AS BIGINT) AS first_byte, CAST(f + bytes - 1 AS BIGINT) AS last_byte, n FROM q""")
+def taxid_locators(spark, d):
+    docs = table(spark, d, "documents").select((F.octet_length("text") + 1).cast("long").alias("size"), (F.col("doc_id") % 3).alias("species_nt"), (F.col("doc_id") % 5).alias("genus_nt"))
+    return S.locators(docs, ["species_nt", "genus_nt"])
+
+
+@query("SELECT page_id, url || ' x' || chr(1) || 'second' AS header, split_part(url, '/', 3) AS host FROM pages")
+def header_names(spark, d):
+    pages = table(spark, d, "pages").select("page_id", F.concat("url", F.lit(", x\x01second")).alias("h"), "url")
+    return pages.select("page_id", X.repair_header(F.col("h")).alias("header"), F.split("url", "/")[2].alias("host"))
+
+
+@query("SELECT doc_id AS read_id, CAST(row_number() OVER (PARTITION BY lang ORDER BY length(text) DESC, doc_id) AS INT) AS place, lang FROM documents")
+def length_order(spark, d):
+    return S.length_order(_docs(spark, d), "lang").select("read_id", "place", "lang")
+
+
+@query("SELECT p_partkey AS key, CAST(p_partkey % 40 AS INT) AS pos, substr(repeat('ACGTTGCA', 10), CAST(greatest(p_partkey % 40 - 4, 1) AS INT), CAST(p_partkey % 40 - greatest(p_partkey % 40 - 4, 1) + 5 AS INT)) AS context FROM part WHERE p_partkey % 40 > 0")
+def alignment_context(spark, d):
+    p = table(spark, d, "part").where("p_partkey % 40 > 0").select(F.col("p_partkey").alias("key"), (F.col("p_partkey") % 40).cast("int").alias("pos"), F.lit("ref").alias("accession"))
+    refs = spark.range(1).select(F.lit("ref").alias("accession"), F.lit("ACGTTGCA" * 10).alias("seq"))
+    return V.alignment_context(p, refs, 4).select("key", "pos", "context")
+
+
 # ------------------------------------------------------------------ beyond the reference's own operators: event time
 @query("SELECT event_type, CAST(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS window_start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def ext_tumbling(spark, d):
