@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -36,6 +38,26 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, its session set to Arrow batches of BATCH_ROWS rows at most: Spark's own bound counts rows, not bytes, and
+    ten thousand long texts at once in each task are too much for a small executor."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+    return df
+
+
+def give_back() -> None:
+    """Hands memory that a worker no longer uses back to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[list, list[str]]]:
     """(ids, texts) of about `size` characters each from batches of (id, text); null texts are empty."""
     ids: list = []
@@ -53,6 +75,8 @@ def text_chunks(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Itera
                     ids, texts, held = [], [], 0
     if ids:
         yield ids, texts
+    del ids, texts
+    give_back()
 
 
 # ------------------------------------------------------------------ vectorised words
@@ -169,6 +193,8 @@ def by_group(keys: list[str], fn: Callable[[pa.Table], Iterator[pa.RecordBatch]]
                 held.append(batch.slice(at))
         if held:
             yield from fn(pa.Table.from_batches(held))
+        held = []
+        give_back()
 
     return run
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import Words, components, forest, map_groups, materialize, shingles, table, text_chunks
+from strandline.llm.common import Words, components, forest, map_groups, materialize, mix, shingles, small_batches, table, text_chunks
 
 #: Counters of the word table (a byte each), and the parts in which it is merged.
 SLOT_BITS, RANGES = 23, 64
@@ -87,8 +87,6 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, counters: np.ndarray) ->
 
 
 def _hashes(words: np.ndarray, n: int) -> np.ndarray:
-    from strandline.llm.common import mix
-
     if not len(words):
         return words
     n = min(n, len(words))
@@ -207,7 +205,7 @@ def _links(percent: int):
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int = BLOCK_TEXTS, fragment: int = FRAGMENT_SHINGLES) -> DataFrame:
     """(doc_id, n_shingles, component_id): a row per document; documents whose sets have 100 * intersection >=
     percent * union link, component_id is the smallest doc_id reachable by links."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = materialize(shingle_sets(docs, n, percent, word_table(docs)))
     clusters = components(candidate_edges(sets, percent)).withColumnRenamed("node", "doc_id")
     nodes = sets.where("n_shingles > 0").select("doc_id", "n_shingles", "digest").join(clusters, "doc_id", "left")

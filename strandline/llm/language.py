@@ -2,9 +2,9 @@
 
 Byte-trigram counts of labelled texts give each language's likelihood of a text. What languages a host, its domain, an
 address suffix and the whole table hold is counted by grouped aggregation over all rows (by each text's likeliest
-language) and smoothed level by level, a level's prior being the next one's estimate. How often a declared language or
-an address suffix goes with each text language is counted the same way. The posterior is the product of the smoothed
-host prior, the chances of the declaration and of the suffix, and the text's likelihood, of which EVIDENCE trigrams at most count at
+language) and smoothed level by level, a level's prior being the next one's estimate. How often a language is declared for texts of each
+language is counted the same way. The posterior is the product of the smoothed
+host prior, the chance of the declaration, and the text's likelihood, of which EVIDENCE trigrams at most count at
 full weight, as trigrams of one text are no independent witnesses.
 
 Only training is bounded: about PER_LANGUAGE texts of at most SAMPLE_CHARS characters for each of the LANGUAGES most
@@ -21,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import materialize, table
+from strandline.llm.common import give_back, materialize, small_batches, table
 
 PER_LANGUAGE, SAMPLE_CHARS, LANGUAGES, EVIDENCE, SMOOTH, BITS = 300, 20_000, 32, 60, 5.0, 15
+BROADCAST_ROWS = 20_000
 _LETTER = re.compile(r"[^\W\d_]")
 _TAGS = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 
@@ -69,6 +70,7 @@ def _likelihoods(model: np.ndarray, markup: bool):
             # the mean over all trigrams, as EVIDENCE of them or fewer
             ll = np.bincount(_codes(raw), minlength=1 << BITS) @ model.T * min(n, EVIDENCE) / n if n and len(model) else np.zeros(len(model))
             out.append([*(ll - ll.max(initial=-np.inf)).tolist(), 0.0 if _LETTER.search(t) else 1.0])
+        give_back()
         return pa.array(out, pa.list_(pa.float64()))
 
     return score
@@ -87,12 +89,17 @@ def _estimate(rows: DataFrame, key: list[str], parent: DataFrame | list[float],
     return joined.select(*key, F.zip_with(got, "up", lambda c, p: (c + SMOOTH * p) / (total + SMOOTH)).alias("p"))
 
 
+def few(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it has BROADCAST_ROWS rows at most (some MB)."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def identify(rows: DataFrame, names: list[str], model: np.ndarray, text: str, markup: bool, keep_text: bool = False) -> DataFrame:
     """rows (key columns, declared, suffix, domain, host and the text column), without the text unless keep_text, with lang, confidence
     (its posterior), text_lang and empty."""
     keep = [c for c in rows.columns if keep_text or c != text]
     n = len(names)
-    seen = rows.withColumn("__ll", _likelihoods(model, markup)(F.col(text)))
+    seen = small_batches(rows).withColumn("__ll", _likelihoods(model, markup)(F.col(text)))
     seen = seen.select(*keep, F.slice("__ll", 1, max(n, 1)).alias("ll"), (F.element_at("__ll", -1) == 1).alias("empty"))
     if not names:
         return seen.select(*keep, F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("text_lang"), "empty")
@@ -114,7 +121,8 @@ def identify(rows: DataFrame, names: list[str], model: np.ndarray, text: str, ma
         return got.select(column, F.transform(langs, lambda v: F.coalesce(F.col("m")[v], F.lit(1e-3))).alias(f"{column}_p"))
 
     flat = F.array(*[F.lit(1.0)] * n)
-    out = seen.join(by_host, ["suffix", "domain", "host"], "left").join(chance("declared"), "declared", "left")
+    by_host, by_declared = few(materialize(by_host)), few(materialize(chance("declared")))
+    out = seen.join(by_host, ["suffix", "domain", "host"], "left").join(by_declared, "declared", "left")
     prior = F.coalesce("p", F.array(*map(F.lit, whole)))
     logs = F.zip_with(F.zip_with("ll", prior, lambda a, p: a + F.ln(p)), F.coalesce("declared_p", flat), lambda a, p: a + F.ln(p))
     out = out.withColumn("post", logs)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import HashIndex, Words, materialize, table, text_chunks
+from strandline.llm.common import HashIndex, Words, materialize, small_batches, table, text_chunks
 
 TABLE, TOP, SHARED, DIM, NOISE, BATCH = 1 << 19, 1000, 64, 16, 16, 8192
 SAMPLE_TEXTS, SAMPLE_CHARS = 1000, 4000
@@ -125,7 +125,7 @@ def _averaged(shapes):
 def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row per document."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # a null doc_id has no remainder: its text is no training text and not held out
     train = docs.where(_split(F.col("doc_id"), fold) != held_out)
 

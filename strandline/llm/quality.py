@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import table, text_chunks
+from strandline.llm.common import small_batches, table, text_chunks
 
 PER_CLASS, SAMPLE_CHARS, DICTIONARY_BYTES, LEVEL = 2000, 16_000, 112_640, 3
 
@@ -103,7 +103,7 @@ def quality_scores(docs: DataFrame, model: dict, fold: int = 3, held_out: int =
                 scores = 1 / (1 + np.exp(-np.clip(x @ np.array(model["weights"]) + model["shift"], -30, 30)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    scored = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", (remainder(F.col("doc_id"), fold) == held_out).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

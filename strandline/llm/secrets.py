@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm.common import table, text_chunks
+from strandline.llm.common import small_batches, table, text_chunks
 
 LOWER, UPPER, DIGIT = b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
 ALNUM = LOWER + UPPER + DIGIT
@@ -225,7 +225,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             spans = [_joined(f, s.kinds, lambda k: True) for f in found]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in counts), pa.array(digest), pa.array(spans, pa.string())], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), text_col).mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return small_batches(docs).select(docs[id_col].cast("long").alias("doc_id"), text_col).mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def redacted(text: str, spans: list[tuple[int, int]], mark: str) -> str:
@@ -254,7 +254,7 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
                 cols["n_chars"] = pa.array([len(n) if n != t else old for n, t, old in zip(new, texts, cols["n_chars"].to_pylist(), strict=True)], cols["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import materialize, table, text_chunks
+from strandline.llm.common import materialize, scratch, small_batches, table, text_chunks
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words, and word pieces, that a worker remembers. Those used since are kept when as many new ones have come.
@@ -190,7 +190,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, vocabulary_path:
         if ids:
             yield flush()
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
 
 
@@ -217,8 +217,6 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strandline.llm.common import scratch
-
     path = scratch(spark)
     write_token_files(table(spark, sf_dir, "documents"), path, 1, vocabulary())
     return read_token_files(spark, path)
@@ -303,7 +301,7 @@ def pack_documents(docs: DataFrame, end_id: int, vocabulary_path: str, group_pie
                 rows += [(i, b, e - b, zlib.crc32(data[4 * b : 4 * e]), n) for b, e in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    cut = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pieces, PIECES))
+    cut = materialize(small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pieces, PIECES))
     groups = max(1, cut.count() // group_pieces)
 
     def windows(part: pa.Table) -> pa.Table:
