@@ -58,8 +58,15 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[list, list[str]]]:
-    """(ids, texts) of about `size` characters each from batches of (id, text); null texts are empty."""
+#: What operators remember in a worker between tasks, by operator, and how to forget it.
+remembered: dict[str, Callable[[], None]] = {}
+
+
+def text_chunks(batches: Iterator[pa.RecordBatch], size: int = 1 << 20, operator: str = "") -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of about `size` characters each from batches of (id, text); null texts are empty. What other
+    operators than this one have remembered in the worker is forgotten."""
+    for other in [o for o in remembered if o != operator]:
+        remembered.pop(other)()
     ids: list = []
     texts: list[str] = []
     held = 0

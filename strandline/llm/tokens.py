@@ -18,11 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import materialize, scratch, small_batches, table, text_chunks
+from strandline.llm.common import materialize, remembered, scratch, small_batches, table, text_chunks
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words, and word pieces, that a worker remembers. Those used since are kept when as many new ones have come.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 
 
 class _Remembered(dict):
@@ -87,6 +87,7 @@ class _Words(_Remembered):
 
 @functools.cache
 def encoder(path: str) -> _Words:
+    remembered["tokens"] = encoder.cache_clear
     return _Words(path)
 
 
@@ -178,7 +179,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, vocabulary_path:
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], ["shard", "segment", "n_ids", "doc_ids", "doc_tokens", "blocks", "words"])
 
-        for some, texts in text_chunks(batches):
+        for some, texts in text_chunks(batches, operator="tokens"):
             for i, t in zip(some, texts, strict=True):
                 parts.append(enc.ids(t) + end)
                 ids.append(i)
@@ -292,7 +293,7 @@ def pack_documents(docs: DataFrame, end_id: int, vocabulary_path: str, group_pie
 
     def pieces(batches):
         enc, end = encoder(vocabulary_path), np.array([end_id], "<u4").tobytes()
-        for ids, texts in text_chunks(batches):
+        for ids, texts in text_chunks(batches, operator="tokens"):
             rows = []
             for i, t in zip(ids, texts, strict=True):
                 data = memoryview(enc.ids(t) + end)
