@@ -1,14 +1,15 @@
 """Token ids by a public BPE vocabulary, the Simple-8b token files (3) and packing into windows (6).
 
-Texts are cut at white space, which the vocabulary drops, and each distinct word is encoded once per worker: the
-library's BPE gives the ids of its pieces, the library's whole chain those of words beyond Latin-1 or with special
-tokens. Null texts are empty: they hold the end id alone.
+A text within Latin-1 is lower-cased and cut into pieces as the vocabulary has it, and the library's BPE encodes each
+distinct piece once per worker. Other texts are cut at white space, which the vocabulary drops, and the library's whole
+chain encodes words beyond Latin-1 or with special tokens. Null texts are empty: they hold the end id alone.
 """
 
 from __future__ import annotations
 
 import functools
 import heapq
+import re
 import zlib
 from array import array
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import materialize, remembered, scratch, small_batches, table, text_chunks
 
 VOCABULARY = "word_bpe_49k.json"
-#: Words, and word pieces, that a worker remembers. Those used since are kept when as many new ones have come.
+#: Pieces, and words beyond Latin-1, that a worker remembers. Those used since are kept when as many new ones have come.
 REMEMBERED = 200_000
 
 
@@ -57,34 +58,46 @@ class _Pieces(_Remembered):
         return array("I", [t.id for t in self.byte_pairs(level)]).tobytes()
 
 
+#: The vocabulary's rule for pieces, within lower-case Latin-1. Letters are one piece as far as they go,
+#: digits one each, endings after an apostrophe one, and anything else but white space one as far as it goes.
+_LETTERS, _DIGITS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", r" \t\n\x0b\x0c\r\x85\xa0"
+_CUT = re.compile(f"[{_LETTERS}]+|[{_DIGITS}]|'s|'t|'re|'ve|'m|'ll|'d|[^{_LETTERS}{_DIGITS}{_SPACES}]+").findall
+
+
 class _Words(_Remembered):
     def __init__(self, path: str):
         super().__init__()
-        import regex
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.pieces = _Pieces(self.whole)
-        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+
+    def within_latin1(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, _CUT(text.lower())))
 
     def made(self, word: str) -> bytes:
-        if (word.isascii() or max(word) < "Ā") and "<|" not in word:
-            lowered = word.lower()
-            if lowered.isalpha():  # within Latin-1 these are the letters
-                return self.pieces[lowered]
-            return b"".join([self.pieces[p] for p in self.cut(lowered)])
-        return self.encoded(word)
+        return self.within_latin1(word) if _is_latin1(word) and "<|" not in word else self.encoded(word)
 
     def encoded(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         """The ids of text as little-endian unsigned 32-bit integers."""
+        if _is_latin1(text) and "<|" not in text:
+            return self.within_latin1(text)
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # split() takes these for space, the vocabulary doesn't
             return self.encoded(text)
         return b"".join([self[w] for w in text.split()])
 
 
+def _is_latin1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @functools.cache
 def encoder(path: str) -> _Words:
     remembered["tokens"] = encoder.cache_clear
@@ -102,6 +115,7 @@ def vocabulary(name: str = VOCABULARY) -> str:
 LAYOUTS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 ZEROS = 120
 BLOCK = 4096
+_BITS = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
 
 
 def pack_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,16 +125,18 @@ def pack_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint32)
-    width = np.ceil(np.log2(ids.astype(np.float64) + 1)).astype(np.uint8)
-    width[ids >> np.uint64(60) > 0] = 64
+    width = _BITS[np.minimum(ids, np.uint64(0xFFFF)).astype(np.int64)]
+    large = np.flatnonzero(ids > np.uint64(0xFFFF))
+    width[large] = [int(i).bit_length() for i in ids[large]]
     left = BLOCK - np.arange(n) % BLOCK
     left[n - n % BLOCK :] = np.arange(n % BLOCK, 0, -1)
     step, selector = np.ones(n, np.int16), np.where(width > 60, 1, 15).astype(np.uint8)
     for s, (count, bits) in [*reversed(list(enumerate(LAYOUTS, 2)))][1:] + [(0, (ZEROS, 0))]:
         bad = np.concatenate(([0], np.cumsum(width > bits, dtype=np.int32)))
         fits = np.flatnonzero((bad[count:] == bad[:-count]) & (left[: max(0, n + 1 - count)] >= count)) if n >= count else ()
-        if len(fits):
-            step[fits], selector[fits] = count, s
+        if not len(fits):
+            break  # wider windows of narrower ids fit nowhere either
+        step[fits], selector[fits] = count, s
     at, i, go = [], 0, step.tolist()
     while i < n:
         at.append(i)
