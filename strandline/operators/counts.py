@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandline.functions import alignment as A
 from strandline.functions import lineage as L
 from strandline.operators.filters import taxon_filter
+from strandline.operators.scalar import with_row
 
 MIN_CONTIG_READS = 4
 
@@ -98,7 +99,7 @@ def per_million(counts: DataFrame, column: str, taxid: str = "tax_id") -> DataFr
     """counts of known taxa with `rpm`, at least 1, by the total of all rows, unknown taxa included."""
     total = counts.agg(F.sum(column).alias("__total"))
     rpm = F.greatest(F.lit(1.0), F.bround(F.col(column) * 1e6 / F.col("__total")))
-    return counts.join(F.broadcast(total), F.lit(True)).where(F.col(taxid) >= 0).withColumn("rpm", rpm).drop("__total")
+    return with_row(counts, total).where(F.col(taxid) >= 0).withColumn("rpm", rpm).drop("__total")
 
 
 def spike_in_counts(alignments: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import alignment as A
+from strandline.operators.scalar import with_row
 from strandline.schemas import HUMAN
 
 
@@ -74,7 +75,7 @@ def complexity_filter(reads: DataFrame, score: str, cutoffs: list[float]) -> Dat
     """Reads above the highest cut-off that any read exceeds, and up to the next higher one, as that one has none."""
     best = reads.agg(*(F.max((F.col(score) > c).cast("int")).alias(f"c{k}") for k, c in enumerate(sorted(cutoffs, reverse=True))))
     chosen = F.coalesce(*(F.when(F.col(f"c{k}") == 1, F.lit(c)) for k, c in enumerate(sorted(cutoffs, reverse=True))))
-    return reads.join(F.broadcast(best.select(chosen.alias("__cut"))), F.col(score) > F.col("__cut")).drop("__cut")
+    return with_row(reads, best.select(chosen.alias("__cut"))).where(F.col(score) > F.col("__cut")).drop("__cut")
 
 
 def line_violations(lines: DataFrame, max_length: int = 10_000) -> DataFrame:

@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.scalar import with_row
+
 
 def outer_merge(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join in which null keys match each other; other columns must differ in name."""
@@ -38,7 +40,7 @@ def precision_recall(scores: DataFrame) -> DataFrame:
     w = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)  # a row per distinct score
     total = scores.agg(F.sum("truth").alias("__p"))
     run = by.select("score", F.sum("tp").over(w).alias("tp"), F.sum("n").over(w).alias("n"))
-    return run.join(F.broadcast(total), F.lit(True)).select("score", (F.col("tp") / F.col("n")).alias("precision"), F.try_divide(F.col("tp"), F.col("__p")).alias("recall"))
+    return with_row(run, total).select("score", (F.col("tp") / F.col("n")).alias("precision"), F.try_divide(F.col("tp"), F.col("__p")).alias("recall"))
 
 
 def aupr(scores: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def aupr(scores: DataFrame) -> DataFrame:
     ends = pr.agg(F.max_by("precision", "score").alias("p0"), F.max("recall").alias("r1"), F.min_by("precision", "score").alias("p1"), F.min_by("recall", "score").alias("r_last"))
     w = Window.orderBy(F.desc("score"))
     area = pr.select(((F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0))) * (F.col("precision") + F.coalesce(F.lag("precision").over(w), F.col("precision"))) / 2).alias("a")).agg(F.sum("a").alias("area"))
-    return area.join(F.broadcast(ends), F.lit(True)).select((F.col("area") + (1 - F.col("r_last")) * F.col("p1") / 2).alias("aupr"))
+    return with_row(area, ends).select((F.col("area") + (1 - F.col("r_last")) * F.col("p1") / 2).alias("aupr"))
 
 
 def l2_distance(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.scalar import with_row
+
 
 def duplicate_clusters(reads: DataFrame, prefix: int = 70, columns: tuple[str, ...] = ("seq",)) -> DataFrame:
     """(representative, read_id): reads with the same first bases, in both mates if there are two, and the first of them
@@ -60,7 +62,7 @@ def length_metrics(reads: DataFrame, length: str) -> DataFrame:
     """Median, mode (the smallest on ties), mean absolute deviation, extremes, mean and population deviation."""
     counts = reads.where(F.col(length).isNotNull()).groupBy(F.col(length).alias("v")).agg(F.count("*").alias("c"))
     stats = reads.agg(F.percentile(length, F.lit(0.5)).alias("median"), F.min(length).alias("min"), F.max(length).alias("max"), F.avg(length).alias("mean"), F.stddev_pop(length).alias("stddev"))
-    spread = counts.join(F.broadcast(stats), F.lit(True))  # one row
+    spread = with_row(counts, stats)
     mad = F.sum(F.abs(F.col("v") - F.col("mean")) * F.col("c")) / F.sum("c")
     return spread.groupBy(*stats.columns).agg(mad.alias("mad"), F.min_by("v", F.struct(-F.col("c"), F.col("v"))).alias("mode"))
 

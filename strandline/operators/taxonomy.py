@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.operators.scalar import with_row
 from strandline.schemas import NULL_RANKS, RANKS
 
 
@@ -52,7 +53,7 @@ def version_lineages(previous: DataFrame, current: DataFrame, version: str, key:
     changed ones with a new row after them; older rows are kept; new keys get a row."""
     values = [c for c in current.columns if c != key]
     latest = previous.agg(F.max("version_end").alias("__latest"))
-    old = previous.join(F.broadcast(latest), F.lit(True))  # one row
+    old = with_row(previous, latest)
     live, past = old.where("version_end = __latest").drop("__latest"), old.where("version_end <> __latest or __latest is null").drop("__latest")
     now = current.select(F.col(key).alias("__key"), *(F.col(c).alias(f"__{c}") for c in values), F.lit(True).alias("__now"))
     both = live.withColumn("__old", F.lit(True)).join(now, F.col(key) == F.col("__key"), "full_outer")

@@ -18,6 +18,7 @@ from strandline.operators import merge as M
 from strandline.operators import reports as P
 from strandline.operators import sequences as S
 from strandline.operators import taxonomy as T
+from strandline.operators.scalar import with_row
 from strandline.roles import M8_SQL, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -527,7 +528,7 @@ def aupr(spark, d):
 def _abundance(spark, d, name, key):
     t = table(spark, d, name)
     n = t.groupBy(F.col(key).cast("long").alias("taxid")).agg(F.count("*").alias("n"))
-    return n.join(F.broadcast(n.agg(F.sum("n").alias("all"))), F.lit(True)).select("taxid", (F.col("n") / F.col("all")).alias("abundance"))
+    return with_row(n, n.agg(F.sum("n").alias("all"))).select("taxid", (F.col("n") / F.col("all")).alias("abundance"))
 
 
 @query("""WITH a AS (SELECT s_nationkey AS k, count(*) / (SELECT count(*) FROM supplier) AS x FROM supplier GROUP BY 1), b AS (SELECT c_nationkey AS k, count(*) / (SELECT count(*) FROM customer) AS y FROM customer GROUP BY 1)
