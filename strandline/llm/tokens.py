@@ -121,37 +121,47 @@ _BITS = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
 def pack_ids(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, first word of each block): ids (unsigned) in blocks of 4096, each begun on a new word, in each word as
     many next ids as one selector holds. The low 4 bits of a word are its selector, ids follow from the low end."""
-    ids = ids.astype(np.uint64)
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint32)
-    width = _BITS[np.minimum(ids, np.uint64(0xFFFF)).astype(np.int64)]
-    large = np.flatnonzero(ids > np.uint64(0xFFFF))
-    width[large] = [int(i).bit_length() for i in ids[large]]
-    left = BLOCK - np.arange(n) % BLOCK
+    if ids.max() <= 0xFFFF:
+        width, ids = _BITS[ids.astype(np.uint16)], ids.astype(np.uint64)
+    else:
+        ids = ids.astype(np.uint64)
+        width = _BITS[np.minimum(ids, np.uint64(0xFFFF)).astype(np.uint16)]
+        large = np.flatnonzero(ids > np.uint64(0xFFFF))
+        width[large] = [int(i).bit_length() for i in ids[large]]
+    left = np.tile(np.arange(BLOCK, 0, -1, dtype=np.int16), -(-n // BLOCK))[:n]
     left[n - n % BLOCK :] = np.arange(n % BLOCK, 0, -1)
-    step, selector = np.ones(n, np.int16), np.where(width > 60, 1, 15).astype(np.uint8)
+    step, selector = np.ones(n, np.uint8), np.where(width > 60, 1, 15).astype(np.uint8)
+    widest, held = width, 1  # the widest of the next `held` ids
     for s, (count, bits) in [*reversed(list(enumerate(LAYOUTS, 2)))][1:] + [(0, (ZEROS, 0))]:
-        bad = np.concatenate(([0], np.cumsum(width > bits, dtype=np.int32)))
-        fits = np.flatnonzero((bad[count:] == bad[:-count]) & (left[: max(0, n + 1 - count)] >= count)) if n >= count else ()
-        if not len(fits):
+        if n < count:
+            break
+        m = n - count + 1
+        widest, held = np.maximum(widest[:m], widest[count - held :]), count  # a layout holds twice the one before at most
+        fits = (widest <= bits) & (left[:m] >= count)
+        if not fits.any():
             break  # wider windows of narrower ids fit nowhere either
-        step[fits], selector[fits] = count, s
-    at, i, go = [], 0, step.tolist()
+        np.copyto(step[:m], count, where=fits)
+        np.copyto(selector[:m], s, where=fits)
+    at, i, go = array("q"), 0, step.tobytes()
     while i < n:
         at.append(i)
         i += go[i]
-    at = np.array(at)
+    at = np.frombuffer(at, np.int64)
     chosen = selector[at]
     place = np.cumsum(np.where(chosen == 1, 2, 1)) - np.where(chosen == 1, 2, 1)
     words = np.zeros(int(place[-1]) + (2 if chosen[-1] == 1 else 1), np.uint64)
     words[place] = chosen
     words[place[chosen == 1] + 1] = ids[at[chosen == 1]]
     for s, (count, bits) in enumerate(LAYOUTS, 2):
-        here = chosen == s
-        if here.any():
+        here = np.flatnonzero(chosen == s)
+        if len(here):
+            first, word = at[here], np.full(len(here), s, np.uint64)
             for k in range(count):
-                words[place[here]] |= ids[at[here] + k] << np.uint64(4 + k * bits)
+                word |= ids[first + k] << np.uint64(4 + k * bits)
+            words[place[here]] = word
     return words, place[np.searchsorted(at, np.arange(0, n, BLOCK))].astype(np.uint32)
 
 
