@@ -25,9 +25,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that n-gram links join, the one with the smallest doc_id; of rows with one doc_id one;
-    rows without doc_id all stay."""
-    kept = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """Of each group of documents that links join (four fifths or more of their five-word shingles shared), the one with
+    the smallest doc_id; of rows with one doc_id one; rows without doc_id all stay."""
+    kept = jaccard_components(docs, n=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
 

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
@@ -39,3 +41,25 @@ def test_no_documents(spark):
 def test_every_query_runs(spark):
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLES) < set(queries.QUERIES)
+
+
+def shingle_set(text, k=5):
+    w = text.lower().split()
+    return {tuple(w[i : i + min(k, len(w))]) for i in range(len(w) - min(k, len(w)) + 1)}
+
+
+def test_near_duplicates_match_brute_force(spark):
+    rng = random.Random(5)
+    texts = []
+    for edits in (0, 3, 5, 6, 7, 8, 9, 10, 12, 40):  # of 400 words, around four fifths of five-word shingles
+        base = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        copy = list(base)
+        for k in range(edits):
+            copy[20 + k * 360 // edits] = f"new{k}"
+        texts += [" ".join(base), " ".join(copy)]
+    sets = [shingle_set(t) for t in texts]
+    share = [len(sets[k] & sets[k + 1]) / len(sets[k] | sets[k + 1]) for k in range(0, len(sets), 2)]
+    assert any(0.8 <= s < 0.85 for s in share) and any(0.75 < s < 0.8 for s in share)
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    want = sorted([*range(0, len(texts), 2), *(2 * k + 1 for k, s in enumerate(share) if s < 0.8)])
+    assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, SF).collect()) == want
