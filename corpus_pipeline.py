@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.common import materialize, table
-from strandline.llm.decontam import contamination
+from strandline.llm.decontam import contamination_by_text
 from strandline.llm.jaccard import jaccard_components
 from strandline.llm.language import keep_identified
 from strandline.llm.secrets import redact_secrets
@@ -26,16 +26,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that links join (four fifths or more of their five-word shingles shared), the one with
-    the smallest doc_id; of rows with one doc_id one; rows without doc_id all stay."""
+    the smallest doc_id; of rows with one doc_id and one text one, the first by its other columns; rows without doc_id all
+    stay. Different texts of one doc_id are one document with the links of all of them: they stay or go together."""
     kept = jaccard_components(docs, n=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    rest = F.min(F.struct("lang", "source", "n_chars")).alias("rest")
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").groupBy("doc_id", "text").agg(rest)
+    return named.select("doc_id", "text", "rest.*").unionByName(docs.where("doc_id is null").select(*COLUMNS)).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window."""
-    bad = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti").select(*COLUMNS)
+    """Documents without any benchmark window; of rows with one doc_id, or without any, only those whose own text holds one go."""
+    bad = contamination_by_text(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("id"), F.col("digest").alias("d")).distinct()
+    same = docs["doc_id"].eqNullSafe(bad["id"]) & (F.xxhash64(docs["text"]) == bad["d"])
+    return docs.join(bad, same, "left_anti").select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

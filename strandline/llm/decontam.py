@@ -75,8 +75,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, broadc
     return found.select("doc_id", "digest", "item_id", (origin + F.array_min("fits")).alias("begin"), (origin + F.array_max("fits") + length).alias("end")), keyed
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
-    """A row per document: its words, how many lie in a benchmark window, and which items occur in it."""
+def contamination_by_text(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+    """contamination() with the digest of each row's text, xxhash64(text), as rows of one doc_id may differ in text."""
     found, keyed = hits(docs, benchmark, size, broadcast_words)
     over = Window.partitionBy("doc_id", "digest").orderBy("begin", "end").rowsBetween(Window.unboundedPreceding, -1)
     new = F.greatest(F.lit(0), F.col("end") - F.greatest("begin", F.coalesce(F.max("end").over(over), F.lit(0))))
@@ -85,7 +85,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORD
     rows = keyed.select("doc_id", "digest", F.size("words").cast("long").alias("n_words"))
     joined = rows.join(per, rows["doc_id"].eqNullSafe(per["id"]) & (rows["digest"] == per["d"]), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
-    return joined.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort(items), ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+    return joined.select("doc_id", "digest", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort(items), ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+    """A row per document: its words, how many lie in a benchmark window, and which items occur in it."""
+    return contamination_by_text(docs, benchmark, size, broadcast_words).drop("digest")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,3 +63,16 @@ def test_near_duplicates_match_brute_force(spark):
     docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     want = sorted([*range(0, len(texts), 2), *(2 * k + 1 for k, s in enumerate(share) if s < 0.8)])
     assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, SF).collect()) == want
+
+
+def test_stages_tell_texts_of_one_id_apart(spark, tmp_path):
+    word = lambda k, n: " ".join(f"{k}x{i}" for i in range(n))
+    spark.createDataFrame([(1, word("b", 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean, other, leak = word("c", 40), word("d", 40), "so " + word("b", 12)
+    rows = [(None, clean), (None, leak), (None, None), (1, clean), (1, leak), (2, other), (2, other), (3, leak), (4, word("e", 40))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    of = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    assert of(cp.decontaminate(spark, docs, str(tmp_path))) == sorted([r for r in rows if r[1] != leak], key=str)
+    # 3 is a copy of one text of 1; both texts of 1 stay, and one of the repeated rows of 2
+    want = [r for k, r in enumerate(rows) if k not in (6, 7)]
+    assert of(cp.near_duplicates(spark, docs, str(tmp_path))) == sorted(want, key=str)
