@@ -7,31 +7,35 @@ language is counted the same way. The posterior is the product of the smoothed
 host prior, the chance of the declaration, and the text's likelihood, of which EVIDENCE trigrams at most count at
 full weight, as trigrams of one text are no independent witnesses.
 
-Only training is bounded: about PER_LANGUAGE texts of at most SAMPLE_CHARS characters for each of the LANGUAGES most
-frequent labels, picked by hash. Nulls: a missing text, declaration, suffix or host is no evidence. Without any
-labelled text the language is null and the confidence 0. Texts without letters are `empty`. Repeated rows get a row each.
+Only training is bounded: for every label about PER_LANGUAGE texts of at most SAMPLE_CHARS characters, picked by hash; of
+a label that has none so short, the beginnings of its longer ones. With more than CELLS >> BITS labels there are fewer
+trigram codes, so that the model stays small. Nulls: a missing text, declaration, suffix or host is no evidence. Without
+any labelled text the language is null and the confidence 0. Texts without letters are `empty`. Repeated rows get a row each.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.common import give_back, materialize, small_batches, table
 
-PER_LANGUAGE, SAMPLE_CHARS, LANGUAGES, EVIDENCE, SMOOTH, BITS = 300, 20_000, 32, 60, 5.0, 15
+PER_LANGUAGE, SAMPLE_CHARS, EVIDENCE, SMOOTH, BITS = 300, 20_000, 60, 5.0, 15
+#: Cells of the model (4 bytes each) beyond which it has fewer than 2 ** BITS trigram codes, and the fewest bits of a code.
+CELLS, LEAST_BITS = 1 << 21, 10
 BROADCAST_ROWS = 20_000
 _LETTER = re.compile(r"[^\W\d_]")
 _TAGS = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 
 
-def _codes(raw: bytes) -> np.ndarray:
+def _codes(raw: bytes, bits: int) -> np.ndarray:
     a = np.frombuffer(raw, np.uint8).astype(np.uint32)
-    return (a[:-2] * np.uint32(0x9E3779B1) ^ a[1:-1] * np.uint32(0x85EBCA6B) ^ a[2:] * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F) >> np.uint32(32 - BITS)
+    return (a[:-2] * np.uint32(0x9E3779B1) ^ a[1:-1] * np.uint32(0x85EBCA6B) ^ a[2:] * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F) >> np.uint32(32 - bits)
 
 
 def plain(html: str) -> str:
@@ -41,23 +45,33 @@ def plain(html: str) -> str:
 
 def language_model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log likelihood of each trigram code by language) from documents with text and lang."""
-    known = docs.where("lang is not null").where(F.length("text").between(1, SAMPLE_CHARS))
-    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    names = sorted(r["lang"] for r in top)
+    place, short = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), F.length("text") <= SAMPLE_CHARS
+    known = docs.where("lang is not null").where(F.length("text") > 0).select("lang", "text", place.alias("place"), short.alias("short"))
+    # a row per label; its first text by hash is always in the sample
+    labels = known.groupBy("lang", "short").agg(F.count("*").alias("count"), F.min("place").alias("least")).collect()
+    by = {r["lang"]: r for r in sorted(labels, key=lambda r: r["short"])}
+    names = sorted(by)
+    bits = next((k for k in range(BITS, LEAST_BITS, -1) if len(names) << k <= CELLS), LEAST_BITS)
     if not names:
-        return [], np.zeros((0, 1 << BITS), np.float32)
-    share = F.create_map(*(F.lit(v) for r in top for v in (r["lang"], min(1.0, PER_LANGUAGE / r["count"]))))
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)).select("lang", "text").limit(2 * PER_LANGUAGE * len(names))
-    counts = np.full((len(names), 1 << BITS), 0.05)
+        return [], np.zeros((0, 1 << bits), np.float32)
+    upto = [(v, r["short"], max(r["least"] + 1, math.ceil(min(1.0, PER_LANGUAGE / r["count"]) * (1 << 20)))) for v, r in by.items()]
+    upto = F.broadcast(docs.sparkSession.createDataFrame(upto, "lang string, short boolean, upto long"))
+    # rows that share a hash (repeats, rows without id) are bounded label by label
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", F.xxhash64("text")))
+    sample = known.join(upto, ["lang", "short"]).where("place < upto").select("lang", "place", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    sample = sample.withColumn("rank", rank).where(F.col("rank") <= 2 * PER_LANGUAGE).select("lang", "text")
+    number = {v: k for k, v in enumerate(names)}
+    counts = np.full((len(names), 1 << bits), 0.05)
     for r in sample.toLocalIterator():
         raw = r["text"].lower().encode("utf-8", "surrogatepass")
         if len(raw) > 2:
-            counts[names.index(r["lang"])] += np.bincount(_codes(raw), minlength=1 << BITS)
+            counts[number[r["lang"]]] += np.bincount(_codes(raw, bits), minlength=1 << bits)
     return names, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
 def _likelihoods(model: np.ndarray, markup: bool):
     """Log likelihood of a text by language, less that of the likeliest, and at the end 1 for a text without letters."""
+    bits = model.shape[1].bit_length() - 1
 
     @F.arrow_udf("array<double>")
     def score(texts: pa.Array) -> pa.Array:
@@ -68,7 +82,7 @@ def _likelihoods(model: np.ndarray, markup: bool):
             raw = t.encode("utf-8", "surrogatepass")
             n = max(0, len(raw) - 2)
             # the mean over all trigrams, as EVIDENCE of them or fewer
-            ll = np.bincount(_codes(raw), minlength=1 << BITS) @ model.T * min(n, EVIDENCE) / n if n and len(model) else np.zeros(len(model))
+            ll = np.bincount(_codes(raw, bits), minlength=1 << bits) @ model.T * min(n, EVIDENCE) / n if n and len(model) else np.zeros(len(model))
             out.append([*(ll - ll.max(initial=-np.inf)).tolist(), 0.0 if _LETTER.search(t) else 1.0])
         give_back()
         return pa.array(out, pa.list_(pa.float64()))
@@ -150,8 +164,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """docs whose language is clear: texts without letters, and those whose posterior is below `least`, go; `lang` is set
-    to the language found. Their source stands for the host, their lang for the declaration."""
+    to the language found. Their source stands for the host, their lang for the declaration. Where no text is labelled, there
+    is no language to find: all texts with letters stay, their lang null."""
     names, model = language_model(docs)
     rows = docs.withColumns({"suffix": F.lit(""), "domain": F.lit(""), "host": F.coalesce("source", F.lit("")), "declared": F.col("lang")}).drop("lang")
     found = identify(rows, names, model, "text", False, True)
-    return found.where((~F.col("empty")) & (F.col("confidence") >= least)).select(*docs.columns)
+    return found.where(~F.col("empty") if not names else (~F.col("empty")) & (F.col("confidence") >= least)).select(*docs.columns)

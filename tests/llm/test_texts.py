@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.llm import pii, quality, secrets
+from strandline.llm import language, pii, quality, secrets
 from strandline.llm.common import HashIndex, Words
 from strandline.llm.language import identify, keep_identified, language_model
 from strandline.llm.lm import lm_scores
@@ -252,3 +252,18 @@ def test_language_filter_keeps_clean_documents(spark, documents):
     assert agree >= 0.98 * kept.count()
     assert keep_identified(documents.select("doc_id", "text", "lang", "source", "n_chars")).count() <= documents.count()
     assert keep_identified(docs.limit(0)).count() == 0
+
+
+def test_every_labelled_language_is_found(spark, monkeypatch):
+    own = lambda k, n: " ".join(chr(97 + k % 26) + chr(97 + (k * 7 + j) % 26) * 2 + chr(97 + k // 26) for j in range(n))
+    rows = [(10 * k + j, own(k, 40 + j), f"l{k:02}", "s", 9) for k in range(40) for j in range(3)]
+    rows += [(1000 + j, "ωψχ " * 6000, "long", "s", 9) for j in range(3)]  # longer than SAMPLE_CHARS
+    rows += [(None, f"жщы{j} " * 9, "none", "s", 9) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    names, model = language_model(docs)
+    assert names == sorted({r[2] for r in rows}) and model.shape == (42, 1 << language.BITS)
+    kept = keep_identified(docs)
+    assert sorted(r["lang"] for r in kept.collect()) == sorted(r[2] for r in rows)
+    assert keep_identified(docs.withColumn("lang", F.lit(None).cast("string"))).where("lang is null").count() == len(rows)
+    monkeypatch.setattr(language, "CELLS", 42 << 12)
+    assert language_model(docs)[1].shape == (42, 1 << 12)
