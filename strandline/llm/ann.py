@@ -1,19 +1,23 @@
 """Embedding near-dedup (1): hierarchical navigable small-world graphs per shard.
 
-Vectors are dealt by hash into shards of one label (and one length). Each shard gets a graph: every vector has a level
+Vectors are dealt by hash into shards of one label (and one length). Equal vectors of a shard are one node, which counts
+as often as it has vectors. Each shard gets a graph: every vector has a level
 drawn from its id's hash; layers are filled by batches, each batch's vectors searching the graph so far and comparing
 with one another, and keep their nearest neighbours that aren't nearer to a neighbour already kept. Every shard's
-vectors then search every shard of their label: greedily through the upper layers, by a beam on the lowest. A sample of
-the queries is audited against brute force; while its recall is below AUDIT_RECALL, the beam doubles and all search
-again. Candidates are verified by cosines in double precision: candidate links make groups, and every pair of a group is
+vectors then search every shard of their label: greedily through the upper layers, by a beam on the lowest. A query
+whose whole beam qualifies searches again by a doubled one, until its beam isn't full of partners, or is 1/WHOLE of the
+shard: then it is compared with all of it. A sample of the queries is audited against brute force, all their partners
+counted; while its recall is below AUDIT_RECALL, the beam doubles and all search again. Candidates are verified by cosines in double precision: candidate links make groups, and every pair of a group is
 verified by matrix products, which also counts links that a beam passed over. Links unite into components.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and those without label, link with nothing.
-Equal vectors are searched each; rows with one vec_id are one node. Labels other than integers may be given by any type.
+Rows with one vec_id are one node of the components. Labels other than integers may be given by any type.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import components, forest, materialize, mix, table
 
 SHARD, LINKS, BEAM, BUILD_BEAM, AUDITED, AUDIT_RECALL = 16_384, 12, 24, 24, 64, 0.995
-VERIFIED = 1024
+VERIFIED, WHOLE = 1024, 64
 
 
 class Graph:
@@ -149,39 +153,61 @@ def unit(vectors: list) -> tuple[np.ndarray, np.ndarray]:
     return v, v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def partners(graph: Graph, queries: np.ndarray, beam: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, node) of similarity near `least` or more, block by block, by beams that are wider than the partners found."""
+    open_, least = np.arange(len(queries)), least - 1e-3
+    while len(open_) and WHOLE * beam < len(graph.x):
+        full = []
+        for b in range(0, len(open_), chunk := max(16, 1024 * BEAM // beam)):
+            own = open_[b : b + chunk]
+            ids, sims = graph.find(queries[own], beam)
+            hit = (ids >= 0) & (sims >= least)
+            full.append(own[hit.all(1)])
+            rows, cols = np.nonzero(hit)
+            yield own[rows], ids[rows, cols]
+        open_, beam = np.concatenate(full), 2 * beam
+    for b in range(0, len(open_), 128):
+        own = open_[b : b + 128]
+        rows, cols = np.nonzero(queries[own].astype(np.float32) @ graph.x.T >= least)
+        yield own[rows], cols
+
+
 def audited(graph: Graph, queries: np.ndarray, self_search: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate links (query, node) of similarity near `least` or more, by a beam as wide as the audit asks for. Queries
-    whose whole beam qualifies may have more partners than it holds: their groups are verified pair by pair later."""
+    """Links (query, node) that join what the candidate links join, by a beam as wide as the audit asks for. Numbers of
+    nodes follow those of queries in the links' groups, unless both are one set."""
     beam = BEAM
     sample = np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)
     true = queries[sample].astype(np.float32) @ graph.x.T
     if self_search:
         true[np.arange(len(sample)), sample] = -2
-    want = np.sort(true, 1)[:, ::-1][:, : min(4, true.shape[1])]
-    while True:
-        ids, sims = graph.find(queries[sample], beam)
-        got = np.where(ids >= 0, sims, -2)
-        if self_search:
-            got = np.where(ids == sample[:, None], -2, got)
-        got = np.sort(got, 1)[:, ::-1][:, : want.shape[1]]
-        linked = want >= least
-        recall = ((got[:, : want.shape[1]] >= want - 1e-5) & linked).sum() / linked.sum() if linked.any() else (got >= want - 1e-5).mean()
-        if recall >= AUDIT_RECALL or beam >= len(graph.x):
+    linked = true >= least
+    near = linked if linked.any() else true >= np.sort(true, 1)[:, -min(4, true.shape[1])][:, None]
+    while WHOLE * beam < len(graph.x):
+        got = np.zeros(true.shape, bool)
+        if linked.any():
+            for rows, cols in partners(graph, queries[sample], beam, least):
+                got[rows, cols] = True
+        else:
+            ids, _ = graph.find(queries[sample], beam)
+            got[np.nonzero(ids >= 0)[0], ids[ids >= 0]] = True
+        if (got & near).sum() >= AUDIT_RECALL * near.sum():
             break
-        beam = min(2 * beam, len(graph.x))
-    ids, sims = graph.find(queries, beam)
-    rows, cols = np.nonzero((ids >= 0) & (sims >= least - 1e-3))
-    return rows, ids[rows, cols]
+        beam *= 2
+    off = 0 if self_search else len(queries)
+    edges = [forest(rows, cols.astype(np.int64) + off) for rows, cols in partners(graph, queries, beam, least) if len(rows)]
+    if not edges:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return forest(*(np.concatenate(e) for e in zip(*edges, strict=True)))
 
 
-def verified(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray, least: float, same: bool):
-    """(links per a, links per b, group per a, group per b): candidate links group the vectors; all pairs within a group
-    are compared exactly. a and b are one set if `same`."""
+def verified(a: np.ndarray, b: np.ndarray, wa: np.ndarray, wb: np.ndarray, x: np.ndarray, y: np.ndarray, least: float, same: bool):
+    """(links per a, links per b, edges): the links x-y group the vectors, those of b numbered after those of a; all pairs
+    within a group are compared exactly, and count as often (wa, wb) as there are equal vectors. a and b are one set if `same`."""
     na, nb = len(a), len(b)
     count_a, count_b = np.zeros(na, np.int64), np.zeros(nb, np.int64)
     edges: list[tuple[np.ndarray, np.ndarray]] = []
     off = 0 if same else na
-    node, root = forest(rows.astype(np.int64), cols.astype(np.int64) + off)
+    node, root = forest(x, y)
     group = np.full(na + (0 if same else nb), -1, np.int64)
     group[node] = root
     group[root] = root
@@ -194,15 +220,15 @@ def verified(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray, l
             hit = a[own] @ b[right].T >= least
             if same:
                 hit[np.arange(len(own)), k + np.arange(len(own))] = False
-            count_a[own] += hit.sum(1)
-            count_b[right] += 0 if same else hit.sum(0)
+            count_a[own] += hit @ wb[right]
+            count_b[right] += 0 if same else wa[own] @ hit
             x, y = np.nonzero(hit)
             if len(x):
                 edges.append(forest(own[x], right[y] + off))
     return count_a, count_b, edges
 
 
-_SHARD = "label string, dim int, shard int, shards int, ids binary, vectors binary"
+_SHARD = "label string, dim int, shard int, shards int, ids binary, nodes binary, vectors binary"
 _OUT = "vec_id long, n long, other long"
 
 
@@ -210,37 +236,49 @@ def _build(group: pa.Table) -> pa.Table:
     group = group.sort_by([("vec_id", "ascending")])
     _, x = unit(group["vector"].to_pylist())
     ids = group["vec_id"].to_numpy()
-    g = Graph(x, ids)
+    seen: dict[bytes, int] = {}
+    nodes = np.array([seen.setdefault((v + 0.0).tobytes(), len(seen)) for v in x], np.int32)
+    first = np.unique(nodes, return_index=True)[1]
+    x = x[first]
+    g = Graph(x, ids[first])
     cols = [group[c][:1] for c in ("label", "dim", "shard", "shards")]
     graph = pa.array([[n.tobytes() for n in g.neighbours]], pa.list_(pa.binary()))
-    return pa.table([*cols, pa.array([ids.tobytes()]), pa.array([x.tobytes()]), graph, pa.array([g.entry], pa.int32())], ["label", "dim", "shard", "shards", "ids", "vectors", "graph", "entry"])
+    return pa.table([*cols, pa.array([ids.tobytes()]), pa.array([nodes.tobytes()]), pa.array([x.tobytes()]), graph, pa.array([g.entry], pa.int32())], ["label", "dim", "shard", "shards", "ids", "nodes", "vectors", "graph", "entry"])
 
 
 def _compare(least: float):
-    def load(r) -> tuple[np.ndarray, np.ndarray, Graph]:
-        ids = np.frombuffer(r["ids"], np.int64)
-        x = np.frombuffer(r["vectors"], np.float64).reshape(len(ids), -1)
+    def load(r) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
+        ids, nodes = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["nodes"], np.int32)
+        x = np.frombuffer(r["vectors"], np.float64).reshape(int(nodes.max()) + 1, -1)
         g = Graph.__new__(Graph)
         g.x, g.entry = x.astype(np.float32), r["entry"]
-        g.neighbours = [np.frombuffer(n, np.int32).reshape(len(ids), -1) for n in r["graph"]]
-        return ids, x, g
+        g.neighbours = [np.frombuffer(n, np.int32).reshape(len(x), -1) for n in r["graph"]]
+        return ids, nodes, x, g
 
     def run(group: pa.Table) -> pa.Table:
         shards = [load(r) for r in sorted(group.to_pylist(), key=lambda r: r["shard"])]
         same = group["i"][0].as_py() == group["j"][0].as_py()
-        (ia, xa, ga), (ib, xb, gb) = shards[0], shards[-1]
-        rows, cols = audited(gb, xa, same, least)
+        (ia, ka, xa, ga), (ib, kb, xb, gb) = shards[0], shards[-1]
+        wa, wb = np.bincount(ka), np.bincount(kb)
+        links = audited(gb, xa, same, least)
         if not same:
-            more_cols, more_rows = audited(ga, xb, False, least)
-            rows, cols = np.concatenate((rows, more_rows)), np.concatenate((cols, more_cols))
-        keep = rows != cols if same else np.ones(len(rows), bool)
-        count_a, count_b, edges = verified(xa, xb, rows[keep], cols[keep], least, same)
+            back = [np.where(v < len(xb), v + len(xa), v - len(xb)) for v in audited(ga, xb, False, least)]
+            links = [np.concatenate(v) for v in zip(links, back, strict=True)]
+        count_a, count_b, edges = verified(xa, xb, wa, wb, *links, least, same)
+        named = ia[np.unique(ka, return_index=True)[1]]  # a node's smallest id
+        out = []
+        if same:
+            copies = (wa > 1) & (np.einsum("nd,nd->n", xa, xa) >= least)
+            count_a += np.where(copies, wa - 1, 0)
+            own = copies[ka]
+            out.append((ia[own], np.zeros(own.sum(), np.int64), named[ka][own]))
+        else:
+            named = np.concatenate((named, ib[np.unique(kb, return_index=True)[1]]))
         ids = ia if same else np.concatenate((ia, ib))
-        counts = count_a if same else np.concatenate((count_a, count_b))
-        out = [(ids, counts, ids)]
+        out.append((ids, count_a[ka] if same else np.concatenate((count_a[ka], count_b[kb])), ids))
         if edges:
             x, y = forest(*(np.concatenate(e) for e in zip(*edges, strict=True)))
-            out.append((ids[x], np.zeros(len(x), np.int64), ids[y]))
+            out.append((named[x], np.zeros(len(x), np.int64), named[y]))
         v, n, o = (np.concatenate(c) for c in zip(*out, strict=True))
         keep = (n > 0) | (v != o)
         return pa.table([pa.array(v[keep]), pa.array(n[keep]), pa.array(o[keep])], ["vec_id", "n", "other"])

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from strandline.llm import ann
 from strandline.llm.ann import near_duplicates
 from strandline.llm.common import components
 from strandline.llm.decontam import contamination
@@ -59,6 +60,28 @@ def test_near_duplicates_match_brute_force(spark, shard):
     assert [(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got] == [(i, links[i], want[i], want[i] == i) for i in range(n + 8)]
 
 
+@pytest.mark.parametrize(("noise", "shard"), [(0.0, 10_000), (0.0, 40), (1e-3, 10_000)])
+def test_near_duplicates_beyond_the_beam(spark, noise, shard):
+    rng = np.random.default_rng(3)
+    a, b = np.eye(16)[0], 0.95 * np.eye(16)[0] + np.sqrt(1 - 0.95**2) * np.eye(16)[1]
+    rows = [(k, (v + noise * rng.normal(size=16)).tolist(), 0) for k, v in enumerate([a] * 60 + [b] * 60)]
+    got = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), shard=shard).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(k, 119, 0) for k in range(120)]
+
+
+@pytest.mark.parametrize("whole", [1, 64])
+def test_audit_widens_beams_until_all_groups_are_joined(monkeypatch, whole):
+    monkeypatch.setattr(ann, "WHOLE", whole)
+    rng = np.random.default_rng(4)
+    centre = np.repeat(rng.normal(size=(40, 24)), [150] * 10 + [20] * 30, 0)
+    _, x = ann.unit((centre + 0.1 * rng.normal(size=centre.shape)).tolist())
+    near = x @ x.T >= 0.93
+    node, root = ann.audited(ann.Graph(x, np.arange(len(x))), x, True, 0.93)
+    got = np.arange(len(x))
+    got[node] = root
+    assert near.sum() > len(x) and got.tolist() == classes(len(x), zip(*np.nonzero(near)))
+
+
 def test_near_duplicates_of_no_rows(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert near_duplicates(empty).count() == 0
