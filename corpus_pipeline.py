@@ -54,7 +54,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("secrets", secrets), ("pack", pack)]
 
-#: SQL has no tokenizer, no trained language model and no automaton: tests hold each stage against brute force.
+#: SQL has no tokenizer, no trained language model and no automaton: tests hold near-duplicates and rejections against brute force.
 ORACLE_SQL = None
 
 
