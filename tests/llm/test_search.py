@@ -145,18 +145,18 @@ def contaminated(texts, items, size=10):
             for k in range(len(w) - n + 1):
                 if tuple(w[k : k + n]) in windows:
                     hit |= set(range(k, k + n))
-                    found.add(str(i))
+                    found |= {str(i)} - {"None"}
         out.append((len(w), len(hit), sorted(found)))
     return out
 
 
-@pytest.mark.parametrize("broadcast_words", [50_000, 0])
-def test_decontamination_matches_brute_force(spark, broadcast_words):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 25, 0])
+def test_decontamination_matches_brute_force(spark, broadcast_bytes):
     import hashlib
 
     rng = random.Random(8)
     words = ["The", "the", "of", "É", "é", "x1", "rare", "moon", "Sun", "tide", "ß"]
-    items = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([3, 9, 10, 11, 14, 25])))) for i in range(12)] + [(20, ""), (21, None), (22, "moon"), (3, "sun, tide; moon")]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([3, 9, 10, 11, 14, 25])))) for i in range(12)] + [(20, ""), (21, None), (22, "moon"), (3, "sun, tide; moon"), (None, "É moon ß")]
     texts = [None, "", "...", "moon", "Sun tide moon!"]
     for _ in range(40):
         parts = [" ".join(rng.choice(words[:6]) for _ in range(rng.randrange(12)))]
@@ -167,12 +167,21 @@ def test_decontamination_matches_brute_force(spark, broadcast_words):
         texts.append(" ".join(parts))
     rows = [(i, t, "w") for i, t in enumerate(texts)] + [(None, "moon", "w"), (4, "Sun tide moon!", "w")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, word string")
-    got = contamination(docs, spark.createDataFrame(items, "item_id long, text string"), broadcast_words=broadcast_words).collect()
+    got = contamination(docs, spark.createDataFrame(items, "item_id long, text string"), broadcast_bytes=broadcast_bytes).collect()
     want = contaminated([r[1] for r in rows], items)
     expected = sorted((str(r[0]), n, h, len(f), hashlib.sha256(",".join(f).encode()).hexdigest(), h > 0) for r, (n, h, f) in zip(rows, want, strict=True))
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got) == expected
 
 
+@pytest.mark.parametrize("broadcast_bytes", [1 << 25, 0])
+def test_decontamination_of_long_items_and_repeats(spark, broadcast_bytes):
+    word = [f"w{k}" for k in range(50_000)]
+    items = spark.createDataFrame([(1, " ".join(word))], "item_id long, text string")
+    rows = [(None, "so " + " ".join(word[40_000:40_012]))] * 300 + [(1, " ".join(reversed(word)))] * 3 + [(2, " ".join(word))]
+    got = contamination(spark.createDataFrame(rows, "doc_id long, text string"), items, broadcast_bytes=broadcast_bytes).groupBy("doc_id", "n_words", "n_hit", "n_items").count()
+    assert {tuple(r) for r in got.collect()} == {(None, 13, 12, 1, 300), (1, 50_000, 0, 0, 3), (2, 50_000, 50_000, 1, 1)}
+
+
 def test_decontamination_of_no_rows(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination(documents, none).where("contaminated").count() == 0
