@@ -24,10 +24,24 @@ def _own_scratch() -> str:
     return "file://" + tempfile.mkdtemp(prefix="strandline-")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder under spark.checkpoint.dir, which all executors share. Where that is unset, a folder of
+    this machine serves a session whose executors run on it too; any other session is refused."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(base or _own_scratch()).rstrip('/')}/strandline-{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which all executors share; a local one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_scratch()
-    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    """A new folder for an intermediate table."""
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application; frames that read them can't be used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -236,20 +250,49 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[keep], ids[root[keep]]
 
 
+#: Edges that a task holds at once.
+FOREST_EDGES = 1 << 22
+
+
 def _local_forest(batches):
-    a, b = [], []
+    held, n = [], 0
+
+    def flush():
+        x, y = forest(*(np.concatenate(c).astype(np.int64) for c in zip(*held, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+
     for batch in batches:
-        a.append(batch.column(0).to_numpy(zero_copy_only=False))
-        b.append(batch.column(1).to_numpy(zero_copy_only=False))
-    if a:
-        x, y = forest(np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns[:2]])
+        n += len(batch)
+        if n >= FOREST_EDGES:
+            yield flush()
+            held, n = [], 0
+    if n:
+        yield flush()
+
+
+#: Rows of one key that a join leaves in one task, and the share of all rows from which a key counts as hot.
+HOT_ROWS, HOT_SHARE = 1024, 1000
+
+
+def hot_count(rows: int) -> int:
+    return max(HOT_ROWS, rows // HOT_SHARE)
+
+
+def keyed_join(rows: DataFrame, per_key: DataFrame, keys: list[str], total: int, count: str = "count") -> DataFrame:
+    """rows joined with per_key, which has a row per key with the number of its rows, of `total` in all: hot keys, of which
+    there are max(1, HOT_SHARE) at most, are broadcast, so that their rows stay where they are, all others shuffled.
+    Both frames are read twice."""
+    is_hot = F.col(count) > hot_count(total)
+    hot = per_key.where(is_hot).drop(count)
+    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(per_key.where(~is_hot).drop(count), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(cold)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): component is the smallest node reachable over edges (a, b); only nodes with a link to
     another node are listed. Large-star and small-star rounds, each written to the shared folder; a node's neighbours
-    are never gathered, only their minimum, so that a hub's rows stay spread."""
+    are never gathered: their minimum is aggregated and joined back, a hub's by broadcast, so that its rows stay spread."""
     e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b")
     e = materialize(e.mapInArrow(_local_forest, "a long, b long").where("a <> b").distinct())
     seen = None
@@ -259,10 +302,10 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = mark
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        down = large.where("a <> b").distinct()
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
+        low = materialize(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("count")).select("a", F.least("a", "m").alias("m"), "count"))
+        large = keyed_join(both.where("b > a"), low, ["a"], 2 * mark["n"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        down = materialize(large.where("a <> b").distinct())
+        low = materialize(down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("count")))
+        small = keyed_join(down, low, ["a"], mark["n"]).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
         e = materialize(small.where("a <> b").distinct().mapInArrow(_local_forest, "a long, b long").distinct())
     return e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))

@@ -243,6 +243,29 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return docs.join(offsets, ["shard", "segment"]).select("doc_id", (F.col("base") + F.col("before") + F.col("here")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def document_ids(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """(doc_id, ids) of single documents in token files: of each segment that holds one, only the blocks that its ids lie in
+    are decoded, from the block offsets on. Documents of one id get a row each; ids that no file holds get none."""
+    wanted = np.unique(np.array(doc_ids, np.int64))
+    files = spark.read.schema(FILE_SCHEMA).parquet(path).where(F.arrays_overlap("doc_ids", F.array(*map(F.lit, wanted.tolist())).cast("array<long>")))
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, first = np.frombuffer(row["words"], "<u8"), np.frombuffer(row["blocks"], "<u4").astype(np.int64)
+                ends, held = np.cumsum(row["doc_tokens"]), np.array([-1 if i is None else i for i in row["doc_ids"]])
+                found = []
+                for k in np.flatnonzero(np.isin(held, wanted) & np.array([i is not None for i in row["doc_ids"]])).tolist():
+                    begin, end = int(ends[k]) - row["doc_tokens"][k], int(ends[k])
+                    low, high = begin // BLOCK, -(-end // BLOCK)
+                    part = words[first[low] : first[high] if high < len(first) else len(words)]
+                    ids = unpack_ids(part, min(high * BLOCK, row["n_ids"]) - low * BLOCK)
+                    found.append((row["doc_ids"][k], ids[begin - low * BLOCK : end - low * BLOCK].astype(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([v for _, v in found], pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    return files.select("n_ids", "doc_ids", "doc_tokens", "blocks", "words").mapInArrow(run, "doc_id long, ids array<long>")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark)
     write_token_files(table(spark, sf_dir, "documents"), path, 1, vocabulary())
@@ -256,6 +279,7 @@ PIECE = 1024
 #: Pieces that one task balances at once, on average.
 GROUP_PIECES = 2048
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+_DEALT = PIECES + ", task int, nth long"
 
 
 def cut_points(n: int, window: int = WINDOW, piece: int = PIECE) -> list[int]:
@@ -313,12 +337,14 @@ def packed(lengths: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 def pack_documents(docs: DataFrame, end_id: int, vocabulary_path: str, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """A row per piece of a document's ids (end id included): where it begins and how long it is, the checksum of its
-    ids, and its window with its offset there. Pieces are dealt by hash into groups of about group_pieces, each
-    balanced on its own, so tasks are bounded however many pieces one document or source has. Repeated rows are packed
-    as often as they occur."""
+    ids, and its window with its offset there. Pieces are dealt into groups of about group_pieces, each balanced on its
+    own: by a hash of what they are and of where they were cut (task and number there, written with them, so that a
+    lost task is dealt alike again). Groups are thus bounded however many pieces one document or source has, and however
+    often a row is repeated; repeated rows are packed as often as they occur."""
 
     def pieces(batches):
         enc, end = encoder(vocabulary_path), np.array([end_id], "<u4").tobytes()
+        task, done = TaskContext.get().partitionId(), 0
         for ids, texts in text_chunks(batches, operator="tokens"):
             rows = []
             for i, t in zip(ids, texts, strict=True):
@@ -326,13 +352,14 @@ def pack_documents(docs: DataFrame, end_id: int, vocabulary_path: str, group_pie
                 n = len(data) // 4
                 cuts = cut_points(n)
                 rows += [(i, b, e - b, zlib.crc32(data[4 * b : 4 * e]), n) for b, e in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            nth = np.arange(done, done := done + len(rows))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)), pa.array(np.full(len(rows), task, np.int32)), pa.array(nth)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "nth"])
 
-    cut = materialize(small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pieces, PIECES))
+    cut = materialize(small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pieces, _DEALT))
     groups = max(1, cut.count() // group_pieces)
 
     def windows(part: pa.Table) -> pa.Table:
-        part = part.sort_by([(c, "ascending") for c in ("doc_id", "start", "ids_crc32")])
+        part = part.sort_by([(c, "ascending") for c in ("doc_id", "start", "ids_crc32", "task", "nth")])
         length = part["length"].to_numpy()
         at = packed(length)
         order = np.argsort(at, kind="stable")
@@ -341,9 +368,9 @@ def pack_documents(docs: DataFrame, end_id: int, vocabulary_path: str, group_pie
         offset = np.empty(len(at), np.int64)
         offset[order] = before - np.maximum.accumulate(np.where(first, before, 0))
         ids = (part["part"].to_numpy() << 24) + at
-        return part.drop_columns(["part"]).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offset))
+        return part.drop_columns(["part", "task", "nth"]).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offset))
 
-    dealt = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
+    dealt = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "task", "nth"), F.lit(groups)))
     return dealt.groupBy("part").applyInArrow(windows, PIECES + ", sequence_id long, offset long")
 
 
