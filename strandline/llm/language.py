@@ -17,13 +17,14 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import give_back, materialize, small_batches, table
+from strandline.llm.common import give_back, hot_count, materialize, small_batches, table
 
 PER_LANGUAGE, SAMPLE_CHARS, EVIDENCE, SMOOTH, BITS = 300, 20_000, 60, 5.0, 15
 #: Cells of the model (4 bytes each) beyond which it has fewer than 2 ** BITS trigram codes, and the fewest bits of a code.
@@ -103,46 +104,63 @@ def _estimate(rows: DataFrame, key: list[str], parent: DataFrame | list[float],
     return joined.select(*key, F.zip_with(got, "up", lambda c, p: (c + SMOOTH * p) / (total + SMOOTH)).alias("p"))
 
 
-def few(df: DataFrame) -> DataFrame:
-    """df, to be broadcast if it has BROADCAST_ROWS rows at most (some MB)."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def identify(rows: DataFrame, names: list[str], model: np.ndarray, text: str, markup: bool, keep_text: bool = False) -> DataFrame:
-    """rows (key columns, declared, suffix, domain, host and the text column), without the text unless keep_text, with lang, confidence
-    (its posterior), text_lang and empty."""
-    keep = [c for c in rows.columns if keep_text or c != text]
+    """rows (any columns, among them declared, suffix, domain, host and the text column), without the text unless
+    keep_text, with lang, confidence (its posterior), text_lang and empty, which take the place of columns so named.
+    Evidence of a host is joined by host, a hot one's by broadcast."""
+    made = ("lang", "confidence", "text_lang", "empty")
+    row = F.struct(*(F.col(f"`{c}`") for c in rows.columns if c not in made and (keep_text or c != text)))
+    given = [F.col(c).alias(f"__{c}") for c in ("declared", "suffix", "domain", "host")]
     n = len(names)
-    seen = small_batches(rows).withColumn("__ll", _likelihoods(model, markup)(F.col(text)))
-    seen = seen.select(*keep, F.slice("__ll", 1, max(n, 1)).alias("ll"), (F.element_at("__ll", -1) == 1).alias("empty"))
+    seen = small_batches(rows.select(row.alias("__row"), *given, F.col(f"`{text}`").alias("__text"))).withColumn("__got", _likelihoods(model, markup)("__text"))
+    seen = seen.drop("__text").select("*", F.slice("__got", 1, max(n, 1)).alias("__ll"), (F.element_at("__got", -1) == 1).alias("__empty")).drop("__got")
     if not names:
-        return seen.select(*keep, F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("text_lang"), "empty")
+        return seen.select("__row.*", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("text_lang"), F.col("__empty").alias("empty"))
     langs = F.array(*map(F.lit, names))
-    seen = materialize(seen.withColumn("text_lang", F.when(~F.col("empty"), F.element_at(langs, F.array_position("ll", F.array_max("ll")).cast("int")))))
-    sure = seen.where("text_lang is not null")
+    seen = materialize(seen.withColumn("__lang", F.when(~F.col("__empty"), F.element_at(langs, F.array_position("__ll", F.array_max("__ll")).cast("int")))))
+    evidence = seen.select(*(F.col(f"__{c}").alias(c) for c in ("declared", "suffix", "domain", "host")), F.col("__lang").alias("text_lang"))
+    sure = evidence.where("text_lang is not null")
     counts = {r["text_lang"]: r["count"] for r in sure.groupBy("text_lang").count().collect()}  # a row per language
     whole = [(counts.get(v, 0) + 1) / (sum(counts.values()) + n) for v in names]
     by_suffix = _estimate(sure, ["suffix"], whole, names)
     by_domain = _estimate(sure, ["suffix", "domain"], by_suffix, names)
     by_host = _estimate(sure, ["suffix", "domain", "host"], by_domain, names)
 
-    def chance(column: str) -> DataFrame:
-        """(column, chance by language of that value) among the rows whose text speaks that language."""
-        counts = sure.where(f"{column} is not null").groupBy(column, "text_lang").agg(F.count("*").alias("n"))
-        totals = counts.groupBy("text_lang").agg(F.sum("n").alias("all"), F.count("*").alias("values"))
-        table_ = F.map_from_entries(F.collect_list(F.struct("text_lang", ((F.col("n") + 0.5) / (F.col("all") + 0.5 * F.col("values") + 0.5)))))
-        got = counts.join(F.broadcast(totals), "text_lang").groupBy(column).agg(table_.alias("m"))
-        return got.select(column, F.transform(langs, lambda v: F.coalesce(F.col("m")[v], F.lit(1e-3))).alias(f"{column}_p"))
-
-    flat = F.array(*[F.lit(1.0)] * n)
-    by_host, by_declared = few(materialize(by_host)), few(materialize(chance("declared")))
-    out = seen.join(by_host, ["suffix", "domain", "host"], "left").join(by_declared, "declared", "left")
-    prior = F.coalesce("p", F.array(*map(F.lit, whole)))
-    logs = F.zip_with(F.zip_with("ll", prior, lambda a, p: a + F.ln(p)), F.coalesce("declared_p", flat), lambda a, p: a + F.ln(p))
-    out = out.withColumn("post", logs)
-    top = F.array_max("post")
-    mass = F.aggregate("post", F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    return out.select(*keep, F.element_at(langs, F.array_position("post", top).cast("int")).alias("lang"), (1 / mass).alias("confidence"), "text_lang", "empty")
+    counts = sure.where("declared is not null").groupBy("declared", "text_lang").agg(F.count("*").alias("n"))
+    totals = counts.groupBy("text_lang").agg(F.sum("n").alias("all"), F.count("*").alias("values"))  # a row per language
+    table_ = F.map_from_entries(F.collect_list(F.struct("text_lang", ((F.col("n") + 0.5) / (F.col("all") + 0.5 * F.col("values") + 0.5)))))
+    chance = counts.join(F.broadcast(totals), "text_lang").groupBy("declared").agg(table_.alias("m"))
+    chance = chance.select("declared", F.transform(langs, lambda v: F.coalesce(F.col("m")[v], F.lit(1e-3))).alias("__chance"))
+
+    def evident(of: DataFrame, keys: list[str], more: DataFrame) -> DataFrame:
+        """of with what its keys say; nulls and keys without any say nothing."""
+        sizes = evidence.groupBy(*keys).agg(F.count("*").alias("__count"))
+        per = materialize(sizes.join(more, keys))
+        per = per.withColumnsRenamed({k: f"__{k}" for k in keys})
+        names_ = [f"__{k}" for k in keys]
+        hot, cold = F.col("__count") > hot_count(total), F.col("__count") <= hot_count(total)
+        out = of.join(F.broadcast(per.where(hot).drop("__count").withColumnsRenamed({c: f"{c}__hot" for c in per.columns if c not in names_})), names_, "left")
+        value = next(c for c in per.columns if c not in (*names_, "__count"))
+        rest = per.where(cold).drop("__count").withColumnsRenamed({c: f"{c}__cold" for c in per.columns if c not in names_})
+        if rest.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # some MB
+            out = out.join(F.broadcast(rest), names_, "left")
+        else:  # rows of hot keys, and those without, aren't shuffled by them
+            cold_key = F.col(f"{value}__hot").isNull() & ~reduce(lambda a, b: a | b, (F.col(c).isNull() for c in names_))
+            key = F.when(cold_key, F.xxhash64(*names_)).otherwise(F.xxhash64(F.monotonically_increasing_id()))
+            rest = rest.withColumn("__k", F.xxhash64(*names_)).withColumnsRenamed({c: f"{c}__r" for c in names_})
+            same = [F.col("__key") == F.col("__k"), *(F.col(c) == F.col(f"{c}__r") for c in names_)]
+            out = out.withColumn("__key", key).join(rest, same, "left").drop("__key", "__k", *(f"{c}__r" for c in names_))
+        return out.withColumn(value, F.coalesce(f"{value}__hot", f"{value}__cold")).drop(f"{value}__hot", f"{value}__cold")
+
+    total = seen.count()
+    out = evident(seen, ["suffix", "domain", "host"], by_host.withColumnRenamed("p", "__p"))
+    out = evident(out, ["declared"], chance)
+    prior = F.coalesce("__p", F.array(*map(F.lit, whole)))
+    logs = F.zip_with(F.zip_with("__ll", prior, lambda a, p: a + F.ln(p)), F.coalesce("__chance", F.array(*[F.lit(1.0)] * n)), lambda a, p: a + F.ln(p))
+    out = out.withColumn("__post", logs)
+    top = F.array_max("__post")
+    mass = F.aggregate("__post", F.lit(0.0), lambda a, x: a + F.exp(x - top))
+    return out.select("__row.*", F.element_at(langs, F.array_position("__post", top).cast("int")).alias("lang"), (1 / mass).alias("confidence"), F.col("__lang").alias("text_lang"), F.col("__empty").alias("empty"))
 
 
 def address(url: Column) -> tuple[Column, Column, Column]:
@@ -167,6 +185,8 @@ def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     to the language found. Their source stands for the host, their lang for the declaration. Where no text is labelled, there
     is no language to find: all texts with letters stay, their lang null."""
     names, model = language_model(docs)
-    rows = docs.withColumns({"suffix": F.lit(""), "domain": F.lit(""), "host": F.coalesce("source", F.lit("")), "declared": F.col("lang")}).drop("lang")
-    found = identify(rows, names, model, "text", False, True)
-    return found.where(~F.col("empty") if not names else (~F.col("empty")) & (F.col("confidence") >= least)).select(*docs.columns)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, "text", F.lit("").alias("suffix"), F.lit("").alias("domain"), F.coalesce("source", F.lit("")).alias("host"), F.col("lang").alias("declared"))
+    found = identify(rows, names, model, "text", False)
+    kept = found.where(~F.col("empty") if not names else (~F.col("empty")) & (F.col("confidence") >= least))
+    return kept.select(*((F.col("lang") if c == "lang" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))

@@ -15,7 +15,7 @@ from strandline.llm import language, pii, quality, secrets
 from strandline.llm.common import HashIndex, Words
 from strandline.llm.language import identify, keep_identified, language_model
 from strandline.llm.lm import lm_scores
-from strandline.llm.tokens import _Words, differenced, encoder, pack_documents, pack_ids, packed, read_token_files, unpack_ids, vocabulary, write_token_files
+from strandline.llm.tokens import _Words, differenced, document_ids, encoder, pack_documents, pack_ids, packed, read_token_files, unpack_ids, vocabulary, write_token_files
 
 SF = "/root/testdata/sf0.001"
 
@@ -142,6 +142,22 @@ def test_token_files(spark, documents, tmp_path):
     assert got == want
 
 
+def test_single_documents_are_read_by_their_blocks(spark, tmp_path):
+    rows = [(i, " ".join(f"w{k}" for k in range(i * 700))) for i in range(20)] + [(7, "again"), (None, "none")]
+    path = f"file://{tmp_path}/tokens"
+    write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), path, 1, vocabulary())
+    got = sorted((r["doc_id"], tuple(r["ids"])) for r in document_ids(spark, path, [0, 7, 13, 19, 99]).collect())
+    want = sorted((i, tuple(np.frombuffer(ids, "<u4").tolist())) for (i, _), ids in zip(rows, reference_ids([t for _, t in rows], 1), strict=True) if i in (0, 7, 13, 19))
+    assert got == want
+
+
+def test_ids_match_the_library_on_all_latin1():
+    e = encoder(vocabulary())
+    for c in range(256):
+        for t in (chr(c), f"a{chr(c)}b", f"1{chr(c)}2", f"{chr(c)}'s {chr(c)}{chr(c)}!", f"x {chr(c)} y'{chr(c)}"):
+            assert e.ids(t) == e.encoded(t), repr(t)
+
+
 def test_differencing_balances():
     rng = np.random.default_rng(4)
     x = rng.integers(1, 1000, 500)
@@ -173,6 +189,22 @@ def test_packing_is_a_partition(documents, group):
 
 
 # ------------------------------------------------------------------ models
+def test_many_equal_rows_are_packed_in_many_groups(spark):
+    text = "one two three four five six seven eight nine ten " * 30
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    got = pack_documents(docs, 2, vocabulary())
+    sizes = got.groupBy(F.shiftright("sequence_id", 24)).count().agg(F.max("count").alias("most"), F.count("*").alias("groups")).first()
+    assert sizes["groups"] == 9 and sizes["most"] < 2600
+    per = got.groupBy("sequence_id").agg(F.sum("length").alias("n"))
+    assert per.where("n > 4096").count() == 0 and per.agg(F.avg("n")).first()[0] > 0.85 * 4096
+
+
+def test_windows_are_full(spark):
+    got = pack_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), 2, vocabulary())
+    per = got.groupBy("sequence_id").agg(F.sum("length").alias("n"))
+    assert per.agg(F.avg("n")).first()[0] > 0.98 * 4096
+
+
 def held(doc_id, k, r):
     return zlib.crc32(str(doc_id).encode()) % k == r
 
@@ -254,6 +286,77 @@ def test_language_filter_keeps_clean_documents(spark, documents):
     assert keep_identified(docs.limit(0)).count() == 0
 
 
+def posteriors(rows, names, model):
+    """identify() in plain Python: rows of (text, declared, suffix, domain, host)."""
+    n, bits = len(names), model.shape[1].bit_length() - 1
+    ll = []
+    for t, *_ in rows:
+        raw = (t or "").lower().encode()
+        k = max(0, len(raw) - 2)
+        x = np.bincount(language._codes(raw, bits), minlength=1 << bits) @ model.T * min(k, language.EVIDENCE) / k if k else np.zeros(n)
+        ll.append(x - x.max())
+    said = [names[int(x.argmax())] if re.search(r"[^\W\d_]", r[0] or "") else None for x, r in zip(ll, rows, strict=True)]
+    count = collections.Counter(s for s in said if s)
+    whole = np.array([(count[v] + 1) / (sum(count.values()) + n) for v in names])
+    up = {(): whole}
+    for depth in (1, 2, 3):
+        for key in {r[2 : 2 + depth] for r, s in zip(rows, said, strict=True) if s}:
+            c = np.array([sum(s == v and r[2 : 2 + depth] == key for r, s in zip(rows, said, strict=True)) for v in names])
+            up[key] = (c + language.SMOOTH * up[key[:-1]]) / (c.sum() + language.SMOOTH)
+    declared = collections.Counter((r[1], s) for r, s in zip(rows, said, strict=True) if s and r[1])
+    out = []
+    for r, x in zip(rows, ll, strict=True):
+        p = x + np.log(up.get(r[2:], whole))
+        if r[1] and any(d == r[1] for d, _ in declared):
+            for k, v in enumerate(names):
+                own = [m for (_, s), m in declared.items() if s == v]
+                p[k] += np.log((declared[r[1], v] + 0.5) / (sum(own) + 0.5 * len(own) + 0.5) if declared[r[1], v] else 1e-3)
+        out.append((names[int(p.argmax())], 1 / np.exp(p - p.max()).sum()))
+    return out
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_posteriors_match_brute_force(spark, monkeypatch, few):
+    import strandline.llm.common as common
+
+    if not few:  # joined by shuffle, hot hosts by broadcast
+        monkeypatch.setattr(language, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(common, "HOT_ROWS", 5)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names, model = language_model(docs)
+    texts = [r["text"][:80] for r in docs.where("length(text) > 100").limit(30).collect()] + ["", "12", None, "ou la", "the"]
+    rng = random.Random(3)
+    rows = [(t, rng.choice([None, "fr", "de", "en"]), f"s{k % 3}", f"d{k % 3}", "hot" if k % 2 else f"h{k % 7}") for k, t in enumerate(texts)]
+    want = posteriors(rows, names, model)
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "p int, t string, declared string, suffix string, domain string, host string")
+    got = identify(df, names, model, "t", False).orderBy("p").collect()
+    assert [r["lang"] for r in got] == [v for v, _ in want] and [r["confidence"] for r in got] == pytest.approx([c for _, c in want], rel=1e-4)
+    nulls = spark.createDataFrame([("ou est la maison", None, None, None, None)] * 3, "t string, declared string, suffix string, domain string, host string")
+    assert identify(nulls, names, model, "t", False).where("lang = 'fr'").count() == 3
+
+
+def test_op7_reads_markup_suffix_and_host(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    text = {v: docs.where(f"lang = '{v}' and length(text) > 200").first()["text"] for v in ("fr", "de")}
+    pages = [(k, f"https://www.a.{v}/x{k}", f"<html lang='{v}'><script>var the = 1;</script><p>{text[v]}</p></html>") for k, v in enumerate(["fr", "de"] * 6)]
+    pages += [(20, "https://www.a.fr/short", "<HTML class=x LANG=fr><b>ou</b>"), (21, None, None), (22, "http://user@B.de:80/", "<p>9</p>"), (20, "https://www.a.fr/short", "<HTML class=x LANG=fr><b>ou</b>")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = language.op7_language_id(spark, str(tmp_path)).collect()
+    by = {r["page_id"]: r for r in got}
+    assert len(got) == len(pages) and all(by[k]["lang"] == by[k]["declared"] == v for k, v in enumerate(["fr", "de"] * 6))
+    assert (by[20]["lang"], by[20]["declared"], by[20]["host"]) == ("fr", "fr", "www.a.fr") and by[21]["text_lang"] is None and by[22]["host"] == "b.de"
+
+
+def test_language_filter_takes_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ("confidence", "suffix", "p", "row", "empty", "text_lang", "host", "__ll", "a.b")
+    wide = docs.select("*", *(F.lit(f"own {n}").alias(n) for n in names))
+    kept = keep_identified(wide)
+    assert kept.columns == wide.columns and kept.count() == keep_identified(docs).count()
+    assert kept.where(" and ".join(f"`{n}` = 'own {n}'" for n in names)).count() == kept.count()
+
+
 def test_every_labelled_language_is_found(spark, monkeypatch):
     own = lambda k, n: " ".join(chr(97 + k % 26) + chr(97 + (k * 7 + j) % 26) * 2 + chr(97 + k // 26) for j in range(n))
     rows = [(10 * k + j, own(k, 40 + j), f"l{k:02}", "s", 9) for k in range(40) for j in range(3)]
