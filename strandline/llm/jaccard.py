@@ -1,11 +1,18 @@
 """N-gram Jaccard join (8): vertical partitioning of a global shingle order.
 
-Every text's set of 3-word shingles is put in one global order, rarest first: a shingle is as rare as its rarest word,
-by a table of fixed size that counts the corpus's words. Texts that can reach the threshold share one of the first
-n - ceil(0.9 n) + 1 shingles, so linking the neighbours (by set size) of each such shingle gives clusters outside which
-no link can be. Within clusters the order is cut into fragments; each fragment counts the shared shingles of its pairs
-by matrix products over blocks of texts, the counts are summed per pair and tested exactly, and links become components.
-Equal sets are one text throughout. Large clusters are dealt by pairs of blocks, so no task holds a whole cluster.
+Every text's set of 3-word shingles is put in one global order, rarest first. How rare a shingle is comes from counts of
+the whole corpus, kept on a logarithmic scale in tables of fixed size: neither it nor any of its words can be more
+frequent than its counter, so the least of them ranks it. Counters shared by chance only shape the order, never what links.
+
+Equal sets are one node from the start. Texts that can reach the threshold share LEAST of the first n - ceil(0.9 n) +
+LEAST shingles. Candidates come in two rounds. First, each list of nodes that share a prefix shingle and a size class is
+compared with its most central node alone (that of the most frequent shingles), and with that of the next class: a group
+of near copies, however large, costs one comparison a copy and becomes one component. Then all pairs of a list that
+are still in different components, near enough in size and place, and in LEAST lists together, are compared.
+
+A comparison counts shared shingles by fragments: the global order is cut at FRAGMENTS - 1 points, each fragment's
+partial overlaps are counted apart, for a node and up to CHUNK of its partners in a task, and summed per pair. Links
+become components.
 
 Null and empty texts have no set and link with nothing; a null doc_id links with nothing and has a null component;
 rows with one doc_id are one node with the links of all of them, and each gets a row. Other columns are ignored.
@@ -13,213 +20,336 @@ rows with one doc_id are one node with the links of all of them, and each gets a
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import Words, components, forest, map_groups, materialize, mix, shingles, small_batches, table, text_chunks
+from strandline.llm.common import Words, components, hot_count, keyed_join, materialize, mix, small_batches, table, text_chunks
 
-#: Counters of the word table (a byte each), and the parts in which it is merged.
-SLOT_BITS, RANGES = 23, 64
-#: Texts of a block, and shingles of a cluster for each fragment that its order is cut into.
-BLOCK_TEXTS, FRAGMENT_SHINGLES = 256, 100_000
+#: Counters of words and of shingles (powers of two, a byte each), the parts they are merged in, and steps of a doubling.
+WORD_BITS, SHINGLE_BITS, RANGES, STEPS = 21, 22, 96, 8
+#: Prefix shingles that linked texts share; fragments of the order; partners in a task; members of a list in a task.
+LEAST, FRAGMENTS, CHUNK, LIST = 3, 4, 256, 2048
+SALTS = 64
 
 
-def word_table(docs: DataFrame) -> np.ndarray:
-    """How often words occur over all texts, 255 at most, by the top SLOT_BITS bits of their hash: 8 MB, whatever the
-    input. Words that share a counter look more frequent than they are, which only shapes the order, never what links."""
-    width = (1 << SLOT_BITS) // RANGES
+def _hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n-word shingles, of all words as one if they are fewer."""
+    if not len(words):
+        return words
+    n = min(n, len(words))
+    with np.errstate(over="ignore"):
+        h = np.full(len(words) - n + 1, n, np.uint64)
+        for k in range(n):
+            h = mix(h * np.uint64(0xC2B2AE3D27D4EB4F) + words[k : len(words) - n + 1 + k])
+    return h
+
+
+def _slots(words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (words >> np.uint64(64 - WORD_BITS)).astype(np.int64), (hashes >> np.uint64(64 - SHINGLE_BITS)).astype(np.int64) + (1 << WORD_BITS)
+
+
+def frequency_levels(docs: DataFrame, n: int) -> np.ndarray:
+    """STEPS * log2 of how often words, then shingles, occur over all texts, by the top bits of their hashes: some MB."""
+    size = (1 << WORD_BITS) + (1 << SHINGLE_BITS)
+    width = -(-size // RANGES)
 
     def count(batches):
-        total = np.zeros(1 << SLOT_BITS, np.uint32)
+        total = np.zeros(size, np.int64)
         for _, texts in text_chunks(batches):
-            slot, n = np.unique(Words(texts).hash >> np.uint64(64 - SLOT_BITS), return_counts=True)
-            total[slot.astype(np.int64)] += n.astype(np.uint32)
-        used = np.flatnonzero(total)
-        cuts = np.searchsorted(used, np.arange(RANGES + 1) * width)
-        for r in np.flatnonzero(np.diff(cuts)).tolist():
-            own = used[cuts[r] : cuts[r + 1]]
-            row = [r, (own - r * width).astype(np.uint32).tobytes(), np.minimum(total[own], 255).astype(np.uint8).tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], ["r", "slots", "n"])
+            w = Words(texts)
+            for slots in _slots(w.hash, _hashes(w.hash, n)):  # shingles across texts are few and only shape the order
+                total += np.bincount(slots, minlength=size)
+        for r in range(RANGES if total.any() else 0):
+            own = total[r * width : (r + 1) * width]
+            large = np.flatnonzero(own > 255)
+            row = [r, np.minimum(own, 255).astype(np.uint8).tobytes(), large.astype(np.int64).tobytes(), (own[large] - 255).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], ["r", "n", "large", "more"])
 
     def merge(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for r, slots, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sums.setdefault(r, np.zeros(width, np.uint32))[np.frombuffer(slots, np.uint32)] += np.frombuffer(n, np.uint8)
+            for r, n_, large, more in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(n_, np.uint8)
+                total = sums.setdefault(r, np.zeros(len(own), np.int64))
+                total += own
+                total[np.frombuffer(large, np.int64)] += np.frombuffer(more, np.int64)
         for r, total in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([r]), pa.array([np.minimum(total, 255).astype(np.uint8).tobytes()])], ["r", "n"])
+            level = np.minimum(STEPS * np.log2(total + 1.0), 255).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([r]), pa.array([level.tobytes()])], ["r", "levels"])
+
+    counted = docs.select(F.lit(0).alias("i"), "text").mapInArrow(count, "r long, n binary, large binary, more binary")
+    rows = counted.repartition("r").mapInArrow(merge, "r long, levels binary").toArrow()
+    out = np.zeros(width * RANGES, np.uint8)
+    for r, levels in zip(rows["r"].to_pylist(), rows["levels"].to_pylist(), strict=True):
+        own = np.frombuffer(levels, np.uint8)
+        out[r * width : r * width + len(own)] = own
+    return out[:size]
+
+
+def _ordered(words: np.ndarray, n: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct shingle hashes, the same as places in the global order, ascending): the level in the top byte, the hash below."""
+    h = _hashes(words, n)
+    distinct, first = np.unique(h, return_index=True)
+    word, shingle = (levels[s] for s in _slots(words, h))
+    m = len(words) - len(h) + 1
+    rare = np.min([shingle, *(word[j : len(word) - m + 1 + j] for j in range(m))], axis=0) if m >= n else np.full(len(h), word.min())
+    return distinct, np.sort(rare[first].astype(np.uint64) << np.uint64(56) | distinct >> np.uint64(8))
+
+
+def _node(distinct: np.ndarray) -> tuple[int, int]:
+    d = xxhash.xxh3_128_intdigest(distinct.tobytes())
+    return (d & (1 << 64) - 1) - (1 << 63), (d >> 64) - (1 << 63)
+
 
-    rows = docs.select(F.lit(0).alias("i"), "text").mapInArrow(count, "r long, slots binary, n binary").repartition("r").mapInArrow(merge, "r long, n binary").toArrow()
-    table_ = np.zeros((RANGES, width), np.uint8)
-    for r, n in zip(rows["r"].to_pylist(), rows["n"].to_pylist(), strict=True):
-        table_[r] = np.frombuffer(n, np.uint8)
-    return table_.ravel()
+_SETS = "doc_id long, n int, node long, more long, central int, prefix array<long>, parts array<long>"
 
 
-def shingle_sets(docs: DataFrame, n: int, percent: int, counters: np.ndarray) -> DataFrame:
-    """(doc_id, n_shingles, digest, prefix): a row per document, with the digest and the first shingles of its set."""
-    shared = docs.sparkSession.sparkContext.broadcast(counters)
+def shingle_sets(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
+    """(doc_id, n, node, more, central, prefix, parts), a row per document: the size of its set, the two halves of the set's
+    digest, its mean level, its first shingles, and where the order cuts it in FRAGMENTS equal parts."""
 
     def run(batches):
         for ids, texts in text_chunks(batches):
             w = Words(texts)
-            rare = shared.value[(w.hash >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
-            sizes, digests, prefixes = [], [], []
+            rows = []
             for k in range(len(texts)):
-                b, e = w.first[k], w.first[k + 1]
-                h = _hashes(w.hash[b:e], n)
-                s, first = np.unique(h, return_index=True)
-                sizes.append(len(s))
-                digests.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
-                least = rare[b:e]
-                m = min(n, len(least))
-                least = np.min([least[j : len(least) - m + 1 + j] for j in range(m)], axis=0) if m else least
-                order = np.argsort(least[first], kind="stable")
-                prefixes.append(s[order[: len(s) - -(-percent * len(s) // 100) + 1]].view(np.int64))
-            flat = np.concatenate(prefixes)
-            offsets = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n_shingles", "digest", "prefix"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, digest string, prefix array<long>")
+                words = w.hash[w.first[k] : w.first[k + 1]]
+                if not len(words):
+                    rows.append((0, None, None, None, None, None))
+                    continue
+                distinct, order = _ordered(words, n, levels.value)
+                m = len(order)
+                parts = [int(order[m * q // FRAGMENTS] >> np.uint64(1)) for q in range(1, FRAGMENTS)]
+                rows.append((m, *_node(distinct), int(16 * (order >> np.uint64(56)).mean()), order[: m - -(-percent * m // 100) + LEAST].view(np.int64), parts))
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n", "node", "more", "central", "prefix", "parts"])
 
+    return docs.select("doc_id", "text").mapInArrow(run, _SETS)
 
-def _hashes(words: np.ndarray, n: int) -> np.ndarray:
-    if not len(words):
-        return words
-    n = min(n, len(words))
-    with np.errstate(over="ignore"):
-        h = np.full(len(words) - n + 1, n, np.uint64)
-        for k in range(n):
-            h = mix(h * np.uint64(0xC2B2AE3D27D4EB4F) + words[k : len(words) - n + 1 + k])
-    return h
 
+def _rebatched(batches, rows: int = 1 << 17):
+    """Columns of many rows at once, as numpy arrays."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= rows:
+            yield [c.to_numpy() for c in pa.Table.from_batches(held).columns]
+            held, n = [], 0
+    if n:
+        yield [c.to_numpy() for c in pa.Table.from_batches(held).columns]
 
-def candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges between documents that share a prefix shingle and are near in size: per shingle each document and the one
-    next in size, which connects all that could link over it."""
-
-    def run(batches):
-        cols = [[], [], []]
-        for batch in batches:
-            for c, v in zip(cols, batch.columns, strict=True):
-                c.append(v.to_numpy(zero_copy_only=False))
-        if not cols[0]:
-            return
-        s, d, n = map(np.concatenate, cols)
-        order = np.lexsort((d, n, s))
-        s, d, n = s[order], d[order], n[order]
-        near = np.flatnonzero((s[1:] == s[:-1]) & (100 * n[:-1] >= percent * n[1:]) & (d[1:] != d[:-1]))
-        if len(near):
-            a, b = forest(d[near], d[near + 1])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    rows = sets.where("doc_id is not null").select(F.explode("prefix").alias("s"), F.col("doc_id").alias("d"), F.col("n_shingles").alias("n"))
-    return rows.repartition("s").mapInArrow(run, "a long, b long")
 
+# ------------------------------------------------------------------ candidates
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-_SEGMENT = "cluster long, i int, j int, fragment int, doc_id long, digest string, n long, side int, ids binary"
-_PARTIAL = "cluster long, i int, j int, a array<long>, b array<long>, na array<long>, nb array<long>, shared binary"
 
+def stars(postings: DataFrame, hot_level: int) -> DataFrame:
+    """(a, b): every member of a list (s, class) with its first, and the first with that of the next class, from postings
+    (s, class, central, node). Lists of very frequent shingles are dealt in SALTS parts, whose firsts make a list."""
 
-def segments(texts: DataFrame, n: int) -> DataFrame:
-    """The fragments of each set, once for each pair of blocks that its block belongs to."""
+    def run(batches):
+        last = None  # salt, s, class and first node of the list at hand
+        for s, salt, k, central, node in _rebatched(batches):
+            new = np.concatenate(([True], (s[1:] != s[:-1]) | (salt[1:] != salt[:-1]) | (k[1:] != k[:-1])))
+            if last and (salt[0], s[0], k[0]) == last[:3]:
+                new[0] = False
+            at = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
+            first = np.where(at >= 0, node[np.maximum(at, 0)], last[3] if last else 0)
+            begin = np.flatnonzero(new)
+            before = begin - 1
+            b_s, b_salt, b_k, b_first = (np.where(before >= 0, v[np.maximum(before, 0)], x) for v, x in zip((s, salt, k, first), (last[1], last[0], last[2], last[3]) if last else (0, -1, -9, 0), strict=True))
+            chain = begin[(b_s == s[begin]) & (b_salt == salt[begin]) & (b_k + 1 == k[begin])]
+            chained = b_first[(b_s == s[begin]) & (b_salt == salt[begin]) & (b_k + 1 == k[begin])]
+            rest = np.flatnonzero(~new)
+            top = begin[salt[begin] > 0]
+            a, b = np.concatenate((first[rest], chained, node[top])), np.concatenate((node[rest], node[chain], node[top]))
+            more = [np.concatenate((np.full(len(rest) + len(chain), fill), v[top])) for fill, v in ((0, s), (0, k), (0, central))]
+            keep = (a != b) | (np.arange(len(a)) >= len(rest) + len(chain))
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (a, b, more[0], more[1].astype(np.int32), more[2].astype(np.int32))], ["a", "b", "s", "class", "central"])
+            last = (salt[-1], s[-1], k[-1], first[-1])
+
+    def once(rows: DataFrame) -> DataFrame:
+        spread = rows.select("s", "salt", "class", "central", "node").repartition("s", "salt").sortWithinPartitions("s", "salt", "class", F.desc("central"), "node")
+        return spread.mapInArrow(run, "a long, b long, s long, class int, central int")
+
+    salt = F.when(F.shiftrightunsigned("s", 56) >= hot_level, 1 + F.pmod(F.col("node"), F.lit(SALTS))).otherwise(0)
+    found = materialize(once(postings.withColumn("salt", salt.cast("int"))))
+    firsts = found.where("a = b").select("s", "class", "central", F.col("a").alias("node"), F.lit(0).alias("salt"))
+    return found.where("a <> b").select("a", "b").unionByName(once(firsts).where("a <> b").select("a", "b"))
+
+
+def rest_pairs(postings: DataFrame, percent: int, hot_level: int) -> DataFrame:
+    """(a, b): pairs of a list that are in different components and can be near enough, from postings (s, node, n, place, component),
+    once for each list. Lists of very frequent shingles are dropped if all are one component, and else dealt by pairs of blocks."""
 
     def run(batches):
+        held = None
+        for cols in _rebatched(batches):
+            cols = [np.concatenate(c) for c in zip(held, cols, strict=True)] if held else cols
+            s, i, j = cols[:3]
+            cut = np.flatnonzero((s[1:] != s[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            end = int(cut[-1]) if len(cut) else 0
+            held = [c[end:] for c in cols]
+            yield from lists([c[:end] for c in cols], np.concatenate(([0], cut)) if end else None)
+        if held:
+            s, i, j = held[:3]
+            cut = np.flatnonzero((s[1:] != s[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            yield from lists(held, np.concatenate(([0], cut, [len(s)])))
+
+    def lists(cols, bounds):
+        if bounds is None:
+            return
+        _, i, j, block, n, place, node, part = cols
+
+        def near(x, y):
+            """Of rows x and y of a list those that must be compared."""
+            low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+            need = -(-percent * (n[x] + n[y]) // (100 + percent))
+            most = np.minimum(place[x], place[y]) + np.minimum(n[x] - place[x], n[y] - place[y])
+            go = (part[x] != part[y]) & (100 * low >= percent * high) & (most >= need) & ((i[x] == j[x]) | (block[x] != block[y]))
+            x, y = node[x[go]], node[y[go]]
+            return np.minimum(x, y), np.maximum(x, y)
+
+        size = np.diff(bounds)
+        which = np.repeat(np.arange(len(size)), size)
+        row = np.arange(len(which))
+        small = size <= 64
+        for lag in range(1, int(size[small].max(initial=1))):
+            x = row[: len(row) - lag]
+            x = x[(which[x] == which[x + lag]) & small[which[x]]]
+            if len(x):
+                yield _pairs(*near(x, x + lag))
+        for b, e in zip(bounds[:-1][~small], bounds[1:][~small], strict=True):
+            for low in range(b, e, 256):
+                x, y = np.meshgrid(np.arange(low, min(low + 256, e)), np.arange(low, e), indexing="ij")
+                x, y = x[y > x], y[y > x]
+                yield _pairs(*near(x, y))
+
+    frequent = F.shiftrightunsigned("s", 56) >= hot_level
+    hot = materialize(postings.where(frequent))
+    info = hot.groupBy("s").agg(F.count("*").alias("count"), F.min("component").alias("low"), F.max("component").alias("high"))
+    info = materialize(info.where("low < high").select("s", "count", F.ceil(F.col("count") / LIST).cast("int").alias("blocks")))
+    dealt = keyed_join(hot, info, ["s"], hot.count()).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    plain = postings.where(~frequent).select("*", *(F.lit(0).alias(c) for c in ("i", "j", "block")))
+    order = ["s", "i", "j", "block", "n", "place", "node", "component"]
+    rows = plain.select(*order).unionByName(dealt.select(*order))
+    return rows.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j").mapInArrow(run, "a long, b long")
+
+
+# ------------------------------------------------------------------ comparison
+def overlaps(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, levels, cuts: list[int]) -> DataFrame:
+    """(a, b, na, nb, shared) of pairs (a, b) that share any: the fragments' counts summed."""
+    pairs = materialize(pairs)
+    total = pairs.count()
+    per = materialize(pairs.groupBy("a").agg(F.count("*").alias("count"))).withColumn("chunks", F.ceil(F.col("count") / CHUNK).cast("int"))
+    dealt = materialize(keyed_join(pairs, per, ["a"], total).withColumn("c", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int")))
+    to = dealt.select(F.col("b").alias("node"), F.struct("a", "c", F.lit(1).alias("side")).alias("to"))
+    to = to.unionByName(dealt.select(F.col("a").alias("node"), F.struct("a", "c", F.lit(0).alias("side")).alias("to")).distinct())
+    # a node's places are gathered in rows of some hundreds
+    to = to.groupBy("node", F.pmod(F.xxhash64("to"), F.ceil(F.lit(total) / (1 << 16))).alias("__part")).agg(F.collect_list("to").alias("to")).drop("__part")
+    texts = docs.join(to.join(nodes.select("node", "doc_id"), "node"), "doc_id").select("doc_id", "text", "node", "to")
+    edges = np.array(cuts, np.uint64)
+
+    def cut(batches):
         for batch in batches:
-            meta = batch.drop_columns(["text"]).to_pylist()
-            at = 0
-            for _, some in text_chunks(iter([pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text")], ["i", "t"])])):
+            wanted, places, at = batch.column("node").to_pylist(), batch.column("to").to_pylist(), 0
+            for ids, some in text_chunks(iter([batch.select(["doc_id", "text"])])):
                 w = Words(some)
                 rows = []
                 for k in range(len(some)):
-                    m = meta[at + k]
-                    s = shingles(w.hash[w.first[k] : w.first[k + 1]], n)
-                    f = m["fragments"]
-                    cuts = [*np.searchsorted(s, np.array([(q << 64) // f for q in range(f)], np.uint64)), len(s)]
-                    pieces = [s[cuts[q] : cuts[q + 1]].tobytes() for q in range(f)]
-                    for other in range(m["blocks"]):
-                        i, j = sorted((m["block"], other))
-                        rows += [(m["cluster"], i, j, q, m["doc_id"], m["digest"], len(s), int(m["block"] != i), p) for q, p in enumerate(pieces)]
+                    words = w.hash[w.first[k] : w.first[k + 1]]
+                    if not len(words):
+                        continue
+                    distinct, order = _ordered(words, n, levels.value)
+                    if _node(distinct)[0] != wanted[at + k]:  # another text of this doc_id
+                        continue
+                    bounds = [0, *np.searchsorted(order >> np.uint64(1), edges).tolist(), len(order)]
+                    pieces = [order[b:e].tobytes() for b, e in zip(bounds, bounds[1:])]
+                    rows += [(t["a"], t["c"], q, t["side"], wanted[at + k], len(order), p) for t in places[at + k] for q, p in enumerate(pieces) if p]
                 at += len(some)
-                if not rows:
-                    continue
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.binary()]
-                for low in range(0, len(rows), 500):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[low : low + 500], strict=True), kinds, strict=True)], ["cluster", "i", "j", "fragment", "doc_id", "digest", "n", "side", "ids"])
-
-    return texts.mapInArrow(run, _SEGMENT)
-
-
-def shared_counts(sets: list[bytes], split: int) -> np.ndarray:
-    """How many ids each of the first `split` sets shares with each of the others (with each of all, if split is all)."""
-    ids = [np.frombuffer(s, np.uint64) for s in sets]
-    who = np.repeat(np.arange(len(ids)), [len(s) for s in ids])
-    _, token, df = np.unique(np.concatenate(ids), return_inverse=True, return_counts=True)
-    keep = df[token] > 1
-    who, (_, token) = who[keep], np.unique(token[keep], return_inverse=True)
-    rows, cols = split, len(sets) - split or split
-    out = np.zeros((rows, cols), np.float32)
-    width = 8192
-    order = np.argsort(token, kind="stable")
-    who, token = who[order], token[order]
-    top = int(token[-1]) + 1 if len(token) else 0
-    for low in range(0, top, width):
-        b, e = np.searchsorted(token, (low, low + width))
-        m = np.zeros((len(sets), min(width, top - low)), np.float32)
-        m[who[b:e], token[b:e] - low] = 1
-        out += m[:split] @ m[split if split < len(sets) else 0 :].T
-    return out.astype(np.uint32)
-
-
-def _partial(group: pa.Table):
-    group = group.sort_by([("side", "ascending"), ("doc_id", "ascending"), ("digest", "ascending")])
-    side = group["side"].to_numpy()
-    split = int((side == 0).sum())
-    i, j = group["i"][0].as_py(), group["j"][0].as_py()
-    if i != j and split in (0, len(side)):
-        return
-    ids, n = group["doc_id"].to_pylist(), group["n"].to_pylist()
-    shared = shared_counts(group["ids"].to_pylist(), split)
-    b = slice(split, None) if i != j else slice(None)
-    row = [group["cluster"][0].as_py(), i, j, ids[:split], ids[b], n[:split], n[b], shared.tobytes()]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 4, pa.binary()]
-    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], ["cluster", "i", "j", "a", "b", "na", "nb", "shared"])
-
-
-def _links(percent: int):
-    def run(group: pa.Table):
-        a, b, na, nb = (np.array(group[c][0].as_py(), np.int64) for c in ("a", "b", "na", "nb"))
-        total = np.sum([np.frombuffer(x, np.uint32) for x in group["shared"].to_pylist()], axis=0, dtype=np.int64).reshape(len(a), len(b))
-        x, y = np.nonzero(100 * total >= percent * (na[:, None] + nb[None, :] - total))
-        keep = a[x] != b[y]
-        if keep.any():
-            a, b = forest(a[x][keep], b[y][keep])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    return run
-
-
-def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, block: int = BLOCK_TEXTS, fragment: int = FRAGMENT_SHINGLES) -> DataFrame:
+                for low in range(0, len(rows), 2000):
+                    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[low : low + 2000], strict=True), kinds, strict=True)], ["a", "c", "q", "side", "node", "n", "ids"])
+
+    def count(batches):
+        key, own, size, out, held = None, None, 0, [], []
+
+        def flush():
+            if held and own is not None:
+                sets = [np.frombuffer(p, np.uint64) for _, _, p in held]
+                all_ = np.concatenate(sets)
+                at = np.minimum(np.searchsorted(own, all_), len(own) - 1)
+                shared = np.add.reduceat((own[at] == all_).astype(np.int64), np.cumsum([0, *map(len, sets[:-1])]))
+                out.extend((key[0], node, size, n_, x) for (node, n_, _), x in zip(held, shared.tolist(), strict=True) if x)
+            held.clear()
+
+        for batch in batches:
+            for a, c, q, side, node, n_, ids in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+                if (a, c, q) != key:
+                    flush()
+                    key, own = (a, c, q), None
+                if side == 0:
+                    own, size = np.frombuffer(ids, np.uint64), n_
+                elif not held or held[-1][0] != node:  # a repeated row
+                    held.append((node, n_, ids))
+            if len(out) > 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b", "na", "nb", "shared"])
+                out = []
+        flush()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b", "na", "nb", "shared"])
+
+    keys = ["a", "c", "q"]
+    pieces = texts.mapInArrow(cut, "a long, c int, q int, side int, node long, n int, ids binary")
+    partial = pieces.repartition(*keys).sortWithinPartitions(*keys, "side", "node").mapInArrow(count, "a long, b long, na long, nb long, shared long")
+    return partial.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("shared").alias("shared"))
+
+
+def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id): a row per document; documents whose sets have 100 * intersection >=
     percent * union link, component_id is the smallest doc_id reachable by links."""
+    spark = docs.sparkSession
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = materialize(shingle_sets(docs, n, percent, word_table(docs)))
-    clusters = components(candidate_edges(sets, percent)).withColumnRenamed("node", "doc_id")
-    nodes = sets.where("n_shingles > 0").select("doc_id", "n_shingles", "digest").join(clusters, "doc_id", "left")
-    nodes = materialize(nodes.select("doc_id", "n_shingles", "digest", F.coalesce("component", "doc_id").alias("cluster")).where("doc_id is not null"))
-    texts = nodes.groupBy("cluster", "digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    sizes = texts.groupBy("cluster").agg(F.count("*").alias("m"), F.sum("n").alias("all")).where("m > 1")
-    sizes = sizes.select("cluster", F.ceil(F.col("m") / block).cast("int").alias("blocks"), "all")
-    dealt = texts.join(sizes, "cluster").select("cluster", "digest", "doc_id", "blocks", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int").alias("block"), F.least(F.lit(64), F.ceil(F.col("all") / F.col("blocks") / fragment)).cast("int").alias("fragments"))
-    pieces = segments(docs.where("text is not null").join(dealt, "doc_id"), n)
-    partial = map_groups(pieces, ["cluster", "i", "j", "fragment"], _partial, _PARTIAL)
-    links = map_groups(partial, ["cluster", "i", "j"], _links(percent), "a long, b long")
-    copies = nodes.join(texts.select("cluster", "digest", F.col("doc_id").alias("b")), ["cluster", "digest"]).select(F.col("doc_id").alias("a"), "b")
-    found = components(links.unionByName(copies)).withColumnRenamed("node", "doc_id")
-    return sets.select("doc_id", "n_shingles").join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    levels = spark.sparkContext.broadcast(frequency_levels(docs, n))
+    sets = materialize(shingle_sets(docs, n, percent, levels))
+    # equal sets: the least id of each part of a group, and of the group
+    rows = sets.where("doc_id is not null and n > 0").select("doc_id", "node", "more", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    parts = materialize(rows.groupBy("node", "more", "salt").agg(F.min("doc_id").alias("least")))
+    groups = parts.groupBy("node", "more").agg(F.min("least").alias("doc_id"))
+    copies = rows.join(parts, ["node", "more", "salt"]).where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    copies = copies.unionByName(parts.join(groups, ["node", "more"]).where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
+    nodes = sets.join(groups, ["node", "more", "doc_id"], "left_semi").groupBy("node", "more", "doc_id").agg(*(F.first(c).alias(c) for c in ("n", "central", "prefix", "parts")))
+    nodes = materialize(nodes.drop("more"))
+    stats = nodes.agg(F.count("*").alias("n"), *(F.percentile_approx(F.col("parts")[q], 0.5).alias(f"p{q}") for q in range(FRAGMENTS - 1))).first()
+    cuts = [stats[f"p{q}"] or 0 for q in range(FRAGMENTS - 1)]
+    hot_level = int(STEPS * math.log2(hot_count(stats["n"]) + 1))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        found = overlaps(docs, nodes, pairs, n, levels, cuts)
+        return materialize(found.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b"))
+
+    kind = F.floor(F.ln("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
+    starred = stars(nodes.select(F.explode("prefix").alias("s"), kind.alias("class"), "central", "node"), hot_level)
+    links = linked(starred.groupBy("a", "b").count().where("count > 1").select("a", "b"))
+    placed = nodes.join(components(links), "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"), F.posexplode("prefix").alias("place", "s"))
+    near = rest_pairs(placed, percent, hot_level).groupBy("a", "b").count().where(F.col("count") >= LEAST).select("a", "b")
+    links = links.unionByName(linked(near))
+    # components of sets as the least of their documents
+    member = nodes.select("node", "doc_id").join(components(links), "node", "left")
+    member = materialize(member.select("doc_id", F.coalesce("component", "node").alias("component")))
+    least = materialize(member.groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("count")).where("count > 1"))
+    joined = keyed_join(member, least, ["component"], member.count()).where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    found = components(joined.unionByName(copies)).withColumnRenamed("node", "doc_id")
+    out = sets.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
+    return out.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from strandline.llm import ann
+from strandline.llm import ann, common, jaccard
 from strandline.llm.ann import near_duplicates
 from strandline.llm.common import components
 from strandline.llm.decontam import contamination
@@ -109,17 +109,59 @@ def near_copies(seed):
     return texts
 
 
-@pytest.mark.parametrize("options", [{}, {"block": 3, "fragment": 40}])
-def test_jaccard_matches_brute_force(spark, options):
+def links_of(texts, n=3, percent=90):
+    def shingles(text):
+        w = (text or "").encode().lower().split()
+        k = min(n, len(w))
+        return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    return sets, classes(len(texts), near)
+
+
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_matches_brute_force(spark, monkeypatch, n, percent, small):
+    if small:  # hot lists, many chunks and blocks
+        monkeypatch.setattr(common, "HOT_ROWS", 2)
+        for name, value in (("CHUNK", 2), ("LIST", 4), ("SALTS", 3)):
+            monkeypatch.setattr(jaccard, name, value)
     texts = near_copies(4)
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    sets = [shingle_set(t) for t in texts]
-    near = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])]
-    want = classes(len(texts), near)
-    got = jaccard_components(df, **options).orderBy("doc_id").collect()
+    sets, want = links_of(texts, n, percent)
+    got = jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), n, percent).orderBy("doc_id").collect()
     assert [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got] == [(i, len(sets[i]), want[i]) for i in range(len(texts))]
 
 
+def test_jaccard_of_a_passage_that_many_share(spark):
+    """Around the threshold, with half of every text in common: no star decides these, the second round does."""
+    rng = random.Random(6)
+    common_ = [f"c{k}" for k in range(60)]
+    texts = []
+    for _ in range(150):
+        own = common_ + [f"w{rng.randrange(40)}" for _ in range(8)]
+        cut = rng.randrange(5)
+        texts.append(" ".join(own[cut:]))
+    for n, percent in ((3, 90), (5, 80)):
+        _, want = links_of(texts, n, percent)
+        got = jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), n, percent)
+        assert [r["component_id"] for r in got.orderBy("doc_id").collect()] == want and len(set(want)) > 3
+
+
+def test_jaccard_of_repeated_ids_and_large_groups(spark):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(3000)}" for _ in range(120)]
+    rows = [(5, " ".join(base)), (5, "another text of five"), (9, "another text of five"), (9, "and one more here"), (11, "And one more  here"), (None, " ".join(base)), (3, None)]
+    for k in range(400):
+        copy = list(base)
+        copy[rng.randrange(120)] = f"n{k}"
+        rows.append((100 + k, " ".join(copy)))
+    rows += [(600 + k, "the very same words in all of these") for k in range(2000)] + [(600, "the very same words in all of these")] * 50
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    by = {(r["doc_id"], r["component_id"]) for r in got.collect()}
+    assert got.count() == len(rows) and by == {(5, 5), (9, 5), (11, 5), (None, None), (3, 3), *((100 + k, 5) for k in range(400)), *((600 + k, 600) for k in range(2000))}
+
+
 def test_jaccard_takes_any_table(spark, documents):
     got = jaccard_components(documents).collect()
     assert len(got) == documents.count()
