@@ -90,6 +90,42 @@ def test_boosted_trees_learn():
     assert ((pii.predict(model, x[400:]) > 0.5) == y[400:]).mean() > 0.9
 
 
+def test_parts_of_addresses_of_any_length():
+    for t, n in (("0" * 5000 + "1.2.3.4", 1), ("1.2.3." + "0" * 5000, 1), ("1.2.3." + "1" * 5000, 0), ("000.0.00.256", 0)):
+        spans = [s for s in pii.base_spans(t) if s[1] == 1]
+        assert spans == [(0, 1, len(t))] * n
+
+
+@pytest.fixture(scope="module")
+def pii_trees(spark):
+    return pii.pii_model(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id <= 5000"))
+
+
+def test_disturbed_personal_data_is_found(spark, pii_trees):
+    """Strict matches of texts that the trees haven't seen, written otherwise, against look-alikes in the same texts."""
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id > 5000 and length(text) < 20000").collect()]
+    rng = random.Random(77)
+    found, right, wrong = 0, 0, 0
+    for t in texts:
+        for b, k, e in pii.base_spans(t)[:2]:
+            new = pii.disturbed(k, t[b:e], rng)
+            before = t[max(0, b - 100) : b]
+            ((strict, spans),) = pii.spans_of([before + new + t[e : e + 40]], pii_trees)
+            if (len(before), k, len(before) + len(new)) not in strict:
+                found, right = found + 1, right + ((len(before), k, len(before) + len(new)) in spans)
+            alike = pii.look_alike(rng)
+            ((strict, spans),) = pii.spans_of([t[:60] + " " + alike + " " + t[60:90]], pii_trees)
+            wrong += any(b < 61 + len(alike) and e > 61 for b, _, e in set(spans) - set(strict))
+    assert found > 100 and right > 0.75 * found and wrong < 0.03 * found
+
+
+def test_versions_and_dates_are_left_alone(pii_trees):
+    texts = ["write to anna.7 [at] mail3 [dot] example [dot] com today", "call (555) 014-2345 now", "version 2.10.4 of 2021-03-04 12:30", "pages 1990-1995", "at 5 dot matrix printers", ""]
+    got = pii.spans_of(texts, pii_trees)
+    assert [[pii.KINDS[k] for _, k, _ in spans] for _, spans in got] == [["email"], ["phone"], [], [], [], []]
+    assert got[0][1][0] == (9, 0, 48) and all(not strict for strict, _ in got)
+
+
 def test_personal_data_takes_any_table(spark, documents):
     model = pii.pii_model(documents)
     rows = {r["doc_id"]: r for r in pii.pii_spans(documents, model).collect()}
