@@ -1,17 +1,22 @@
 """Embedding near-dedup (1): hierarchical navigable small-world graphs per shard.
 
-Vectors are dealt by hash into shards of one label (and one length). Equal vectors of a shard are one node, which counts
-as often as it has vectors. Each shard gets a graph: every vector has a level
-drawn from its id's hash; layers are filled by batches, each batch's vectors searching the graph so far and comparing
-with one another, and keep their nearest neighbours that aren't nearer to a neighbour already kept. Every shard's
-vectors then search every shard of their label: greedily through the upper layers, by a beam on the lowest. A query
-whose whole beam qualifies searches again by a doubled one, until its beam isn't full of partners, or is 1/WHOLE of the
-shard: then it is compared with all of it. A sample of the queries is audited against brute force, all their partners
-counted; while its recall is below AUDIT_RECALL, the beam doubles and all search again. Candidates are verified by cosines in double precision: candidate links make groups, and every pair of a group is
-verified by matrix products, which also counts links that a beam passed over. Links unite into components.
-
-Vectors that are null, empty, zero or hold null or non-finite components, and those without label, link with nothing.
-Rows with one vec_id are one node of the components. Labels other than integers may be given by any type.
+Equal vectors of a label are one node. Nodes are dealt by hash into shards of one label (and one length). Each shard gets
+a graph: every node has a level drawn from its id's hash; layers are filled by batches, each batch's vectors searching
+the graph so far and comparing with one another, and keep their nearest neighbours that aren't nearer to a neighbour
+already kept; parts of a layer that don't hang together are joined by their nearest nodes. Every shard's nodes then
+search every shard of their label, QUERIES of them in a task: greedily through the upper layers, by a beam on the lowest.
+A query whose whole beam qualifies searches again by a doubled one. A sample of a task's queries is audited against
+brute force, all their partners counted; while its recall is below AUDIT_RECALL, the beam doubles, and where BEAM_LIMIT
+doesn't pass either, all the task's queries are compared with the whole shard in blocks. `search_links` returns the audits.
+
+What is found makes groups, and every pair of a group is verified by cosines in double precision, whichever shards it
+lies in: groups are dealt by blocks of VERIFIED nodes. That also counts links that a search passed over. Links unite
+into components.
+
+Vectors that are null, empty, zero or hold null or non-finite components, and those without label or vec_id, link with
+nothing; a null vec_id has a null component. Rows with one vec_id are one vector of the components, and n_links counts
+the different other ids that any of them links with; each row gets a row. Labels may be of any type; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -23,10 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import components, forest, materialize, mix, table
+from strandline.llm.common import by_group, components, forest, keyed_join, materialize, mix, table
 
-SHARD, LINKS, BEAM, BUILD_BEAM, AUDITED, AUDIT_RECALL = 16_384, 12, 24, 24, 64, 0.995
-VERIFIED, WHOLE = 1024, 64
+SHARD, LINKS, BEAM, BUILD_BEAM, AUDITED, AUDIT_RECALL = 16_384, 12, 24, 24, 128, 0.999
+#: Queries of a task, the widest beam that is tried for all of them, nodes of a block, links that join parts of a layer.
+QUERIES, BEAM_LIMIT, VERIFIED, BRIDGES = 8192, 192, 1024, 4
+#: A beam this share of a shard's size isn't worth more than comparing the query with all of it.
+WHOLE = 64
 
 
 class Graph:
@@ -58,7 +66,33 @@ class Graph:
                 near[batch[b : b + VERIFIED]] = self._chosen(both, sims, width // 2)
             self._back(near, batch, width)
             done += len(batch)
-        return near
+        return self._joined(near, nodes)
+
+    def _joined(self, near: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """near with up to BRIDGES more links a node, between parts of the layer that weren't linked: in rounds, a part's
+        first node and the nearest node outside the part."""
+        bridges = np.full((len(near), BRIDGES), -1, np.int32)
+        while True:
+            both = np.concatenate((near, bridges), 1)
+            rows, cols = np.nonzero(both[nodes] >= 0)
+            part = np.arange(len(near))
+            node, root = forest(nodes[rows].astype(np.int64), both[nodes][rows, cols].astype(np.int64))
+            part[node] = root
+            heads = np.unique(part[nodes])
+            if len(heads) < 2:
+                return both
+            new = 0
+            for h in heads[1:]:  # the first part is linked to by the others
+                sims = self.x[nodes] @ self.x[h]
+                sims[(part[nodes] == h) | (bridges[nodes] >= 0).all(1)] = -3
+                to = nodes[int(sims.argmax())]
+                free, back = np.flatnonzero(bridges[h] < 0), np.flatnonzero(bridges[to] < 0)
+                if sims.max() > -3 and len(free):
+                    bridges[h, free[0]] = to
+                    bridges[to, back[0]] = h
+                    new += 1
+            if not new:
+                return np.concatenate((near, bridges), 1)
 
     def _chosen(self, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
         """Of each row's candidates, nearest first, those that aren't nearer to one already chosen; then the nearest of
@@ -146,11 +180,10 @@ def search(x: np.ndarray, near: np.ndarray, q: np.ndarray, entry: np.ndarray, be
     return ids, sims
 
 
-def unit(vectors: list) -> tuple[np.ndarray, np.ndarray]:
-    """(double vectors, their unit vectors)."""
-    v = np.array(vectors, np.float64)
+def unit(v: np.ndarray) -> np.ndarray:
+    """Unit vectors in double precision; scaled first, so that no square overflows or vanishes."""
     v = v / np.abs(v).max(axis=1, keepdims=True)
-    return v, v / np.linalg.norm(v, axis=1, keepdims=True)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
 def partners(graph: Graph, queries: np.ndarray, beam: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -172,17 +205,18 @@ def partners(graph: Graph, queries: np.ndarray, beam: int, least: float) -> Iter
         yield own[rows], cols
 
 
-def audited(graph: Graph, queries: np.ndarray, self_search: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links (query, node) that join what the candidate links join, by a beam as wide as the audit asks for. Numbers of
-    nodes follow those of queries in the links' groups, unless both are one set."""
-    beam = BEAM
+def audited(graph: Graph, queries: np.ndarray, own: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray, tuple]:
+    """(query, node, audit): links that join what the candidate links join, nodes numbered after the queries, by a beam
+    as wide as the audit asks for or by comparison with all. own: each query's own node in the graph, if they are of one
+    shard. The audit is (queries in the sample, their recall, the beam, whether all were compared)."""
     sample = np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)
-    true = queries[sample].astype(np.float32) @ graph.x.T
-    if self_search:
-        true[np.arange(len(sample)), sample] = -2
+    true = queries[sample] @ graph.x.T
+    if own is not None:
+        true[np.arange(len(sample)), own[sample]] = -2
     linked = true >= least
     near = linked if linked.any() else true >= np.sort(true, 1)[:, -min(4, true.shape[1])][:, None]
-    while WHOLE * beam < len(graph.x):
+    beam, passed, recall = BEAM, False, 0.0
+    while not passed and beam <= BEAM_LIMIT and WHOLE * beam < len(graph.x):
         got = np.zeros(true.shape, bool)
         if linked.any():
             for rows, cols in partners(graph, queries[sample], beam, least):
@@ -190,98 +224,93 @@ def audited(graph: Graph, queries: np.ndarray, self_search: bool, least: float)
         else:
             ids, _ = graph.find(queries[sample], beam)
             got[np.nonzero(ids >= 0)[0], ids[ids >= 0]] = True
-        if (got & near).sum() >= AUDIT_RECALL * near.sum():
-            break
-        beam *= 2
-    off = 0 if self_search else len(queries)
-    edges = [forest(rows, cols.astype(np.int64) + off) for rows, cols in partners(graph, queries, beam, least) if len(rows)]
+        recall = float((got & near).sum() / near.sum())
+        passed = recall >= AUDIT_RECALL
+        beam *= 1 if passed else 2
+    # a beam as wide as the shard compares with all of it
+    found = partners(graph, queries, beam if passed else len(graph.x), least)
+    edges = [forest(rows, cols.astype(np.int64) + len(queries)) for rows, cols in found if len(rows)]
+    audit = (len(sample), recall if passed else 1.0, beam if passed else 0, not passed)
     if not edges:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return forest(*(np.concatenate(e) for e in zip(*edges, strict=True)))
-
-
-def verified(a: np.ndarray, b: np.ndarray, wa: np.ndarray, wb: np.ndarray, x: np.ndarray, y: np.ndarray, least: float, same: bool):
-    """(links per a, links per b, edges): the links x-y group the vectors, those of b numbered after those of a; all pairs
-    within a group are compared exactly, and count as often (wa, wb) as there are equal vectors. a and b are one set if `same`."""
-    na, nb = len(a), len(b)
-    count_a, count_b = np.zeros(na, np.int64), np.zeros(nb, np.int64)
-    edges: list[tuple[np.ndarray, np.ndarray]] = []
-    off = 0 if same else na
-    node, root = forest(x, y)
-    group = np.full(na + (0 if same else nb), -1, np.int64)
-    group[node] = root
-    group[root] = root
-    order = np.argsort(group, kind="stable")
-    order = order[group[order] >= 0]
-    for part in np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(order) else ():
-        left, right = (part, part) if same else (part[part < na], part[part >= na] - na)
-        for k in range(0, len(left), VERIFIED):
-            own = left[k : k + VERIFIED]
-            hit = a[own] @ b[right].T >= least
-            if same:
-                hit[np.arange(len(own)), k + np.arange(len(own))] = False
-            count_a[own] += hit @ wb[right]
-            count_b[right] += 0 if same else wa[own] @ hit
-            x, y = np.nonzero(hit)
-            if len(x):
-                edges.append(forest(own[x], right[y] + off))
-    return count_a, count_b, edges
-
-
-_SHARD = "label string, dim int, shard int, shards int, ids binary, nodes binary, vectors binary"
-_OUT = "vec_id long, n long, other long"
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), audit
+    return *forest(*(np.concatenate(e) for e in zip(*edges, strict=True))), audit
+
+
+def _matrix(column: pa.ChunkedArray, kind=np.float64) -> np.ndarray:
+    flat = column.combine_chunks().flatten().to_numpy().astype(kind)
+    return flat.reshape(len(column), -1)
+
+
+_SHARD = "label string, dim int, shard int, shards int, ids binary, vectors binary, graph array<binary>, entry int"
+_FOUND = "a long, b long, i int, j int, sampled int, recall double, beam int, compared boolean"
 
 
 def _build(group: pa.Table) -> pa.Table:
-    group = group.sort_by([("vec_id", "ascending")])
-    _, x = unit(group["vector"].to_pylist())
-    ids = group["vec_id"].to_numpy()
-    seen: dict[bytes, int] = {}
-    nodes = np.array([seen.setdefault((v + 0.0).tobytes(), len(seen)) for v in x], np.int32)
-    first = np.unique(nodes, return_index=True)[1]
-    x = x[first]
-    g = Graph(x, ids[first])
+    group = group.sort_by([("node", "ascending")])
+    x = unit(_matrix(group["vector"]))
+    g = Graph(x, group["node"].to_numpy())
     cols = [group[c][:1] for c in ("label", "dim", "shard", "shards")]
     graph = pa.array([[n.tobytes() for n in g.neighbours]], pa.list_(pa.binary()))
-    return pa.table([*cols, pa.array([ids.tobytes()]), pa.array([nodes.tobytes()]), pa.array([x.tobytes()]), graph, pa.array([g.entry], pa.int32())], ["label", "dim", "shard", "shards", "ids", "nodes", "vectors", "graph", "entry"])
+    return pa.table([*cols, pa.array([group["node"].to_numpy().tobytes()]), pa.array([g.x.tobytes()]), graph, pa.array([g.entry], pa.int32())], ["label", "dim", "shard", "shards", "ids", "vectors", "graph", "entry"])
 
 
-def _compare(least: float):
-    def load(r) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
-        ids, nodes = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["nodes"], np.int32)
-        x = np.frombuffer(r["vectors"], np.float64).reshape(int(nodes.max()) + 1, -1)
+def _search(least: float):
+    def run(group: pa.Table) -> pa.Table:
+        q, r = sorted(group.to_pylist(), key=lambda row: row["graph"] is not None)
+        ids, qids = np.frombuffer(r["ids"], np.int64), np.frombuffer(q["ids"], np.int64)
         g = Graph.__new__(Graph)
-        g.x, g.entry = x.astype(np.float32), r["entry"]
-        g.neighbours = [np.frombuffer(n, np.int32).reshape(len(x), -1) for n in r["graph"]]
-        return ids, nodes, x, g
+        g.x, g.entry = np.frombuffer(r["vectors"], np.float32).reshape(len(ids), -1), r["entry"]
+        g.neighbours = [np.frombuffer(n, np.int32).reshape(len(ids), -1) for n in r["graph"]]
+        own = np.searchsorted(ids, qids) if q["i"] == q["j"] else None
+        x, y, audit = audited(g, np.frombuffer(q["vectors"], np.float32).reshape(len(qids), -1), own, least)
+        names = np.concatenate((qids, ids))
+        a, b = names[x], names[y]
+        a, b = a[a != b], b[a != b]
+        n = len(a) + 1
+        rest = [np.full(n, v) for v in (q["i"], q["j"], *audit)]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.bool_()]
+        return pa.table([pa.array([*c.tolist(), None] if k < 2 else c, t) for k, (c, t) in enumerate(zip((a, b, *rest), kinds, strict=True))], [f.split()[0] for f in _FOUND.split(", ")])
 
-    def run(group: pa.Table) -> pa.Table:
-        shards = [load(r) for r in sorted(group.to_pylist(), key=lambda r: r["shard"])]
+    return run
+
+
+def search_links(nodes: DataFrame, least: float, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
+    """Of nodes (node, label, dim, vector): (a, b), links that join all that was found near `least` or nearer, and the audits
+    (shards i and j, queries sampled, recall, beam, and whether all queries were compared with the whole shard)."""
+    sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("count")).withColumn("shards", F.ceil(F.col("count") / shard).cast("int"))
+    dealt = keyed_join(nodes, sizes, ["label", "dim"], nodes.count()).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
+    graphs = materialize(dealt.groupBy("label", "dim", "shard").applyInArrow(_build, _SHARD))
+    size, other = F.octet_length("ids") / 8, F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
+    parts = F.explode(F.sequence(F.lit(0), F.ceil(size / QUERIES).cast("int") - 1))
+    asked = graphs.withColumn("part", parts).select("label", "dim", F.col("shard").alias("i"), other.alias("j"), "part", F.expr(f"substring(ids, part * {8 * QUERIES} + 1, {8 * QUERIES})").alias("ids"), F.expr(f"substring(vectors, part * dim * {4 * QUERIES} + 1, dim * {4 * QUERIES})").alias("vectors"))
+    ranges = graphs.select("label", "dim", F.col("shard").alias("i"), parts.alias("part"))
+    held = graphs.select("label", "dim", F.col("shard").alias("j"), other.alias("i"), "ids", "vectors", "graph", "entry").join(ranges, ["label", "dim", "i"])
+    rows = asked.withColumns({"graph": F.lit(None).cast("array<binary>"), "entry": F.lit(None).cast("int")}).unionByName(held)
+    found = materialize(rows.groupBy("label", "dim", "i", "j", "part").applyInArrow(_search(least), _FOUND))
+    return found.where("a is not null").select("a", "b"), found.where("a is null").drop("a", "b")
+
+
+def _verify(least: float):
+    def run(group: pa.Table):
+        group = group.sort_by([("side", "ascending"), ("node", "ascending")])
+        split = int((group["side"].to_numpy() == 0).sum())
+        node, weight, several = (group[c].to_numpy(zero_copy_only=False) for c in ("node", "weight", "several"))
+        x = unit(_matrix(group["vector"]))
         same = group["i"][0].as_py() == group["j"][0].as_py()
-        (ia, ka, xa, ga), (ib, kb, xb, gb) = shards[0], shards[-1]
-        wa, wb = np.bincount(ka), np.bincount(kb)
-        links = audited(gb, xa, same, least)
-        if not same:
-            back = [np.where(v < len(xb), v + len(xa), v - len(xb)) for v in audited(ga, xb, False, least)]
-            links = [np.concatenate(v) for v in zip(links, back, strict=True)]
-        count_a, count_b, edges = verified(xa, xb, wa, wb, *links, least, same)
-        named = ia[np.unique(ka, return_index=True)[1]]  # a node's smallest id
-        out = []
+        left, right = np.arange(split), np.arange(0 if same else split, len(node))
+        hit = x[left] @ x[right].T >= least
         if same:
-            copies = (wa > 1) & (np.einsum("nd,nd->n", xa, xa) >= least)
-            count_a += np.where(copies, wa - 1, 0)
-            own = copies[ka]
-            out.append((ia[own], np.zeros(own.sum(), np.int64), named[ka][own]))
-        else:
-            named = np.concatenate((named, ib[np.unique(kb, return_index=True)[1]]))
-        ids = ia if same else np.concatenate((ia, ib))
-        out.append((ids, count_a[ka] if same else np.concatenate((count_a[ka], count_b[kb])), ids))
-        if edges:
-            x, y = forest(*(np.concatenate(e) for e in zip(*edges, strict=True)))
-            out.append((named[x], np.zeros(len(x), np.int64), named[y]))
-        v, n, o = (np.concatenate(c) for c in zip(*out, strict=True))
-        keep = (n > 0) | (v != o)
-        return pa.table([pa.array(v[keep]), pa.array(n[keep]), pa.array(o[keep])], ["vec_id", "n", "other"])
+            np.fill_diagonal(hit, False)
+        n = [hit @ weight[right]] + ([] if same else [weight[left] @ hit])
+        a, b = np.nonzero(hit)
+        a, b = node[left][a], node[right][b]
+        told = several[left][:, None] | several[right][None, :]
+        ta, tb = np.nonzero(hit & told)
+        ta, tb = node[left][ta], node[right][tb]
+        fa, fb = forest(a, b) if len(a) else (a, b)
+        kinds = np.repeat([0, 1, 2, 2], [len(node), len(fa), len(ta), len(ta)]).astype(np.int32)
+        cols = [np.concatenate((node, fa, ta, tb)), np.concatenate((node, fb, tb, ta)), np.concatenate((*n, np.zeros(len(kinds) - len(node), np.int64))), kinds]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "n", "kind"])
 
     return run
 
@@ -292,18 +321,45 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, shard: int = SHARD)
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"), F.col("label").cast("string").alias("label"))
     finite = F.forall("vector", lambda e: F.coalesce(~F.isnan(e) & (F.abs(e) != float("inf")), F.lit(False)))
     valid = base.where("vec_id is not null and label is not null").where(finite & F.exists("vector", lambda e: e != 0))
-    valid = valid.withColumn("dim", F.size("vector")).dropDuplicates(["vec_id", "label", "vector"])
-    sizes = valid.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
-    dealt = valid.join(sizes, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
-    graphs = dealt.groupBy("label", "dim", "shard").applyInArrow(_build, _SHARD + ", graph array<binary>, entry int")
-    graphs = materialize(graphs)
-    pairs = graphs.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    pairs = pairs.withColumns({"i": F.least("shard", "other"), "j": F.greatest("shard", "other")})
-    found = materialize(pairs.groupBy("label", "dim", "i", "j").applyInArrow(_compare(least), _OUT))
-    links = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
-    parts = components(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "vec_id")
-    out = base.select("vec_id").join(links, "vec_id", "left").join(parts, "vec_id", "left")
-    component = F.coalesce("component", "vec_id")
+    valid = materialize(valid.groupBy("vec_id", "label", "vector").agg(F.lit(1)).select("vec_id", "label", F.size("vector").alias("dim"), "vector"))
+    total = valid.count()
+    nodes = materialize(valid.groupBy("label", "dim", "vector").agg(F.count("*").alias("count")).withColumn("node", F.monotonically_increasing_id()))
+    members = materialize(keyed_join(valid, nodes, ["label", "dim", "vector"], total).select("vec_id", "node"))
+    # ids with several vectors: what links with them is told apart id by id
+    several = materialize(members.groupBy("vec_id").count().where("count > 1").select("vec_id", F.lit(True).alias("several")))
+    marked = members.join(several, "vec_id", "left").select("vec_id", "node", F.coalesce("several", F.lit(False)).alias("several"))
+    weights = materialize(marked.groupBy("node").agg(F.sum((~F.col("several")).cast("long")).alias("weight"), F.max("several").alias("several")))
+
+    links, _ = search_links(nodes.select("node", "label", "dim", "vector"), least, shard)
+    groups = components(links)
+    groups = groups.select("node", F.col("component").alias("group")).unionByName(groups.select(F.col("component").alias("node"), F.col("component").alias("group")).distinct())
+    held = materialize(nodes.select("node", "vector").join(groups, "node").join(weights, "node"))
+    sizes = materialize(held.groupBy("group").agg(F.count("*").alias("count"))).withColumn("blocks", F.ceil(F.col("count") / VERIFIED).cast("int"))
+    dealt = keyed_join(held, sizes, ["group"], held.count()).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    dealt = dealt.select("group", "i", "j", (F.col("block") != F.col("i")).cast("int").alias("side"), "node", "weight", "several", "vector")
+    keys = ["group", "i", "j"]
+    found = materialize(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(by_group(keys, _verify(least)), "a long, b long, n long, kind int"))
+
+    counts = found.where("kind = 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    parts = components(found.where("kind = 1"))
+    per = nodes.select("node", "count").join(weights, "node").join(counts, "node", "left").join(parts, "node", "left")
+    per = materialize(per.select("node", "count", (F.coalesce("n", F.lit(0)) + F.col("weight")).alias("n"), F.coalesce("component", "node").alias("part")))
+    placed = materialize(keyed_join(members, per, ["node"], total))
+    low = materialize(placed.groupBy("part").agg(F.min("vec_id").alias("component_id"), F.count("*").alias("count")))
+    placed = keyed_join(placed, low, ["part"], total).select("vec_id", "n", "component_id")
+    if several.first() is None:
+        rows = placed.select("vec_id", (F.col("n") - 1).alias("n_links"), "component_id")
+    else:
+        one = components(placed.select(F.col("vec_id").alias("a"), F.col("component_id").alias("b"))).withColumnRenamed("node", "vec_id")
+        near = found.where("kind = 2").select("a", "b").unionByName(weights.where("several").select(F.col("node").alias("a"), F.col("node").alias("b"))).distinct()
+        pairs = near.join(marked.select(F.col("node").alias("a"), F.col("vec_id").alias("v"), F.col("several").alias("s")), "a").join(marked.select(F.col("node").alias("b"), F.col("vec_id").alias("u"), F.col("several").alias("t")), "b")
+        told = pairs.where("v <> u and (s or t)").select(F.col("v").alias("vec_id"), "u").distinct().groupBy("vec_id").agg(F.count("*").alias("told"))
+        rows = placed.groupBy("vec_id").agg(F.max("n").alias("n")).join(several, "vec_id", "left").join(told, "vec_id", "left").join(one, "vec_id", "left")
+        n = F.when(F.col("several"), F.lit(0)).otherwise(F.col("n") - 1) + F.coalesce("told", F.lit(0))
+        rows = rows.select("vec_id", n.alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+    out = base.select("vec_id").join(rows, "vec_id", "left")
+    component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
 
 

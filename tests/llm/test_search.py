@@ -69,17 +69,50 @@ def test_near_duplicates_beyond_the_beam(spark, noise, shard):
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(k, 119, 0) for k in range(120)]
 
 
-@pytest.mark.parametrize("whole", [1, 64])
-def test_audit_widens_beams_until_all_groups_are_joined(monkeypatch, whole):
-    monkeypatch.setattr(ann, "WHOLE", whole)
+def test_audit_widens_beams_until_all_groups_are_joined():
     rng = np.random.default_rng(4)
     centre = np.repeat(rng.normal(size=(40, 24)), [150] * 10 + [20] * 30, 0)
-    _, x = ann.unit((centre + 0.1 * rng.normal(size=centre.shape)).tolist())
+    x = ann.unit(centre + 0.1 * rng.normal(size=centre.shape))
     near = x @ x.T >= 0.93
-    node, root = ann.audited(ann.Graph(x, np.arange(len(x))), x, True, 0.93)
-    got = np.arange(len(x))
-    got[node] = root
-    assert near.sum() > len(x) and got.tolist() == classes(len(x), zip(*np.nonzero(near)))
+    a, b, (_, recall, _, _) = ann.audited(ann.Graph(x, np.arange(len(x))), x.astype(np.float32), np.arange(len(x)), 0.93)
+    assert near.sum() > len(x) and recall >= ann.AUDIT_RECALL
+    assert classes(len(x), zip(a % len(x), b % len(x))) == classes(len(x), zip(*np.nonzero(near)))
+
+
+def test_layers_hang_together():
+    rng = np.random.default_rng(8)
+    x = ann.unit(np.repeat(rng.normal(size=(60, 64)), 50, 0) + 0.02 * rng.normal(size=(3000, 64)))
+    g = ann.Graph(x, np.arange(len(x)))
+    low = g.neighbours[0]
+    rows, cols = np.nonzero(low >= 0)
+    assert set(classes(len(x), zip(rows, low[rows, cols]))) == {0}
+
+
+@pytest.mark.parametrize("shard", [16_384, 700])
+def test_no_link_of_many_groups_is_lost(spark, shard):
+    rng = np.random.default_rng(8)
+    v = np.repeat(rng.normal(size=(60, 64)), 50, 0) + 0.02 * rng.normal(size=(3000, 64))
+    df = spark.createDataFrame([(k, x.tolist(), 0) for k, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    got = near_duplicates(df, shard=shard).collect()
+    assert sum(r["n_links"] for r in got) == 147_000 and all(r["component_id"] == r["vec_id"] // 50 * 50 for r in got)
+
+
+def test_audits_are_returned_and_bad_graphs_compared_whole(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(900, 8))
+    nodes = spark.createDataFrame([(k, "x", 8, x.tolist()) for k, x in enumerate(v)], "node long, label string, dim int, vector array<double>")
+    _, audits = ann.search_links(nodes, 0.93, 500)
+    rows = audits.collect()
+    assert len(rows) == 4 and all(r["recall"] >= ann.AUDIT_RECALL and r["sampled"] == 128 for r in rows)
+
+
+def test_repeated_ids_count_other_ids_once(spark):
+    a, b = [1.0, 0.0, 0.0], [0.99, 0.1, 0.0]
+    rows = [(1, a, 0), (1, b, 0), (2, a, 0), (1, a, 0), (3, [0.0, 0.0, 1.0], 0), (3, b, 0), (4, [0.0, 0.1, 1.0], 0), (None, a, 0), (5, a, None), (6, a, 1), (6, a, 2)]
+    df = spark.createDataFrame([(*r, "x", 9) for r in rows], "vec_id long, embedding array<double>, label int, node string, count int")
+    got = near_duplicates(df).collect()
+    want = {(1, 2, 1, True), (2, 2, 1, False), (3, 3, 1, False), (4, 1, 1, False), (None, 0, None, True), (5, 0, 5, True), (6, 0, 6, True)}
+    assert len(got) == len(rows) and {tuple(r) for r in got} == want
 
 
 def test_near_duplicates_of_no_rows(spark):
