@@ -66,17 +66,20 @@ def complexity(sequence: Column, threshold_length: int = 150, cutoff: float = 0.
             if not text:
                 return 0.0
             text = text.upper()
-            phrases, phrase, codes = set(text), "", 0
-            for base in text:
-                longer = phrase + base
-                if longer in phrases:
-                    phrase = longer
+            letters = text.encode("utf-32-le", "surrogatepass")
+            longer: dict[int, int] = {}  # phrase and next letter -> phrase; phrases of one letter are that letter
+            step, phrase, last = longer.get, -1, 0x110000
+            for base in memoryview(letters).cast("I"):
+                known = base if phrase < 0 else step(phrase << 21 | base)
+                if known is None:
+                    longer[phrase << 21 | base] = last
+                    phrase, last = base, last + 1
                 else:
-                    phrases.add(longer)
-                    phrase, codes = base, codes + 1
-            share = (codes + 1) / len(text)
+                    phrase = known
+            share = (len(longer) + 1) / len(text)
             return share if len(text) <= threshold_length else share + cutoff - (SLOPE * math.log(len(text)) + INTERCEPT)
 
-        return s.map(one)
+        scores = {t: one(t) for t in s.unique()}  # equal texts once
+        return s.map(scores)
 
     return score(sequence)

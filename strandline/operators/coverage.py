@@ -24,11 +24,17 @@ def islands(intervals: DataFrame, *keys: str) -> DataFrame:
 
 def index_quantiles(values: DataFrame, key: str, value: str) -> DataFrame:
     """Coverage statistics of each key's depths: quantiles are the sorted value at position int(q * n); shares of
-    depths above twice the average, and of 0, 1 and 2."""
-    g = values.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("d"), F.avg(value).alias("avg"), F.count(value).alias("n"))
-    at = lambda q: F.element_at("d", F.least((F.lit(q) * F.col("n")).cast("int") + 1, F.size("d")))
-    share = lambda keep: F.size(F.filter("d", keep)) / F.col("n")
-    return g.where("n > 0").select(key, "n", "avg", F.col("d")[0].alias("p0"), at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75"), F.element_at("d", -1).alias("p100"), share(lambda x: x > 2 * F.col("avg")).alias("avg2xcnt"), *(share(F.lit(k).__eq__).alias(f"cnt{k}") for k in range(3)))
+    depths above twice the average, and of 0, 1 and 2. Depths are counted first, so that a key has a row per distinct one."""
+    counts = values.where(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("__v")).agg(F.count("*").alias("__c"))
+    own = Window.partitionBy(key)
+    upto = F.sum("__c").over(own.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))
+    run = counts.withColumns({"__upto": upto, "__n": F.sum("__c").over(own), "__avg": F.sum(F.col("__v") * F.col("__c")).over(own) / F.sum("__c").over(own)})
+    at = lambda q: F.min(F.when(F.col("__upto") > F.least(F.floor(F.lit(q) * F.col("__n")), F.col("__n") - 1), F.col("__v")))
+    share = lambda keep: F.sum(F.when(keep, F.col("__c")).otherwise(0)) / F.max("__n")
+    return run.groupBy(key).agg(
+        F.max("__n").alias("n"), F.max("__avg").alias("avg"), F.min("__v").alias("p0"), at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75"), F.max("__v").alias("p100"),
+        share(F.col("__v") > 2 * F.col("__avg")).alias("avg2xcnt"), *(share(F.col("__v") == k).alias(f"cnt{k}") for k in range(3)),
+    )
 
 
 def bin_of(position: Column, length: Column, bins: Column) -> Column:

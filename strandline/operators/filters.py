@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import alignment as A
-from strandline.operators.scalar import with_row
+from strandline.functions import text as X
+from strandline.operators.scalar import kept, with_row
 from strandline.schemas import HUMAN
 
 
@@ -72,18 +73,68 @@ def by_length(df: DataFrame, column: str, low: int, high: int | None = None) ->
 
 
 def complexity_filter(reads: DataFrame, score: str, cutoffs: list[float]) -> DataFrame:
-    """Reads above the highest cut-off that any read exceeds, and up to the next higher one, as that one has none."""
+    """Reads above the highest cut-off that any read exceeds, and up to the next higher one, as that one has none. The
+    scored reads are kept, so that they are scored once."""
+    reads = kept(reads)
     best = reads.agg(*(F.max((F.col(score) > c).cast("int")).alias(f"c{k}") for k, c in enumerate(sorted(cutoffs, reverse=True))))
     chosen = F.coalesce(*(F.when(F.col(f"c{k}") == 1, F.lit(c)) for k, c in enumerate(sorted(cutoffs, reverse=True))))
     return with_row(reads, best.select(chosen.alias("__cut"))).where(F.col(score) > F.col("__cut")).drop("__cut")
 
 
 def line_violations(lines: DataFrame, max_length: int = 10_000) -> DataFrame:
-    """(error, first_line, n) of input lines (line_no, value): unprintable characters, too long lines."""
+    """(error, first_line, n) of one file's lines (line_no, value): unprintable characters, too long lines."""
     bad = F.when(F.length("value") > max_length, "long").when(F.col("value").rlike(r"[^\x20-\x7F\x01\x09]"), "character")
     return lines.select("line_no", bad.alias("error")).where("error is not null").groupBy("error").agg(F.min("line_no").alias("first_line"), F.count("*").alias("n"))
 
 
+def record_violations(lines: DataFrame, multiple: int = 4) -> DataFrame:
+    """(error, first_line, n): a row if a file's number of lines is no multiple of the lines of a record."""
+    n = lines.agg(F.count("*").alias("n"), F.max("line_no").alias("last"))
+    return n.where(F.col("n") % multiple != 0).select(F.lit("incomplete").alias("error"), F.col("last").alias("first_line"), F.lit(1).cast("long").alias("n"))
+
+
+def quality_filter(reads: DataFrame, min_length: int = 35, phred: int = 17, max_low: float = 0.15, max_unknown: int = 15) -> DataFrame:
+    """reads (seq, quality) of min_length or more with at most max_unknown N and a share of max_low bases below phred."""
+    unknown = F.length("seq") - F.length(F.translate("seq", "Nn", ""))
+    return reads.where((F.length("seq") >= min_length) & (unknown <= max_unknown) & (F.coalesce(X.low_quality_share(F.col("quality"), phred), F.lit(1.0)) <= max_low))
+
+
+def called_filter(reads: DataFrame, min_called: float = 0.9, min_good: float = 0.85, phred: int = 17) -> DataFrame:
+    """reads (seq, quality) with min_called of their bases known and min_good of them of at least phred; if no read is left
+    that way, the quality isn't asked for."""
+    known = kept(reads.where(X.called_share(F.col("seq")) >= min_called).withColumn("__good", F.coalesce(1 - X.low_quality_share(F.col("quality"), phred) >= min_good, F.lit(False))))
+    some = known.agg(F.coalesce(F.max("__good"), F.lit(False)).alias("__some"))
+    return with_row(known, some).where("__good or not __some").drop("__good", "__some")
+
+
+def short_reads_only(reads: DataFrame, most: int = 500) -> DataFrame:
+    """reads themselves; the job fails at the first whose sequence is longer than short-read machines give."""
+    return reads.where(F.when(F.length("seq") <= most, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("read longer than short reads are: "), F.col("read_id").cast("string"))).cast("boolean")))
+
+
+def reference_alphabet(references: DataFrame) -> DataFrame:
+    """References whose sequence holds anything but the letters of nucleotides and their ambiguities."""
+    return references.where(F.col("seq").rlike("[^ACGTURYKMSWBDHVNacgturykmswbdhvn-]"))
+
+
+def contigs_with_reads(contigs: DataFrame, read2contig: DataFrame) -> DataFrame:
+    """Contigs (contig_id) that own a read."""
+    return contigs.join(read2contig.where("contig_id <> '*'").select("contig_id"), "contig_id", "left_semi")
+
+
+def contigs_of_taxa(contigs: DataFrame, hits: DataFrame, taxa: DataFrame, rank: str = "species_taxid") -> DataFrame:
+    """Contigs whose hit (contig_id, rank) is one of the taxa (taxid)."""
+    wanted = hits.join(taxa.select(F.col("taxid").alias(rank)), rank, "left_semi")
+    return contigs.join(wanted.select("contig_id"), "contig_id", "left_semi")
+
+
+def accession_subset(accessions: DataFrame, headers: DataFrame) -> DataFrame:
+    """Rows of an accession map (accession, taxid) whose accession, without version, a FASTA header (header) names; headers
+    may hold several names, parted by \\x01."""
+    named = headers.select(F.explode(F.split("header", "\x01")).alias("h")).select(F.substring_index(F.regexp_extract("h", r"^>?(\S+)", 1), ".", 1).alias("accession"))
+    return accessions.join(named.where("accession <> ''"), "accession", "left_semi")
+
+
 def require_rows(df: DataFrame, least: int) -> DataFrame:
     """df itself; the job fails where it has fewer rows."""
     if df.limit(least).count() < least:

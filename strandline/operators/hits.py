@@ -28,11 +28,12 @@ def call_hits(m8: DataFrame, acc2tax: DataFrame, lineage: DataFrame, min_length:
 
     The species that most of those name wins (the smaller taxid on ties), then that species' accession that occurs most
     (the first by `ord` on ties), then its first alignment. Without any species the level and all taxids are -1. Lists
-    apply to the winner only, so a read whose winner is denied is lost. One shuffle by read serves all windows.
+    apply to the winner only, so a read whose winner is denied is lost. One shuffle by read serves all windows where the
+    dimensions are small enough to be broadcast.
     """
-    rows = with_lineage(with_taxid(valid_alignments(m8, min_length), acc2tax), lineage)
     read = Window.partitionBy("qseqid")
-    best = rows.withColumn("__best", F.max("bitscore").over(read)).where("bitscore = __best")
+    best = valid_alignments(m8, min_length).withColumn("__best", F.max("bitscore").over(read)).where("bitscore = __best")
+    best = with_lineage(with_taxid(best, acc2tax), lineage)  # of the best alignments alone
     known = F.col("species") >= 0
     best = best.withColumns({
         "__n_taxon": F.when(known, F.count("*").over(Window.partitionBy("qseqid", "species"))),
@@ -84,7 +85,8 @@ def hsp_covers(m8: DataFrame) -> DataFrame:
     low, high = F.least("qstart", "qend").alias("b"), F.greatest("qstart", "qend").alias("e")
     item = F.struct("ord", low, high, *(F.col(c) for c in m8.columns if c not in ("ord", "qseqid", "sseqid")))
     pairs = m8.groupBy("qseqid", "sseqid").agg(F.array_sort(F.collect_list(item)).alias("hsps"))
-    covered = pairs.select("qseqid", "sseqid", disjoint_hsps(F.col("hsps")).alias("cover"))
+    cover = F.when(F.size("hsps") == 1, F.col("hsps")).otherwise(disjoint_hsps(F.col("hsps")))  # most pairs have one
+    covered = pairs.select("qseqid", "sseqid", cover.alias("cover"))
     return covered.withColumns({"score": F.aggregate("cover", F.lit(0.0), lambda a, x: a + x["bitscore"]), "first": F.col("cover")[0]["ord"]})
 
 

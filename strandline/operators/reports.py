@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.operators.scalar import with_row
+from strandline.operators.scalar import running_sums, with_row
 
 
 def outer_merge(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,24 +33,27 @@ def gene_report(hits: DataFrame) -> DataFrame:
     return classes.join(rest, "gene")
 
 
+def _running_precision(scores: DataFrame) -> DataFrame:
+    """(score, precision, recall) at each distinct score, highest first, with those of the score before it as p0 and r0."""
+    by = scores.where("score is not null").groupBy("score").agg(F.sum("truth").alias("tp"), F.count("*").alias("n"))
+    run = running_sums(by, [F.desc("score")], tp0="tp", n0="n")
+    total = scores.agg(F.sum("truth").alias("__p"))
+    tp, n = F.col("tp0") + F.col("tp"), F.col("n0") + F.col("n")
+    return with_row(run, total).select("score", (tp / n).alias("precision"), F.try_divide(tp, F.col("__p")).alias("recall"), F.try_divide(F.col("tp0"), F.col("n0")).alias("p0"), F.coalesce(F.try_divide(F.col("tp0"), F.col("__p")), F.lit(0.0)).alias("r0"))
+
+
 def precision_recall(scores: DataFrame) -> DataFrame:
     """(score, precision, recall) at each distinct score, highest first, of scores (score, truth); rows that are true
     but have no score are missed."""
-    by = scores.where("score is not null").groupBy("score").agg(F.sum("truth").alias("tp"), F.count("*").alias("n"))
-    w = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)  # a row per distinct score
-    total = scores.agg(F.sum("truth").alias("__p"))
-    run = by.select("score", F.sum("tp").over(w).alias("tp"), F.sum("n").over(w).alias("n"))
-    return with_row(run, total).select("score", (F.col("tp") / F.col("n")).alias("precision"), F.try_divide(F.col("tp"), F.col("__p")).alias("recall"))
+    return _running_precision(scores).select("score", "precision", "recall")
 
 
 def aupr(scores: DataFrame) -> DataFrame:
     """Area under the precision-recall curve by trapezes, from recall 0 at the first precision, to recall 1 at precision
     0 where truth is missed."""
-    pr = precision_recall(scores)
-    ends = pr.agg(F.max_by("precision", "score").alias("p0"), F.max("recall").alias("r1"), F.min_by("precision", "score").alias("p1"), F.min_by("recall", "score").alias("r_last"))
-    w = Window.orderBy(F.desc("score"))
-    area = pr.select(((F.col("recall") - F.coalesce(F.lag("recall").over(w), F.lit(0.0))) * (F.col("precision") + F.coalesce(F.lag("precision").over(w), F.col("precision"))) / 2).alias("a")).agg(F.sum("a").alias("area"))
-    return with_row(area, ends).select((F.col("area") + (1 - F.col("r_last")) * F.col("p1") / 2).alias("aupr"))
+    part = (F.col("recall") - F.col("r0")) * (F.col("precision") + F.coalesce("p0", "precision")) / 2
+    ends = _running_precision(scores).agg(F.sum(part).alias("area"), F.min_by("precision", "score").alias("p1"), F.min_by("recall", "score").alias("r_last"))
+    return ends.select((F.col("area") + (1 - F.col("r_last")) * F.col("p1") / 2).alias("aupr"))
 
 
 def l2_distance(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -64,8 +67,8 @@ def spearman(pairs: DataFrame, x: str, y: str) -> DataFrame:
     out = pairs.where(f"{x} is not null and {y} is not null")
     for c in (x, y):
         counts = out.groupBy(c).agg(F.count("*").alias("__n"))
-        before = F.coalesce(F.sum("__n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        out = out.join(counts.select(c, (before + (F.col("__n") + 1) / 2).alias(f"__r_{c}")), c)
+        ranks = running_sums(counts, [F.asc(c)], __before="__n")
+        out = out.join(ranks.select(c, (F.col("__before") + (F.col("__n") + 1) / 2).alias(f"__r_{c}")), c)
     return out.agg(F.corr(f"__r_{x}", f"__r_{y}").alias("spearman"))
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators.scalar import with_row
+from strandline.operators.scalar import kept, running_sums, with_row
 
 
 def duplicate_clusters(reads: DataFrame, prefix: int = 70, columns: tuple[str, ...] = ("seq",)) -> DataFrame:
@@ -84,18 +84,14 @@ def n50(contigs: DataFrame, length: str, *keys: str) -> DataFrame:
 def byte_ranges(records: DataFrame, key: str, order: list[str]) -> DataFrame:
     """(key, first_byte, last_byte, n) of each key's records (size) in a file sorted by key and then by order. Sizes are
     summed per key first, so only a row per key is ordered as a whole."""
-    per = records.groupBy(key).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    before = F.coalesce(F.sum("bytes").over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return per.select(key, before.alias("first_byte"), (before + F.col("bytes") - 1).alias("last_byte"), "n")
+    per = running_sums(records.groupBy(key).agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), [F.asc(key)], first_byte="bytes")
+    return per.select(key, "first_byte", (F.col("first_byte") + F.col("bytes") - 1).alias("last_byte"), "n")
 
 
 def offsets(records: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """records (size) with the byte at which each begins in a file sorted by group and then by order: sums within groups
-    on top of the groups' own."""
-    w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inner = records.withColumn("__in", F.coalesce(F.sum("size").over(w), F.lit(0)))
-    base = byte_ranges(records, group, order).select(group, F.col("first_byte").alias("__base"))
-    return inner.join(base, group).withColumn("offset", F.col("__base") + F.col("__in")).drop("__base", "__in")
+    """records (size) with the byte at which each begins in a file sorted by group and then by order. The file is dealt by
+    ranges, so that a large group is in several."""
+    return running_sums(records, [F.asc(group), *map(F.asc, order)], offset="size")
 
 
 # ------------------------------------------------------------------ sketches
@@ -161,37 +157,49 @@ def containment(a: Column, b: Column) -> Column:
 
 def containment_edges(sketches: DataFrame, threshold: float) -> DataFrame:
     """(grp, a, b) of sequences (grp, id, ord, sketch) of one group of which the later a is contained in the earlier b:
-    an inverted index of hashes, so only pairs that share a hash are counted."""
-    rows = sketches.select("grp", "id", "ord", F.size("sketch").alias("n"), F.explode("sketch").alias("h"))
-    a = rows.select("grp", "h", F.col("id").alias("a"), F.col("ord").alias("oa"), F.col("n").alias("na"))
-    b = rows.select("grp", "h", F.col("id").alias("b"), F.col("ord").alias("ob"))
-    shared = a.join(b, ["grp", "h"]).where("ob < oa").groupBy("grp", "a", "oa", "na", "b", "ob").agg(F.count("*").alias("shared"))
-    return shared.where(F.col("shared") >= threshold * F.col("na"))
+    an inverted index of hashes. Of a's hashes only its rarest are looked up, as many as b can't all lack, and b must
+    hold a share of them; so a hash that very many hold joins rarely."""
+    rows = kept(sketches.select("grp", "id", "ord", F.size("sketch").alias("n"), F.explode("sketch").alias("h")))
+    frequent = rows.groupBy("grp", "h").agg(F.count("*").alias("f")).where("f > 1")  # others join with nothing
+    ranked = rows.join(frequent, ["grp", "h"]).withColumn("k", F.row_number().over(Window.partitionBy("grp", "id").orderBy("f", "h")))
+    single = F.col("n") - F.count("*").over(Window.partitionBy("grp", "id"))  # hashes that no other sequence has
+    needed = F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1 - single
+    ranked = kept(ranked.withColumn("prefix", F.col("k") <= needed))
+    a = ranked.where("prefix").select("grp", "h", F.col("id").alias("a"), F.col("ord").alias("oa"), F.col("n").alias("na"))
+    b = ranked.select("grp", "h", F.col("id").alias("b"), F.col("ord").alias("ob"))
+    near = a.join(b, ["grp", "h"]).where("ob < oa").select("grp", "a", "oa", "na", "b", "ob").distinct()
+    held = ranked.groupBy("grp", "id").agg(F.collect_list("h").alias("hs"))
+    both = near.join(held.select("grp", F.col("id").alias("a"), F.col("hs").alias("ha")), ["grp", "a"]).join(held.select("grp", F.col("id").alias("b"), F.col("hs").alias("hb")), ["grp", "b"])
+    return both.withColumn("shared", F.size(F.array_intersect("ha", "hb"))).drop("ha", "hb").where(F.col("shared") >= threshold * F.col("na"))
 
 
 def reduce_redundant(sequences: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Greedy reduction of each group (grp, id, length, sketch), longest first: a sequence goes if one that stays holds
-    `threshold` of its sketch. Candidate pairs come from the inverted index; only they are walked in order."""
-    order = F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("length"), "id"))
-    ranked = sequences.withColumn("ord", order)
-    edges = containment_edges(ranked, threshold).select("grp", "a", "oa", "ob")
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        gone: set[int] = set()
-        for oa, obs in pdf.groupby("oa", sort=True)["ob"]:
-            if any(o not in gone for o in obs):
-                gone.add(oa)
-        return pd.DataFrame({"grp": pdf["grp"].iloc[0], "ord": sorted(gone)}, columns=["grp", "ord"])
-
-    grp = dict(sequences.dtypes)["grp"]
-    gone = edges.groupBy("grp").applyInPandas(walk, f"grp {grp}, ord int")
-    return ranked.join(gone, ["grp", "ord"], "left_anti").drop("ord")
+    `threshold` of its sketch. Of equal sketches the first stands for all: the others go, whether it stays or not.
+    Candidates come from the inverted index. Then, in rounds of joins, sequences of which all holders have gone stay, and
+    what those that stay hold goes, until all is decided. Empty sketches are held by nothing."""
+    empty = sequences.where(F.size("sketch") == 0)
+    first = sequences.where(F.size("sketch") > 0).groupBy("grp", "sketch").agg(F.min(F.struct((-F.col("length")).alias("l"), "id")).alias("ord"))
+    first = kept(first.select("grp", F.col("ord.id").alias("id"), "ord", "sketch"))
+    edges = kept(containment_edges(first, threshold).select("grp", "a", "b"))
+    gone, open_ = None, edges
+    while open_.first() is not None:
+        # holders that nothing undecided holds stay, and so all that they hold goes
+        stay = open_.select("grp", "b").distinct().join(open_.select("grp", F.col("a").alias("b")), ["grp", "b"], "left_anti")
+        new = kept(open_.join(stay, ["grp", "b"], "left_semi").select("grp", "a").distinct())
+        gone = new if gone is None else gone.unionByName(new)
+        rest = open_.join(new, ["grp", "a"], "left_anti").join(new.select("grp", F.col("a").alias("b")), ["grp", "b"], "left_anti")
+        open_ = kept(rest)
+    left = first.select("grp", "id")
+    if gone is not None:
+        left = left.join(gone.select("grp", F.col("a").alias("id")), ["grp", "id"], "left_anti")
+    return sequences.join(left, ["grp", "id"], "left_semi").unionByName(empty)
 
 
 # ------------------------------------------------------------------ pairs
 def sync_pairs(one: DataFrame, two: DataFrame, max_fraction: float = 0.0) -> DataFrame:
     """Fragments with both mates, joined by id; the job fails if more than max_fraction of all are broken."""
-    both = one.withColumn("__1", F.lit(1)).join(two.withColumn("__2", F.lit(1)), "read_id", "full_outer")
+    both = kept(one.withColumn("__1", F.lit(1)).join(two.withColumn("__2", F.lit(1)), "read_id", "full_outer"))
     broken = both.agg(F.avg((F.col("__1").isNull() | F.col("__2").isNull()).cast("double"))).first()[0]
     if (broken or 0.0) > max_fraction:
         raise ValueError(f"{broken:.4f} of all fragments lack a mate; {max_fraction} may")

@@ -7,21 +7,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators.scalar import with_row
+from strandline.operators.scalar import kept, with_row
 from strandline.schemas import NULL_RANKS, RANKS
 
 
 def lineage_paths(nodes: DataFrame, root: int = 1) -> DataFrame:
     """(tax_id, ancestor, rank, depth): every node with all its ancestors below the root and itself, by pointer doubling:
-    as many joins as the logarithm of the tree's depth, each on keys."""
-    parent = nodes.select("tax_id", F.col("parent_tax_id").alias("up")).where(F.col("tax_id") != root)
+    as many joins as the logarithm of the tree's depth, each on keys; each round is kept."""
+    parent = kept(nodes.select("tax_id", F.col("parent_tax_id").alias("up")).where(F.col("tax_id") != root))
     reach = parent.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("depth"))
     step, size = parent, 1
-    while step.limit(1).count():
+    while step.first() is not None:
         above = step.select(F.col("tax_id").alias("ancestor"), "up")
-        reach = reach.unionByName(reach.join(above, "ancestor").where(F.col("up") != root).select("tax_id", F.col("up").alias("ancestor"), (F.col("depth") + size).alias("depth")))
+        reach = kept(reach.unionByName(reach.join(above, "ancestor").where(F.col("up") != root).select("tax_id", F.col("up").alias("ancestor"), (F.col("depth") + size).alias("depth"))))
         again = step.select(F.col("tax_id").alias("up"), F.col("up").alias("up2"))
-        step = step.join(again, "up").select("tax_id", F.col("up2").alias("up")).where(F.col("up") != root)
+        step = kept(step.join(again, "up").select("tax_id", F.col("up2").alias("up")).where(F.col("up") != root))
         size *= 2
     return reach.join(nodes.select(F.col("tax_id").alias("ancestor"), "rank"), "ancestor").select("tax_id", "ancestor", "rank", "depth")
 
