@@ -7,8 +7,9 @@ frequent than its counter, so the least of them ranks it. Counters shared by cha
 Equal sets are one node from the start. Texts that can reach the threshold share LEAST of the first n - ceil(0.9 n) +
 LEAST shingles. Candidates come in two rounds. First, each list of nodes that share a prefix shingle and a size class is
 compared with its most central node alone (that of the most frequent shingles), and with that of the next class: a group
-of near copies, however large, costs one comparison a copy and becomes one component. Then all pairs of a list that
-are still in different components, near enough in size and place, and in LEAST lists together, are compared.
+of near copies, however large, costs one comparison a copy and becomes one component. Then the pairs of a list that
+are still in different components, near enough in size, not told apart by the parities of their shingles (a bit of BITS
+each; sets that differ in many bits differ in as many shingles), and in LEAST lists together, are compared.
 
 A comparison counts shared shingles by fragments: the global order is cut at FRAGMENTS - 1 points, each fragment's
 partial overlaps are counted apart, for a node and up to CHUNK of its partners in a task, and summed per pair. Links
@@ -34,7 +35,7 @@ from strandline.llm.common import Words, components, hot_count, keyed_join, mate
 WORD_BITS, SHINGLE_BITS, RANGES, STEPS = 21, 22, 96, 8
 #: Prefix shingles that linked texts share; fragments of the order; partners in a task; members of a list in a task.
 LEAST, FRAGMENTS, CHUNK, LIST = 3, 4, 256, 2048
-SALTS = 64
+SALTS, BITS = 64, 256
 
 
 def _hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -106,12 +107,12 @@ def _node(distinct: np.ndarray) -> tuple[int, int]:
     return (d & (1 << 64) - 1) - (1 << 63), (d >> 64) - (1 << 63)
 
 
-_SETS = "doc_id long, n int, node long, more long, central int, prefix array<long>, parts array<long>"
+_SETS = "doc_id long, n int, node long, more long, central int, prefix array<long>, parts array<long>, bits array<long>"
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
-    """(doc_id, n, node, more, central, prefix, parts), a row per document: the size of its set, the two halves of the set's
-    digest, its mean level, its first shingles, and where the order cuts it in FRAGMENTS equal parts."""
+    """(doc_id, n, node, more, central, prefix, parts, bits), a row per document: the size of its set, the two halves of the set's
+    digest, its mean level, its first shingles, where the order cuts it in FRAGMENTS equal parts, and its parities."""
 
     def run(batches):
         for ids, texts in text_chunks(batches):
@@ -120,14 +121,14 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
             for k in range(len(texts)):
                 words = w.hash[w.first[k] : w.first[k + 1]]
                 if not len(words):
-                    rows.append((0, None, None, None, None, None))
+                    rows.append((0, *[None] * 6))
                     continue
                 distinct, order = _ordered(words, n, levels.value)
                 m = len(order)
                 parts = [int(order[m * q // FRAGMENTS] >> np.uint64(1)) for q in range(1, FRAGMENTS)]
-                rows.append((m, *_node(distinct), int(16 * (order >> np.uint64(56)).mean()), order[: m - -(-percent * m // 100) + LEAST].view(np.int64), parts))
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n", "node", "more", "central", "prefix", "parts"])
+                rows.append((m, *_node(distinct), int(16 * (order >> np.uint64(56)).mean()), order[: m - -(-percent * m // 100) + LEAST].view(np.int64), parts, np.packbits(np.bincount((distinct >> np.uint64(9)).astype(np.int64) % BITS, minlength=BITS) & 1).view(np.int64)))
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n", "node", "more", "central", "prefix", "parts", "bits"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SETS)
 
@@ -151,8 +152,8 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 
 def stars(postings: DataFrame, hot_level: int) -> DataFrame:
-    """(a, b): every member of a list (s, class) with its first, and the first with that of the next class, from postings
-    (s, class, central, node). Lists of very frequent shingles are dealt in SALTS parts, whose firsts make a list."""
+    """(a, b, s): every member of a list (s, class) with its first, and the first with that of the next class, from postings
+    (s, class, central, node); lists of one have no row. Lists of very frequent shingles are dealt in SALTS parts, whose firsts make a list."""
 
     def run(batches):
         last = None  # salt, s, class and first node of the list at hand
@@ -170,7 +171,7 @@ def stars(postings: DataFrame, hot_level: int) -> DataFrame:
             rest = np.flatnonzero(~new)
             top = begin[salt[begin] > 0]
             a, b = np.concatenate((first[rest], chained, node[top])), np.concatenate((node[rest], node[chain], node[top]))
-            more = [np.concatenate((np.full(len(rest) + len(chain), fill), v[top])) for fill, v in ((0, s), (0, k), (0, central))]
+            more = [np.concatenate((v[rest], v[chain], v[top])) for v in (s, k, central)]
             keep = (a != b) | (np.arange(len(a)) >= len(rest) + len(chain))
             yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (a, b, more[0], more[1].astype(np.int32), more[2].astype(np.int32))], ["a", "b", "s", "class", "central"])
             last = (salt[-1], s[-1], k[-1], first[-1])
@@ -182,11 +183,11 @@ def stars(postings: DataFrame, hot_level: int) -> DataFrame:
     salt = F.when(F.shiftrightunsigned("s", 56) >= hot_level, 1 + F.pmod(F.col("node"), F.lit(SALTS))).otherwise(0)
     found = materialize(once(postings.withColumn("salt", salt.cast("int"))))
     firsts = found.where("a = b").select("s", "class", "central", F.col("a").alias("node"), F.lit(0).alias("salt"))
-    return found.where("a <> b").select("a", "b").unionByName(once(firsts).where("a <> b").select("a", "b"))
+    return found.where("a <> b").select("a", "b", "s").unionByName(once(firsts).where("a <> b").select("a", "b", "s"))
 
 
 def rest_pairs(postings: DataFrame, percent: int, hot_level: int) -> DataFrame:
-    """(a, b): pairs of a list that are in different components and can be near enough, from postings (s, node, n, place, component),
+    """(a, b): pairs of a list that are in different components and can be near enough, from postings (s, node, n, component, bits),
     once for each list. Lists of very frequent shingles are dropped if all are one component, and else dealt by pairs of blocks."""
 
     def run(batches):
@@ -206,14 +207,16 @@ def rest_pairs(postings: DataFrame, percent: int, hot_level: int) -> DataFrame:
     def lists(cols, bounds):
         if bounds is None:
             return
-        _, i, j, block, n, place, node, part = cols
+        _, i, j, block, n, node, part, *bits = cols
 
         def near(x, y):
             """Of rows x and y of a list those that must be compared."""
             low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
             need = -(-percent * (n[x] + n[y]) // (100 + percent))
-            most = np.minimum(place[x], place[y]) + np.minimum(n[x] - place[x], n[y] - place[y])
-            go = (part[x] != part[y]) & (100 * low >= percent * high) & (most >= need) & ((i[x] == j[x]) | (block[x] != block[y]))
+            go = np.flatnonzero((part[x] != part[y]) & (100 * low >= percent * high) & ((i[x] == j[x]) | (block[x] != block[y])))
+            x, y, need = x[go], y[go], need[go]
+            apart = sum(np.bitwise_count((w[x] ^ w[y]).view(np.uint64)).astype(np.int64) for w in bits)
+            go = (n[x] + n[y] - apart) // 2 >= need
             x, y = node[x[go]], node[y[go]]
             return np.minimum(x, y), np.maximum(x, y)
 
@@ -239,7 +242,7 @@ def rest_pairs(postings: DataFrame, percent: int, hot_level: int) -> DataFrame:
     dealt = keyed_join(hot, info, ["s"], hot.count()).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     plain = postings.where(~frequent).select("*", *(F.lit(0).alias(c) for c in ("i", "j", "block")))
-    order = ["s", "i", "j", "block", "n", "place", "node", "component"]
+    order = ["s", "i", "j", "block", "n", "node", "component", *(F.col("bits")[k].alias(f"b{k}") for k in range(BITS // 64))]
     rows = plain.select(*order).unionByName(dealt.select(*order))
     return rows.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j").mapInArrow(run, "a long, b long")
 
@@ -326,7 +329,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     groups = parts.groupBy("node", "more").agg(F.min("least").alias("doc_id"))
     copies = rows.join(parts, ["node", "more", "salt"]).where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
     copies = copies.unionByName(parts.join(groups, ["node", "more"]).where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
-    nodes = sets.join(groups, ["node", "more", "doc_id"], "left_semi").groupBy("node", "more", "doc_id").agg(*(F.first(c).alias(c) for c in ("n", "central", "prefix", "parts")))
+    nodes = sets.join(groups, ["node", "more", "doc_id"], "left_semi").groupBy("node", "more", "doc_id").agg(*(F.first(c).alias(c) for c in ("n", "central", "prefix", "parts", "bits")))
     nodes = materialize(nodes.drop("more"))
     stats = nodes.agg(F.count("*").alias("n"), *(F.percentile_approx(F.col("parts")[q], 0.5).alias(f"p{q}") for q in range(FRAGMENTS - 1))).first()
     cuts = [stats[f"p{q}"] or 0 for q in range(FRAGMENTS - 1)]
@@ -337,9 +340,10 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
         return materialize(found.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b"))
 
     kind = F.floor(F.ln("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
-    starred = stars(nodes.select(F.explode("prefix").alias("s"), kind.alias("class"), "central", "node"), hot_level)
+    starred = materialize(stars(nodes.select(F.explode("prefix").alias("s"), kind.alias("class"), "central", "node"), hot_level))
     links = linked(starred.groupBy("a", "b").count().where("count > 1").select("a", "b"))
-    placed = nodes.join(components(links), "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"), F.posexplode("prefix").alias("place", "s"))
+    member = starred.select("s", F.col("a").alias("node")).unionByName(starred.select("s", F.col("b").alias("node"))).distinct()
+    placed = nodes.join(components(links), "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"), "bits").join(member, "node")
     near = rest_pairs(placed, percent, hot_level).groupBy("a", "b").count().where(F.col("count") >= LEAST).select("a", "b")
     links = links.unionByName(linked(near))
     # components of sets as the least of their documents
