@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.llm import language, pii, quality, secrets
+from strandline.llm import language, lm, pii, quality, secrets
 from strandline.llm.common import HashIndex, Words
 from strandline.llm.language import identify, keep_identified, language_model
 from strandline.llm.lm import lm_scores
@@ -266,12 +266,24 @@ def test_lm_scores_match_counts_and_beat_them(spark):
     assert sums[1] > sums[0]
 
 
-def test_lm_probabilities_are_normalised(spark):
-    """The probabilities of a second token, over all known words, the end and one unknown word of each shared class."""
-    docs = spark.createDataFrame([(i, "a b a c") for i in range(20)], "doc_id long, text string")
-    probes = ["a", "b", "c"]
-    scores = {r["text"]: r["score"] for p in probes for r in lm_scores(docs.unionByName(spark.createDataFrame([(10**6 + 4, p)], "doc_id long, text string"))).where("doc_id > 1000").withColumn("text", F.lit(p)).collect()}
-    assert all(s < 0 for s in scores.values()) and scores["a"] > scores["c"]
+@pytest.mark.parametrize("n_words", [0, 5, 200])
+def test_lm_probabilities_are_normalised(n_words):
+    """Over the end, all frequent words and the shared groups, whatever the context and the weights."""
+    rng = np.random.default_rng(n_words)
+    c = lm.Classes(np.arange(n_words, dtype=np.uint64), rng.integers(1, 99, n_words), 7, rng.integers(0, 9, lm.SHARED).astype(float))
+    m = {k: rng.normal(0, 1, v.shape).astype(np.float32) for k, v in lm.initial(c).items()}
+    tokens = np.arange(n_words + 1 + lm.SHARED)
+    for one, two in rng.integers(0, len(tokens), (5, 2)):
+        p = lm.log_probabilities(m, c, tokens, np.full(len(tokens), one), np.full(len(tokens), two))
+        assert np.exp(p).sum() == pytest.approx(1, abs=1e-5)
+    assert c.unigram.sum() == pytest.approx(1) and (not n_words or c.within[: lm.GROUP].sum() == pytest.approx(1))
+
+
+def test_lm_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 2000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    one, two = ({r["doc_id"]: r["score"] for r in lm_scores(docs.repartition(n)).collect()} for n in (1, 7))
+    assert one == pytest.approx(two, rel=1e-4)
 
 
 def test_lm_takes_any_table(documents):
