@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,6 +104,28 @@ def per_million(counts: DataFrame, column: str, taxid: str = "tax_id") -> DataFr
     return with_row(counts, total).where(F.col(taxid) >= 0).withColumn("rpm", rpm).drop("__total")
 
 
+def read_totals(reads: DataFrame, files: int = 1, clusters: DataFrame | None = None) -> DataFrame:
+    """(reads, bases, fragments): reads (read_id, seq) of `files` mate files, counted with their duplicates if clusters
+    (read_id, size) are given; a read that is in no cluster fails the job."""
+    rows = _cluster_sizes(reads, clusters)
+    return rows.agg(F.coalesce(F.sum("cluster_size"), F.lit(0)).alias("reads"), F.coalesce(F.sum(F.length("seq") * F.col("cluster_size")), F.lit(0)).alias("bases"), F.coalesce(F.expr(f"sum(cluster_size) div {files}"), F.lit(0)).alias("fragments"))
+
+
+def alignment_time(runs: DataFrame) -> DataFrame:
+    """(sample, n_chunks, total) of runs (sample, chunk, seconds): the mean time of a chunk by the number of chunks."""
+    return runs.groupBy("sample").agg(F.count("*").alias("n_chunks"), (F.avg("seconds") * F.count("*")).alias("total"))
+
+
+def by_abundance(counts: DataFrame, reads: str = "unique_count", length: str = "alignment_length") -> DataFrame:
+    """counts in descending order of reads and then of length."""
+    return counts.orderBy(F.desc(reads), F.desc(length))
+
+
+def all_counts(*frames: DataFrame) -> DataFrame:
+    """The rows of all count lists."""
+    return reduce(DataFrame.unionByName, frames)
+
+
 def spike_in_counts(alignments: DataFrame) -> DataFrame:
     """Reads per spike-in target."""
     return alignments.where(F.col("rname").startswith("ERCC-")).groupBy(F.col("rname").alias("target")).agg(F.count("*").alias("n"))

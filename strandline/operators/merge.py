@@ -26,6 +26,26 @@ def refine_hits(hits: DataFrame, read2contig: DataFrame, contig_top: DataFrame)
     return out.select("read_id", "contig_id", *(v.alias(c) for c, v in pick.items()), source.alias("source"))
 
 
+def refined_m8(m8: DataFrame, hits: DataFrame, read2contig: DataFrame, contig_m8: DataFrame) -> DataFrame:
+    """Alignments of reads (read_id and others) with those of their contigs in their place: a read on a contig takes the
+    row of contig_m8 (contig_id and the same others), also one that only refined hits (read_id) have; any other its own."""
+    values = [c for c in m8.columns if c != "read_id"]
+    contigs = contig_m8.select("contig_id", F.struct(*values).alias("__contig"))
+    placed = read2contig.where("contig_id <> '*'").select("read_id", "contig_id").join(contigs, "contig_id").select("read_id", "__contig")
+    rows = hits.select("read_id").join(m8.select("read_id", F.struct(*values).alias("__own")), "read_id", "left").join(placed, "read_id", "left")
+    return rows.select("read_id", F.coalesce("__contig", "__own").alias("m")).select("read_id", "m.*")
+
+
+def hits_with_m8(hits: DataFrame, m8: DataFrame) -> DataFrame:
+    """Hit summary and alignments side by side (both with read_id, each read once); the job fails for a read that only one
+    of them has, or that either has twice."""
+    once = lambda df, name: df.groupBy("read_id").agg(F.count("*").alias(f"__n_{name}"), F.first(F.struct(*[c for c in df.columns if c != "read_id"])).alias(name))
+    both = once(hits, "__h").join(once(m8, "__m"), "read_id", "full_outer")
+    fine = F.coalesce((F.col("__n___h") == 1) & (F.col("__n___m") == 1), F.lit(False))
+    checked = F.when(fine, F.col("read_id")).otherwise(F.raise_error(F.concat(F.lit("read without its row: "), F.col("read_id").cast("string"))).cast(hits.schema["read_id"].dataType))
+    return both.select(checked.alias("read_id"), "__h.*", "__m.*")
+
+
 def merge_nt_nr(nt: DataFrame, nr: DataFrame) -> DataFrame:
     """One row per read of either result (read_id, contig_species_taxid, species_taxid and others): the nucleotide row if
     it has a contig hit, or if it has a read hit and the protein row has no contig hit; otherwise the protein row. Null

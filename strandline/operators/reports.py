@@ -33,6 +33,20 @@ def gene_report(hits: DataFrame) -> DataFrame:
     return classes.join(rest, "gene")
 
 
+def ontology_classes(hits: DataFrame, ontology: DataFrame) -> DataFrame:
+    """hits (aro, drug_class) with the classes that the ontology (accession, drug_class) has for ARO:<aro> put to their own:
+    sets, sorted and joined by ; """
+    known = ontology.select(F.col("accession").alias("__a"), F.col("drug_class").alias("__more"))
+    both = hits.join(known, F.concat(F.lit("ARO:"), F.col("aro").cast("string")) == F.col("__a"), "left").drop("__a")
+    parts = F.array_union(F.split(F.coalesce("drug_class", F.lit("")), "; "), F.split(F.coalesce("__more", F.lit("")), "; "))
+    return both.withColumn("drug_class", F.array_join(F.array_sort(F.array_remove(parts, "")), ";")).drop("__more")
+
+
+def contig_genes(hits: DataFrame) -> DataFrame:
+    """(gene, contig) of hits (gene, orf): the contig of a predicted gene is its name without the last _n."""
+    return hits.select("gene", F.regexp_replace("orf", r"_\d+$", "").alias("contig")).distinct()
+
+
 def _running_precision(scores: DataFrame) -> DataFrame:
     """(score, precision, recall) at each distinct score, highest first, with those of the score before it as p0 and r0."""
     by = scores.where("score is not null").groupBy("score").agg(F.sum("truth").alias("tp"), F.count("*").alias("n"))

@@ -31,6 +31,50 @@ def expand_clusters(reads: DataFrame, clusters: DataFrame) -> DataFrame:
     return clusters.join(reads.select(F.col("read_id").alias("representative")), "representative", "left_semi")
 
 
+def nonhost_reads(reads: DataFrame, headers: DataFrame, clusters: DataFrame) -> DataFrame:
+    """reads (read_id, mate and others) whose fragment an annotated header (header) names, or whose duplicate one names;
+    clusters (representative, read_id) tell. Mate suffixes don't count."""
+    bare = lambda c: F.regexp_replace(c, "/[12]$", "")
+    named = headers.select(bare(F.element_at(F.split("header", ":"), -1)).alias("read_id")).distinct()
+    wanted = expand_clusters(named, clusters).select("read_id").unionByName(named).distinct()
+    return reads.join(wanted.withColumnRenamed("read_id", "__id"), bare("read_id") == F.col("__id"), "left_semi")
+
+
+def unique_ids(reads: DataFrame) -> DataFrame:
+    """reads themselves; the job fails if two have one read_id."""
+    twice = reads.groupBy("read_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("__most"), F.max_by("read_id", "n").cast("string").alias("__which"))
+    fine = F.when(F.coalesce("__most", F.lit(1)) == 1, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("repeated read id: "), F.col("__which"))).cast("boolean"))
+    return with_row(reads, twice).where(fine).drop("__most", "__which")
+
+
+def sorted_by_id(reads: DataFrame) -> DataFrame:
+    """reads in the order of their ids' bytes."""
+    return reads.orderBy("read_id", *(c for c in ("header", "seq") if c in reads.columns))
+
+
+def masked(sequence: Column, breadth: float, start: Column) -> Column:
+    """A sequence of which only the share `breadth` is left: the rest, one stretch from `start` on, wrapping at the end, is N."""
+    n = F.length(sequence)
+    away = F.floor(n * F.lit(1 - breadth)).cast("int")
+    first = F.least(away, n - start)
+    body = F.overlay(sequence, F.repeat(F.lit("N"), first), start + 1, first)
+    return F.when(away <= 0, sequence).otherwise(F.when(away > first, F.overlay(body, F.repeat(F.lit("N"), away - first), F.lit(1), away - first)).otherwise(body))
+
+
+def reduce_all(sequences: DataFrame, threshold: float = 0.5, large: int = 9_500_000) -> DataFrame:
+    """reduce_redundant() of groups (grp, id, length, sketch) of any size: a group of more than `large` sequences is cut by
+    length into parts of about that size, reduced each on its own, and what is left is reduced together."""
+    sizes = sequences.groupBy("grp").agg(F.ceil(F.count("*") / large).cast("int").alias("parts"))
+    place = F.percent_rank().over(Window.partitionBy("grp").orderBy(F.desc("length"), "id"))
+    big = sequences.join(sizes.where("parts > 1"), "grp")
+    if big.first() is None:
+        return reduce_redundant(sequences, threshold)
+    part = F.struct("grp", F.least(F.floor(place * F.col("parts")), F.col("parts") - 1).alias("part"))
+    cut = reduce_redundant(big.select(part.alias("grp"), "id", "length", "sketch"), threshold).select("grp.grp", "id", "length", "sketch")
+    rest = sequences.join(sizes.where("parts = 1").select("grp"), "grp", "left_semi").select(*cut.columns)
+    return reduce_redundant(kept(rest.unionByName(cut)), threshold)
+
+
 def reduplicate(kept: DataFrame, clusters: DataFrame, originals: DataFrame) -> DataFrame:
     """kept with the records of all duplicates of the representatives among it."""
     members = expand_clusters(kept, clusters).where("read_id <> representative").select("read_id")

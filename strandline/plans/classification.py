@@ -15,15 +15,16 @@ def side_counts(m8: DataFrame, acc2tax: DataFrame, lineage: DataFrame, count_typ
 
 
 def short_read(nt: DataFrame, nr: DataFrame, acc2tax: DataFrame, lineage: DataFrame, read2contig: DataFrame, nt_top: DataFrame, nr_top: DataFrame, clusters: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Alignments of reads to both databases, refined by their contigs' top hits, and merged: counts of each and of both."""
+    """Alignments of reads to both databases, refined by their contigs' top hits (contig_id, taxa, pident, length, evalue),
+    and merged: counts of each and of both. Reads on contigs count with their contig's alignment, also those without an own."""
     out: dict[str, DataFrame] = {}
     sides = {}
     for name, m8, top, least in (("NT", nt, nt_top, 36), ("NR", nr, nr_top, 0)):
         called, out[name] = side_counts(m8, acc2tax, lineage, name, least, clusters)
         refined = merge.refine_hits(called, read2contig, top).drop("source")
         by_contig = F.col("contig_id").isNotNull()
-        own = called.select("read_id", "pident", "length", "evalue")
-        sides[name] = refined.join(own, "read_id").withColumn("contig_species_taxid", F.when(by_contig, F.col("species_taxid")))
+        own = merge.refined_m8(called.select("read_id", "pident", "length", "evalue"), refined, read2contig, top.select("contig_id", "pident", "length", "evalue"))
+        sides[name] = refined.join(own, "read_id", "left").withColumn("contig_species_taxid", F.when(by_contig, F.col("species_taxid")))
     merged = merge.merge_nt_nr(sides["NT"], sides["NR"])
     out["merged_NT_NR"] = counts.taxon_counts(merged, lineage, "merged_NT_NR", clusters)
     return out
@@ -42,4 +43,6 @@ def index(nodes: DataFrame, names: DataFrame, previous: DataFrame, version: str)
     wide = taxonomy.wide_lineages(paths)
     scientific = names.where("name_class = 'scientific name'").select("tax_id", F.col("name_txt").alias("name"))
     current = wide.select(F.col("tax_id").alias("taxid"), "species", "genus", "family")
-    return {"lineages": wide, "named": taxonomy.name_ranks(wide, scientific, ("species", "genus", "family")), "versions": taxonomy.version_lineages(previous, current, version), "changes": taxonomy.lineage_changes(previous, current, ["family", "genus", "species"])}
+    common = names.where("name_class = 'genbank common name'").groupBy("tax_id").agg(F.min("name_txt").alias("common_name"))
+    named = taxonomy.name_ranks(wide, scientific, ("species", "genus", "family")).join(common, "tax_id", "left").fillna("", ["common_name"])
+    return {"lineages": wide, "named": named, "versions": taxonomy.version_lineages(previous, current, version), "changes": taxonomy.lineage_changes(previous, current, ["family", "genus", "species"])}

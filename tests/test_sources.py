@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,7 +30,63 @@ def test_fasta_and_fastq(spark, tmp_path):
     fa = write(tmp_path / "a.fa", ">a one\nACGT\nAC\n>b\nTT\n")
     assert [(r["read_id"], r["seq"]) for r in fastx.fasta(spark, fa).orderBy("ord").collect()] == [("a", "ACGTAC"), ("b", "TT")]
     fq = write(tmp_path / "a.fq", "@a x\nACGT\n+\nII\n@b\nAC\nGT\n+b\nIIII\n")
-    assert [(r["read_id"], r["seq"], r["quality"]) for r in fastx.fastq(spark, fq).orderBy("ord").collect()] == [("a", "ACGT", "II!!"), ("b", "ACGT", "IIII")]
+    assert [(r["read_id"], r["seq"], r["quality"]) for r in fastx.fastq(spark, fq).orderBy("ord").collect()] == [("a", "ACGT", "IIII"), ("b", "ACGT", "IIII")]  # filled up with the last letter
+
+
+def parsed(text):
+    """FASTQ records by the rule that a + line ends the sequence and only a first quality line may begin with @, + or >."""
+    lines, at, out = text.split("\n"), 0, []
+    while at < len(lines) and lines[at]:
+        head, at, seq = lines[at], at + 1, ""
+        while lines[at][:1] not in ("@", "+", ">"):
+            seq, at = seq + lines[at], at + 1
+        quality, at = lines[at + 1], at + 2
+        while at < len(lines) and lines[at] and lines[at][0] not in "@+>":
+            quality, at = quality + lines[at], at + 1
+        quality = (quality + quality[-1] * len(seq))[: len(seq)]
+        out.append((head[1:].split()[0], seq, quality))
+    return out
+
+
+@pytest.mark.parametrize("split", [None, 64])
+def test_fastq_of_any_qualities(spark, tmp_path, split):
+    rng = random.Random(2)
+    rows = []
+    for k in range(200):
+        n = rng.randrange(1, 30)
+        seq = "".join(rng.choice("ACGTN") for _ in range(n))
+        quality = rng.choice("@+>I") + "".join(rng.choice("@+>I#") for _ in range(n - 1))
+        cut = rng.randrange(1, n + 1)
+        rows += [f"@r{k} x", *([seq[:cut], seq[cut:]] if cut < n else [seq]), rng.choice(["+", f"+r{k}"]), quality[: rng.randrange(1, n + 1)]]
+    path = write(tmp_path / "q.fq", "\n".join(rows) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        if split:  # records across many splits
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        got = [(r["read_id"], r["seq"], r["quality"]) for r in fastx.fastq(spark, path).orderBy("ord").collect()]
+        numbers = [(r["line_no"], r["value"]) for r in fastx.numbered_lines(spark, path).orderBy("line_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == parsed("\n".join(rows) + "\n") and len(got) == 200 and numbers == list(enumerate(rows, 1))
+
+
+def test_files_that_are_no_records(spark, tmp_path):
+    for k, text in enumerate(("@a\nAC\n+\n", "@a\n+\nII\n", "ACGT\n@a\nAC\n+\nII\n", "@a\nAC\n@b\nAC\n+\nII\n")):
+        with pytest.raises(Exception, match="not a FASTQ record"):
+            fastx.fastq(spark, write(tmp_path / f"{k}.fq", text)).collect()
+    with pytest.raises(Exception, match="not a FASTA record"):
+        fastx.fasta(spark, write(tmp_path / "x.fa", ">a\nAC\n>b\n>c\nGT\n")).collect()
+    assert fastx.sniffed(spark, write(tmp_path / "s", "\n>a\nAC\n")) == "fasta" and fastx.sniffed(spark, write(tmp_path / "t", "@a")) == "fastq"
+    with pytest.raises(ValueError, match="neither"):
+        fastx.sniffed(spark, write(tmp_path / "u", "xyz\n"))
+
+
+def test_pairs_by_place(spark, tmp_path):
+    one = fastx.fastq(spark, write(tmp_path / "1.fq", "@a/1\nAC\n+\nII\n@b/1\nGG\n+\nII\n"))
+    two = fastx.fastq(spark, write(tmp_path / "2.fq", "@a/2\nTT\n+\nII\n@b/2\nCC\n+\nII\n"))
+    assert sorted((r["read_id"], r["seq1"], r["seq2"]) for r in fastx.paired(one, two).collect()) == [("a", "AC", "TT"), ("b", "GG", "CC")]
+    with pytest.raises(Exception, match="no pair"):
+        fastx.paired(one, two.where("ord = 0")).collect()
 
 
 def test_paf(spark, tmp_path):
@@ -80,8 +138,11 @@ def test_short_read_analysis(spark):
     acc = spark.createDataFrame([("A", 1), ("B", 2)], "accession string, taxid long")
     lin = spark.createDataFrame([(1, 1, 10, 100), (2, 2, 10, 100)], "taxid long, species long, genus long, family long")
     r2c = spark.createDataFrame([("r1", "c1"), ("r2", "*")], "read_id string, contig_id string")
-    top = spark.createDataFrame([("c1", 2, "B", 2, 10, 100)], "contig_id string, taxid long, accession_id string, species_taxid long, genus_taxid long, family_taxid long")
+    r2c = r2c.unionByName(spark.createDataFrame([("r9", "c1")], "read_id string, contig_id string"))  # in no alignment of its own
+    top = spark.createDataFrame([("c1", 2, "B", 2, 10, 100, 77.0, 500, 1e-9)], "contig_id string, taxid long, accession_id string, species_taxid long, genus_taxid long, family_taxid long, pident double, length long, evalue double")
     out = classification.short_read(al([("r1", "A", 9.0), ("r2", "A", 9.0)]), al([("r3", "B", 5.0)]), acc, lin, r2c, top, top)
     merged = {(r["tax_level"], r["tax_id"]): r["count"] for r in out["merged_NT_NR"].collect()}
-    assert merged == {(1, 1): 1, (1, 2): 2, (2, 10): 3, (3, 100): 3}
+    assert merged == {(1, 1): 1, (1, 2): 3, (2, 10): 4, (3, 100): 4}
+    # r1 and r9 with their contig's identity, r3 with its own
+    assert out["merged_NT_NR"].where("tax_level = 1 and tax_id = 2").first()["percent_identity"] == pytest.approx((77 + 77 + 99) / 3)
     assert out["NT"].where(F.col("tax_level") == 1).count() == 1
