@@ -640,3 +640,6 @@ def ext_tumbling(spark, d):
 def ext_session(spark, d):
     e = table(spark, d, "events").groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count("*").alias("n"))
     return e.select("user_id", F.unix_timestamp("w.start").alias("session_start"), "n")
+
+
+import strandline.format_queries  # noqa: E402, F401  registers its queries
