@@ -18,6 +18,7 @@ HEADLINE = [
 def main() -> None:
     from pyspark.sql import SparkSession
 
+    from strandline.operators.scalar import remove_shared
     from strandline.queries import QUERIES
 
     sf_dir, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8")
@@ -31,6 +32,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - began, 3)
     print(json.dumps({"metric": "headline queries, total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": float(Path(sf_dir).name.removeprefix("sf") or 0)}))
+    remove_shared(spark)
     spark.stop()
 
 

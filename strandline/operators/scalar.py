@@ -20,13 +20,24 @@ def _own_folder() -> str:
     return "file://" + tempfile.mkdtemp(prefix="strandline-")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which all executors share; only a session whose executors run on this
-    machine may leave that unset."""
+def shared_root(spark: SparkSession) -> str:
+    """This application's folder under spark.checkpoint.dir, which all executors share. Where that is unset, a folder of
+    this machine serves a session whose executors run on it too; any other session is refused."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{(base or _own_folder()).rstrip('/')}/strandline-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return f"{(base or _own_folder()).rstrip('/')}/strandline-{spark.sparkContext.applicationId}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder for an intermediate table."""
+    return f"{shared_root(spark)}/{uuid.uuid4().hex}"
+
+
+def remove_shared(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application; frames that read them can't be used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def kept(df: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,3 +218,54 @@ def test_headers(spark):
     assert one(spark, L.bump_version(F.lit("AB1.9"))) == "AB1.10"
     assert one(spark, X.guard_cell(F.lit("=1"))) == "'=1"
     assert one(spark, X.repair_header(F.lit("A1, x\x01B2, y z"))) == "A1 x\x01B2 y z"
+
+
+def test_kept_frames_and_running_sums(spark):
+    from strandline.operators import scalar
+
+    df = spark.range(1000).select(((F.col("id") * 37) % 1000).alias("k"), F.lit(2).alias("n"))
+    got = scalar.running_sums(df, [F.desc("k")], before="n").collect()
+    assert {(r["k"], r["before"]) for r in got} == {(k, 2 * (999 - k)) for k in range(1000)}
+    assert scalar.running_sums(df.limit(0), [F.asc("k")], before="n").count() == 0
+    assert scalar.shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_greedy_reduction_matches_brute_force(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(120):
+        base = set(rng.sample(range(60), rng.randrange(0, 14)))
+        rows.append((k % 3, k, rng.randrange(5, 12), sorted(base)))
+        if k % 4 == 0:
+            rows.append((k % 3, 1000 + k, rng.randrange(5, 12), sorted(base)))
+    df = spark.createDataFrame(rows, "grp int, id int, length int, sketch array<long>")
+    want = []
+    for g in range(3):
+        stay = []
+        for _, i, n, s in sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1])):
+            if not s or not any(len(set(s) & t) >= 0.5 * len(s) for t in stay):
+                stay.append(set(s))
+                want.append((g, i))
+    assert sorted((r["grp"], r["id"]) for r in sequences.reduce_redundant(df, 0.5).collect()) == sorted(want)
+    cut = sequences.reduce_all(df, 0.5, 30).collect()
+    assert len(cut) <= len(rows) and {r["grp"] for r in cut} == {0, 1, 2}
+
+
+def test_complexity_matches_brute_force(spark):
+    from strandline.functions import text
+
+    def codes(t):
+        known, phrase, n = set(t), "", 0
+        for c in t:
+            if phrase + c in known:
+                phrase += c
+            else:
+                known.add(phrase + c)
+                phrase, n = c, n + 1
+        return n + 1
+
+    rng = random.Random(1)
+    seqs = ["".join(rng.choice("ACGT" if k % 2 else "aAcCé世") for _ in range(rng.randrange(1, 150))) for k in range(60)] + ["A" * 140, "", None]
+    df = spark.createDataFrame([(s,) for s in seqs], "s string").select("s", text.complexity(F.col("s")).alias("x"))
+    for r in df.collect():
+        assert r["x"] == pytest.approx(codes(r["s"].upper()) / len(r["s"]) if r["s"] else 0.0)
