@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-import functools
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,44 +11,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.operators.scalar import kept as materialize
+from strandline.operators.scalar import shared_folder as scratch
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@functools.cache
-def _own_scratch() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="strandline-")
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """This application's folder under spark.checkpoint.dir, which all executors share. Where that is unset, a folder of
-    this machine serves a session whose executors run on it too; any other session is refused."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{(base or _own_scratch()).rstrip('/')}/strandline-{spark.sparkContext.applicationId}"
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder for an intermediate table."""
-    return f"{scratch_root(spark)}/{uuid.uuid4().hex}"
-
-
-def remove_scratch(spark: SparkSession) -> None:
-    """Deletes all intermediate tables of this application; frames that read them can't be used any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared folder and read back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 #: Rows of an Arrow batch of texts.
 BATCH_ROWS = 1000
 
