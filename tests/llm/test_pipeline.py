@@ -76,3 +76,28 @@ def test_stages_tell_texts_of_one_id_apart(spark, tmp_path):
     # 3 is a copy of one text of 1; both texts of 1 stay, and one of the repeated rows of 2
     want = [r for k, r in enumerate(rows) if k not in (6, 7)]
     assert of(cp.near_duplicates(spark, docs, str(tmp_path))) == sorted(want, key=str)
+
+
+def test_stages_take_any_table(spark, documents, tmp_path):
+    """Nulls, empty and long texts, ties, repeated rows, columns that clash with the operators' own."""
+    spark.createDataFrame([(1, "One two three."), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    n = documents.count()
+    counts = {name: stage(spark, documents, str(tmp_path)) for name, stage in cp.STAGES}
+    assert all(counts[name].columns[:2] == ["doc_id", "text"] for name, _ in cp.STAGES[:-1])
+    got = {name: df.collect() for name, df in counts.items()}
+    assert 0 < len(got["language"]) < n and len(got["secrets"]) == n
+    # of 3 (twice) and 4 one row stays, and the row without doc_id; all of these hold the benchmark's item
+    assert sorted(str(r["doc_id"]) for r in got["near_duplicates"]) == sorted(map(str, [0, 1, 2, 3, 5, 6, 7, 8, 9, 10, None]))
+    assert sorted(r["doc_id"] for r in got["decontaminate"]) == [0, 1, 2, 5, 6, 7, 8, 9, 10]
+    assert sum(r["doc_tokens"] for r in got["pack"] if r["start"] == 0) == sum(r["length"] for r in got["pack"])
+
+
+def test_run_is_its_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = cp.run(spark, str(tmp_path)).collect()
+    for _, stage in cp.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+    key = lambda r: (r["doc_id"], r["start"], r["length"], r["ids_crc32"])
+    assert sorted(map(key, got)) == sorted(map(key, docs.collect()))
