@@ -4,16 +4,13 @@ Every text's set of 3-word shingles is put in one global order, rarest first. Ho
 the whole corpus, kept on a logarithmic scale in tables of fixed size: neither it nor any of its words can be more
 frequent than its counter, so the least of them ranks it. Counters shared by chance only shape the order, never what links.
 
-Equal sets are one node from the start. Texts that can reach the threshold share LEAST of the first n - ceil(0.9 n) +
-LEAST shingles. Candidates come in two rounds. First, each list of nodes that share a prefix shingle and a size class is
-compared with its most central node alone (that of the most frequent shingles), and with that of the next class: a group
-of near copies, however large, costs one comparison a copy and becomes one component. Then the pairs of a list that
-are still in different components, near enough in size, not told apart by the parities of their shingles (a bit of BITS
-each; sets that differ in many bits differ in as many shingles), and in LEAST lists together, are compared.
+Equal sets are one node from the start. Texts that can reach the threshold share one of the first n - ceil(0.9 n) + 1
+shingles, so linking the neighbours (by set size) of each such shingle gives clusters outside which no link can be; the
+lists of very frequent shingles are dealt in SALTS parts.
 
-A comparison counts shared shingles by fragments: the global order is cut at FRAGMENTS - 1 points, each fragment's
-partial overlaps are counted apart, for a node and up to CHUNK of its partners in a task, and summed per pair. Links
-become components.
+Within clusters the global order is cut at FRAGMENTS - 1 points: each fragment counts the shared shingles of its pairs by
+matrix products over blocks of BLOCK nodes, the counts are summed per pair and tested exactly, and links become
+components. Large clusters are dealt by pairs of blocks, so no task holds a whole cluster.
 
 Null and empty texts have no set and link with nothing; a null doc_id links with nothing and has a null component;
 rows with one doc_id are one node with the links of all of them, and each gets a row. Other columns are ignored.
@@ -29,13 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import Words, components, hot_count, keyed_join, materialize, mix, small_batches, table, text_chunks
+from strandline.llm.common import Words, components, forest, hot_count, keyed_join, map_groups, materialize, mix, small_batches, table, text_chunks
 
 #: Counters of words and of shingles (powers of two, a byte each), the parts they are merged in, and steps of a doubling.
 WORD_BITS, SHINGLE_BITS, RANGES, STEPS = 21, 22, 96, 8
-#: Prefix shingles that linked texts share; fragments of the order; partners in a task; members of a list in a task.
-LEAST, FRAGMENTS, CHUNK, LIST = 3, 4, 256, 2048
-SALTS, BITS = 64, 256
+#: Fragments of the order, nodes of a block, parts of the list of a very frequent shingle.
+FRAGMENTS, BLOCK, SALTS = 4, 256, 64
 
 
 def _hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -107,12 +103,12 @@ def _node(distinct: np.ndarray) -> tuple[int, int]:
     return (d & (1 << 64) - 1) - (1 << 63), (d >> 64) - (1 << 63)
 
 
-_SETS = "doc_id long, n int, node long, more long, central int, prefix array<long>, parts array<long>, bits array<long>"
+_SETS = "doc_id long, n int, node long, more long, prefix array<long>, parts array<long>"
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
-    """(doc_id, n, node, more, central, prefix, parts, bits), a row per document: the size of its set, the two halves of the set's
-    digest, its mean level, its first shingles, where the order cuts it in FRAGMENTS equal parts, and its parities."""
+    """(doc_id, n, node, more, prefix, parts), a row per document: the size of its set, the two halves of the set's
+    digest, its first shingles in the order, and where the order cuts it in FRAGMENTS equal parts."""
 
     def run(batches):
         for ids, texts in text_chunks(batches):
@@ -121,14 +117,14 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
             for k in range(len(texts)):
                 words = w.hash[w.first[k] : w.first[k + 1]]
                 if not len(words):
-                    rows.append((0, *[None] * 6))
+                    rows.append((0, *[None] * 4))
                     continue
                 distinct, order = _ordered(words, n, levels.value)
                 m = len(order)
                 parts = [int(order[m * q // FRAGMENTS] >> np.uint64(1)) for q in range(1, FRAGMENTS)]
-                rows.append((m, *_node(distinct), int(16 * (order >> np.uint64(56)).mean()), order[: m - -(-percent * m // 100) + LEAST].view(np.int64), parts, np.packbits(np.bincount((distinct >> np.uint64(9)).astype(np.int64) % BITS, minlength=BITS) & 1).view(np.int64)))
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n", "node", "more", "central", "prefix", "parts", "bits"])
+                rows.append((m, *_node(distinct), order[: m - -(-percent * m // 100) + 1].view(np.int64), parts))
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n", "node", "more", "prefix", "parts"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SETS)
 
@@ -147,173 +143,117 @@ def _rebatched(batches, rows: int = 1 << 17):
 
 
 # ------------------------------------------------------------------ candidates
-def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-
-def stars(postings: DataFrame, hot_level: int) -> DataFrame:
-    """(a, b, s): every member of a list (s, class) with its first, and the first with that of the next class, from postings
-    (s, class, central, node); lists of one have no row. Lists of very frequent shingles are dealt in SALTS parts, whose firsts make a list."""
-
-    def run(batches):
-        last = None  # salt, s, class and first node of the list at hand
-        for s, salt, k, central, node in _rebatched(batches):
-            new = np.concatenate(([True], (s[1:] != s[:-1]) | (salt[1:] != salt[:-1]) | (k[1:] != k[:-1])))
-            if last and (salt[0], s[0], k[0]) == last[:3]:
-                new[0] = False
-            at = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
-            first = np.where(at >= 0, node[np.maximum(at, 0)], last[3] if last else 0)
-            begin = np.flatnonzero(new)
-            before = begin - 1
-            b_s, b_salt, b_k, b_first = (np.where(before >= 0, v[np.maximum(before, 0)], x) for v, x in zip((s, salt, k, first), (last[1], last[0], last[2], last[3]) if last else (0, -1, -9, 0), strict=True))
-            chain = begin[(b_s == s[begin]) & (b_salt == salt[begin]) & (b_k + 1 == k[begin])]
-            chained = b_first[(b_s == s[begin]) & (b_salt == salt[begin]) & (b_k + 1 == k[begin])]
-            rest = np.flatnonzero(~new)
-            top = begin[salt[begin] > 0]
-            a, b = np.concatenate((first[rest], chained, node[top])), np.concatenate((node[rest], node[chain], node[top]))
-            more = [np.concatenate((v[rest], v[chain], v[top])) for v in (s, k, central)]
-            keep = (a != b) | (np.arange(len(a)) >= len(rest) + len(chain))
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (a, b, more[0], more[1].astype(np.int32), more[2].astype(np.int32))], ["a", "b", "s", "class", "central"])
-            last = (salt[-1], s[-1], k[-1], first[-1])
-
-    def once(rows: DataFrame) -> DataFrame:
-        spread = rows.select("s", "salt", "class", "central", "node").repartition("s", "salt").sortWithinPartitions("s", "salt", "class", F.desc("central"), "node")
-        return spread.mapInArrow(run, "a long, b long, s long, class int, central int")
+def neighbours(postings: DataFrame, percent: int, hot_level: int) -> DataFrame:
+    """(a, b): of each list of nodes that share a shingle every node and the one next in size, if near enough, from postings
+    (s, n, node): these connect all that could link over it. Spanning edges of what a task has. Lists of very frequent
+    shingles are dealt in SALTS parts; of each part the first node of each size class (sizes that differ by less than the
+    threshold, so that a part links all of a class) makes a list, in which all of a class and of the next one are linked."""
+
+    def run(batches, parts: bool):
+        last = None
+        for s, salt, n, node in _rebatched(batches):
+            if last:
+                s, salt, n, node = (np.append(x, v) for x, v in zip(last, (s, salt, n, node), strict=True))
+            same = (s[1:] == s[:-1]) & (salt[1:] == salt[:-1])
+            kind = np.floor(np.log(n) / math.log(100 / percent) + 1e-9) if percent < 100 else n
+            close = 100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64) if parts else np.diff(kind) <= 1
+            near = np.flatnonzero(same & close)
+            a, b = forest(node[near], node[near + 1]) if len(near) else (node[:0], node[:0])
+            top = np.flatnonzero((salt > 0) & np.append(True, ~same | (np.diff(kind) > 0)))
+            cols = [np.concatenate((a, node[top])), np.concatenate((b, node[top])), np.concatenate((np.zeros(len(a), np.int64), s[top])), np.concatenate((np.zeros(len(a), np.int32), n[top]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["a", "b", "s", "n"])
+            last = s[-1:], salt[-1:], n[-1:], node[-1:]
+
+    def once(rows: DataFrame, parts: bool) -> DataFrame:
+        spread = rows.select("s", "salt", "n", "node").repartition("s", "salt").sortWithinPartitions("s", "salt", "n", "node")
+        return spread.mapInArrow(lambda batches: run(batches, parts), "a long, b long, s long, n int")
 
     salt = F.when(F.shiftrightunsigned("s", 56) >= hot_level, 1 + F.pmod(F.col("node"), F.lit(SALTS))).otherwise(0)
-    found = materialize(once(postings.withColumn("salt", salt.cast("int"))))
-    firsts = found.where("a = b").select("s", "class", "central", F.col("a").alias("node"), F.lit(0).alias("salt"))
-    return found.where("a <> b").select("a", "b", "s").unionByName(once(firsts).where("a <> b").select("a", "b", "s"))
-
-
-def rest_pairs(postings: DataFrame, percent: int, hot_level: int) -> DataFrame:
-    """(a, b): pairs of a list that are in different components and can be near enough, from postings (s, node, n, component, bits),
-    once for each list. Lists of very frequent shingles are dropped if all are one component, and else dealt by pairs of blocks."""
-
-    def run(batches):
-        held = None
-        for cols in _rebatched(batches):
-            cols = [np.concatenate(c) for c in zip(held, cols, strict=True)] if held else cols
-            s, i, j = cols[:3]
-            cut = np.flatnonzero((s[1:] != s[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            end = int(cut[-1]) if len(cut) else 0
-            held = [c[end:] for c in cols]
-            yield from lists([c[:end] for c in cols], np.concatenate(([0], cut)) if end else None)
-        if held:
-            s, i, j = held[:3]
-            cut = np.flatnonzero((s[1:] != s[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            yield from lists(held, np.concatenate(([0], cut, [len(s)])))
-
-    def lists(cols, bounds):
-        if bounds is None:
-            return
-        _, i, j, block, n, node, part, *bits = cols
-
-        def near(x, y):
-            """Of rows x and y of a list those that must be compared."""
-            low, high = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-            need = -(-percent * (n[x] + n[y]) // (100 + percent))
-            go = np.flatnonzero((part[x] != part[y]) & (100 * low >= percent * high) & ((i[x] == j[x]) | (block[x] != block[y])))
-            x, y, need = x[go], y[go], need[go]
-            apart = sum(np.bitwise_count((w[x] ^ w[y]).view(np.uint64)).astype(np.int64) for w in bits)
-            go = (n[x] + n[y] - apart) // 2 >= need
-            x, y = node[x[go]], node[y[go]]
-            return np.minimum(x, y), np.maximum(x, y)
-
-        size = np.diff(bounds)
-        which = np.repeat(np.arange(len(size)), size)
-        row = np.arange(len(which))
-        small = size <= 64
-        for lag in range(1, int(size[small].max(initial=1))):
-            x = row[: len(row) - lag]
-            x = x[(which[x] == which[x + lag]) & small[which[x]]]
-            if len(x):
-                yield _pairs(*near(x, x + lag))
-        for b, e in zip(bounds[:-1][~small], bounds[1:][~small], strict=True):
-            for low in range(b, e, 256):
-                x, y = np.meshgrid(np.arange(low, min(low + 256, e)), np.arange(low, e), indexing="ij")
-                x, y = x[y > x], y[y > x]
-                yield _pairs(*near(x, y))
-
-    frequent = F.shiftrightunsigned("s", 56) >= hot_level
-    hot = materialize(postings.where(frequent))
-    info = hot.groupBy("s").agg(F.count("*").alias("count"), F.min("component").alias("low"), F.max("component").alias("high"))
-    info = materialize(info.where("low < high").select("s", "count", F.ceil(F.col("count") / LIST).cast("int").alias("blocks")))
-    dealt = keyed_join(hot, info, ["s"], hot.count()).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    plain = postings.where(~frequent).select("*", *(F.lit(0).alias(c) for c in ("i", "j", "block")))
-    order = ["s", "i", "j", "block", "n", "node", "component", *(F.col("bits")[k].alias(f"b{k}") for k in range(BITS // 64))]
-    rows = plain.select(*order).unionByName(dealt.select(*order))
-    return rows.repartition("s", "i", "j").sortWithinPartitions("s", "i", "j").mapInArrow(run, "a long, b long")
+    found = materialize(once(postings.withColumn("salt", salt.cast("int")), True))
+    firsts = found.where("a = b").select("s", F.lit(0).alias("salt"), "n", F.col("a").alias("node")).distinct()
+    return found.where("a <> b").select("a", "b").unionByName(once(firsts, False).where("a <> b").select("a", "b"))
 
 
 # ------------------------------------------------------------------ comparison
-def overlaps(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, levels, cuts: list[int]) -> DataFrame:
-    """(a, b, na, nb, shared) of pairs (a, b) that share any: the fragments' counts summed."""
-    pairs = materialize(pairs)
-    total = pairs.count()
-    per = materialize(pairs.groupBy("a").agg(F.count("*").alias("count"))).withColumn("chunks", F.ceil(F.col("count") / CHUNK).cast("int"))
-    dealt = materialize(keyed_join(pairs, per, ["a"], total).withColumn("c", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int")))
-    to = dealt.select(F.col("b").alias("node"), F.struct("a", "c", F.lit(1).alias("side")).alias("to"))
-    to = to.unionByName(dealt.select(F.col("a").alias("node"), F.struct("a", "c", F.lit(0).alias("side")).alias("to")).distinct())
-    # a node's places are gathered in rows of some hundreds
-    to = to.groupBy("node", F.pmod(F.xxhash64("to"), F.ceil(F.lit(total) / (1 << 16))).alias("__part")).agg(F.collect_list("to").alias("to")).drop("__part")
-    texts = docs.join(to.join(nodes.select("node", "doc_id"), "node"), "doc_id").select("doc_id", "text", "node", "to")
+def segments(texts: DataFrame, n: int, levels, cuts: list[int]) -> DataFrame:
+    """The fragments of each set (doc_id, text, node, cluster, block, blocks), for each pair of blocks that its own belongs to."""
     edges = np.array(cuts, np.uint64)
 
-    def cut(batches):
+    def run(batches):
         for batch in batches:
-            wanted, places, at = batch.column("node").to_pylist(), batch.column("to").to_pylist(), 0
-            for ids, some in text_chunks(iter([batch.select(["doc_id", "text"])])):
+            meta, at = batch.drop_columns(["text"]).to_pylist(), 0
+            for _, some in text_chunks(iter([batch.select(["doc_id", "text"])])):
                 w = Words(some)
                 rows = []
                 for k in range(len(some)):
-                    words = w.hash[w.first[k] : w.first[k + 1]]
+                    m, words = meta[at + k], w.hash[w.first[k] : w.first[k + 1]]
                     if not len(words):
                         continue
                     distinct, order = _ordered(words, n, levels.value)
-                    if _node(distinct)[0] != wanted[at + k]:  # another text of this doc_id
+                    if _node(distinct)[0] != m["node"]:  # another text of this doc_id
                         continue
                     bounds = [0, *np.searchsorted(order >> np.uint64(1), edges).tolist(), len(order)]
                     pieces = [order[b:e].tobytes() for b, e in zip(bounds, bounds[1:])]
-                    rows += [(t["a"], t["c"], q, t["side"], wanted[at + k], len(order), p) for t in places[at + k] for q, p in enumerate(pieces) if p]
+                    for other in range(m["blocks"]):
+                        i, j = sorted((m["block"], other))
+                        rows += [(m["cluster"], i, j, q, m["node"], len(order), int(m["block"] != i), p) for q, p in enumerate(pieces)]
                 at += len(some)
-                for low in range(0, len(rows), 2000):
-                    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[low : low + 2000], strict=True), kinds, strict=True)], ["a", "c", "q", "side", "node", "n", "ids"])
-
-    def count(batches):
-        key, own, size, out, held = None, None, 0, [], []
-
-        def flush():
-            if held and own is not None:
-                sets = [np.frombuffer(p, np.uint64) for _, _, p in held]
-                all_ = np.concatenate(sets)
-                at = np.minimum(np.searchsorted(own, all_), len(own) - 1)
-                shared = np.add.reduceat((own[at] == all_).astype(np.int64), np.cumsum([0, *map(len, sets[:-1])]))
-                out.extend((key[0], node, size, n_, x) for (node, n_, _), x in zip(held, shared.tolist(), strict=True) if x)
-            held.clear()
-
-        for batch in batches:
-            for a, c, q, side, node, n_, ids in zip(*(col.to_pylist() for col in batch.columns), strict=True):
-                if (a, c, q) != key:
-                    flush()
-                    key, own = (a, c, q), None
-                if side == 0:
-                    own, size = np.frombuffer(ids, np.uint64), n_
-                elif not held or held[-1][0] != node:  # a repeated row
-                    held.append((node, n_, ids))
-            if len(out) > 1000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b", "na", "nb", "shared"])
-                out = []
-        flush()
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b", "na", "nb", "shared"])
-
-    keys = ["a", "c", "q"]
-    pieces = texts.mapInArrow(cut, "a long, c int, q int, side int, node long, n int, ids binary")
-    partial = pieces.repartition(*keys).sortWithinPartitions(*keys, "side", "node").mapInArrow(count, "a long, b long, na long, nb long, shared long")
-    return partial.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("shared").alias("shared"))
+                for low in range(0, len(rows), 500):
+                    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[low : low + 500], strict=True), kinds, strict=True)], ["cluster", "i", "j", "fragment", "node", "n", "side", "ids"])
+
+    return texts.mapInArrow(run, "cluster long, i int, j int, fragment int, node long, n long, side int, ids binary")
+
+
+def shared_counts(sets: list[bytes], split: int) -> np.ndarray:
+    """How many ids each of the first `split` sets shares with each of the others (with each of all, if split is all)."""
+    ids = [np.frombuffer(s, np.uint64) for s in sets]
+    who = np.repeat(np.arange(len(ids)), [len(s) for s in ids])
+    _, token, df = np.unique(np.concatenate(ids), return_inverse=True, return_counts=True)
+    keep = df[token] > 1
+    who, (_, token) = who[keep], np.unique(token[keep], return_inverse=True)
+    rows, cols = split, len(sets) - split or split
+    out = np.zeros((rows, cols), np.float32)
+    width = 8192
+    order = np.argsort(token, kind="stable")
+    who, token = who[order], token[order]
+    top = int(token[-1]) + 1 if len(token) else 0
+    for low in range(0, top, width):
+        b, e = np.searchsorted(token, (low, low + width))
+        m = np.zeros((len(sets), min(width, top - low)), np.float32)
+        m[who[b:e], token[b:e] - low] = 1
+        out += m[:split] @ m[split if split < len(sets) else 0 :].T
+    return out.astype(np.uint32)
+
+
+def _partial(group: pa.Table):
+    group = group.sort_by([("side", "ascending"), ("node", "ascending")])
+    node, side = group["node"].to_numpy(), group["side"].to_numpy()
+    first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))  # without repeated rows
+    group, node, side = group.take(pa.array(first)), node[first], side[first]
+    split = int((side == 0).sum())
+    i, j = group["i"][0].as_py(), group["j"][0].as_py()
+    if i != j and split in (0, len(side)):
+        return
+    n = group["n"].to_numpy()
+    shared = shared_counts(group["ids"].to_pylist(), split)
+    b = slice(split, None) if i != j else slice(None)
+    row = [group["cluster"][0].as_py(), i, j, node[:split], node[b], n[:split], n[b], shared.tobytes()]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 4, pa.binary()]
+    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], ["cluster", "i", "j", "a", "b", "na", "nb", "shared"])
+
+
+def _links(percent: int):
+    def run(group: pa.Table):
+        a, b, na, nb = (np.array(group[c][0].as_py(), np.int64) for c in ("a", "b", "na", "nb"))
+        total = np.sum([np.frombuffer(x, np.uint32) for x in group["shared"].to_pylist()], axis=0, dtype=np.int64).reshape(len(a), len(b))
+        x, y = np.nonzero(100 * total >= percent * (na[:, None] + nb[None, :] - total))
+        keep = a[x] != b[y]
+        if keep.any():
+            a, b = forest(a[x][keep], b[y][keep])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return run
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -329,25 +269,22 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     groups = parts.groupBy("node", "more").agg(F.min("least").alias("doc_id"))
     copies = rows.join(parts, ["node", "more", "salt"]).where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
     copies = copies.unionByName(parts.join(groups, ["node", "more"]).where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
-    nodes = sets.join(groups, ["node", "more", "doc_id"], "left_semi").groupBy("node", "more", "doc_id").agg(*(F.first(c).alias(c) for c in ("n", "central", "prefix", "parts", "bits")))
+    nodes = sets.join(groups, ["node", "more", "doc_id"], "left_semi").groupBy("node", "more", "doc_id").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "parts")))
     nodes = materialize(nodes.drop("more"))
     stats = nodes.agg(F.count("*").alias("n"), *(F.percentile_approx(F.col("parts")[q], 0.5).alias(f"p{q}") for q in range(FRAGMENTS - 1))).first()
     cuts = [stats[f"p{q}"] or 0 for q in range(FRAGMENTS - 1)]
     hot_level = int(STEPS * math.log2(hot_count(stats["n"]) + 1))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        found = overlaps(docs, nodes, pairs, n, levels, cuts)
-        return materialize(found.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b"))
-
-    kind = F.floor(F.ln("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
-    starred = materialize(stars(nodes.select(F.explode("prefix").alias("s"), kind.alias("class"), "central", "node"), hot_level))
-    links = linked(starred.groupBy("a", "b").count().where("count > 1").select("a", "b"))
-    member = starred.select("s", F.col("a").alias("node")).unionByName(starred.select("s", F.col("b").alias("node"))).distinct()
-    placed = nodes.join(components(links), "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"), "bits").join(member, "node")
-    near = rest_pairs(placed, percent, hot_level).groupBy("a", "b").count().where(F.col("count") >= LEAST).select("a", "b")
-    links = links.unionByName(linked(near))
+    # clusters outside which nothing links, dealt by pairs of blocks
+    clusters = components(neighbours(nodes.select(F.explode("prefix").alias("s"), "n", "node"), percent, hot_level))
+    member = nodes.select("node", "doc_id").join(clusters, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("cluster"))
+    member = materialize(member)
+    sizes = materialize(member.groupBy("cluster").agg(F.count("*").alias("count")).where("count > 1")).withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
+    dealt = keyed_join(member, sizes, ["cluster"], stats["n"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pieces = segments(docs.where("text is not null").join(dealt, "doc_id"), n, levels, cuts)
+    partial = map_groups(pieces, ["cluster", "i", "j", "fragment"], _partial, "cluster long, i int, j int, a array<long>, b array<long>, na array<long>, nb array<long>, shared binary")
+    links = map_groups(partial, ["cluster", "i", "j"], _links(percent), "a long, b long")
     # components of sets as the least of their documents
-    member = nodes.select("node", "doc_id").join(components(links), "node", "left")
+    member = member.select("node", "doc_id").join(components(links), "node", "left")
     member = materialize(member.select("doc_id", F.coalesce("component", "node").alias("component")))
     least = materialize(member.groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("count")).where("count > 1"))
     joined = keyed_join(member, least, ["component"], member.count()).where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))

@@ -158,7 +158,7 @@ def links_of(texts, n=3, percent=90):
 def test_jaccard_matches_brute_force(spark, monkeypatch, n, percent, small):
     if small:  # hot lists, many chunks and blocks
         monkeypatch.setattr(common, "HOT_ROWS", 2)
-        for name, value in (("CHUNK", 2), ("LIST", 4), ("SALTS", 3)):
+        for name, value in (("BLOCK", 3), ("SALTS", 3), ("FRAGMENTS", 5)):
             monkeypatch.setattr(jaccard, name, value)
     texts = near_copies(4)
     sets, want = links_of(texts, n, percent)
@@ -166,8 +166,21 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, n, percent, small):
     assert [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got] == [(i, len(sets[i]), want[i]) for i in range(len(texts))]
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_neighbours_connect_all_that_can_link(spark, percent):
+    rng = random.Random(percent)
+    rows = [(s if hot else s - (1 << 60), rng.randrange(1, 60), 1000 * hot + k) for s, hot in ((1 << 60, True), (2 << 60, False)) for k in range(90)]
+    got = jaccard.neighbours(spark.createDataFrame(rows, "s long, n int, node long"), percent, 1).collect()
+    nodes = [r[2] for r in rows]
+    root = classes(len(nodes), [(nodes.index(r["a"]), nodes.index(r["b"])) for r in got])
+    for i, (s, n, _) in enumerate(rows):
+        for j in range(i):
+            if s == rows[j][0] and 100 * min(n, rows[j][1]) >= percent * max(n, rows[j][1]):
+                assert root[i] == root[j]
+
+
 def test_jaccard_of_a_passage_that_many_share(spark):
-    """Around the threshold, with half of every text in common: no star decides these, the second round does."""
+    """Around the threshold, with most of every text in common."""
     rng = random.Random(6)
     common_ = [f"c{k}" for k in range(60)]
     texts = []
