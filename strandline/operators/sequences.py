@@ -222,6 +222,7 @@ def reduce_redundant(sequences: DataFrame, threshold: float = 0.5) -> DataFrame:
     `threshold` of its sketch. Of equal sketches the first stands for all: the others go, whether it stays or not.
     Candidates come from the inverted index. Then, in rounds of joins, sequences of which all holders have gone stay, and
     what those that stay hold goes, until all is decided. Empty sketches are held by nothing."""
+    sequences = kept(sequences)  # sketches are costly
     empty = sequences.where(F.size("sketch") == 0)
     first = sequences.where(F.size("sketch") > 0).groupBy("grp", "sketch").agg(F.min(F.struct((-F.col("length")).alias("l"), "id")).alias("ord"))
     first = kept(first.select("grp", F.col("ord.id").alias("id"), "ord", "sketch"))
