@@ -270,12 +270,13 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     copies = rows.join(parts, ["node", "more", "salt"]).where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
     copies = copies.unionByName(parts.join(groups, ["node", "more"]).where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
     nodes = sets.join(groups, ["node", "more", "doc_id"], "left_semi").groupBy("node", "more", "doc_id").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "parts")))
-    nodes = materialize(nodes.drop("more"))
+    prefixes = nodes.select(F.explode("prefix").alias("s"), "n", "node")  # large, used once
+    nodes = materialize(nodes.select("node", "doc_id", "n", "parts"))
     stats = nodes.agg(F.count("*").alias("n"), *(F.percentile_approx(F.col("parts")[q], 0.5).alias(f"p{q}") for q in range(FRAGMENTS - 1))).first()
     cuts = [stats[f"p{q}"] or 0 for q in range(FRAGMENTS - 1)]
     hot_level = int(STEPS * math.log2(hot_count(stats["n"]) + 1))
     # clusters outside which nothing links, dealt by pairs of blocks
-    clusters = components(neighbours(nodes.select(F.explode("prefix").alias("s"), "n", "node"), percent, hot_level))
+    clusters = components(neighbours(prefixes, percent, hot_level))
     member = nodes.select("node", "doc_id").join(clusters, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("cluster"))
     member = materialize(member)
     sizes = materialize(member.groupBy("cluster").agg(F.count("*").alias("count")).where("count > 1")).withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
