@@ -1,6 +1,7 @@
 """The operators' queries, and their SQL where SQL can express them."""
 
 from strandline.llm.ann import OP1_SQL, op1_embedding_dedup
+from strandline.llm.counts import op13_token_counts
 from strandline.llm.decontam import OP4_SQL, op4_decontamination
 from strandline.llm.jaccard import OP8_SQL, op8_ngram_jaccard
 from strandline.llm.language import op7_language_id
@@ -21,5 +22,6 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_pii": op9_pii,
     "op10_lm_scores": op10_lm_scores,
+    "op13_token_counts": op13_token_counts,
 }
 ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_ngram_jaccard": OP8_SQL}
