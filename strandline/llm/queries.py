@@ -10,6 +10,7 @@ from strandline.llm.pii import op9_pii
 from strandline.llm.quality import op5_quality
 from strandline.llm.secrets import op2_secret_scan
 from strandline.llm.tokens import op3_token_files, op6_pack
+from strandline.llm.trie import OP12_SQL, op12_prefix_trie
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_pii": op9_pii,
     "op10_lm_scores": op10_lm_scores,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_token_counts": op13_token_counts,
 }
-ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_ngram_jaccard": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_ngram_jaccard": OP8_SQL, "op12_prefix_trie": OP12_SQL}
