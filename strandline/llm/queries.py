@@ -6,6 +6,7 @@ from strandline.llm.decontam import OP4_SQL, op4_decontamination
 from strandline.llm.jaccard import OP8_SQL, op8_ngram_jaccard
 from strandline.llm.language import op7_language_id
 from strandline.llm.lm import op10_lm_scores
+from strandline.llm.negatives import OP11_SQL, op11_hard_negatives
 from strandline.llm.pii import op9_pii
 from strandline.llm.quality import op5_quality
 from strandline.llm.secrets import op2_secret_scan
@@ -23,7 +24,8 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_pii": op9_pii,
     "op10_lm_scores": op10_lm_scores,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_token_counts": op13_token_counts,
 }
-ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_ngram_jaccard": OP8_SQL, "op12_prefix_trie": OP12_SQL}
+ORACLES: dict[str, str] = {"op1_embedding_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_ngram_jaccard": OP8_SQL, "op11_hard_negatives": OP11_SQL, "op12_prefix_trie": OP12_SQL}
