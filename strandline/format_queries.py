@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandline import roles as R
 from strandline import schemas
 from strandline.functions import alignment as A
+from strandline.functions import dust as D
 from strandline.functions import text as X
 from strandline.operators import counts as C
 from strandline.operators import filters as FL
@@ -212,6 +213,36 @@ def quality_filtered(spark, d):
     return FL.quality_filter(_fastq(spark, d), max_unknown=2).select("read_id", F.length("seq").alias("n"))
 
 
+def _repetitive(key):
+    """Sixty sequences of 1 to 69 letters: a unit of up to four letters several times, then other letters."""
+    k = key % 60
+    unit = F.substring(F.lit("ACGTTGCA"), (k % 5 + 1).cast("int"), (k % 4 + 1).cast("int"))
+    return F.concat(F.repeat(unit, (k % 13 + 1).cast("int")), F.substring(F.lit("GATTACAGCTTNCATCG"), F.lit(1), (k % 18).cast("int")))
+
+
+_REPETITIVE = """c AS (SELECT c_custkey AS k, repeat(substr('ACGTTGCA', (c_custkey % 60) % 5 + 1, (c_custkey % 60) % 4 + 1), CAST((c_custkey % 60) % 13 + 1 AS INT)) || substr('GATTACAGCTTNCATCG', 1, (c_custkey % 60) % 18) AS seq FROM customer)"""
+
+
+@query(f"""WITH {_REPETITIVE}, t AS (SELECT k, seq, substr(seq, p, 3) AS t, count(*) AS n FROM c, unnest(range(1, length(seq) - 1)) u(p) GROUP BY ALL)
+  SELECT k AS customer, round(CAST(sum(n * (n - 1) // 2) AS BIGINT) / (length(seq) - 3), 9) AS score FROM t WHERE length(seq) >= 4 GROUP BY k, seq""")
+def dust_scores(spark, d):
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("customer"), _repetitive(F.col("c_custkey")).alias("seq"))
+    return rows.where(F.length("seq") >= 4).select("customer", F.round(D.window_score(F.col("seq")), 9).alias("score"))
+
+
+@query(f"""WITH {_REPETITIVE}, s AS (SELECT DISTINCT seq, length(seq) - 2 AS m FROM c),
+  iv AS (SELECT seq, i, j FROM s, unnest(range(1, m)) a(i), unnest(range(2, m + 1)) b(j) WHERE j > i AND j < i + 62 AND position('N' IN substr(seq, i, j - i + 3)) = 0),
+  n AS (SELECT seq, i, j, substr(seq, p, 3) AS t, count(*) AS n FROM iv, unnest(range(i, j + 1)) u(p) GROUP BY ALL),
+  sc AS (SELECT seq, i, j, CAST(sum(n * (n - 1) // 2) AS BIGINT) AS pairs, j - i AS d FROM n GROUP BY seq, i, j),
+  perfect AS (SELECT * FROM sc a WHERE pairs > 2 * d AND NOT EXISTS (SELECT 1 FROM sc b WHERE b.seq = a.seq AND b.i >= a.i AND b.j <= a.j AND b.pairs * a.d > a.pairs * b.d)),
+  masked AS (SELECT seq, count(DISTINCT p) AS n FROM perfect, unnest(range(i, j + 3)) u(p) GROUP BY seq)
+  SELECT k AS customer, coalesce(n, 0) AS masked, length(seq) > 0 AND 100 * (length(seq) - coalesce(n, 0)) >= 60 * length(seq) AS passes FROM c LEFT JOIN masked USING (seq)""")
+def dust_masked(spark, d):
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("customer"), _repetitive(F.col("c_custkey")).alias("seq"))
+    masked = rows.withColumn("share", D.unmasked_share(F.col("seq")))
+    return masked.select("customer", F.round((1 - F.col("share")) * F.length("seq")).cast("long").alias("masked"), (100 * F.col("share") >= 60).alias("passes"))
+
+
 @query(f"WITH {_FASTQ} SELECT read_id FROM fq WHERE 1 - (length(seq) - length(replace(seq, 'N', ''))) / length(seq) >= 0.9 AND 1 - len(list_filter(string_split(quality, ''), lambda c: ascii(c) - 33 < 17)) / length(seq) >= 0.85")
 def called_filtered(spark, d):
     return FL.called_filter(_fastq(spark, d)).select("read_id")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import alignment as A
+from strandline.functions import dust as D
 from strandline.functions import text as X
 from strandline.operators.scalar import kept, with_row
 from strandline.schemas import HUMAN
@@ -99,6 +100,23 @@ def quality_filter(reads: DataFrame, min_length: int = 35, phred: int = 17, max_
     return reads.where((F.length("seq") >= min_length) & (unknown <= max_unknown) & (F.coalesce(X.low_quality_share(F.col("quality"), phred), F.lit(1.0)) <= max_low))
 
 
+def dust_filter(reads: DataFrame, least: float = 60.0) -> DataFrame:
+    """reads (seq) of which symmetric DUST leaves `least` percent or more unmasked; empty ones have none."""
+    return reads.where(100 * D.unmasked_share(F.col("seq")) >= least)
+
+
+def short_read_quality(reads: DataFrame, least: float = 60.0) -> DataFrame:
+    """reads (seq, quality) that pass what short reads must: length, qualities, unknown letters and complexity."""
+    return dust_filter(quality_filter(reads), least)
+
+
+def long_read_quality(reads: DataFrame, min_length: int = 100, phred: int = 9, max_low: float = 0.4, max_unknown: int = 5, least: float = 30.0) -> DataFrame:
+    """reads (seq, quality) that pass what long reads must; complexity is the percentage of letters that differ from the
+    next."""
+    good = quality_filter(reads, min_length, phred, max_low, max_unknown)
+    return good.where(100 * D.neighbour_share(F.col("seq")) >= least)
+
+
 def called_filter(reads: DataFrame, min_called: float = 0.9, min_good: float = 0.85, phred: int = 17) -> DataFrame:
     """reads (seq, quality) with min_called of their bases known and min_good of them of at least phred; if no read is left
     that way, the quality isn't asked for."""
