@@ -15,8 +15,9 @@ from strandline.operators import filters as FL
 from strandline.operators import merge as M
 from strandline.operators import reports as P
 from strandline.operators import sequences as S
+from strandline.operators import sketch_tree as ST
 from strandline.operators import taxonomy as T
-from strandline.operators.scalar import shared_folder
+from strandline.operators.scalar import kept, shared_folder
 from strandline.queries import _READS, _reads, query
 from strandline.roles import M8_SQL, table
 from strandline.sources import fastx, sinks, tables
@@ -451,3 +452,38 @@ def repeated_ranks(spark, d):
     n = table(spark, d, "nation")
     rows = n.select((100 + F.col("n_nationkey")).alias("tax_id"), F.col("n_regionkey").alias("ancestor"), F.lit("no rank").alias("rank"), F.lit(2).alias("depth")).unionByName(n.select((100 + F.col("n_nationkey")).alias("tax_id"), (50 + F.col("n_nationkey")).alias("ancestor"), F.lit("no rank").alias("rank"), F.lit(1).alias("depth")))
     return T.numbered_ranks(rows).select("tax_id", "rank", "ancestor")
+
+
+# ------------------------------------------------------------------ sketches
+def _portable(rows, key, text):
+    return rows.select(F.col(key).alias("id"), S.sketch(F.coalesce(F.col(text), F.lit("")), 20, 50, dna=False, portable=True).alias("sketch"))
+
+
+_HASHES = """CAST('0x' || substr(md5('42:' || substr(text, CAST(i AS INT), 20)), 1, 13) AS BIGINT) AS h FROM (SELECT {id} AS id, text, unnest(range(1, length(text) - 18)) AS i FROM {table})"""
+_CONTAINED = """dh AS (SELECT DISTINCT id, h FROM (SELECT id, {d}) WHERE h < 4503599627370496 // 50), qh AS (SELECT DISTINCT id, h FROM (SELECT id, {q}) WHERE h < 4503599627370496 // 50),
+  n AS (SELECT id, count(*) AS n FROM qh GROUP BY id), s AS (SELECT qh.id AS query, dh.id AS id, count(*) AS shared FROM qh JOIN dh USING (h) GROUP BY 1, 2)"""
+_DOC_CONTAINED = _CONTAINED.format(d=_HASHES.format(id="doc_id", table="documents"), q=_HASHES.format(id="doc_id", table="documents WHERE doc_id % 100 = 0"))
+_ITEM_CONTAINED = _CONTAINED.format(d=_HASHES.format(id="doc_id", table="documents"), q=_HASHES.format(id="item_id", table="benchmark"))
+
+
+def _searched(spark, d, buckets):
+    rows = kept(_portable(table(spark, d, "documents"), "doc_id", "text"))
+    found = ST.contained(ST.build(rows, buckets=buckets), rows.where("id % 100 = 0").withColumnRenamed("id", "query"), 0.5)
+    return found.select("query", "id", "shared", F.round("containment", 9).alias("containment"))
+
+
+@query(f"WITH {_DOC_CONTAINED} SELECT s.query, s.id, shared, round(shared / n, 9) AS containment FROM s JOIN n ON n.id = s.query WHERE shared >= 0.5 * n")
+def sketch_tree_search(spark, d):
+    return _searched(spark, d, 0)
+
+
+@query(f"WITH {_DOC_CONTAINED} SELECT s.query, s.id, shared, round(shared / n, 9) AS containment FROM s JOIN n ON n.id = s.query WHERE shared >= 0.5 * n")
+def counting_filter_search(spark, d):
+    return _searched(spark, d, ST.BUCKETS)
+
+
+@query(f"WITH {_ITEM_CONTAINED} SELECT query AS item_id, count(*) AS n_docs, max(shared) AS most, round(max(shared / n), 9) AS containment FROM s JOIN n ON n.id = s.query WHERE shared >= 0.3 * n GROUP BY query")
+def benchmark_containment(spark, d):
+    tree = ST.build(_portable(table(spark, d, "documents"), "doc_id", "text"))
+    found = ST.contained(tree, _portable(table(spark, d, "benchmark"), "item_id", "text").withColumnRenamed("id", "query"), 0.3)
+    return found.groupBy(F.col("query").alias("item_id")).agg(F.count("*").alias("n_docs"), F.max("shared").alias("most"), F.round(F.max("containment"), 9).alias("containment"))
