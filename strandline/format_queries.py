@@ -20,7 +20,7 @@ from strandline.operators import taxonomy as T
 from strandline.operators.scalar import kept, shared_folder
 from strandline.queries import _READS, _reads, query
 from strandline.roles import M8_SQL, table
-from strandline.sources import fastx, sinks, tables
+from strandline.sources import fastx, records, sinks, tables
 
 
 def _written(spark, lines):
@@ -190,13 +190,41 @@ def fasta_file(spark, d):
     return fastx.fasta(spark, path).select("read_id", "header", "seq")
 
 
-def _fastq(spark, d):
+def _fastq_lines(spark, d):
     """Customers as FASTQ; qualities begin with @ for every other one, and lack their last letters for every third."""
     k = F.col("c_custkey")
     quality = F.concat(F.when(k % 2 == 0, "@").otherwise("I"), F.repeat(F.chr(F.lit(40) + k % 30), (F.length("seq") - 1 - F.when(k % 3 == 0, 2).otherwise(0)).cast("int")))
     rows = table(spark, d, "customer").withColumn("seq", _sequence(k)).withColumn("quality", quality)
-    lines = rows.select(F.concat_ws("\n", F.concat(F.lit("@c"), k, F.lit("/1 x")), F.substring("seq", 1, 3), F.expr("substring(seq, 4)"), F.lit("+"), "quality").alias("value"))
-    return fastx.fastq(spark, _written(spark, lines))
+    return rows.select(F.concat_ws("\n", F.concat(F.lit("@c"), k, F.lit("/1 x")), F.substring("seq", 1, 3), F.expr("substring(seq, 4)"), F.lit("+"), "quality").alias("value"))
+
+
+def _fastq(spark, d):
+    return fastx.fastq(spark, _written(spark, _fastq_lines(spark, d)))
+
+
+def _mates(spark, d):
+    """Customers as two FASTA files, mates of 4 to 83 letters and of four times as many, so that ranges part them elsewhere."""
+    k = F.col("c_custkey")
+    rows = table(spark, d, "customer").select(F.concat(F.lit("c"), k).alias("id"), _sequence(k).alias("seq"))
+    paths = [shared_folder(spark), shared_folder(spark)]
+    for m, path in enumerate(paths, 1):
+        fastx.to_fasta(rows.select(F.concat("id", F.lit(f"/{m}")).alias("header"), F.repeat("seq", 1 if m == 1 else 4).alias("seq")), path)
+    return paths
+
+
+_PAIRS_SQL = f"SELECT 'c' || c_custkey AS read_id, {_SEQUENCE.format(k='c_custkey')} AS seq1, CAST(4 * length({_SEQUENCE.format(k='c_custkey')}) AS INT) AS n2 FROM customer"
+
+
+@query(_PAIRS_SQL)
+def fasta_pairs(spark, d):
+    both = fastx.paired(*(fastx.fasta(spark, p) for p in _mates(spark, d)))
+    return both.select("read_id", "seq1", F.length("seq2").alias("n2"))
+
+
+@query(_PAIRS_SQL)
+def lock_step_pairs(spark, d):
+    both = records.paired_files(spark, *_mates(spark, d), split=20_000)
+    return both.select("read_id", "seq1", F.length("seq2").alias("n2"))
 
 
 _FASTQ = f"""base AS (SELECT c_custkey AS k, {_SEQUENCE.format(k='c_custkey')} AS seq FROM customer),
@@ -209,6 +237,22 @@ def fastq_file(spark, d):
     return _fastq(spark, d).select("read_id", "header", "seq", "quality")
 
 
+def _range_records(spark, d, compression, split):
+    path = shared_folder(spark)
+    _fastq_lines(spark, d).write.option("compression", compression).text(path)
+    return records.records(spark, path, numbered=True, split=split).select("read_id", "header", "seq", "quality", "ord")
+
+
+@query(f"WITH {_FASTQ} SELECT read_id, header, seq, quality, row_number() OVER (ORDER BY k) - 1 AS ord FROM fq")
+def fastq_ranges(spark, d):
+    return _range_records(spark, d, "none", 10_000)
+
+
+@query(f"WITH {_FASTQ} SELECT read_id, header, seq, quality, row_number() OVER (ORDER BY k) - 1 AS ord FROM fq")
+def packed_fastq(spark, d):
+    return _range_records(spark, d, "gzip", 10_000)
+
+
 @query(f"WITH {_FASTQ} SELECT read_id, CAST(length(seq) AS INT) AS n FROM fq WHERE length(seq) >= 35 AND length(seq) - length(replace(seq, 'N', '')) <= 2 AND len(list_filter(string_split(quality, ''), lambda c: ascii(c) - 33 < 17)) / length(seq) <= 0.15")
 def quality_filtered(spark, d):
     return FL.quality_filter(_fastq(spark, d), max_unknown=2).select("read_id", F.length("seq").alias("n"))

@@ -31,14 +31,21 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(read_id, header, seq, ord): records begin at > on a line of its own; a sequence may have several lines. The job fails
-    at a record without sequence, and at sequence lines that begin with @ or +."""
-    raw = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", r"^>|\r", "").alias("value"), F.monotonically_increasing_id().alias("ord"))
+    """(read_id, header, seq, ord): records begin at > on a line of its own; a sequence may have several lines. `ord` counts
+    records within a file: rows of a split on top of those of the splits before, a row for each split. The job fails at a
+    record without sequence, and at sequence lines that begin with @ or +."""
+    meta = F.col("_metadata")
+    split = [meta["file_path"].alias("file"), meta["file_block_start"].alias("split")]
+    raw = spark.read.option("lineSep", "\n>").text(path).select(*split, F.regexp_replace("value", r"^>|\r", "").alias("value"), F.monotonically_increasing_id().alias("id")).where(F.trim("value") != "")
+    parts = raw.groupBy("file", "split").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a split's records have ids without gaps but for empty ones, which are only a file's last
+    raw = raw.join(F.broadcast(parts.select("file", "split", "first", before.alias("before"))), ["file", "split"]).withColumn("ord", F.col("before") + F.col("id") - F.col("first"))
     lines = F.split("value", "\n")
     header = lines[0]
     broken = (F.size(lines) < 2) | F.col("value").rlike("\n[@+]")
     checked = F.when(~broken, header).otherwise(_failed("not a FASTA record: ", header))
-    rows = raw.where(F.trim("value") != "").select(checked.alias("header"), F.array_join(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), "").alias("seq"), "ord")
+    rows = raw.select(checked.alias("header"), F.array_join(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), "").alias("seq"), "ord")
     return rows.select(F.regexp_extract("header", r"^(\S*)", 1).alias("read_id"), "header", "seq", "ord")
 
 
