@@ -61,20 +61,6 @@ def masked(sequence: Column, breadth: float, start: Column) -> Column:
     return F.when(away <= 0, sequence).otherwise(F.when(away > first, F.overlay(body, F.repeat(F.lit("N"), away - first), F.lit(1), away - first)).otherwise(body))
 
 
-def reduce_all(sequences: DataFrame, threshold: float = 0.5, large: int = 9_500_000) -> DataFrame:
-    """reduce_redundant() of groups (grp, id, length, sketch) of any size: a group of more than `large` sequences is cut by
-    length into parts of about that size, reduced each on its own, and what is left is reduced together."""
-    sizes = sequences.groupBy("grp").agg(F.ceil(F.count("*") / large).cast("int").alias("parts"))
-    place = F.percent_rank().over(Window.partitionBy("grp").orderBy(F.desc("length"), "id"))
-    big = sequences.join(sizes.where("parts > 1"), "grp")
-    if big.first() is None:
-        return reduce_redundant(sequences, threshold)
-    part = F.struct("grp", F.least(F.floor(place * F.col("parts")), F.col("parts") - 1).alias("part"))
-    cut = reduce_redundant(big.select(part.alias("grp"), "id", "length", "sketch"), threshold).select("grp.grp", "id", "length", "sketch")
-    rest = sequences.join(sizes.where("parts = 1").select("grp"), "grp", "left_semi").select(*cut.columns)
-    return reduce_redundant(kept(rest.unionByName(cut)), threshold)
-
-
 def reduplicate(kept: DataFrame, clusters: DataFrame, originals: DataFrame) -> DataFrame:
     """kept with the records of all duplicates of the representatives among it."""
     members = expand_clusters(kept, clusters).where("read_id <> representative").select("read_id")
@@ -199,6 +185,11 @@ def containment(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), F.size(a)), F.lit(0.0))
 
 
+def group_key(group: Column) -> Column:
+    """A string that is equal for equal groups and never null, so that sequences without group can be joined too."""
+    return F.when(group.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.to_json(F.struct(group.alias("g")))))
+
+
 def containment_edges(sketches: DataFrame, threshold: float) -> DataFrame:
     """(grp, a, b) of sequences (grp, id, ord, sketch) of one group of which the later a is contained in the earlier b:
     an inverted index of hashes. Of a's hashes only its rarest are looked up, as many as b can't all lack, and b must
@@ -221,9 +212,10 @@ def reduce_redundant(sequences: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Greedy reduction of each group (grp, id, length, sketch), longest first: a sequence goes if one that stays holds
     `threshold` of its sketch. Of equal sketches the first stands for all: the others go, whether it stays or not.
     Candidates come from the inverted index. Then, in rounds of joins, sequences of which all holders have gone stay, and
-    what those that stay hold goes, until all is decided. Empty sketches are held by nothing."""
-    sequences = kept(sequences)  # sketches are costly
-    empty = sequences.where(F.size("sketch") == 0)
+    what those that stay hold goes, until all is decided. Empty sketches are held by nothing; sequences without group are
+    a group of their own."""
+    sequences = kept(sequences.withColumnRenamed("grp", "__grp").withColumn("grp", group_key(F.col("__grp"))))  # sketches are costly
+    empty = sequences.where(F.coalesce(F.size("sketch"), F.lit(0)) <= 0)
     first = sequences.where(F.size("sketch") > 0).groupBy("grp", "sketch").agg(F.min(F.struct((-F.col("length")).alias("l"), "id")).alias("ord"))
     first = kept(first.select("grp", F.col("ord.id").alias("id"), "ord", "sketch"))
     edges = kept(containment_edges(first, threshold).select("grp", "a", "b"))
@@ -238,7 +230,40 @@ def reduce_redundant(sequences: DataFrame, threshold: float = 0.5) -> DataFrame:
     left = first.select("grp", "id")
     if gone is not None:
         left = left.join(gone.select("grp", F.col("a").alias("id")), ["grp", "id"], "left_anti")
-    return sequences.join(left, ["grp", "id"], "left_semi").unionByName(empty)
+    return sequences.join(left, ["grp", "id"], "left_semi").unionByName(empty).drop("grp").withColumnRenamed("__grp", "grp")
+
+
+#: Sequences of a group from which on it is cut.
+LARGE = 9_500_000
+
+
+def cut_groups(sequences: DataFrame, large: int = LARGE) -> DataFrame:
+    """sequences (grp, id, length and others) with `part`: null in groups of `large` or fewer, else (first, of): where the
+    part begins in the order of lengths, and the number among the parts of one length."""
+    key = group_key(F.col("grp"))
+    classes = sequences.groupBy(key.alias("__key"), F.col("length").alias("__length")).agg(F.count("*").alias("n"))
+    group = Window.partitionBy("__key")  # a row for each length
+    before = F.coalesce(F.sum("n").over(group.orderBy(F.desc_nulls_last("__length")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    classes = classes.withColumns({"before": before, "total": F.sum("n").over(group)}).where(F.col("total") > large)
+    classes = classes.select("__key", "__length", F.expr(f"before div {large}").alias("first"), F.ceil(F.col("n") / large).cast("long").alias("of"))
+    classes = classes.withColumnRenamed("__key", "__of")
+    same = (F.col("__key") == F.col("__of")) & F.col("length").eqNullSafe(F.col("__length"))
+    cut = sequences.withColumn("__key", key).join(classes, same, "left")
+    part = F.when(F.col("first").isNotNull(), F.struct("first", F.pmod(F.xxhash64("id"), F.col("of")).alias("of")))
+    return cut.withColumn("part", part).select(*sequences.columns, "part")
+
+
+def reduce_all(sequences: DataFrame, threshold: float = 0.5, large: int = LARGE) -> DataFrame:
+    """reduce_redundant() of groups (grp, id, length, sketch) of any size. A group of more than `large` sequences is cut
+    first: lengths, longest first, are dealt to parts of about that many sequences by the running count of sequences per
+    length, so only a row for each length is ordered, never a group's sequences; a length that alone has more is dealt in
+    parts by a hash of the id. Parts are reduced each on its own, and what is left of a group's parts together."""
+    cut = kept(cut_groups(sequences, large))
+    columns = sequences.columns
+    giant = cut.where("part is not null")
+    parts = giant.withColumns({"__whole": F.col("grp"), "grp": F.struct(F.col("grp").alias("g"), "part")}).drop("part")
+    left = reduce_redundant(parts, threshold).withColumn("grp", F.col("__whole")).select(*columns)
+    return reduce_redundant(cut.where("part is null").select(*columns).unionByName(left), threshold)
 
 
 # ------------------------------------------------------------------ pairs

@@ -15,6 +15,7 @@ from strandline.operators import coverage as V
 from strandline.operators import filters as FL
 from strandline.operators import hits as H
 from strandline.operators import merge as M
+from strandline.operators import reduction as RD
 from strandline.operators import reports as P
 from strandline.operators import sequences as S
 from strandline.operators import taxonomy as T
@@ -397,26 +398,63 @@ def complexity_filter(spark, d):
     return FL.complexity_filter(scored.select("read_id", "score"), "score", [0.45, 0.42])
 
 
-_SKETCH = """sk AS (SELECT doc_id, lang, length(text) AS n, text, list_sort(list_distinct(list_filter(list_transform(range(1, length(text) - 18), lambda i: CAST('0x' || substr(md5('42:' || substr(text, i, 20)), 1, 13) AS BIGINT)), lambda h: h < 4503599627370496 // 50))) AS s FROM documents WHERE length(text) >= 20)"""
+_SKETCH = """sk AS (SELECT doc_id, lang, length(text) AS n, text, list_sort(list_distinct(list_filter(list_transform(range(1, length(text) - 18), lambda i: CAST('0x' || substr(md5('42:' || substr(text, i, 20)), 1, 13) AS BIGINT)), lambda h: h < 4503599627370496 // 50))) AS s FROM documents)"""
 
 
 def _sketches(spark, d, portable=False):
-    docs = _docs(spark, d).where(F.length("seq") >= 20)
-    return docs.select("read_id", "lang", F.length("seq").alias("length"), S.sketch(F.col("seq"), 20, 50, dna=False, portable=portable).alias("sketch"))
+    docs = _docs(spark, d)
+    return docs.select("read_id", "lang", F.coalesce(F.length("seq"), F.lit(0)).alias("length"), S.sketch(F.col("seq"), 20, 50, dna=False, portable=portable).alias("sketch"))
 
 
-@query(f"WITH {_SKETCH} SELECT doc_id AS read_id, CAST(len(s) AS INT) AS n, CAST(list_sum(s) % 1000003 AS BIGINT) AS digest FROM sk")
+@query(f"WITH {_SKETCH} SELECT doc_id AS read_id, CAST(coalesce(len(s), 0) AS INT) AS n, CAST(list_sum(s) % 1000003 AS BIGINT) AS digest FROM sk")
 def minhash_sketch(spark, d):
     total = F.aggregate("sketch", F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x).cast("decimal(38,0)"))
     return _sketches(spark, d, True).select("read_id", F.size("sketch").alias("n"), F.when(F.size("sketch") > 0, (total % 1000003).cast("long")).alias("digest"))
 
 
-@query()
+def _greedy_sql(group: str, select: str) -> str:
+    """The greedy walk as SQL: polynomial hashes of 20 letters modulo 2^64, mixed as the sketches' are; holders among longer
+    texts; then text by text, group by group."""
+    base, word = (0x9E3779B97F4A7C15 ^ 42 << 1) | 1, "CAST(18446744073709551616 AS UHUGEINT)"
+    term = " + ".join(f"CAST({f'lead(c, {j}) OVER w' if j else 'c'} AS UHUGEINT) * CAST({pow(base, j, 1 << 64)} AS UHUGEINT)" for j in range(20))
+    mixed = lambda h, shift, by: f"CAST((CAST(xor({h}, {h} >> {shift}) AS UHUGEINT) * CAST({by} AS UHUGEINT)) % {word} AS UBIGINT)"
+    return f"""WITH RECURSIVE docs AS (SELECT doc_id AS id, coalesce(CAST({group} AS VARCHAR), '') AS grp, coalesce(length(text), 0) AS length, coalesce(text, '') AS text FROM documents),
+  placed AS (SELECT id, grp, length, row_number() OVER (PARTITION BY grp ORDER BY length DESC, id) AS k FROM docs),
+  letters AS (SELECT id, unnest(range(1, length + 1)) AS i, unicode(unnest(string_split(text, ''))) AS c FROM docs WHERE length >= 20),
+  windows AS (SELECT id, CAST(({term}) % {word} AS UBIGINT) AS h FROM letters WINDOW w AS (PARTITION BY id ORDER BY i) QUALIFY lead(c, 19) OVER w IS NOT NULL),
+  once AS (SELECT id, {mixed('h', 31, 0xD6E8FEB86659FD93)} AS h FROM windows), twice AS (SELECT id, {mixed('h', 29, 0xC2B2AE3D27D4EB4F)} >> 12 AS h FROM once),
+  sk AS (SELECT DISTINCT k, grp, h FROM twice JOIN placed USING (id) WHERE h < 4503599627370496 // 50), n AS (SELECT grp, k, count(*) AS n FROM sk GROUP BY grp, k),
+  pairs AS (SELECT a.grp, a.k, b.k AS holder, count(*) AS shared FROM sk a JOIN sk b ON a.grp = b.grp AND a.h = b.h AND b.k < a.k GROUP BY 1, 2, 3),
+  holders AS (SELECT pairs.grp, pairs.k, list(holder) AS hs FROM pairs JOIN n ON n.grp = pairs.grp AND n.k = pairs.k WHERE shared >= 0.5 * n GROUP BY 1, 2),
+  rows AS (SELECT placed.grp, placed.k, coalesce(hs, []) AS hs FROM placed LEFT JOIN holders ON holders.grp = placed.grp AND holders.k = placed.k),
+  walk(grp, k, kept) AS (SELECT grp, k, [k] FROM rows WHERE k = 1
+    UNION ALL SELECT rows.grp, rows.k, CASE WHEN list_has_any(walk.kept, rows.hs) THEN walk.kept ELSE list_append(walk.kept, rows.k) END FROM walk JOIN rows ON rows.grp = walk.grp AND rows.k = walk.k + 1),
+  stays AS (SELECT grp, unnest(arg_max(kept, k)) AS k FROM walk GROUP BY grp)
+  {select}"""
+
+
+@query(_greedy_sql("lang", "SELECT nullif(p.grp, '') AS grp, p.id, CAST(p.length AS INT) AS length FROM stays JOIN placed p ON p.grp = stays.grp AND p.k = stays.k"))
 def greedy_reduction(spark, d):
     rows = _sketches(spark, d).select(F.col("lang").alias("grp"), F.col("read_id").alias("id"), "length", "sketch")
     return S.reduce_redundant(rows, 0.5).select("grp", "id", "length")
 
 
+_BY_TAXON = "CASE WHEN doc_id % 5 = 0 THEN 0 ELSE doc_id % 3 + 1 END"
+
+
+def _compressed(spark, d, large):
+    """Documents as references of four taxa, one of them unknown."""
+    reads = table(spark, d, "documents").select(F.concat(F.lit("D"), "doc_id", F.lit(".1")).alias("read_id"), F.col("text").alias("seq"))
+    known = table(spark, d, "documents").where("doc_id % 5 <> 0").select(F.concat(F.lit("D"), "doc_id").alias("accession"), (F.col("doc_id") % 3 + 1).alias("taxid"))
+    left = RD.compressed_by_taxon(reads, known, 0.5, large, k=20, scaled=50, dna=False)
+    return left.select("read_id", "accession", F.col("taxid").cast("long").alias("taxid"), F.coalesce(F.length("seq"), F.lit(0)).alias("length"))
+
+
+@query(_greedy_sql(_BY_TAXON, "SELECT 'D' || p.id || '.1' AS read_id, 'D' || p.id AS accession, CAST(p.grp AS BIGINT) AS taxid, CAST(p.length AS INT) AS length FROM stays JOIN placed p ON p.grp = stays.grp AND p.k = stays.k").replace("ORDER BY length DESC, id)", "ORDER BY length DESC, 'D' || id || '.1')"))
+def compression_run(spark, d):
+    return _compressed(spark, d, S.LARGE)
+
+
 @query("""WITH p AS (SELECT lang, sum(strlen(text) + 1) AS bytes, count(*) AS n FROM documents GROUP BY lang), q AS (SELECT *, coalesce(sum(bytes) OVER (ORDER BY lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS f FROM p)
   SELECT lang, CAST(f AS BIGINT) AS first_byte, CAST(f + bytes - 1 AS BIGINT) AS last_byte, n FROM q""")
 def taxid_locator(spark, d):
