@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,16 +71,36 @@ def top_hit_nr(m8: DataFrame, acc2tax: DataFrame, lineage: DataFrame, max_evalue
     return _most_frequent(_fitting(rows, "qseqid", "bitscore"), "ord").select(*m8.columns)
 
 
+def disjoint(begins: list[int], ends: list[int], most: float = 0.1) -> list[int]:
+    """The numbers of the intervals, in their order, that share no more than `most` of the shorter one's length with any
+    kept before. Kept intervals lie in an index by their begin: of those of any length none holds another, so their ends
+    are in order too, and only the neighbours of a new one that reach into it are asked."""
+    kept, low, high = [], [], []
+    for k, (b, e) in enumerate(zip(begins, ends, strict=True)):
+        at = bisect_right(low, b)
+        clashes = False
+        for step, j in ((-1, at - 1), (1, at)):
+            while not clashes and 0 <= j < len(low) and (high[j] > b if step < 0 else low[j] < e):
+                clashes = min(high[j], e) - max(low[j], b) > most * min(high[j] - low[j], e - b)
+                j += step
+        if not clashes:
+            kept.append(k)
+            if e > b:  # what has no length shares nothing
+                low.insert(at, b)
+                high.insert(at, e)
+    return kept
+
+
 def disjoint_hsps(hsps: Column, max_overlap: float = 0.1) -> Column:
     """Of alignments (ord, b, e, ...) in their order those whose query interval overlaps none kept before by more than
     max_overlap of the shorter of the two."""
 
-    def clashes(kept: Column, x: Column) -> Column:
-        shared = F.least(kept["e"], x["e"]) - F.greatest(kept["b"], x["b"]) + 1
-        shorter = F.least(kept["e"] - kept["b"], x["e"] - x["b"]) + 1
-        return shared > max_overlap * shorter
+    @F.pandas_udf("array<int>")
+    def chosen(begins: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([None if b is None else disjoint(b.tolist(), e.tolist(), max_overlap) for b, e in zip(begins, ends, strict=True)])
 
-    return F.aggregate(hsps, F.filter(hsps, lambda x: F.lit(False)), lambda acc, x: F.when(F.exists(acc, lambda k: clashes(k, x)), acc).otherwise(F.array_append(acc, x)))
+    several = lambda c: F.when(F.size(hsps) > 1, F.transform(hsps, lambda x: x[c]))  # noqa: E731  # most pairs have one
+    return F.when(F.size(hsps) == 1, hsps).otherwise(F.transform(chosen(several("b"), several("e")), lambda k: hsps[k]))
 
 
 def hsp_covers(m8: DataFrame) -> DataFrame:
@@ -85,8 +108,7 @@ def hsp_covers(m8: DataFrame) -> DataFrame:
     low, high = F.least("qstart", "qend").alias("b"), F.greatest("qstart", "qend").alias("e")
     item = F.struct("ord", low, high, *(F.col(c) for c in m8.columns if c not in ("ord", "qseqid", "sseqid")))
     pairs = m8.groupBy("qseqid", "sseqid").agg(F.array_sort(F.collect_list(item)).alias("hsps"))
-    cover = F.when(F.size("hsps") == 1, F.col("hsps")).otherwise(disjoint_hsps(F.col("hsps")))  # most pairs have one
-    covered = pairs.select("qseqid", "sseqid", cover.alias("cover"))
+    covered = pairs.select("qseqid", "sseqid", disjoint_hsps(F.col("hsps")).alias("cover"))
     return covered.withColumns({"score": F.aggregate("cover", F.lit(0.0), lambda a, x: a + x["bitscore"]), "first": F.col("cover")[0]["ord"]})
 
 

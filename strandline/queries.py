@@ -118,7 +118,7 @@ def top_hit_protein(spark, d):
 @query(f"""WITH RECURSIVE {M8_SQL},
   h AS (SELECT qseqid, sseqid, ord, least(qstart, qend) AS b, greatest(qstart, qend) AS e, bitscore, row_number() OVER (PARTITION BY qseqid, sseqid ORDER BY ord, b, e, pident, length, mismatch, sstart, send, evalue, bitscore) AS k FROM m8 WHERE length >= 10 AND pident >= 92 AND evalue <= 1),
   g(qseqid, sseqid, k, kept) AS (SELECT qseqid, sseqid, 1 AS k, [{{'ord': ord, 'b': b, 'e': e, 's': bitscore}}] AS kept FROM h WHERE k = 1
-    UNION ALL SELECT g.qseqid, g.sseqid, g.k + 1, CASE WHEN len(list_filter(g.kept, lambda x: least(x.e, h.e) - greatest(x.b, h.b) + 1 > 0.1 * (least(x.e - x.b, h.e - h.b) + 1))) > 0 THEN g.kept ELSE list_append(g.kept, {{'ord': h.ord, 'b': h.b, 'e': h.e, 's': h.bitscore}}) END
+    UNION ALL SELECT g.qseqid, g.sseqid, g.k + 1, CASE WHEN len(list_filter(g.kept, lambda x: least(x.e, h.e) - greatest(x.b, h.b) > 0.1 * least(x.e - x.b, h.e - h.b))) > 0 THEN g.kept ELSE list_append(g.kept, {{'ord': h.ord, 'b': h.b, 'e': h.e, 's': h.bitscore}}) END
     FROM g JOIN h ON h.qseqid = g.qseqid AND h.sseqid = g.sseqid AND h.k = g.k + 1),
   c AS (SELECT qseqid, sseqid, arg_max(kept, k) AS cover FROM g GROUP BY qseqid, sseqid),
   t AS (SELECT c.*, list_sum(list_transform(cover, lambda x: x.s)) AS score, cover[1].ord AS first, coalesce(species, -100) AS species, coalesce(genus, -200) AS genus, coalesce(family, -300) AS family FROM c LEFT JOIN acc ON acc.accession = split_part(sseqid, '.', 1) LEFT JOIN lin ON lin.taxid = acc.taxid),
