@@ -20,7 +20,7 @@ from strandline.operators import taxonomy as T
 from strandline.operators.scalar import kept, shared_folder
 from strandline.queries import _READS, _reads, query
 from strandline.roles import M8_SQL, table
-from strandline.sources import fastx, records, sinks, tables
+from strandline.sources import fastx, file_index, records, sinks, tables
 
 
 def _written(spark, lines):
@@ -531,3 +531,54 @@ def benchmark_containment(spark, d):
     tree = ST.build(_portable(table(spark, d, "documents"), "doc_id", "text"))
     found = ST.contained(tree, _portable(table(spark, d, "benchmark"), "item_id", "text").withColumnRenamed("id", "query"), 0.3)
     return found.groupBy(F.col("query").alias("item_id")).agg(F.count("*").alias("n_docs"), F.max("shared").alias("most"), F.round(F.max("containment"), 9).alias("containment"))
+
+
+# ------------------------------------------------------------------ references by their place in files
+def _reference_file(spark, d):
+    """Customers as one FASTA file, every third with a second item in its header."""
+    k = F.col("c_custkey")
+    header = F.concat(F.lit("c"), k, F.lit(" , customer of "), "c_nationkey", F.when(k % 3 == 0, F.concat(F.lit("\x01d"), k, F.lit(" other"))).otherwise(""))
+    rows = table(spark, d, "customer").orderBy(k).select(F.concat(F.lit(">"), header, F.lit("\n"), F.substring(_sequence(k), 1, 9), F.lit("\n"), F.substring(_sequence(k), 10, 99)).alias("value"))
+    path = shared_folder(spark)
+    sinks.concatenated(rows, path, "none")
+    return path
+
+
+_REFERENCES = f"""c AS (SELECT c_custkey AS k, 'c' || c_custkey || ' , customer of ' || c_nationkey || if(c_custkey % 3 = 0, chr(1) || 'd' || c_custkey || ' other', '') AS header, {_SEQUENCE.format(k='c_custkey')} AS seq, c_nationkey AS nation FROM customer),
+  placed AS (SELECT *, strlen(header) + 2 AS head, length(seq) + 2 AS body, coalesce(sum(strlen(header) + length(seq) + 4) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM c)"""
+
+
+@query(f"""WITH {_REFERENCES} SELECT 'c' || k AS accession, ', customer of ' || nation AS name, CAST(0 AS INT) AS nth, CAST(start AS BIGINT) AS start, head AS header_bytes, body AS body_bytes, CAST(length(seq) AS BIGINT) AS bases FROM placed
+  UNION ALL SELECT 'd' || k, 'other', 1, start, head, body, length(seq) FROM placed WHERE k % 3 = 0""")
+def reference_index(spark, d):
+    return file_index.indexed(spark, _reference_file(spark, d), 20_000).drop("file")
+
+
+@query(f"WITH {_REFERENCES} SELECT if(u = 1, 'd', 'c') || k AS accession, replace(header, ' , ', ' ') AS header, seq FROM placed, unnest([0, 1]) t(u) WHERE k % 7 = 0 AND (u = 0 OR k % 3 = 0)")
+def fetched_references(spark, d):
+    k = F.col("c_custkey")
+    wanted = table(spark, d, "customer").where(k % 7 == 0).select(F.explode(F.array(F.concat(F.lit("c"), k), F.concat(F.lit("d"), k))).alias("accession"))
+    return file_index.fetched(file_index.indexed(spark, _reference_file(spark, d), 20_000), wanted, gap=0).drop("bytes_read")
+
+
+@query(f"WITH {_REFERENCES} SELECT nation, 'c' || k AS read_id, CAST(coalesce(sum(1 + length(k) + length(seq) + 3 - 0) OVER (PARTITION BY nation ORDER BY length(seq) DESC, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset FROM placed".replace("length(k)", "strlen(CAST(k AS VARCHAR))"))
+def length_files(spark, d):
+    k = F.col("c_custkey")
+    rows = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), F.concat(F.lit("c"), k).alias("header"), _sequence(k).alias("seq"), k.alias("ord"))
+    path = shared_folder(spark)
+    file_index.write_by_length(file_index.placed_by_length(rows, "nation", "ord", 2000), path, "nation")
+    named = lambda c: F.regexp_extract("file", f"{c}=(\\d+)/", 1).cast("long")
+    return records.records(spark, path).select(named("nation").alias("nation"), "read_id", (named("first_byte") + F.col("start")).alias("offset"))
+
+
+@query("SELECT CAST(c_nationkey AS BIGINT) AS taxid, 'c' || c_custkey AS read_id, {s} AS seq FROM customer WHERE c_nationkey IN (3, 7, 8, 19)".format(s=_SEQUENCE.format(k="c_custkey")))
+def taxon_ranges(spark, d):
+    """Records of four taxa by the byte ranges that a locator gives for them, in files sorted by taxon."""
+    k = F.col("c_custkey")
+    line = F.concat(F.lit(">c"), k, F.lit(" "), "c_nationkey", F.lit("\n"), _sequence(k))
+    rows = table(spark, d, "customer").select(F.col("c_nationkey").alias("taxid"), line.alias("line")).withColumn("size", F.octet_length("line") + 1)
+    path = shared_folder(spark)
+    sinks.taxon_files(rows, path, "taxid", [])
+    ranges = [(r["first_byte"], r["last_byte"]) for r in S.byte_ranges(rows, "taxid", []).where("taxid in (3, 7, 8, 19)").collect()]
+    found = records.records_in_ranges(spark, path, ranges, split=1000)
+    return found.select(F.split("header", " ")[1].cast("long").alias("taxid"), "read_id", "seq")

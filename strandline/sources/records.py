@@ -29,6 +29,7 @@ MAX_LENGTH, SPLIT = 10_000, 64 << 20
 _BLOCK, _ROWS = 1 << 20, 4096
 RECORD = "file string, start long, ord long, read_id string, header string, seq string, quality string"
 PAIR = "read_id string, ord long, header1 string, seq1 string, quality1 string, header2 string, seq2 string, quality2 string"
+EXTENTS = "file string, start long, header_bytes long, body_bytes long, header string, bases long"
 COUNTS = "file string, start long, stop long, packed boolean, kind string, n long"
 
 
@@ -97,17 +98,17 @@ def parts(path: str, split: int) -> list[Part]:
     return out
 
 
-def _lines(source, at: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, line) from where source stands, `at`."""
+def _lines(source, at: int) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, offset of what follows, line) from where source stands, `at`."""
     rest = b""
     while block := source.read(_BLOCK):
         lines = (rest + block).split(b"\n")
         rest = lines.pop()
         for line in lines:
-            yield at, line.removesuffix(b"\r")
+            yield at, at + len(line) + 1, line.removesuffix(b"\r")
             at += len(line) + 1
     if rest:
-        yield at, rest.removesuffix(b"\r")
+        yield at, at + len(rest), rest.removesuffix(b"\r")
 
 
 def _before(source, start: int) -> tuple[int, bytes, bytes]:
@@ -134,8 +135,9 @@ def _before(source, start: int) -> tuple[int, bytes, bytes]:
     return at, first, second
 
 
-def _records(part: Part) -> Iterator[tuple[int, list[bytes], int]]:
-    """(offset, lines, number of the separator among them) of the records that begin in a part; 0 where there is none."""
+def _records(part: Part) -> Iterator[tuple[tuple[int, int, int], list[bytes], int]]:
+    """(offsets, lines, number of the separator among them) of the records that begin in a part; 0 where there is none.
+    Offsets are those of the record, of what follows its header, and of what follows it."""
     store, place = _located(part.file)
     with store.open_input_file(place) as raw:
         source, at, one, two = raw, 0, b"", b""
@@ -145,15 +147,16 @@ def _records(part: Part) -> Iterator[tuple[int, list[bytes], int]]:
             at, one, two = _before(raw, part.start)
             raw.seek(at)
         fastq, begin, held, separator = part.kind == "fastq", -1, [], 0
-        for offset, line in _lines(source, at):
+        body = end = 0
+        for offset, after, line in _lines(source, at):
             first = line[:1].strip()
             quality = fastq and one == b"+" and two != b"+"
             if not quality and first == (b"@" if fastq else b">"):
                 if begin >= 0:
-                    yield begin, held, separator
+                    yield (begin, body, offset), held, separator
                 if offset >= part.stop:
                     return
-                begin, held, separator = offset, [line], 0
+                begin, body, held, separator = offset, after, [line], 0
             elif begin >= 0:
                 if fastq and not quality and first == b"+" and one != b"+":
                     if separator:
@@ -164,16 +167,16 @@ def _records(part: Part) -> Iterator[tuple[int, list[bytes], int]]:
                 raise ValueError(f"not a record: {line[:100].decode('utf-8', 'replace')}")
             elif offset >= part.stop:
                 return
-            one, two = first, one
+            one, two, end = first, one, after
         if begin >= 0:
-            yield begin, held, separator
+            yield (begin, body, end), held, separator
 
 
 def _parsed(part: Part, most: int) -> Iterator[tuple]:
     """(start, read_id, header, seq, quality) of a part's records. Qualities are cut, or filled up with their last letter,
     to the sequence; FASTQ reads are cut at `most`."""
     fastq = part.kind == "fastq"
-    for start, lines, separator in _records(part):
+    for (start, _, _), lines, separator in _records(part):
         header = lines[0][1:].decode()
         read_id = header.split(None, 1)[0] if header and not header[0].isspace() else ""
         if fastq:
@@ -215,7 +218,7 @@ class _Reader(DataSourceReader):
         self.options, self.most = dict(options), int(options.get("maxlength", MAX_LENGTH))
 
     def partitions(self):
-        if index := self.options.get("index"):
+        if (index := self.options.get("index")) is not None:
             return [Part(**p) for p in json.loads(index)]
         return parts(self.options["path"], int(self.options.get("splitbytes", SPLIT)))
 
@@ -237,6 +240,14 @@ class _CountReader(_Reader):
         return _batches(iter([(part.file, part.start, part.stop, part.packed, part.kind, n)]), COUNTS)
 
 
+class _ExtentReader(_Reader):
+    def read(self, part: Part | None):
+        if part is None:
+            return iter(())
+        rows = ((part.file, b, m - b, e - m, lines[0][1:].decode(), sum(len(x.strip()) for x in lines[1 : separator or None])) for (b, m, e), lines, separator in _records(part))
+        return _batches(rows, EXTENTS)
+
+
 class _PairReader(_Reader):
     def partitions(self):
         return [PairPart(Part(**p["one"]), Part(**p["two"]), p["skip"], p["n"]) for p in json.loads(self.options["index"])]
@@ -285,8 +296,12 @@ class FastxPairs(_Source):
     kind, columns, made = "fastx_pairs", PAIR, _PairReader
 
 
+class FastxExtents(_Source):
+    kind, columns, made = "fastx_extents", EXTENTS, _ExtentReader
+
+
 def register(spark: SparkSession) -> None:
-    for source in (FastxRecords, FastxCounts, FastxPairs):
+    for source in (FastxRecords, FastxCounts, FastxPairs, FastxExtents):
         spark.dataSource.register(source)
 
 
@@ -313,6 +328,28 @@ def records(spark: SparkSession, path: str, numbered: bool = False, split: int =
     return source.load(path)
 
 
+def extents(spark: SparkSession, path: str, split: int = SPLIT) -> DataFrame:
+    """(file, start, header_bytes, body_bytes, header, bases) of the records of a file or folder, line ends counted in bytes
+    but not in bases."""
+    register(spark)
+    return spark.read.format("fastx_extents").option("splitbytes", split).load(path)
+
+
+def records_in_ranges(spark: SparkSession, path: str, ranges: list[tuple[int, int]], split: int = SPLIT, max_length: int = MAX_LENGTH) -> DataFrame:
+    """The records that begin within byte ranges (first, last; last included) of a plain file, or of a folder's files one
+    after another by name. Ranges are cut to parts of at most `split` bytes; nothing else is read but the rest of the record
+    that a part's last byte lies in."""
+    register(spark)
+    index, before = [], 0
+    for whole, (_, size) in zip(parts(path, 1 << 62), [f for f in _files(path) if f[1]], strict=True):
+        if whole.packed:
+            raise ValueError(f"a packed file has no ranges: {whole.file}")
+        here = [(max(first - before, 0), min(last - before, size - 1) + 1) for first, last in ranges]
+        index += [asdict(Part(whole.file, b, min(b + split, stop), False, whole.kind)) for first, stop in here for b in range(first, stop, split)]
+        before += size
+    return spark.read.format("fastx").option("maxlength", max_length).option("index", json.dumps(index)).load(path)
+
+
 def paired_files(spark: SparkSession, one: str, two: str, split: int = SPLIT, max_length: int = MAX_LENGTH) -> DataFrame:
     """(read_id, ord, header1, seq1, quality1, header2, seq2, quality2): records of two files, or folders, side by side by
     their place. Mates have one id but for /1 and /2. The job fails at mates of different fragments; a place with one
