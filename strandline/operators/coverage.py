@@ -58,15 +58,50 @@ def bin_coverage(intervals: DataFrame, max_bins: int = 500) -> DataFrame:
 
 
 def hit_groups(hits: DataFrame, max_bins: int = 500) -> DataFrame:
-    """Hits (key, length, b, e, mismatch) longer than a bin each alone, others grouped by the bin of their middle."""
+    """Hits (key, length, b, e, mismatch) as long as a bin or longer each alone, others grouped by the bin of their middle;
+    alone ones of equal places are one row."""
     rows = hits.where("length > 0").withColumn("bins", F.least(F.col("length"), F.lit(max_bins).cast("long")))
-    alone = (F.col("e") - F.col("b")) * F.col("bins") > F.col("length")
+    alone = (F.col("e") - F.col("b")) * F.col("bins") >= F.col("length")
     middle = F.expr("least(((b + e) * bins) div (2 * length), bins - 1)")
     return rows.groupBy("key", F.when(alone, F.lit(-1)).otherwise(middle).alias("bin"), F.when(alone, F.col("b")).alias("alone_b"), F.when(alone, F.col("e")).alias("alone_e")).agg(
         F.count("*").alias("n"), F.min("b").alias("b"), F.max("e").alias("e"), F.avg(F.col("mismatch") / (F.col("e") - F.col("b"))).alias("prop_mismatch")
     )
 
 
+#: Of each hit, what its group has the mean of.
+AVERAGED = ["alignment_length", "percent_id", "mismatches", "gaps"]
+
+
+def coverage_groups(hits: DataFrame, max_bins: int = 500) -> DataFrame:
+    """(key, alone, n_contigs, n_reads, contig_reads, first, last, the means of AVERAGED, bin, byte_ranges) of hits (key, length,
+    is_contig, subject_start, subject_end, AVERAGED, and of contigs num_reads, first_byte, last_byte) on accessions of `length`
+    bases, cut in max_bins bins, or as many as there are bases.
+
+    A hit as long as a bin or longer is a group by itself, however many others lie alike; shorter ones are grouped by the
+    bin that their middle is in, reads and contigs together. Ends may come in either order and count from 1. contig_reads and
+    byte_ranges take each byte range of a group once, as alignments of one contig share theirs; ranges are in their order.
+    `bin` is that of the group's middle; what lies beyond the end is in the last bin. Accessions of no length have no groups; means are over all hits of a group."""
+    low, high = F.least("subject_start", "subject_end"), F.greatest("subject_start", "subject_end")
+    rows = hits.where("length > 0").withColumns({"first": low, "last": high, "bins": F.least(F.col("length"), F.lit(max_bins)).cast("long")})
+    at = F.expr("greatest(least(((first - 1 + last) * bins) div (2 * length), bins - 1), 0)")
+    is_alone = (F.col("last") - F.col("first") + 1) * F.col("bins") >= F.col("length")
+    place = F.when(F.col("is_contig"), F.struct("first_byte", "last_byte"))
+    ranges = F.when(F.col("is_contig"), F.array(place)).otherwise(F.array().cast("array<struct<first_byte:long,last_byte:long>>"))
+    flag = lambda c: F.col("is_contig") == c
+    single = rows.where(is_alone).select(
+        "key", F.lit(True).alias("alone"), flag(True).cast("long").alias("n_contigs"), flag(False).cast("long").alias("n_reads"), F.when(flag(True), F.col("num_reads")).otherwise(0).cast("long").alias("contig_reads"),
+        "first", "last", *(F.col(c).cast("double").alias(c) for c in AVERAGED), at.alias("bin"), ranges.alias("byte_ranges"))
+    some = rows.where(~is_alone).withColumns({"__at": at, "__place": place})
+    # one row for each contig of a bin, and one for its reads
+    per = some.groupBy("key", "length", "bins", "__at", "__place").agg(
+        F.count("*").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"), F.min("num_reads").alias("num_reads"), *(F.sum(F.col(c).cast("double")).alias(c) for c in AVERAGED))
+    contig = F.col("__place").isNotNull()
+    group = per.groupBy("key", "length", "bins", "__at").agg(
+        F.sum(F.when(contig, F.col("n")).otherwise(0)).alias("n_contigs"), F.sum(F.when(contig, 0).otherwise(F.col("n"))).alias("n_reads"), F.coalesce(F.sum(F.when(contig, F.col("num_reads"))), F.lit(0)).alias("contig_reads"),
+        F.min("first").alias("first"), F.max("last").alias("last"), *((F.sum(c) / F.sum("n")).alias(c) for c in AVERAGED), F.array_sort(F.collect_set("__place")).alias("byte_ranges"))
+    return single.unionByName(group.withColumn("bin", at).withColumn("alone", F.lit(False)).select(*single.columns))
+
+
 def position_depth(intervals: DataFrame, *keys: str) -> DataFrame:
     """Runs (b, e, depth) of equal positive depth of half-open intervals, from their ends alone: no row per position."""
     ends = intervals.select(*keys, F.explode(F.array(F.struct(F.col("b").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("e").alias("pos"), F.lit(-1).alias("d")))).alias("x")).groupBy(*keys, "x.pos").agg(F.sum("x.d").alias("d"))

@@ -290,12 +290,32 @@ def bin_coverage(spark, d):
     return V.bin_coverage(_part_hits(spark, d), 20).withColumns({"depth": F.round("depth", 6), "breadth": F.round("breadth", 6)})
 
 
-@query(f"""WITH {_HITS}, r AS (SELECT *, least(length, 20) AS bins, (e - b) * least(length, 20) > length AS alone FROM ph WHERE length > 0)
+@query(f"""WITH {_HITS}, r AS (SELECT *, least(length, 20) AS bins, (e - b) * least(length, 20) >= length AS alone FROM ph WHERE length > 0)
   SELECT key, CAST(if(alone, -1, least(((b + e) * bins) // (2 * length), bins - 1)) AS BIGINT) AS bin, count(*) AS n, min(b) AS b, max(e) AS e, round(avg(mismatch / (e - b)), 6) AS prop_mismatch FROM r GROUP BY key, 2, if(alone, r.b, NULL), if(alone, r.e, NULL)""")
 def hit_groups(spark, d):
     return V.hit_groups(_part_hits(spark, d), 20).select("key", F.col("bin").cast("long").alias("bin"), "n", "b", "e", F.round("prop_mismatch", 6).alias("prop_mismatch"))
 
 
+@query("""WITH h AS (SELECT l_partkey AS key, p_size * 30 + 20 AS length, least(p_size * 30 + 20, 20) AS bins, l_linenumber % 3 = 0 AS contig, l_linenumber * 20 AS s, l_linenumber * 20 + CAST(l_quantity AS BIGINT) AS t,
+    CAST(l_quantity AS BIGINT) + 1 AS n, 100 * (1 - l_discount) AS pid, l_linenumber AS mm, CAST(100 * l_tax AS BIGINT) AS gaps, l_suppkey % 9 AS reads, l_suppkey * 100 AS fb FROM lineitem JOIN part ON p_partkey = l_partkey),
+  i AS (SELECT *, t - (s - 1) >= length / bins AS alone, least(CAST(floor((s - 1 + t) / 2 / (length / bins)) AS BIGINT), bins - 1) AS middle, row_number() OVER () AS id FROM h), g AS (SELECT *, if(alone, id, middle) AS grp FROM i),
+  d AS (SELECT key, alone, grp, sum(reads) AS reads, string_agg(fb || '-' || (fb + 99), ';' ORDER BY fb) AS ranges FROM (SELECT DISTINCT key, alone, grp, fb, reads FROM g WHERE contig) GROUP BY ALL),
+  a AS (SELECT key, alone, grp, count(*) FILTER (contig) AS n_contigs, count(*) FILTER (NOT contig) AS n_reads, min(s) AS first, max(t) AS last, avg(n) AS n, avg(pid) AS pid, avg(mm) AS mm, avg(gaps) AS gaps, max(length) / max(bins) AS size, max(bins) AS bins FROM g GROUP BY ALL)
+  SELECT a.key, a.alone, n_contigs, n_reads, CAST(coalesce(reads, 0) AS BIGINT) AS contig_reads, first, last, round(n, 6) AS alignment_length, round(pid, 6) AS percent_id, round(mm, 6) AS mismatches, round(gaps, 6) AS gaps,
+    least(CAST(floor((first - 1 + last) / 2 / size) AS BIGINT), bins - 1) AS bin, coalesce(ranges, '') AS ranges FROM a LEFT JOIN d ON d.key = a.key AND d.alone = a.alone AND d.grp = a.grp""")
+def coverage_groups(spark, d):
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("key"), (F.col("p_size") * 30 + 20).cast("long").alias("length"))
+    begin, n = F.col("l_linenumber").cast("long") * 20, F.col("l_quantity").cast("long")
+    turned = F.col("l_linenumber") % 2 == 0  # on the other strand
+    hits = table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("key"), (F.col("l_linenumber") % 3 == 0).alias("is_contig"), F.when(turned, begin + n).otherwise(begin).alias("subject_start"), F.when(turned, begin).otherwise(begin + n).alias("subject_end"),
+        (n + 1).alias("alignment_length"), (100 * (1 - F.col("l_discount"))).alias("percent_id"), F.col("l_linenumber").alias("mismatches"), (100 * F.col("l_tax")).cast("long").alias("gaps"),
+        (F.col("l_suppkey") % 9).alias("num_reads"), (F.col("l_suppkey") * 100).alias("first_byte"), (F.col("l_suppkey") * 100 + 99).alias("last_byte"))
+    rows = V.coverage_groups(hits.join(p, "key"), 20)
+    ranges = F.array_join(F.transform("byte_ranges", lambda r: F.concat_ws("-", r["first_byte"], r["last_byte"])), ";")
+    return rows.select("key", "alone", "n_contigs", "n_reads", "contig_reads", "first", "last", *(F.round(c, 6).alias(c) for c in V.AVERAGED), "bin", ranges.alias("ranges"))
+
+
 @query(f"""WITH r AS (SELECT l_partkey AS key, if(l_linenumber % 2 = 0, l_linenumber, CAST(l_quantity AS INT) + 1) AS b, if(l_linenumber % 2 = 0, CAST(l_quantity AS INT), l_linenumber + 1) AS e FROM lineitem WHERE l_linenumber <= l_quantity),
   s AS (SELECT l_partkey AS key, l_linenumber AS b, CAST(l_quantity AS INT) AS e FROM lineitem WHERE l_linenumber % 2 = 0 AND l_linenumber < l_quantity UNION ALL SELECT l_partkey, l_linenumber + 1, CAST(l_quantity AS INT) + 1 FROM lineitem WHERE l_linenumber % 2 = 1 AND l_linenumber < l_quantity),
   u AS ({_UNION.format(keys='key', rows='s')})
