@@ -19,8 +19,9 @@ from strandline.operators import reduction as RD
 from strandline.operators import reports as P
 from strandline.operators import sequences as S
 from strandline.operators import taxonomy as T
-from strandline.operators.scalar import with_row
+from strandline.operators.scalar import shared_folder, with_row
 from strandline.roles import M8_SQL, table
+from strandline.streaming import hits as SH
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,6 +93,19 @@ def hit_calling(spark, d):
     return _called(spark, d, deny=_lists(spark, d)[1]).select("read_id", "ord", "bitscore", "level", "taxid", "accession_id", "species_taxid", "genus_taxid", "family_taxid")
 
 
+@query(f"WITH {M8_SQL}, {_CALLED} SELECT read_id, ord, bitscore, level, taxid, accession_id, species_taxid, genus_taxid, family_taxid FROM called")
+def streamed_hits(spark, d):
+    """Alignments as a stream of files, which split reads among batches, by a state for each read."""
+    source, out, checkpoint = (shared_folder(spark) for _ in range(3))
+    m8 = R.alignments(spark, d)
+    m8.repartition(3, F.col("ord")).write.parquet(source)
+    SH.use_rocksdb(spark)
+    stream = spark.readStream.schema(m8.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    SH.run_available(SH.streamed_calls(stream, R.accessions(spark, d), R.lineage(spark, d), 5), out, checkpoint)
+    rows = SH.last_calls(spark, out).withColumnRenamed("qseqid", "read_id")
+    return rows.select("read_id", "ord", "bitscore", "level", "taxid", "accession_id", "species_taxid", "genus_taxid", "family_taxid")
+
+
 @query(f"""WITH {M8_SQL}, {_CALLED},
   r AS (SELECT called.*, coalesce(lin.species, -100) AS species, coalesce(lin.genus, -200) AS genus, coalesce(lin.family, -300) AS family, if(l_returnflag = 'R', 'NR', 'NT') AS src FROM called LEFT JOIN lin ON lin.taxid = called.taxid),
   f AS (SELECT read_id, length, src, {_FILL} FROM r)

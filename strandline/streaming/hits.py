@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
+
+from strandline.operators.filters import valid_alignments
+from strandline.operators.hits import with_lineage, with_taxid
 
 
 def running_best(alignments: DataFrame) -> DataFrame:
@@ -22,3 +30,111 @@ def paired_stream(one: DataFrame, two: DataFrame, late: str = "10 minutes") -> D
     b = two.withWatermark("ts", late).withColumnRenamed("ts", "ts2").withColumnRenamed("read_id", "mate_id")
     near = F.col("ts2").between(F.col("ts1") - F.expr(f"interval {late}"), F.col("ts1") + F.expr(f"interval {late}"))
     return a.join(b, (F.col("read_id") == F.col("mate_id")) & near)
+
+
+# ------------------------------------------------------------------ hit calling
+CALLED = "qseqid long, sseqid string, bitscore double, ord long, level int, taxid long, accession_id string, species_taxid long, genus_taxid long, family_taxid long, seen long, closed boolean"
+
+
+class HitCaller(StatefulProcessor):
+    """Of each read the best score so far, and of the alignments of that score how many name each accession, and the first of
+    them by `ord`: what a call needs, whatever order alignments come in. A call is made anew whenever a read's alignments
+    change; `seen` counts those of a read, so its last call has the most. With `idle`, a read that got nothing for so many
+    milliseconds is called a last time, `closed`, and forgotten."""
+
+    def __init__(self, idle: int | None = None):
+        self.idle = idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getValueState("best", "score double, seen long")
+        self.hits = handle.getMapState("hits", "species long, sseqid string", "n long, ord long, genus long, family long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
+        score, seen = self.best.get() if self.best.exists() else (-math.inf, 0)
+        for part in rows:
+            seen += len(part)
+            top = float(part["bitscore"].max())
+            if top < score:
+                continue
+            if top > score:
+                score = top
+                self.hits.clear()
+            same = part[part["bitscore"] == score]
+            for (species, accession), own in same.groupby(["species", "sseqid"]):
+                first = own.loc[own["ord"].idxmin()]
+                value = (len(own), int(first["ord"]), int(first["genus"]), int(first["family"]))
+                at = (int(species), accession)
+                if self.hits.containsKey(at):
+                    n, order, genus, family = self.hits.getValue(at)
+                    value = (n + value[0], min(order, value[1]), genus, family)
+                self.hits.updateValue(at, value)
+        self.best.update((score, seen))
+        if self.idle is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle)
+        yield self._called(key, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802,N803
+        if self.best.exists():
+            yield self._called(key, True)
+            self.best.clear()
+            self.hits.clear()
+
+    def _called(self, key, closed: bool) -> pd.DataFrame:
+        score, seen = self.best.get()
+        held = [(*at, *value) for at, value in self.hits.iterator()]
+        known = [h for h in held if h[0] >= 0]
+        if known:
+            total: dict[int, int] = {}
+            for species, _, n, *_ in known:
+                total[species] = total.get(species, 0) + n
+            winner = min(total, key=lambda s: (-total[s], s))
+            species, accession, _, order, genus, family = min((h for h in known if h[0] == winner), key=lambda h: (-h[2], h[3]))
+            row = (accession, score, order, 1, species, accession, species, genus, family)
+        else:
+            _, accession, _, order, *_ = min(held, key=lambda h: h[3])
+            row = (accession, score, order, -1, -1, None, -1, -1, -1)
+        return pd.DataFrame([(*key, *row, seen, closed)], columns=[f.split()[0] for f in CALLED.split(", ")])
+
+    def close(self) -> None:
+        pass
+
+
+def streamed_calls(alignments: DataFrame, acc2tax: DataFrame, lineage: DataFrame, min_length: int = 0, idle: int | None = None) -> DataFrame:
+    """Calls (CALLED) of a stream of alignments, for update mode: a row whenever a read's call may have changed, of which the
+    one of most `seen` is what call_hits() gives for all of them. Dimensions are joined as they are. Lists of taxa apply to
+    last calls, so they are the reader's to apply. The session's state store must be RocksDB's. With `idle` the stream has
+    always something left to wait for: it is for queries that run on, not for those of what is available now."""
+    rows = with_lineage(with_taxid(valid_alignments(alignments, min_length), acc2tax), lineage)
+    rows = rows.select(F.col("qseqid").cast("long").alias("qseqid"), "sseqid", F.col("bitscore").cast("double").alias("bitscore"), F.col("ord").cast("long").alias("ord"), *(F.col(c).cast("long").alias(c) for c in ("species", "genus", "family")))
+    mode = "None" if idle is None else "ProcessingTime"
+    return rows.groupBy("qseqid").transformWithStateInPandas(HitCaller(idle), CALLED, "Update", mode)
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Sets the session's state store to the one that streamed_calls() needs."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def run_available(calls: DataFrame, path: str, checkpoint: str) -> None:
+    """Runs a stream of calls over all that its source has now, from where the checkpoint left off."""
+    written(calls, path, checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def written(calls: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """A writer that adds calls to a Parquet table, a folder for each batch; a batch that is run again writes its own folder
+    again."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return calls.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(add)
+
+
+def last_calls(spark: SparkSession, path: str) -> DataFrame:
+    """The last call of each read in such a table."""
+    rows = spark.read.parquet(path)
+    names = [f.split()[0] for f in CALLED.split(", ")]
+    return rows.groupBy("qseqid").agg(F.max_by(F.struct(*names), F.struct("seen", "closed")).alias("c")).select("c.*")
