@@ -135,6 +135,6 @@ def written(calls: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
 
 def last_calls(spark: SparkSession, path: str) -> DataFrame:
     """The last call of each read in such a table."""
-    rows = spark.read.parquet(path)
+    rows = spark.read.schema(CALLED).parquet(path)
     names = [f.split()[0] for f in CALLED.split(", ")]
     return rows.groupBy("qseqid").agg(F.max_by(F.struct(*names), F.struct("seen", "closed")).alias("c")).select("c.*")

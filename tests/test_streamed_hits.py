@@ -59,7 +59,7 @@ def test_idle_reads_are_closed_and_forgotten(spark, tmp_path, rocksdb):
     try:
         for _ in range(60):
             time.sleep(1)
-            done = Path(out).exists() and {r["qseqid"] for r in spark.read.parquet(out).where("closed").select("qseqid").distinct().collect()}
+            done = Path(out).exists() and {r["qseqid"] for r in spark.read.schema(SH.CALLED).parquet(out).where("closed").select("qseqid").distinct().collect()}
             if done == ids:
                 break
     finally:
