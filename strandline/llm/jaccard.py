@@ -30,6 +30,8 @@ from strandline.llm.common import Words, components, forest, hot_count, keyed_jo
 
 #: Counters of words and of shingles (powers of two, a byte each), the parts they are merged in, and steps of a doubling.
 WORD_BITS, SHINGLE_BITS, RANGES, STEPS = 21, 22, 96, 8
+#: Characters of a chunk of texts that a task works on at once.
+CHUNK = 1 << 18
 #: Fragments of the order, nodes of a block, parts of the list of a very frequent shingle.
 FRAGMENTS, BLOCK, SALTS = 4, 256, 64
 
@@ -56,13 +58,14 @@ def frequency_levels(docs: DataFrame, n: int) -> np.ndarray:
     width = -(-size // RANGES)
 
     def count(batches):
-        total = np.zeros(size, np.int64)
-        for _, texts in text_chunks(batches):
-            w = Words(texts)
+        total, some = np.zeros(size, np.uint32), False  # of a task, whose texts have fewer words than that
+        for _, texts in text_chunks(batches, CHUNK):
+            w, some = Words(texts), True
             for slots in _slots(w.hash, _hashes(w.hash, n)):  # shingles across texts are few and only shape the order
-                total += np.bincount(slots, minlength=size)
-        for r in range(RANGES if total.any() else 0):
-            own = total[r * width : (r + 1) * width]
+                slot, times = np.unique(slots, return_counts=True)
+                total[slot] += times.astype(np.uint32)
+        for r in range(RANGES if some else 0):
+            own = total[r * width : (r + 1) * width].astype(np.int64)
             large = np.flatnonzero(own > 255)
             row = [r, np.minimum(own, 255).astype(np.uint8).tobytes(), large.astype(np.int64).tobytes(), (own[large] - 255).tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], ["r", "n", "large", "more"])
@@ -111,7 +114,7 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
     digest, its first shingles in the order, and where the order cuts it in FRAGMENTS equal parts."""
 
     def run(batches):
-        for ids, texts in text_chunks(batches):
+        for ids, texts in text_chunks(batches, CHUNK):
             w = Words(texts)
             rows = []
             for k in range(len(texts)):
@@ -182,7 +185,7 @@ def segments(texts: DataFrame, n: int, levels, cuts: list[int]) -> DataFrame:
     def run(batches):
         for batch in batches:
             meta, at = batch.drop_columns(["text"]).to_pylist(), 0
-            for _, some in text_chunks(iter([batch.select(["doc_id", "text"])])):
+            for _, some in text_chunks(iter([batch.select(["doc_id", "text"])]), CHUNK):
                 w = Words(some)
                 rows = []
                 for k in range(len(some)):
@@ -256,20 +259,29 @@ def _links(percent: int):
     return run
 
 
+def _once(texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """texts (doc_id, text), of ids that very many rows have each different text once."""
+    counts = sets.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("count"))
+    hot = materialize(counts.where(F.col("count") > hot_count(sets.count())).select("doc_id"))  # few, by what makes them hot
+    some = texts.join(F.broadcast(hot), "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text").alias("t")).agg(F.first("text").alias("text"))
+    return texts.join(F.broadcast(hot), "doc_id", "left_anti").unionByName(some.select("doc_id", "text"))
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id): a row per document; documents whose sets have 100 * intersection >=
     percent * union link, component_id is the smallest doc_id reachable by links."""
     spark = docs.sparkSession
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     levels = spark.sparkContext.broadcast(frequency_levels(docs, n))
-    sets = materialize(shingle_sets(docs, n, percent, levels))
-    # equal sets: the least id of each part of a group, and of the group
-    rows = sets.where("doc_id is not null and n > 0").select("doc_id", "node", "more", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
-    parts = materialize(rows.groupBy("node", "more", "salt").agg(F.min("doc_id").alias("least")))
-    groups = parts.groupBy("node", "more").agg(F.min("least").alias("doc_id"))
-    copies = rows.join(parts, ["node", "more", "salt"]).where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-    copies = copies.unionByName(parts.join(groups, ["node", "more"]).where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
-    nodes = sets.join(groups, ["node", "more", "doc_id"], "left_semi").groupBy("node", "more", "doc_id").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "parts")))
+    sets = materialize(shingle_sets(docs, n, percent, levels).withColumn("row", F.monotonically_increasing_id()))
+    # equal sets, repeated rows among them: the least id of each part of a group, and of the group
+    rows = sets.where("doc_id is not null and n > 0").select("doc_id", "row", "node", "more", F.pmod(F.col("row"), F.lit(SALTS)).alias("salt"))
+    parts = materialize(rows.groupBy("node", "more", "salt").agg(F.min(F.struct("doc_id", "row")).alias("m")).select("node", "more", "salt", "m.*").withColumnRenamed("doc_id", "least"))
+    groups = parts.groupBy("node", "more").agg(F.min(F.struct("least", "row")).alias("m")).select("node", "more", F.col("m.least").alias("doc_id"), "m.row")
+    copies = rows.drop("row").join(parts.drop("row"), ["node", "more", "salt"]).where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    copies = copies.unionByName(parts.join(groups.drop("row"), ["node", "more"]).where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
+    # one row for each set
+    nodes = sets.join(groups.select("node", "more", "row"), ["node", "more", "row"], "left_semi")
     prefixes = nodes.select(F.explode("prefix").alias("s"), "n", "node")  # large, used once
     nodes = materialize(nodes.select("node", "doc_id", "n", "parts"))
     stats = nodes.agg(F.count("*").alias("n"), *(F.percentile_approx(F.col("parts")[q], 0.5).alias(f"p{q}") for q in range(FRAGMENTS - 1))).first()
@@ -281,7 +293,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     member = materialize(member)
     sizes = materialize(member.groupBy("cluster").agg(F.count("*").alias("count")).where("count > 1")).withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
     dealt = keyed_join(member, sizes, ["cluster"], stats["n"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    pieces = segments(docs.where("text is not null").join(dealt, "doc_id"), n, levels, cuts)
+    pieces = segments(_once(docs.where("text is not null"), sets).join(dealt, "doc_id"), n, levels, cuts)
     partial = map_groups(pieces, ["cluster", "i", "j", "fragment"], _partial, "cluster long, i int, j int, a array<long>, b array<long>, na array<long>, nb array<long>, shared binary")
     links = map_groups(partial, ["cluster", "i", "j"], _links(percent), "a long, b long")
     # components of sets as the least of their documents

@@ -274,3 +274,19 @@ def test_decontamination_of_no_rows(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination(documents, none).where("contaminated").count() == 0
     assert contamination(documents.limit(0), spark.createDataFrame([(1, "a b")], "item_id long, text string")).count() == 0
+
+
+def test_jaccard_with_a_third_of_all_rows_repeated(spark):
+    """One id's rows are a third of the table, another third has no id; neither reaches a comparison more than once."""
+    from strandline.llm import jaccard
+
+    text = " ".join(f"w{k}" for k in range(60))
+    near = text.replace("w59", "other")
+    rows = [(1, text)] * 3000 + [(None, text)] * 3000 + [(2, near), (3, near + " more"), (4, "else where it is"), *((10 + k, f"alone {k} " * 9) for k in range(50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = jaccard.jaccard_components(docs)
+    per = {(r["doc_id"], r["component_id"], r["n_shingles"]) for r in got.collect()}
+    assert got.count() == len(rows) and (None, None, 58) in per
+    assert {c for i, c, _ in per if i in (1, 2, 3)} == {1} and all(c == i for i, c, _ in per if i is not None and i > 3)
+    once = jaccard._once(docs.where("doc_id is not null"), docs.select("doc_id")).where("doc_id = 1")
+    assert once.count() == 1
