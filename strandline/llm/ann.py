@@ -6,8 +6,10 @@ the graph so far and comparing with one another, and keep their nearest neighbou
 already kept; parts of a layer that don't hang together are joined by their nearest nodes. Every shard's nodes then
 search every shard of their label, QUERIES of them in a task: greedily through the upper layers, by a beam on the lowest.
 A query whose whole beam qualifies searches again by a doubled one. A sample of a task's queries is audited against
-brute force, all their partners counted; while its recall is below AUDIT_RECALL, the beam doubles, and where BEAM_LIMIT
-doesn't pass either, all the task's queries are compared with the whole shard in blocks. `search_links` returns the audits.
+brute force, all their partners counted. Where links are rare a sample has few partners, so PARTNERS queries more are
+planted: vectors of the shard, turned by chance until they are as far away as a partner may be. While any partner of either
+is missed, the beam doubles, and where BEAM_LIMIT doesn't find all of them either, or a shard has too few vectors to plant
+from, all the task's queries are compared with the whole shard in blocks. `search_links` returns the audits.
 
 What is found makes groups, and every pair of a group is verified by cosines in double precision, whichever shards it
 lies in: groups are dealt by blocks of VERIFIED nodes. That also counts links that a search passed over. Links unite
@@ -30,7 +32,9 @@ from pyspark.sql import functions as F
 
 from strandline.llm.common import by_group, components, forest, keyed_join, materialize, mix, table
 
-SHARD, LINKS, BEAM, BUILD_BEAM, AUDITED, AUDIT_RECALL = 16_384, 12, 24, 24, 128, 0.999
+SHARD, LINKS, BEAM, BUILD_BEAM, AUDITED, AUDIT_RECALL = 16_384, 12, 24, 24, 128, 1.0
+#: Partners that an audit must have seen, planted ones among them, before a graph is trusted.
+PARTNERS = 512
 #: Queries of a task, the widest beam that is tried for all of them, nodes of a block, links that join parts of a layer.
 QUERIES, BEAM_LIMIT, VERIFIED, BRIDGES = 8192, 192, 1024, 4
 #: A beam this share of a shard's size isn't worth more than comparing the query with all of it.
@@ -186,10 +190,10 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def partners(graph: Graph, queries: np.ndarray, beam: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def partners(graph: Graph, queries: np.ndarray, beam: int, least: float, whole: int = WHOLE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(query, node) of similarity near `least` or more, block by block, by beams that are wider than the partners found."""
     open_, least = np.arange(len(queries)), least - 1e-3
-    while len(open_) and WHOLE * beam < len(graph.x):
+    while len(open_) and whole * beam < len(graph.x):
         full = []
         for b in range(0, len(open_), chunk := max(16, 1024 * BEAM // beam)):
             own = open_[b : b + chunk]
@@ -205,32 +209,40 @@ def partners(graph: Graph, queries: np.ndarray, beam: int, least: float) -> Iter
         yield own[rows], cols
 
 
-def audited(graph: Graph, queries: np.ndarray, own: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray, tuple]:
+def planted(x: np.ndarray, least: float, n: int) -> np.ndarray:
+    """n unit vectors, each turned away from one of x (unit vectors, evenly chosen) to a cosine of `least` and a little more,
+    in a direction drawn at random; the same for the same x."""
+    own = x[np.linspace(0, len(x) - 1, n).astype(int)].astype(np.float64)
+    away = np.random.default_rng(len(x)).normal(size=own.shape)
+    away -= (away * own).sum(1, keepdims=True) * own
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)
+    near = min(least + 1e-3, 1.0)
+    return (near * own + np.sqrt(1 - near * near) * away).astype(np.float32)
+
+
+def audited(graph: Graph, queries: np.ndarray, own: np.ndarray | None, least: float, whole: int = WHOLE) -> tuple[np.ndarray, np.ndarray, tuple]:
     """(query, node, audit): links that join what the candidate links join, nodes numbered after the queries, by a beam
     as wide as the audit asks for or by comparison with all. own: each query's own node in the graph, if they are of one
-    shard. The audit is (queries in the sample, their recall, the beam, whether all were compared)."""
+    shard. The audit is (own queries in the sample, the recall of all partners, the beam, whether all were
+    compared, the partners seen, planted ones among them)."""
     sample = np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)
-    true = queries[sample] @ graph.x.T
+    asked = np.concatenate((queries[sample].astype(np.float32), planted(graph.x, least, PARTNERS)))
+    true = asked @ graph.x.T
     if own is not None:
         true[np.arange(len(sample)), own[sample]] = -2
     linked = true >= least
-    near = linked if linked.any() else true >= np.sort(true, 1)[:, -min(4, true.shape[1])][:, None]
     beam, passed, recall = BEAM, False, 0.0
-    while not passed and beam <= BEAM_LIMIT and WHOLE * beam < len(graph.x):
+    while not passed and beam <= BEAM_LIMIT and whole * beam < len(graph.x):
         got = np.zeros(true.shape, bool)
-        if linked.any():
-            for rows, cols in partners(graph, queries[sample], beam, least):
-                got[rows, cols] = True
-        else:
-            ids, _ = graph.find(queries[sample], beam)
-            got[np.nonzero(ids >= 0)[0], ids[ids >= 0]] = True
-        recall = float((got & near).sum() / near.sum())
-        passed = recall >= AUDIT_RECALL
+        for rows, cols in partners(graph, asked, beam, least, whole):
+            got[rows, cols] = True
+        recall = float((got & linked).sum() / max(1, linked.sum()))
+        passed = recall >= AUDIT_RECALL and linked.sum() >= PARTNERS
         beam *= 1 if passed else 2
     # a beam as wide as the shard compares with all of it
-    found = partners(graph, queries, beam if passed else len(graph.x), least)
+    found = partners(graph, queries, beam if passed else len(graph.x), least, whole)
     edges = [forest(rows, cols.astype(np.int64) + len(queries)) for rows, cols in found if len(rows)]
-    audit = (len(sample), recall if passed else 1.0, beam if passed else 0, not passed)
+    audit = (len(sample), recall if passed else 1.0, beam if passed else 0, not passed, int(linked.sum()))
     if not edges:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), audit
     return *forest(*(np.concatenate(e) for e in zip(*edges, strict=True))), audit
@@ -242,7 +254,7 @@ def _matrix(column: pa.ChunkedArray, kind=np.float64) -> np.ndarray:
 
 
 _SHARD = "label string, dim int, shard int, shards int, ids binary, vectors binary, graph array<binary>, entry int"
-_FOUND = "a long, b long, i int, j int, sampled int, recall double, beam int, compared boolean"
+_FOUND = "a long, b long, i int, j int, sampled int, recall double, beam int, compared boolean, partners int"
 
 
 def _build(group: pa.Table) -> pa.Table:
@@ -254,7 +266,7 @@ def _build(group: pa.Table) -> pa.Table:
     return pa.table([*cols, pa.array([group["node"].to_numpy().tobytes()]), pa.array([g.x.tobytes()]), graph, pa.array([g.entry], pa.int32())], ["label", "dim", "shard", "shards", "ids", "vectors", "graph", "entry"])
 
 
-def _search(least: float):
+def _search(least: float, whole: int):
     def run(group: pa.Table) -> pa.Table:
         q, r = sorted(group.to_pylist(), key=lambda row: row["graph"] is not None)
         ids, qids = np.frombuffer(r["ids"], np.int64), np.frombuffer(q["ids"], np.int64)
@@ -262,21 +274,21 @@ def _search(least: float):
         g.x, g.entry = np.frombuffer(r["vectors"], np.float32).reshape(len(ids), -1), r["entry"]
         g.neighbours = [np.frombuffer(n, np.int32).reshape(len(ids), -1) for n in r["graph"]]
         own = np.searchsorted(ids, qids) if q["i"] == q["j"] else None
-        x, y, audit = audited(g, np.frombuffer(q["vectors"], np.float32).reshape(len(qids), -1), own, least)
+        x, y, audit = audited(g, np.frombuffer(q["vectors"], np.float32).reshape(len(qids), -1), own, least, whole)
         names = np.concatenate((qids, ids))
         a, b = names[x], names[y]
         a, b = a[a != b], b[a != b]
         n = len(a) + 1
         rest = [np.full(n, v) for v in (q["i"], q["j"], *audit)]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.bool_()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.bool_(), pa.int32()]
         return pa.table([pa.array([*c.tolist(), None] if k < 2 else c, t) for k, (c, t) in enumerate(zip((a, b, *rest), kinds, strict=True))], [f.split()[0] for f in _FOUND.split(", ")])
 
     return run
 
 
-def search_links(nodes: DataFrame, least: float, shard: int = SHARD) -> tuple[DataFrame, DataFrame]:
+def search_links(nodes: DataFrame, least: float, shard: int = SHARD, whole: int = WHOLE) -> tuple[DataFrame, DataFrame]:
     """Of nodes (node, label, dim, vector): (a, b), links that join all that was found near `least` or nearer, and the audits
-    (shards i and j, queries sampled, recall, beam, and whether all queries were compared with the whole shard)."""
+    (shards i and j, queries sampled, partners seen, recall, beam, and whether all queries were compared with the whole shard)."""
     sizes = nodes.groupBy("label", "dim").agg(F.count("*").alias("count")).withColumn("shards", F.ceil(F.col("count") / shard).cast("int"))
     dealt = keyed_join(nodes, sizes, ["label", "dim"], nodes.count()).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int"))
     graphs = materialize(dealt.groupBy("label", "dim", "shard").applyInArrow(_build, _SHARD))
@@ -286,7 +298,7 @@ def search_links(nodes: DataFrame, least: float, shard: int = SHARD) -> tuple[Da
     ranges = graphs.select("label", "dim", F.col("shard").alias("i"), parts.alias("part"))
     held = graphs.select("label", "dim", F.col("shard").alias("j"), other.alias("i"), "ids", "vectors", "graph", "entry").join(ranges, ["label", "dim", "i"])
     rows = asked.withColumns({"graph": F.lit(None).cast("array<binary>"), "entry": F.lit(None).cast("int")}).unionByName(held)
-    found = materialize(rows.groupBy("label", "dim", "i", "j", "part").applyInArrow(_search(least), _FOUND))
+    found = materialize(rows.groupBy("label", "dim", "i", "j", "part").applyInArrow(_search(least, whole), _FOUND))
     return found.where("a is not null").select("a", "b"), found.where("a is null").drop("a", "b")
 
 
@@ -315,7 +327,7 @@ def _verify(least: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.93, shard: int = SHARD) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.93, shard: int = SHARD, whole: int = WHOLE) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row per row of vectors (vec_id, embedding, label). Cosines are taken
     between vectors of one label and length."""
     base = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"), F.col("label").cast("string").alias("label"))
@@ -330,7 +342,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, shard: int = SHARD)
     marked = members.join(several, "vec_id", "left").select("vec_id", "node", F.coalesce("several", F.lit(False)).alias("several"))
     weights = materialize(marked.groupBy("node").agg(F.sum((~F.col("several")).cast("long")).alias("weight"), F.max("several").alias("several")))
 
-    links, _ = search_links(nodes.select("node", "label", "dim", "vector"), least, shard)
+    links, _ = search_links(nodes.select("node", "label", "dim", "vector"), least, shard, whole)
     groups = components(links)
     groups = groups.select("node", F.col("component").alias("group")).unionByName(groups.select(F.col("component").alias("node"), F.col("component").alias("group")).distinct())
     held = materialize(nodes.select("node", "vector").join(groups, "node").join(weights, "node"))

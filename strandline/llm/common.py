@@ -217,8 +217,9 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[keep], ids[root[keep]]
 
 
-#: Edges that a task holds at once.
-FOREST_EDGES = 1 << 22
+#: Edges that a task holds at once, and edges that are few enough for one task to unite them all, however many rounds they
+#: would take: some megabytes.
+FOREST_EDGES, LAST_EDGES = 1 << 22, 1 << 18
 
 
 def _local_forest(batches):
@@ -258,7 +259,7 @@ def keyed_join(rows: DataFrame, per_key: DataFrame, keys: list[str], total: int,
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): component is the smallest node reachable over edges (a, b); only nodes with a link to
-    another node are listed. Large-star and small-star rounds, each written to the shared folder; a node's neighbours
+    another node are listed. Large-star and small-star rounds until LAST_EDGES or fewer are left, each written to the shared folder; a node's neighbours
     are never gathered: their minimum is aggregated and joined back, a hub's by broadcast, so that its rows stay spread."""
     e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a is not null and b is not null and a <> b")
     e = materialize(e.mapInArrow(_local_forest, "a long, b long").where("a <> b").distinct())
@@ -267,6 +268,9 @@ def components(edges: DataFrame) -> DataFrame:
         mark = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if mark == seen or not mark["n"]:
             break
+        if mark["n"] <= LAST_EDGES:
+            e = materialize(e.repartition(1).mapInArrow(_local_forest, "a long, b long"))
+            break
         seen = mark
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = materialize(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("count")).select("a", F.least("a", "m").alias("m"), "count"))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandline.llm import ann, common, jaccard
 from strandline.llm.ann import near_duplicates
@@ -74,7 +75,7 @@ def test_audit_widens_beams_until_all_groups_are_joined():
     centre = np.repeat(rng.normal(size=(40, 24)), [150] * 10 + [20] * 30, 0)
     x = ann.unit(centre + 0.1 * rng.normal(size=centre.shape))
     near = x @ x.T >= 0.93
-    a, b, (_, recall, _, _) = ann.audited(ann.Graph(x, np.arange(len(x))), x.astype(np.float32), np.arange(len(x)), 0.93)
+    a, b, (_, recall, *_) = ann.audited(ann.Graph(x, np.arange(len(x))), x.astype(np.float32), np.arange(len(x)), 0.93)
     assert near.sum() > len(x) and recall >= ann.AUDIT_RECALL
     assert classes(len(x), zip(a % len(x), b % len(x))) == classes(len(x), zip(*np.nonzero(near)))
 
@@ -290,3 +291,29 @@ def test_jaccard_with_a_third_of_all_rows_repeated(spark):
     assert {c for i, c, _ in per if i in (1, 2, 3)} == {1} and all(c == i for i, c, _ in per if i is not None and i > 3)
     once = jaccard._once(docs.where("doc_id is not null"), docs.select("doc_id")).where("doc_id = 1")
     assert once.count() == 1
+
+
+@pytest.mark.parametrize("d, n, pairs", [(768, 3000, 80), (16, 4000, 300)])
+def test_rare_pairs_are_not_lost_where_graphs_are_searched(spark, d, n, pairs):
+    """Lone vectors with a few near copies about as far away as a link may be, in two shards of one label; `whole` makes
+    every shard be searched by its graph. In many dimensions chance neighbours tell a search nothing, and audits fail; in few
+    they pass. Either way each pair is found from both sides."""
+    rng = np.random.default_rng(d)
+    x = rng.normal(size=(n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    own = rng.choice(n // 2, pairs, replace=False)
+    away = rng.normal(size=(pairs, d))
+    away -= (away * x[own]).sum(1, keepdims=True) * x[own]
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    x[n // 2 + np.arange(pairs)] = 0.94 * x[own] + np.sqrt(1 - 0.94**2) * away
+    vectors = spark.createDataFrame([(i, v, 1) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int").repartition(4)
+    nodes = vectors.select(F.col("vec_id").alias("node"), F.lit("1").alias("label"), F.lit(d).alias("dim"), F.col("embedding").alias("vector"))
+    _, audits = ann.search_links(nodes, 0.93, n // 2, 1)
+    rows = audits.collect()
+    assert len(rows) == 4 and all(r["partners"] >= ann.PARTNERS and r["recall"] == 1.0 for r in rows)
+    if d == 16:
+        assert not all(r["compared"] for r in rows)
+    sims = x @ x.T >= 0.93
+    np.fill_diagonal(sims, False)
+    got = {r["vec_id"]: r for r in ann.near_duplicates(vectors, 0.93, n // 2, 1).collect()}
+    assert sims.sum() >= 2 * pairs and all(got[i]["n_links"] == int(sims[i].sum()) for i in range(n))
