@@ -191,7 +191,7 @@ FILE_SCHEMA = "shard int, segment int, n_ids long, doc_ids array<long>, doc_toke
 
 
 def write_token_files(docs: DataFrame, path: str, end_id: int, vocabulary_path: str) -> None:
-    """Token files of documents (doc_id, text) in ascending doc_id order, a null id first, equal ids by text. A file
+    """Token files of documents (doc_id, text) in ascending doc_id order, a null id first. A file
     is a Parquet table of segments of about 2^20 ids: their documents with their lengths, the first word of each block
     and the words. Files are written by Spark's committer, so a lost executor leaves none half done."""
 
@@ -217,7 +217,10 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, vocabulary_path:
         if ids:
             yield flush()
 
-    ordered = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # by more than the id, so that neither very many rows of one id, nor of one text, nor without id are one file
+    order = [F.asc_nulls_first("doc_id"), "h", "row"]
+    ordered = ordered.withColumns({"h": F.xxhash64("text"), "row": F.monotonically_increasing_id()}).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
 
 
