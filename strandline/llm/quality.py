@@ -81,9 +81,8 @@ def quality_model(docs: DataFrame, labels: DataFrame, fold: int = 3, held_out: i
     first = lambda c: some.where(F.col("quality") == c).orderBy("h", "doc_id").limit(PER_CLASS)
     chosen = first(0).unionByName(first(1))  # 2 * PER_CLASS rows at most, so their ids alone are joined and broadcast
     texts = docs.select("doc_id", "text").where(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(chosen), "doc_id")
-    rows = sorted((r["h"], r["doc_id"], r["text"], r["quality"]) for r in texts.toLocalIterator())
-    sample = [(t, c) for k, (_, i, t, c) in enumerate(rows) if not k or rows[k - 1][1] != i]
-    return fit(sample)
+    once = texts.groupBy("h", "doc_id", "quality").agg(F.min("text").alias("text"))  # however often an id is repeated
+    return fit([(r["text"], r["quality"]) for r in sorted(once.toLocalIterator(), key=lambda r: (r["h"], r["doc_id"]))])
 
 
 def quality_scores(docs: DataFrame, model: dict, fold: int = 3, held_out: int = 1) -> DataFrame:
