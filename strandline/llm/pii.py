@@ -266,8 +266,11 @@ def fit(texts: list[str], seed: int = 5) -> dict | None:
 
 def pii_model(docs: DataFrame) -> dict | None:
     some = docs.where(F.length("text").between(1, SAMPLE_CHARS)).where(F.col("text").rlike(r"@|[0-9][0-9 ().-]{5,}[0-9]"))
-    sample = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_TEXTS).select("text")
-    return fit([r["text"] for r in sample.toLocalIterator()])
+    some = some.select("text", F.xxhash64("text").alias("h"), F.xxhash64("doc_id").alias("o"))
+    # different texts, each by the least of its rows, however many there are
+    chosen = some.groupBy("h").agg(F.min("o").alias("least")).orderBy("least", "h").limit(SAMPLE_TEXTS)
+    sample = some.join(F.broadcast(chosen), "h").groupBy("least", "h").agg(F.min("text").alias("text"))
+    return fit([r["text"] for r in sorted(sample.toLocalIterator(), key=lambda r: (r["least"], r["h"]))])
 
 
 def spans_of(texts: list[str], model: dict | None) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
