@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import HashIndex, Words, give_back, materialize, small_batches, table, text_chunks
+from strandline.llm.common import HashIndex, Words, give_back, hot_count, materialize, small_batches, table, text_chunks
 
 TABLE, TOP, GROUP, SHARED, DIM, NOISE, BATCH = 1 << 19, 4096, 64, 64, 16, 8, 16_384
 SAMPLE_TEXTS, SAMPLE_CHARS = 1000, 4000
@@ -252,6 +252,10 @@ def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2) -> DataFrame:
         model = start.m
         shapes = {k: v.shape for k, v in model.items()}
         shards = max(1, -(-n_train // (ROUNDS * SHARD_TOKENS)))
+        # rows that are repeated very often are dealt one by one, so that they aren't one shard's
+        hot = materialize(keyed.groupBy("h").agg(F.count("*").alias("count")).where(F.col("count") > hot_count(ends)).select("h", F.lit(True).alias("hot")))
+        row = F.when(F.col("hot"), F.xxhash64("h", F.monotonically_increasing_id())).otherwise(F.col("h"))
+        spread = keyed.join(F.broadcast(hot), "h", "left").withColumn("h", row)
         for number in range(ROUNDS):
             begun = spark.sparkContext.broadcast(model)
 
@@ -275,7 +279,7 @@ def lm_scores(docs: DataFrame, fold: int = 7, held_out: int = 2) -> DataFrame:
                     yield _row(trainer.tokens, trainer.m)
                 give_back()
 
-            part = keyed.where(F.pmod("h", F.lit(ROUNDS)) == number).withColumn("shard", F.pmod(F.shiftright("h", 8), F.lit(shards)))
+            part = spread.where(F.pmod("h", F.lit(ROUNDS)) == number).withColumn("shard", F.pmod(F.shiftright("h", 8), F.lit(shards)))
             dealt = part.repartition("shard").sortWithinPartitions("shard", "h", "doc_id").select("shard", "text")
             merged = dealt.mapInArrow(train_on, _MODEL).repartition(16).mapInArrow(_averaged(shapes), _MODEL).toArrow()
             got = next(_averaged(shapes)(merged.to_batches()), None)

@@ -431,3 +431,39 @@ def test_every_labelled_language_is_found(spark, monkeypatch):
     assert keep_identified(docs.withColumn("lang", F.lit(None).cast("string"))).where("lang is null").count() == len(rows)
     monkeypatch.setattr(language, "CELLS", 42 << 12)
     assert language_model(docs)[1].shape == (42, 1 << 12)
+
+
+def test_repeated_rows_stay_bounded(spark, tmp_path):
+    """A third of the rows repeat one, a third have no id: no file of tokens, no shard and no sample is filled by them."""
+    from pyspark.sql import functions as F
+
+    from strandline.llm import lm, pii, quality, tokens
+
+    n = 3000
+    rows = [(7, f"call +1 988 555 2485 or 10.0.0.7, good text {7}")] * n + [(None, f"nobody's text {k}") for k in range(n)] + [(100 + k, f"mail me{k}@x.org, text {k}") for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    try:
+        tokens.write_token_files(docs, str(tmp_path / "t"), 1, vocabulary())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(str(tmp_path / "t")).groupBy("shard").agg(F.sum(F.size("doc_ids")).alias("n")).collect()
+    assert sum(r["n"] for r in files) == 3 * n and len(files) == 4 and max(r["n"] for r in files) < 0.3 * 3 * n
+    got = tokens.read_token_files(spark, str(tmp_path / "t")).orderBy("start").collect()
+    ids = [r["doc_id"] for r in got]
+    assert ids == sorted(ids, key=lambda i: -1 if i is None else i)
+    labels = spark.createDataFrame([(7, 1)] + [(100 + k, k % 2) for k in range(200)], "doc_id long, quality int")
+    seen = []
+    monkey = quality.fit
+    try:
+        quality.fit = lambda sample: seen.append(sample) or {"constant": 0.5}
+        quality.quality_model(docs, labels)
+        pii_fit, pii.fit = pii.fit, lambda sample: seen.append(sample)
+        pii.pii_model(docs)
+        pii.fit = pii_fit
+    finally:
+        quality.fit = monkey
+    assert len(seen[0]) <= 201 and sum("good text 7" in t for t, _ in seen[0]) <= 1
+    assert len(seen[1]) == len(set(seen[1])) and len(seen[1]) > 1000
+    scored = lm.lm_scores(docs)
+    assert scored.count() == 3 * n
