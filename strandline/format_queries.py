@@ -9,8 +9,10 @@ from strandline import roles as R
 from strandline import schemas
 from strandline.functions import alignment as A
 from strandline.functions import dust as D
+from strandline.functions import lineage as L
 from strandline.functions import text as X
 from strandline.operators import counts as C
+from strandline.operators import coverage as V
 from strandline.operators import filters as FL
 from strandline.operators import merge as M
 from strandline.operators import reports as P
@@ -18,6 +20,7 @@ from strandline.operators import sequences as S
 from strandline.operators import sketch_tree as ST
 from strandline.operators import taxonomy as T
 from strandline.operators.scalar import kept, shared_folder
+from strandline.plans.observed import StepCounts, with_sizes
 from strandline.queries import _READS, _reads, query
 from strandline.roles import M8_SQL, table
 from strandline.sources import fastx, file_index, records, sinks, tables
@@ -582,3 +585,89 @@ def taxon_ranges(spark, d):
     ranges = [(r["first_byte"], r["last_byte"]) for r in S.byte_ranges(rows, "taxid", []).where("taxid in (3, 7, 8, 19)").collect()]
     found = records.records_in_ranges(spark, path, ranges, split=1000)
     return found.select(F.split("header", " ")[1].cast("long").alias("taxid"), "read_id", "seq")
+
+
+# ------------------------------------------------------------------ steps counted as they run
+@query("""SELECT 'all' AS step, count(*) AS rows, CAST(sum(1 + c_custkey % 3) AS BIGINT) AS reads FROM customer UNION ALL SELECT 'long', count(*), CAST(sum(1 + c_custkey % 3) AS BIGINT) FROM customer WHERE c_custkey % 20 >= 9
+  UNION ALL SELECT 'of even nations', count(*), CAST(sum(1 + c_custkey % 3) AS BIGINT) FROM customer WHERE c_custkey % 20 >= 9 AND c_nationkey % 2 = 0""")
+def observed_steps(spark, d):
+    k = F.col("c_custkey")
+    reads = table(spark, d, "customer").select(F.concat(F.lit("c"), k).alias("read_id"), _sequence(k).alias("seq"), F.col("c_nationkey").alias("nation"))
+    sizes = table(spark, d, "customer").where("c_custkey % 3 > 0").select(F.concat(F.lit("c"), k).alias("read_id"), (1 + k % 3).alias("size"))
+    steps = StepCounts()
+    rows = steps.add("all", with_sizes(reads, sizes), "size")
+    rows = steps.add("long", rows.where(F.length(F.translate("seq", "N", "")) >= 40), "size")
+    rows = steps.add("of even nations", rows.where("nation % 2 = 0"), "size")
+    rows.write.parquet(shared_folder(spark))  # the plan's own action
+    return spark.createDataFrame(steps.counts(), "step string, rows long, reads long")
+
+
+# ------------------------------------------------------------------ look-ups, names and other small operators
+@query("SELECT o_orderkey AS key, coalesce(c_name, 'unknown') AS name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON c_custkey = o_custkey")
+def dimension_lookup(spark, d):
+    names = table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("name"))
+    return tables.lookup(table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), "o_custkey"), names, "o_custkey", "name", "unknown").select("key", "name")
+
+
+@query("SELECT 'A' || p_partkey || '.1' AS accession, if(p_partkey % 3 = 0, p_name, 'next ' || p_name) AS seq FROM part WHERE p_partkey % 3 < 2")
+def fetched_versions(spark, d):
+    k, p = F.col("p_partkey"), table(spark, d, "part")
+    wanted = p.select(F.concat(F.lit("A"), k, F.lit(".1")).alias("accession"))
+    one = p.where("p_partkey % 3 = 0").select(F.concat(F.lit("A"), k, F.lit(".1")).alias("accession"), F.col("p_name").alias("seq"))
+    two = p.where("p_partkey % 3 < 2").select(F.concat(F.lit("A"), k, F.lit(".2")).alias("accession"), F.concat(F.lit("next "), "p_name").alias("seq"))
+    return tables.fetch_sequence(wanted, one, two)
+
+
+@query("SELECT s_suppkey AS taxid FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 5 <> 0 OR n_regionkey = 2")
+def taxa_with_ranks(spark, d):
+    step = lambda rank, there: F.struct(F.when(there, rank).otherwise("no rank").alias("rank"))
+    rows = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = FL.require_rows(rows, 1).select(F.col("s_suppkey").alias("taxid"), F.array(step("genus", F.col("n_nationkey") % 5 != 0), step("family", F.col("n_regionkey") == 2)).alias("ancestors"))
+    return FL.has_rank(rows, "ancestors", ["genus", "family"]).select("taxid")
+
+
+@query("SELECT CASE WHEN p_size % 3 = (p_partkey % 3) AND p_size % 3 = 0 THEN 'snp' WHEN p_size % 3 = p_partkey % 3 THEN 'mnp' ELSE 'indel' END AS class, count(*) AS n FROM part GROUP BY 1")
+def variant_classes(spark, d):
+    of = lambda c: F.repeat(F.lit("A"), (F.col(c) % 3 + 1).cast("int"))
+    return V.variant_classes(table(spark, d, "part").select(of("p_size").alias("ref"), F.concat_ws(",", of("p_partkey"), of("p_partkey")).alias("alt")))
+
+
+@query("SELECT 'c' || c_custkey || '.1' AS read_id, 'c' || c_custkey AS accession, CAST(if(c_custkey % 4 = 0, 0, c_nationkey) AS BIGINT) AS taxid FROM customer WHERE c_custkey < 1000")
+def reads_by_taxon(spark, d):
+    c, k = table(spark, d, "customer"), F.col("c_custkey")
+    reads = S.truncated(c.select(F.concat(F.lit("c"), k, F.lit(".1")).alias("read_id"), k.alias("ord")), 1000)
+    known = c.where("c_custkey % 4 <> 0").select(F.concat(F.lit("c"), k).alias("accession"), F.col("c_nationkey").cast("long").alias("taxid"))
+    return S.by_taxon(S.shuffled(reads, 7), known).select("read_id", "accession", "taxid")
+
+
+@query("SELECT p_partkey AS key, if(p_partkey % 2 = 0, 'ENSG' || p_partkey, 'T' || p_partkey || '|x') AS gene, p_size < 10 OR p_partkey % 7 = 0 AS phage, round((p_size % 5) / 5, 6) AS held, CAST(p_size AS VARCHAR) AS size FROM part")
+def genes_and_phages(spark, d):
+    k = F.col("p_partkey")
+    transcript = F.when(k % 2 == 0, F.concat(F.lit("T|ENSG"), k, F.lit("|x"))).otherwise(F.concat(F.lit("T"), k, F.lit("|x")))
+    family, name = F.when(F.col("p_size") < 10, "Myoviridae").otherwise("other"), F.when(k % 7 == 0, "some Phage of").otherwise("macrophages")
+    held = S.containment(F.sequence(F.lit(1), F.lit(5)), F.when(F.col("p_size") % 5 > 0, F.sequence(F.lit(1), F.col("p_size") % 5)).otherwise(F.array().cast("array<int>")))
+    return table(spark, d, "part").select(k.alias("key"), X.gene_id(transcript).alias("gene"), L.is_phage(family, name, ["Myoviridae"]).alias("phage"), F.round(held, 6).alias("held"), *X.stringified("p_size")).withColumnRenamed("p_size", "size")
+
+
+@query(f"WITH {_FASTQ} SELECT read_id, header, seq FROM fq")
+def fastq_as_fasta(spark, d):
+    path = shared_folder(spark)
+    fastx.to_fasta(fastx.fastq_to_fasta(_fastq(spark, d)), path)
+    return fastx.fasta(spark, path).select("read_id", "header", "seq")
+
+
+@query("""WITH l AS (SELECT p_partkey AS k, string_agg(substr('ACTG', CAST(CAST('0x' || substr(md5('42:' || p_partkey || ':' || i), 1, 2) AS INT) % 4 + 1 AS INT), 1), '' ORDER BY i) AS drawn, repeat('GATTACA', CAST(p_size % 9 + 1 AS INT)) AS needle FROM part, unnest(range(1, 61)) t(i) GROUP BY p_partkey, p_size)
+  SELECT k AS key, substr(needle, 1, least(CAST(round(length(needle) * 0.75) AS INT), 60)) || substr(drawn, least(CAST(round(length(needle) * 0.75) AS INT), 60) + 1) AS seq FROM l""")
+def containing_sequences(spark, d):
+    needle = F.repeat(F.lit("GATTACA"), (F.col("p_size") % 9 + 1).cast("int"))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("key"), S.containing_sequence(needle, F.col("p_partkey"), 12, 5, 0.75).alias("seq"))
+
+
+@query("SELECT 'h' || c_custkey AS read_id, 0 AS set FROM customer UNION ALL SELECT 'ERCC-' || s_suppkey, 1 FROM supplier")
+def concatenated_references(spark, d):
+    """A host's and spike-in references as one packed file of both, read back."""
+    host = table(spark, d, "customer").select(F.concat(F.lit("h"), "c_custkey").alias("read_id"), _sequence(F.col("c_custkey")).alias("seq"))
+    spikes = table(spark, d, "supplier").select(F.concat(F.lit("ERCC-"), "s_suppkey").alias("read_id"), _sequence(F.col("s_suppkey")).alias("seq"))
+    rows, path = S.concatenated(host, spikes), shared_folder(spark)
+    sinks.concatenated(rows.select(F.concat(F.lit(">"), "read_id", F.lit(" "), "set", F.lit("\n"), "seq").alias("value")), path, "gzip")
+    return records.records(spark, path).select("read_id", F.split("header", " ")[1].cast("int").alias("set"))

@@ -83,3 +83,8 @@ def complexity(sequence: Column, threshold_length: int = 150, cutoff: float = 0.
         return s.map(scores)
 
     return score(sequence)
+
+
+def stringified(*columns: str) -> list[Column]:
+    """Columns as strings, numbers as Spark writes them and nulls as they are: how dimensions of metrics are given."""
+    return [F.col(c).cast("string").alias(c) for c in columns]

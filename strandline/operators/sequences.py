@@ -299,3 +299,23 @@ def by_taxon(reads: DataFrame, accessions: DataFrame) -> DataFrame:
     """reads with the taxid of their accession, 0 where unknown: for a write partitioned by taxid."""
     one = accessions.groupBy("accession").agg(F.min("taxid").alias("taxid"))
     return reads.withColumn("accession", F.substring_index("read_id", ".", 1)).join(one, "accession", "left").withColumn("taxid", F.coalesce("taxid", F.lit(0)))
+
+
+def containing_sequence(needle: Column, key: Column, k: int, total_kmers: int, containment: float, seed: int = 42) -> Column:
+    """A sequence of total_kmers * k letters that begins with `containment` of the needle, as far as both reach, and goes on by
+    chance: letters follow from MD5 of seed, key and place, so they are the same wherever they are made. Of the needle's
+    k-mers it holds that share but for those that the cut parts, fewer than k, and those that chance repeats."""
+    n = k * total_kmers
+    letter = lambda i: F.substring(F.lit("ACTG"), F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key, i)), 1, 2), 16, 10).cast("int") % 4 + 1, F.lit(1))
+    drawn = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), letter), "")
+    taken = F.least(F.round(F.length(needle) * containment).cast("int"), F.lit(n))
+    return F.concat(F.substring(needle, F.lit(1), taken), F.substring(drawn, taken + 1, F.lit(n)))
+
+
+def concatenated(*references: DataFrame) -> DataFrame:
+    """References (read_id, seq and others) of several sets, such as a host and its spike-ins, in the order of the sets; the
+    job fails where two sets name one read_id."""
+    union = references[0].withColumn("set", F.lit(0))
+    for number, more in enumerate(references[1:], 1):
+        union = union.unionByName(more.withColumn("set", F.lit(number)))
+    return unique_ids(union)

@@ -147,3 +147,32 @@ def fetch_sequence(wanted: DataFrame, *indexes: DataFrame) -> DataFrame:
     rows = wanted.select("accession").distinct().withColumn("__next", bump_version(F.col("accession")))
     found = [rows.join(i.select(F.col("accession").alias("__a"), "seq"), F.col(key) == F.col("__a")).select("accession", F.struct(F.lit(k).alias("k"), "seq").alias("s")) for k, key, i in tries]
     return reduce(DataFrame.unionByName, found).groupBy("accession").agg(F.min("s").alias("s")).select("accession", "s.seq")
+
+
+def contig_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """(species_taxid, genus_taxid, family_taxid, count_type, contig_id, n) of a JSON list of summaries, a row for each contig."""
+    schema = "species_taxid long, genus_taxid long, family_taxid long, count_type string, contig_counts map<string,long>"
+    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+    return rows.select("species_taxid", "genus_taxid", "family_taxid", "count_type", F.explode("contig_counts").alias("contig_id", "n"))
+
+
+def ontology(spark: SparkSession, path: str) -> DataFrame:
+    """(accession, drug_class) of a JSON map from accessions to objects that may list drug classes, a row for each."""
+    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,struct<drugClasses:array<string>>>")).alias("accession", "o"))
+    return rows.select("accession", F.explode(F.col("o.drugClasses")).alias("drug_class"))
+
+
+def assembler_failures(spark: SparkSession, logs: str, warnings: str | None = None) -> DataFrame:
+    """(run, log_present, errors, stack_trace, warnings_present, warnings): one record for each run, a file of `logs` and one of
+    the same name, but for its ending, of `warnings`. Errors are the lines that an assembler marks, their mark put to *; the
+    stack trace goes from its heading to the next empty line, and is null where either lacks. A log is read as a whole."""
+    run = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
+    whole = lambda path, name: spark.read.text(path, wholetext=True).select(run.alias("run"), F.col("value").alias(name))
+    nothing = lambda c: F.when(c != "", c)
+    lines = F.transform(F.regexp_extract_all("log", F.lit(r"(?m)^== Error ==.*\n?"), F.lit(0)), lambda x: F.replace(x, F.lit("== Error =="), F.lit("*")))
+    trace = F.regexp_extract("log", r"(?ms)^=== Stack Trace ===\n.*?(?=^\n)", 0)
+    failed = whole(logs, "log").select("run", nothing(F.array_join(lines, "")).alias("errors"), nothing(trace).alias("stack_trace"), F.lit(True).alias("log_present"))
+    warned = whole(warnings, "warnings") if warnings else spark.createDataFrame([], "run string, warnings string")
+    both = failed.join(warned.withColumn("warnings_present", F.lit(True)), "run", "full_outer")
+    present = lambda c: F.coalesce(c, F.lit(False)).alias(c)
+    return both.select("run", present("log_present"), "errors", "stack_trace", present("warnings_present"), "warnings")
