@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators.scalar import running_sums, with_row
+from strandline.operators.scalar import kept, running_sums, with_row
 
 
 def outer_merge(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,31 +84,40 @@ def spearman(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return out.agg(F.corr(f"__r_{x}", f"__r_{y}").alias("spearman"))
 
 
+def distance_matrix(distances: DataFrame) -> DataFrame:
+    """(grp, a, b, distance) for every two samples of a group, both ways and with themselves, of distances given for either
+    order or both, of which the least counts; a missing distance is 1, that of a sample with itself 0."""
+    both = distances.select("grp", "a", "b", "distance").unionByName(distances.select("grp", F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
+    known = both.where("distance is not null and not isnan(distance) and a <> b").groupBy("grp", "a", "b").agg(F.min("distance").alias("distance"))
+    names = both.select("grp", "a").distinct()
+    square = names.join(names.withColumnRenamed("a", "b"), "grp").join(known, ["grp", "a", "b"], "left")
+    return square.select("grp", "a", "b", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.coalesce("distance", F.lit(1.0))).alias("distance"))
+
+
 def sample_clusters(distances: DataFrame, height: float = 0.16, least: int = 3) -> DataFrame:
     """(grp, sample, cluster): average-linkage clusters, cut at height, with at least `least` samples, of each group's
     distances (grp, a, b, distance). As the method has it, the rows of 1 - distance are the points that are linked; a
-    missing distance counts as 1. A group is one run's samples, a square matrix that a task holds."""
-
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = sorted(set(pdf["a"]) | set(pdf["b"]))
-        at = {n: i for i, n in enumerate(names)}
-        m = np.ones((len(names), len(names)))
-        np.fill_diagonal(m, 0)
-        for a, b, x in zip(pdf["a"], pdf["b"], pdf["distance"], strict=True):
-            if x == x:
-                m[at[a], at[b]] = m[at[b], at[a]] = x
-        points = 1 - m
-        d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
-        members = {i: [i] for i in range(len(names))}
-        while len(members) > 1:
-            keys = list(members)
-            mean = {(p, q): d[np.ix_(members[p], members[q])].mean() for i, p in enumerate(keys) for q in keys[i + 1 :]}
-            (p, q), best = min(mean.items(), key=lambda kv: (kv[1], kv[0]))
-            if best > height:
-                break
-            members[p] += members.pop(q)
-        groups = sorted((sorted(names[i] for i in m) for m in members.values() if len(m) >= least))
-        return pd.DataFrame([(pdf["grp"].iloc[0], n, k) for k, g in enumerate(groups) for n in g], columns=["grp", "sample", "cluster"])
-
-    kinds = dict(distances.dtypes)
-    return distances.groupBy("grp").applyInPandas(link, f"grp {kinds['grp']}, sample {kinds['a']}, cluster long")
+    missing distance counts as 1.
+
+    Two clusters that are nearest to one another merge, all such pairs of all groups in one round: with means that gives the
+    same tree as merging one pair after another. Sums of distances and their numbers are kept for each pair of clusters, so
+    a merge relabels and adds them up. Ties go to the smaller names. A matrix has a row for each two samples of a run."""
+    points = distance_matrix(distances).select("grp", "a", F.col("b").alias("k"), (1 - F.col("distance")).alias("p"))
+    left, right = points.withColumnRenamed("p", "x"), points.select("grp", F.col("a").alias("b"), "k", F.col("p").alias("y"))
+    squares = left.join(right, ["grp", "k"]).where("a < b").groupBy("grp", "a", "b").agg(F.sum(F.pow(F.col("x") - F.col("y"), 2)).alias("s"))
+    pairs = kept(squares.select("grp", "a", "b", F.sqrt("s").alias("total"), F.lit(1).cast("long").alias("n")))
+    member = kept(points.select("grp", F.col("a").alias("sample")).distinct().withColumn("cluster", F.col("sample")))
+    while True:
+        mean = F.named_struct(F.lit("mean"), F.col("total") / F.col("n"), F.lit("a"), F.col("a"), F.lit("b"), F.col("b"))
+        ends = pairs.select("grp", mean.alias("m"), F.explode(F.array("a", "b")).alias("c")).groupBy("grp", "c").agg(F.min("m").alias("m"))
+        merged = ends.where(F.col("m.mean") <= height).groupBy("grp", "m.a", "m.b").agg(F.count("*").alias("sides")).where("sides = 2")
+        merged = kept(merged.select("grp", F.col("b").alias("gone"), F.col("a").alias("into")))
+        if merged.first() is None:
+            break
+        put = lambda df, c: df.join(merged.select("grp", F.col("gone").alias(c), "into"), ["grp", c], "left").withColumn(c, F.coalesce("into", c)).drop("into")  # noqa: B023,E731
+        member = kept(put(member, "cluster"))
+        moved = put(put(pairs, "a"), "b").where("a <> b").withColumns({"low": F.least("a", "b"), "high": F.greatest("a", "b")})
+        pairs = kept(moved.groupBy("grp", F.col("low").alias("a"), F.col("high").alias("b")).agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
+    large = member.groupBy("grp", "cluster").agg(F.count("*").alias("size")).where(F.col("size") >= least)
+    numbered = large.select("grp", "cluster", (F.row_number().over(Window.partitionBy("grp").orderBy("cluster")) - 1).cast("long").alias("number"))
+    return member.join(numbered, ["grp", "cluster"]).select("grp", "sample", F.col("number").alias("cluster"))

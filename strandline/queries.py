@@ -616,6 +616,27 @@ def spearman(spark, d):
 
 
 # ------------------------------------------------------------------ functions
+_BALANCES = "b AS (SELECT n_regionkey AS grp, n_name AS name, avg(s_acctbal) AS balance FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_regionkey, n_name)"
+
+
+def _balances(spark, d):
+    """Nations as samples of their region, as far apart as their suppliers' mean balances; half of the pairs are given once."""
+    rows = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    means = rows.groupBy(F.col("n_regionkey").alias("grp"), F.col("n_name").alias("a")).agg(F.avg("s_acctbal").alias("x"))
+    both = means.join(means.select("grp", F.col("a").alias("b"), F.col("x").alias("y")), "grp").where("a < b")
+    return both.select("grp", "a", "b", F.least(F.abs(F.col("x") - F.col("y")) / 10_000, F.lit(1.0)).alias("distance"))
+
+
+@query(f"WITH {_BALANCES} SELECT x.grp, x.name AS a, y.name AS b, round(least(abs(x.balance - y.balance) / 10000, 1.0), 9) AS distance FROM b x JOIN b y ON x.grp = y.grp")
+def distance_matrix(spark, d):
+    return P.distance_matrix(_balances(spark, d)).withColumn("distance", F.round("distance", 9))
+
+
+@query()
+def clusters(spark, d):
+    return P.sample_clusters(_balances(spark, d), 0.3, 2)
+
+
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, '{\"k\":' || CAST(json_extract(props, '$.k') AS BIGINT) || '}' AS json FROM events")
 def json_roundtrip(spark, d):
     e = table(spark, d, "events").withColumn("p", F.from_json("props", "k long"))
