@@ -75,13 +75,17 @@ def l2_distance(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def spearman(pairs: DataFrame, x: str, y: str) -> DataFrame:
-    """Rank correlation, ties sharing their mean rank: values are counted first, so only distinct ones are ordered."""
-    out = pairs.where(f"{x} is not null and {y} is not null")
+    """Rank correlation, ties sharing their mean rank. Pairs are counted first, so that a value that most rows share is as
+    many rows as it has partners; ranks are of distinct values, and joined to the counted pairs. The mean of all ranks is
+    known, so deviations from it are summed."""
+    counted = kept(pairs.where(f"{x} is not null and {y} is not null").groupBy(x, y).agg(F.count("*").alias("__w")))
+    out = with_row(counted, counted.agg(F.sum("__w").alias("__total")))
     for c in (x, y):
-        counts = out.groupBy(c).agg(F.count("*").alias("__n"))
-        ranks = running_sums(counts, [F.asc(c)], __before="__n")
+        ranks = running_sums(counted.groupBy(c).agg(F.sum("__w").alias("__n")), [F.asc(c)], __before="__n")
         out = out.join(ranks.select(c, (F.col("__before") + (F.col("__n") + 1) / 2).alias(f"__r_{c}")), c)
-    return out.agg(F.corr(f"__r_{x}", f"__r_{y}").alias("spearman"))
+    dx, dy = (F.col(f"__r_{c}") - (F.col("__total") + 1) / 2 for c in (x, y))
+    product = lambda a, b: F.sum(F.col("__w") * a * b)
+    return out.agg((product(dx, dy) / F.nullif(F.sqrt(product(dx, dx)) * F.sqrt(product(dy, dy)), F.lit(0.0))).alias("spearman"))
 
 
 def distance_matrix(distances: DataFrame) -> DataFrame:
