@@ -623,7 +623,7 @@ def _balances(spark, d):
     """Nations as samples of their region, as far apart as their suppliers' mean balances; half of the pairs are given once."""
     rows = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     means = rows.groupBy(F.col("n_regionkey").alias("grp"), F.col("n_name").alias("a")).agg(F.avg("s_acctbal").alias("x"))
-    both = means.join(means.select("grp", F.col("a").alias("b"), F.col("x").alias("y")), "grp").where("a < b")
+    both = means.join(means.select("grp", F.col("a").alias("b"), F.col("x").alias("y")), "grp").where("a <= b")
     return both.select("grp", "a", "b", F.least(F.abs(F.col("x") - F.col("y")) / 10_000, F.lit(1.0)).alias("distance"))
 
 
