@@ -62,3 +62,11 @@ def test_language_query(spark):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     rows = queries.QUERIES["op7_language_id"](spark, SF).collect()
     assert sorted(r["page_id"] for r in rows) == sorted(pages) and all(0 < r["confidence"] <= 1 for r in rows)
+
+
+def test_token_counts_query(spark, texts):
+    from sentencepiece import SentencePieceProcessor
+
+    encode = SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model")).encode
+    rows = queries.QUERIES["op13_token_counts"](spark, SF).collect()
+    assert sorted(tuple(r) for r in rows) == sorted((i, len(t.encode()), n, n > 4096) for i, t in texts.items() for n in [len(encode(t))])
