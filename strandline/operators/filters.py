@@ -22,12 +22,12 @@ def nucleotide_hsps(m8: DataFrame, min_length: int = 36, min_pident: float = 80.
     return m8.where((F.col("length") >= min_length) & (F.col("pident") >= min_pident) & ~F.isnan("evalue") & (F.col("evalue") <= max_evalue))
 
 
-def taxon_filter(df: DataFrame, columns: list[str], allow: DataFrame | None = None, deny: DataFrame | None = None) -> DataFrame:
-    """Rows of which some taxid in columns is on the allow list, if there is one, and none is denied or human; negative
-    and null taxids match no list. The lists are one-column frames; they are joined, so they may be of any size."""
+def taxon_filter(df: DataFrame, columns: list[str], allow: DataFrame | None = None, deny: DataFrame | None = None, drop_human: bool = True) -> DataFrame:
+    """Rows of which some taxid in columns is on the allow list, if there is one, and none is denied, or human unless
+    drop_human is false; negative and null taxids match no list. The lists are one-column frames; they are joined, so they may be of any size."""
     known = [F.when(F.col(c) >= 0, F.col(c)) for c in columns]
     human = reduce(lambda a, b: a | b, (F.coalesce(k.isin(*HUMAN), F.lit(False)) for k in known))
-    out = df.where(~human)
+    out = df.where(~human) if drop_human else df
     if deny is not None:
         ids = deny.select(F.col(deny.columns[0]).alias("__taxid")).where("__taxid >= 0").distinct()
         for c in columns:

@@ -26,12 +26,12 @@ def with_lineage(df: DataFrame, lineage: DataFrame, taxid: str = "taxid") -> Dat
     return out.withColumns({"species": s, "genus": g, "family": f})
 
 
-def call_hits(m8: DataFrame, acc2tax: DataFrame, lineage: DataFrame, min_length: int = 0, allow: DataFrame | None = None, deny: DataFrame | None = None) -> DataFrame:
+def call_hits(m8: DataFrame, acc2tax: DataFrame, lineage: DataFrame, min_length: int = 0, allow: DataFrame | None = None, deny: DataFrame | None = None, drop_human: bool = True) -> DataFrame:
     """A row per read: its best alignment and the taxon called from all its alignments of the best score.
 
     The species that most of those name wins (the smaller taxid on ties), then that species' accession that occurs most
     (the first by `ord` on ties), then its first alignment. Without any species the level and all taxids are -1. Lists
-    apply to the winner only, so a read whose winner is denied is lost. One shuffle by read serves all windows where the
+    apply to the winner only, so a read whose winner is denied, or human unless drop_human is false, is lost. One shuffle by read serves all windows where the
     dimensions are small enough to be broadcast.
     """
     read = Window.partitionBy("qseqid")
@@ -47,7 +47,7 @@ def call_hits(m8: DataFrame, acc2tax: DataFrame, lineage: DataFrame, min_length:
     called = best.withColumn("__k", F.row_number().over(read.orderBy(*order))).where("__k = 1")
     minus = lambda c: F.when(known, F.col(c)).otherwise(F.lit(-1))
     out = called.select(*m8.columns, F.when(known, 1).otherwise(-1).alias("level"), minus("species").alias("called"), F.when(known, F.col("sseqid")).alias("accession_id"), *(minus(c).alias(f"{c}_taxid") for c in ("species", "genus", "family")))
-    return taxon_filter(out, ["called"], allow, deny).withColumnRenamed("called", "taxid")
+    return taxon_filter(out, ["called"], allow, deny, drop_human).withColumnRenamed("called", "taxid")
 
 
 def _fitting(rows: DataFrame, keys: Column | str, score: str) -> DataFrame:
