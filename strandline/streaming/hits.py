@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
@@ -37,7 +37,7 @@ CALLED = "qseqid long, sseqid string, bitscore double, ord long, level int, taxi
 
 
 class HitCaller(StatefulProcessor):
-    """Of each read the best score so far, and of the alignments of that score how many name each accession, and the first of
+    """Calls by a state of each read that timers close. Of each read the best score so far, and of the alignments of that score how many name each accession, and the first of
     them by `ord`: what a call needs, whatever order alignments come in. A call is made anew whenever a read's alignments
     change; `seen` counts those of a read, so its last call has the most. With `idle`, a read that got nothing for so many
     milliseconds is called a last time, `closed`, and forgotten."""
@@ -102,15 +102,61 @@ class HitCaller(StatefulProcessor):
         pass
 
 
+def _winner(hits: Column) -> Column:
+    """(n, species, accession (n, ord, hit)): of the best alignments (species, sseqid, ord, genus, family) of a read the one
+    that is called, n negative. One pass by species, accession and ord counts the runs of both; what it has at a run's end
+    comes before what it had within the run, so the least that it ever has is the winner."""
+    let = lambda value, f: F.transform(F.array(value), f)[0]
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    hit = "struct<species:bigint,sseqid:string,ord:bigint,genus:bigint,family:bigint>"
+    accession = f"struct<n:bigint,ord:bigint,hit:{hit}>"
+    best = f"struct<n:bigint,species:bigint,accession:{accession}>"
+    none = lambda kind: F.lit(None).cast(kind)
+
+    def counted(a: Column, x: Column) -> Column:
+        species = F.coalesce(a["hit"]["species"] == x["species"], F.lit(False))
+        same = species & a["hit"]["sseqid"].eqNullSafe(x["sseqid"])
+        n_species, n = F.when(species, a["n_species"] + 1).otherwise(one), F.when(same, a["n"] + 1).otherwise(one)
+        return F.struct(n_species.alias("n_species"), n.alias("n"), F.when(same, a["hit"]).otherwise(x).alias("hit"), F.when(species, a["accession"]).alias("accession"))
+
+    def step(a: Column, x: Column) -> Column:
+        def better(c: Column) -> Column:
+            accession = F.least(c["accession"], F.struct((-c["n"]).alias("n"), c["hit"]["ord"].alias("ord"), c["hit"].alias("hit")))
+            now = lambda least: F.struct((-c["n_species"]).alias("n"), c["hit"]["species"].alias("species"), least.alias("accession"))
+            return let(accession, lambda least: F.struct(c["n_species"].alias("n_species"), c["n"].alias("n"), c["hit"].alias("hit"), least.alias("accession"), F.least(a["best"], now(least)).alias("best")))
+
+        return let(counted(a, x), better)
+
+    start = F.struct(zero.alias("n_species"), zero.alias("n"), none(hit).alias("hit"), none(accession).alias("accession"), none(best).alias("best"))
+    return F.aggregate(F.array_sort(hits), start, step, lambda a: a["best"])
+
+
+def _running_calls(rows: DataFrame) -> DataFrame:
+    """Calls by a streaming aggregate, whose state is a read's alignments; no row of it passes through Python."""
+    held = F.struct("bitscore", "species", "sseqid", "ord", "genus", "family")
+    reads = rows.groupBy("qseqid").agg(F.max("bitscore").alias("score"), F.count("*").alias("seen"), F.collect_list(held).alias("held")).where("score is not null")
+    top = F.transform(F.filter("held", lambda h: h["bitscore"] == F.col("score")), lambda h: F.struct(*(h[c].alias(c) for c in ("species", "sseqid", "ord", "genus", "family"))))
+    reads = reads.select("qseqid", "score", "seen", top.alias("top"))
+    reads = reads.withColumns({"won": _winner(F.filter("top", lambda h: h["species"] >= 0))["accession"]["hit"], "first": F.array_min(F.transform("top", lambda h: F.struct(h["ord"].alias("ord"), h["sseqid"].alias("sseqid"))))})
+    known = F.col("won").isNotNull()
+    either = lambda c: F.when(known, F.col(f"won.{c}")).otherwise(F.col(f"first.{c}"))
+    rank = lambda c: F.when(known, F.col(f"won.{c}")).otherwise(F.lit(-1).cast("long"))
+    return reads.select(
+        "qseqid", either("sseqid").alias("sseqid"), F.col("score").alias("bitscore"), either("ord").alias("ord"), F.when(known, 1).otherwise(-1).alias("level"), rank("species").alias("taxid"),
+        F.when(known, F.col("won.sseqid")).alias("accession_id"), *(rank(c).alias(f"{c}_taxid") for c in ("species", "genus", "family")), "seen", F.lit(False).alias("closed"))
+
+
 def streamed_calls(alignments: DataFrame, acc2tax: DataFrame, lineage: DataFrame, min_length: int = 0, idle: int | None = None) -> DataFrame:
     """Calls (CALLED) of a stream of alignments, for update mode: a row whenever a read's call may have changed, of which the
     one of most `seen` is what call_hits() gives for all of them. Dimensions are joined as they are. Lists of taxa apply to
-    last calls, so they are the reader's to apply. The session's state store must be RocksDB's. With `idle` the stream has
-    always something left to wait for: it is for queries that run on, not for those of what is available now."""
+    last calls, so they are the reader's to apply. With `idle` reads have timers, so each is a call of HitCaller: the session's
+    state store must be RocksDB's, and the stream has always something left to wait for, so it is for queries that run on,
+    not for those of what is available now. Without, a streaming aggregate does the work, many times faster."""
     rows = with_lineage(with_taxid(valid_alignments(alignments, min_length), acc2tax), lineage)
     rows = rows.select(F.col("qseqid").cast("long").alias("qseqid"), "sseqid", F.col("bitscore").cast("double").alias("bitscore"), F.col("ord").cast("long").alias("ord"), *(F.col(c).cast("long").alias(c) for c in ("species", "genus", "family")))
-    mode = "None" if idle is None else "ProcessingTime"
-    return rows.groupBy("qseqid").transformWithStateInPandas(HitCaller(idle), CALLED, "Update", mode)
+    if idle is None:
+        return _running_calls(rows)
+    return rows.groupBy("qseqid").transformWithStateInPandas(HitCaller(idle), CALLED, "Update", "ProcessingTime")
 
 
 def use_rocksdb(spark: SparkSession) -> None:
