@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -130,13 +131,97 @@ _COMPLEMENT = str.maketrans("ACGTacgt", "TGCAtgca")
 
 
 def _portable_hashes(text: str, k: int, seed: int, dna: bool) -> np.ndarray:
-    """52 bits of the MD5 digests of the distinct k-mers: the same on any engine, but slow."""
-    seen = {text[i : i + k] for i in range(len(text) - k + 1)}
-    if dna:
-        seen = {min(x, x.translate(_COMPLEMENT)[::-1]) for x in seen}
+    """52 bits of the MD5 digests of the k-mers, of DNA of the lesser strands': the same on any engine, but slower than
+    rolling hashes."""
+    if not dna:
+        return _block_hashes([text], k, seed)[0]
+    seen = {min(x, x.translate(_COMPLEMENT)[::-1]) for x in (text[i : i + k] for i in range(len(text) - k + 1))}
     return np.array([int.from_bytes(hashlib.md5(f"{seed}:{x}".encode(), usedforsecurity=False).digest()[:8], "big") >> 12 for x in seen], np.int64)
 
 
+#: The shifts of MD5's rounds, its constants, and which word of a block a step takes.
+_SHIFTS = [s for quarter in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)) for s in quarter * 4]
+_SINES = [int(abs(math.sin(i + 1)) * (1 << 32)) for i in range(64)]
+_WORDS = [(i, 5 * i + 1, 3 * i + 5, 7 * i)[i // 16] % 16 for i in range(64)]
+_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+
+
+def _md5_heads(words: np.ndarray) -> np.ndarray:
+    """The first 52 bits of the MD5 digests of messages of one block, which are the columns of 16 rows of 32-bit words; words
+    that all messages have as zero are not added."""
+    a, b, c, d = (np.full(words.shape[1], v, np.uint32) for v in _START)
+    filled = [bool(row.any()) for row in words]
+    f, g = np.empty_like(a), np.empty_like(a)
+    for i in range(64):
+        if i < 16:
+            np.bitwise_xor(c, d, out=f)
+            f &= b
+            f ^= d
+        elif i < 32:
+            np.bitwise_xor(b, c, out=f)
+            f &= d
+            f ^= c
+        elif i < 48:
+            np.bitwise_xor(b, c, out=f)
+            f ^= d
+        else:
+            np.invert(d, out=f)
+            f |= b
+            f ^= c
+        f += a
+        f += np.uint32(_SINES[i])
+        if filled[_WORDS[i]]:
+            f += words[_WORDS[i]]
+        np.right_shift(f, np.uint32(32 - _SHIFTS[i]), out=g)
+        f <<= np.uint32(_SHIFTS[i])
+        f |= g
+        f += b
+        a, b, c, d, f = d, f, b, c, a  # what was a is written over next
+    first, second = ((x + np.uint32(v)).byteswap().astype(np.uint64) for x, v in ((a, _START[0]), (b, _START[1])))
+    return ((first << np.uint64(32) | second) >> np.uint64(12)).astype(np.int64)
+
+
+_AT_ONCE = 1 << 15
+
+
+def _block_hashes(texts: list[str], k: int, seed: int) -> list[np.ndarray]:
+    """The first 52 bits of the MD5 digests of all k-mers of each text, many at once, whatever texts they are of; those that
+    aren't one block of MD5 one by one."""
+    whole, head = "".join(texts), f"{seed}:".encode()
+    raw = whole.encode("utf-8", "surrogatepass")
+    codes = np.frombuffer(raw, np.uint8)
+    begins = np.append(np.flatnonzero((codes & 0xC0) != 0x80), len(raw))  # of letters
+    lengths = np.array([len(t) for t in texts], np.int64)
+    counts = np.maximum(lengths - k + 1, 0)
+    letter = np.repeat(np.cumsum(lengths) - lengths - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())  # that a k-mer begins with
+    room = 56 - len(head)
+    windows = np.lib.stride_tricks.sliding_window_view(np.append(codes, np.zeros(room, np.uint8)), room)
+    out = np.zeros(len(letter), np.int64)
+    for at in range(0, len(letter), _AT_ONCE):
+        some = letter[at : at + _AT_ONCE]
+        first, length = begins[some], begins[some + k] - begins[some]
+        fits = length < room
+        if not fits.all():
+            for x in np.flatnonzero(~fits).tolist():
+                mer = whole[some[x] : some[x] + k].encode("utf-8", "surrogatepass")
+                out[at + x] = int.from_bytes(hashlib.md5(head + mer, usedforsecurity=False).digest()[:8], "big") >> 12
+            first, length = first[fits], length[fits]
+        if not len(first):
+            continue
+        blocks = np.zeros((len(first), 64), np.uint8)
+        blocks[:, : len(head)] = np.frombuffer(head, np.uint8)
+        letters = blocks[:, len(head) : 56]
+        same = int(length.max())
+        letters[:, :same] = windows[first, :same]
+        if length.min() < same:
+            letters[np.arange(room) >= length[:, None]] = 0
+        letters[np.arange(len(first)), length] = 0x80
+        words = blocks.view("<u4").T.copy()
+        words[14] = 8 * (length + len(head))
+        out[at : at + _AT_ONCE][fits] = _md5_heads(words)
+    return np.split(out, np.cumsum(counts)[:-1])
+
+
 def _rolling_hashes(text: str, k: int, seed: int, dna: bool) -> np.ndarray:
     """52 bits of polynomial hashes modulo 2^64 of all k-mers, from prefix sums; of DNA the lesser of both strands'."""
     n = len(text) - k + 1
@@ -171,11 +256,17 @@ def sketch(sequence: Column, k: int = 31, scaled: int = 1000, seed: int = 42, dn
 
     @F.pandas_udf("array<bigint>")
     def sketched(s: pd.Series) -> pd.Series:
-        def one(text: str | None) -> np.ndarray:
-            h = hashes(text or "", k, seed, dna)
-            return np.unique(h[h < HASHES // scaled])
-
-        return s.map(one)
+        least = lambda h: np.unique(h[h < HASHES // scaled])
+        if dna or not portable:
+            return s.map(lambda text: least(hashes(text or "", k, seed, dna)))
+        out, texts, letters = [], [], 0
+        for text in s:
+            texts.append(text or "")
+            letters += len(texts[-1])
+            if letters >= 4 * _AT_ONCE:
+                out += map(least, _block_hashes(texts, k, seed))
+                texts, letters = [], 0
+        return pd.Series(out + [least(h) for h in (_block_hashes(texts, k, seed) if texts else ())], dtype=object)
 
     return sketched(sequence)
 
