@@ -1,5 +1,5 @@
 """A pruning index of sketches: a tree whose nodes know what their subtree holds, as distinct hashes or as counts of a
-counting filter.
+counting filter that has as many buckets for each of its sequences on all levels.
 
 Sequences are numbered in the order of their least hashes, so that similar ones are neighbours, and the node above number i
 on level l is i // fanout^l. A level is the level below grouped by its nodes above and by key; a node's hashes or counts
@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.operators.scalar import kept, running_sums
+from strandline.operators.sequences import HASHES
 
 FANOUT, BUCKETS = 16, 4096
 
@@ -30,12 +31,18 @@ class SketchTree:
     buckets: int
 
 
-def _keys(rows: DataFrame, name: str, buckets: int) -> DataFrame:
+def _bucket(hash_: str, buckets: int, size: int) -> Column:
+    """The bucket of a hash in a filter of `size` sequences: a filter has `buckets` for each of them, so that one of a large
+    subtree is as sparse as one of a sequence."""
+    return F.pmod(hash_, F.lit(min(buckets * size, HASHES)).cast("long"))
+
+
+def _keys(rows: DataFrame, name: str, buckets: int, size: int = 1) -> DataFrame:
     """(name, key, count) of rows (name, sketch): hashes, or how many of them a bucket has."""
     hashes = rows.select(name, F.explode(F.array_distinct("sketch")).alias("h"))
     if not buckets:
         return hashes.select(name, F.col("h").alias("key"), F.lit(1).cast("long").alias("count"))
-    return hashes.groupBy(name, F.pmod("h", F.lit(buckets)).alias("key")).agg(F.count("*").alias("count"))
+    return hashes.groupBy(name, _bucket("h", buckets, size).alias("key")).agg(F.count("*").alias("count"))
 
 
 def build(sketches: DataFrame, fanout: int = FANOUT, buckets: int = 0) -> SketchTree:
@@ -44,11 +51,15 @@ def build(sketches: DataFrame, fanout: int = FANOUT, buckets: int = 0) -> Sketch
         raise ValueError("a node has two children at least")
     rows = sketches.where(F.size("sketch") > 0).select("id", "sketch", F.array_min("sketch").alias("least"), F.lit(1).cast("long").alias("one"))
     numbered = kept(running_sums(kept(rows), [F.asc("least"), F.asc("id")], node="one").select("node", "id", "sketch"))
+    hashes = _keys(numbered, "node", 0)
     levels, n = [kept(_keys(numbered, "node", buckets))], numbered.count()
     while n > fanout:
-        above = levels[-1].groupBy(F.expr(f"node div {fanout}").alias("node"), "key")
-        # a subtree's hashes are a set, a subtree's counts a sum
-        levels.append(kept(above.agg((F.sum("count") if buckets else F.max("count")).alias("count"))))
+        if buckets:  # counts of more buckets don't follow from those of fewer
+            size = fanout ** len(levels)
+            above = hashes.groupBy(F.expr(f"node div {size}").alias("node"), _bucket("key", buckets, size).alias("key"))
+            levels.append(kept(above.agg(F.count("*").alias("count"))))
+        else:
+            levels.append(kept(levels[-1].groupBy(F.expr(f"node div {fanout}").alias("node"), "key").agg(F.max("count").alias("count"))))
         n = -(-n // fanout)
     return SketchTree(tuple(levels), numbered.select("node", "id", "sketch"), fanout, buckets)
 
@@ -56,9 +67,10 @@ def build(sketches: DataFrame, fanout: int = FANOUT, buckets: int = 0) -> Sketch
 def visited(tree: SketchTree, queries: DataFrame, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
     """((query, node) of the sequences that remain, the nodes (query, node) entered on each level, top first)."""
     sizes = queries.select("query", F.size(F.array_distinct("sketch")).alias("n"))
-    asked = kept(_keys(queries.select("query", "sketch"), "query", tree.buckets).join(sizes, "query"))
+    same = None if tree.buckets else kept(_keys(queries.select("query", "sketch"), "query", 0).join(sizes, "query"))
     entered: list[DataFrame] = []
-    for level in reversed(tree.levels):
+    for depth, level in reversed(list(enumerate(tree.levels))):
+        asked = same or kept(_keys(queries.select("query", "sketch"), "query", tree.buckets, tree.fanout**depth).join(sizes, "query"))
         rows = level.select("node", "key", F.col("count").alias("held"))
         if entered:
             wanted = asked.join(entered[-1].withColumnRenamed("node", "above"), "query")

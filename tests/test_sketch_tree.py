@@ -54,3 +54,12 @@ def test_empty_tree(spark):
     none = spark.createDataFrame([], "id long, sketch array<long>")
     tree = ST.build(none)
     assert not ST.contained(tree, spark.createDataFrame([(1, [5])], "query long, sketch array<long>")).collect()
+
+
+def test_filters_of_large_subtrees_are_sparse(spark):
+    """What the upper levels enter doesn't grow with what else they hold."""
+    rng = random.Random(5)
+    frame = spark.createDataFrame([(i, sorted(rng.sample(range(1 << 40), 30))) for i in range(600)], "id long, sketch array<long>")
+    queries = frame.where("id % 60 = 0").withColumnRenamed("id", "query")
+    _, entered = ST.visited(ST.build(frame, 4, 64), queries, 0.9)
+    assert [e.count() for e in entered] == [10] * 5
