@@ -27,17 +27,17 @@ def _cluster_sizes(reads: DataFrame, clusters: DataFrame | None, read: str = "re
     return out.withColumn("cluster_size", size).drop("__id", "__size", "__bare", "__bare_size")
 
 
-def taxon_counts(hits: DataFrame, lineage: DataFrame, count_type: str, clusters: DataFrame | None = None, allow: DataFrame | None = None, deny: DataFrame | None = None) -> DataFrame:
+def taxon_counts(hits: DataFrame, lineage: DataFrame, count_type: str, clusters: DataFrame | None = None, allow: DataFrame | None = None, deny: DataFrame | None = None, drop_human: bool = True) -> DataFrame:
     """Counts by species, genus and family from called hits (read_id, taxid, pident, length, evalue, and, if there are
     any, base_count and source_count_type): one rollup of the filled lineage. The lists see the whole lineage, so a read
-    counts at all its ranks or at none. Protein alignments are three times as long in merged counts."""
+    counts at all its ranks or at none; human ones at none unless drop_human is false. Protein alignments are three times as long in merged counts."""
     rows = _cluster_sizes(hits, clusters)
     ranks = lineage.select(F.col("taxid").alias("__taxid"), "species", "genus", "family")
     rows = rows.join(ranks, F.col("taxid") == F.col("__taxid"), "left").drop("__taxid")
     s, g, f = L.with_nulls(F.col("species"), F.col("genus"), F.col("family"))
     rows = rows.withColumns({"species": s, "genus": g, "family": f})
     s, g, f = L.fill_lineage(F.col("species"), F.col("genus"), F.col("family"))
-    rows = taxon_filter(rows.withColumns({"species": s, "genus": g, "family": f}), ["species", "genus", "family"], allow, deny)
+    rows = taxon_filter(rows.withColumns({"species": s, "genus": g, "family": f}), ["species", "genus", "family"], allow, deny, drop_human)
     source = F.col("source_count_type") if "source_count_type" in hits.columns else F.lit(None).cast("string")
     bases = F.col("base_count") if "base_count" in hits.columns else F.lit(0).cast("long")
     length = F.when((source == "NR") & F.lit(count_type == "merged_NT_NR"), F.col("length") * 3).otherwise(F.col("length"))
