@@ -27,6 +27,8 @@ from strandline.sources.fastx import paired
 
 MAX_LENGTH, SPLIT = 10_000, 64 << 20
 _BLOCK, _ROWS = 1 << 20, 4096
+#: Bytes, and parts, that are one task: files and ranges may be far smaller.
+_TASK, _TOGETHER = 4 << 20, 2048
 RECORD = "file string, start long, ord long, read_id string, header string, seq string, quality string"
 PAIR = "read_id string, ord long, header1 string, seq1 string, quality1 string, header2 string, seq2 string, quality2 string"
 EXTENTS = "file string, start long, header_bytes long, body_bytes long, header string, bases long"
@@ -45,6 +47,13 @@ class Part(InputPartition):
     ord: int | None = None
 
 
+@dataclass
+class Bundle(InputPartition):
+    """Parts that one task reads one after another."""
+
+    parts: list[Part]
+
+
 @dataclass
 class PairPart(InputPartition):
     """Mates of the records of one part of the first file: the second's are `skip` records into what is read from `two`."""
@@ -98,10 +107,24 @@ def parts(path: str, split: int) -> list[Part]:
     return out
 
 
-def _lines(source, at: int) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, offset of what follows, line) from where source stands, `at`."""
+def _bundles(found: list[Part]) -> list[Bundle]:
+    """Parts in their order, so many together that a task has about _TASK bytes; packed files are alone."""
+    out: list[Bundle] = []
+    room = 0
+    for part in found:
+        size = part.stop - part.start
+        if not out or size > room or len(out[-1].parts) >= _TOGETHER:
+            out.append(Bundle([]))
+            room = _TASK
+        out[-1].parts.append(part)
+        room -= size
+    return out
+
+
+def _lines(source, at: int, size: int = _BLOCK) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, offset of what follows, line) from where source stands, `at`, read by `size` bytes."""
     rest = b""
-    while block := source.read(_BLOCK):
+    while block := source.read(size):
         lines = (rest + block).split(b"\n")
         rest = lines.pop()
         for line in lines:
@@ -148,7 +171,7 @@ def _records(part: Part) -> Iterator[tuple[tuple[int, int, int], list[bytes], in
             raw.seek(at)
         fastq, begin, held, separator = part.kind == "fastq", -1, [], 0
         body = end = 0
-        for offset, after, line in _lines(source, at):
+        for offset, after, line in _lines(source, at, min(_BLOCK, max(part.stop - at, 1 << 12))):
             first = line[:1].strip()
             quality = fastq and one == b"+" and two != b"+"
             if not quality and first == (b"@" if fastq else b">"):
@@ -213,38 +236,37 @@ def _batches(rows: Iterator[tuple], schema: str) -> Iterator[pa.RecordBatch]:
         yield batch()
 
 
+def _of(bundle: Bundle | None) -> list[Part]:
+    return [] if bundle is None else bundle.parts  # there may be no parts
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.options, self.most = dict(options), int(options.get("maxlength", MAX_LENGTH))
 
     def partitions(self):
         if (index := self.options.get("index")) is not None:
-            return [Part(**p) for p in json.loads(index)]
-        return parts(self.options["path"], int(self.options.get("splitbytes", SPLIT)))
+            return _bundles([Part(**p) for p in json.loads(index)])
+        return _bundles(parts(self.options["path"], int(self.options.get("splitbytes", SPLIT))))
 
 
 class _RecordReader(_Reader):
-    def read(self, part: Part | None):
-        if part is None:  # there are no parts
-            return iter(())
+    def rows(self, part: Part) -> Iterator[tuple]:
         known = part.ord is not None
-        rows = ((part.file, start, part.ord + k if known else None, *rest) for k, (start, *rest) in enumerate(_parsed(part, self.most)))
-        return _batches(rows, RECORD)
+        return ((part.file, start, part.ord + k if known else None, *rest) for k, (start, *rest) in enumerate(_parsed(part, self.most)))
+
+    def read(self, bundle: Bundle | None):
+        return _batches((r for part in _of(bundle) for r in self.rows(part)), RECORD)
 
 
 class _CountReader(_Reader):
-    def read(self, part: Part | None):
-        if part is None:
-            return iter(())
-        n = sum(1 for _ in _records(part))
-        return _batches(iter([(part.file, part.start, part.stop, part.packed, part.kind, n)]), COUNTS)
+    def read(self, bundle: Bundle | None):
+        return _batches(((part.file, part.start, part.stop, part.packed, part.kind, sum(1 for _ in _records(part))) for part in _of(bundle)), COUNTS)
 
 
 class _ExtentReader(_Reader):
-    def read(self, part: Part | None):
-        if part is None:
-            return iter(())
-        rows = ((part.file, b, m - b, e - m, lines[0][1:].decode(), sum(len(x.strip()) for x in lines[1 : separator or None])) for (b, m, e), lines, separator in _records(part))
+    def read(self, bundle: Bundle | None):
+        rows = ((part.file, b, m - b, e - m, lines[0][1:].decode(), sum(len(x.strip()) for x in lines[1 : separator or None])) for part in _of(bundle) for (b, m, e), lines, separator in _records(part))
         return _batches(rows, EXTENTS)
 
 

@@ -120,3 +120,11 @@ def test_mates_in_folders_of_other_files(spark, tmp_path):
             (tmp_path / str(m) / f"p{k}").write_text("".join(f">r{i}/{m}\nACG\n" for i in range(low, high)))
     rows = records.paired_files(spark, str(tmp_path / "1"), str(tmp_path / "2"), 16).collect()
     assert sorted((r["ord"], r["read_id"], r["seq2"]) for r in rows) == [(i, f"r{i}", "ACG") for i in range(9)]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Ranges far smaller than a task are read together, and no more than their bytes."""
+    (tmp_path / "a.fasta").write_text("".join(f">r{k}\nACGT\n" for k in range(5000)))
+    rows = records.records(spark, str(tmp_path), numbered=True, split=100)
+    assert rows.rdd.getNumPartitions() == 1
+    assert [(r["ord"], r["read_id"]) for r in rows.orderBy("ord").collect()] == [(k, f"r{k}") for k in range(5000)]
