@@ -19,7 +19,7 @@ from strandline.operators import reports as P
 from strandline.operators import sequences as S
 from strandline.operators import sketch_tree as ST
 from strandline.operators import taxonomy as T
-from strandline.operators.scalar import kept, shared_folder
+from strandline.operators.scalar import kept, shared_folder, spread
 from strandline.plans.observed import StepCounts, with_sizes
 from strandline.queries import _READS, _reads, query
 from strandline.roles import M8_SQL, table
@@ -660,7 +660,7 @@ def fastq_as_fasta(spark, d):
   SELECT k AS key, substr(needle, 1, least(CAST(round(length(needle) * 0.75) AS INT), 60)) || substr(drawn, least(CAST(round(length(needle) * 0.75) AS INT), 60) + 1) AS seq FROM l""")
 def containing_sequences(spark, d):
     needle = F.repeat(F.lit("GATTACA"), (F.col("p_size") % 9 + 1).cast("int"))
-    return table(spark, d, "part").select(F.col("p_partkey").alias("key"), S.containing_sequence(needle, F.col("p_partkey"), 12, 5, 0.75).alias("seq"))
+    return spread(table(spark, d, "part").select("p_partkey", "p_size")).select(F.col("p_partkey").alias("key"), S.containing_sequence(needle, F.col("p_partkey"), 12, 5, 0.75).alias("seq"))
 
 
 @query("SELECT 'h' || c_custkey AS read_id, 0 AS set FROM customer UNION ALL SELECT 'ERCC-' || s_suppkey, 1 FROM supplier")

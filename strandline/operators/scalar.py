@@ -47,6 +47,11 @@ def kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to several tasks for each core, for rows that cost far more to work on than to read: a small file is one task."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def running_sums(df: DataFrame, order: list[Column], **sums: str) -> DataFrame:
     """df with, for each new name, the sum of a column over all rows before in `order`. Rows are dealt by ranges of the order,
     summed within, and on top of the sums of the ranges before, a row for each range."""

@@ -397,8 +397,8 @@ def containing_sequence(needle: Column, key: Column, k: int, total_kmers: int, c
     chance: letters follow from MD5 of seed, key and place, so they are the same wherever they are made. Of the needle's
     k-mers it holds that share but for those that the cut parts, fewer than k, and those that chance repeats."""
     n = k * total_kmers
-    letter = lambda i: F.substring(F.lit("ACTG"), F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key, i)), 1, 2), 16, 10).cast("int") % 4 + 1, F.lit(1))
-    drawn = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), letter), "")
+    letter = lambda i: F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key, i)), 2, 1)  # noqa: E731  # its last two bits tell
+    drawn = F.translate(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), letter), ""), "0123456789abcdef", "ACTG" * 4)
     taken = F.least(F.round(F.length(needle) * containment).cast("int"), F.lit(n))
     return F.concat(F.substring(needle, F.lit(1), taken), F.substring(drawn, taken + 1, F.lit(n)))
 

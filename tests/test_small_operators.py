@@ -65,3 +65,11 @@ def test_steps_are_counted_by_the_plans_own_action(spark, tmp_path):
     assert alone.counts() == [("in", 100, 200)]
     with pytest.raises(ValueError, match="two steps"):
         alone.add("in", reads)
+
+
+def test_costly_rows_are_dealt_to_all_cores(spark):
+    from strandline.queries import QUERIES
+
+    import strandline.format_queries  # noqa: F401
+
+    assert QUERIES["containing_sequences"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
