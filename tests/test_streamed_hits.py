@@ -1,5 +1,6 @@
 """Streamed hit calling against the batch."""
 
+import random
 import time
 from pathlib import Path
 
@@ -66,3 +67,14 @@ def test_idle_reads_are_closed_and_forgotten(spark, tmp_path, rocksdb):
         running.stop()
     assert done == ids
     assert _rows(SH.last_calls(spark, out)) == _rows(H.call_hits(m8, acc, lin))
+
+
+def test_calls_of_ties_have_no_state_in_python(spark):
+    rng = random.Random(3)
+    data = [(rng.randrange(40), rng.choice("ABCDEN") + ".1", 99.0, 50, 0.0, float(rng.randrange(2)), i) for i in range(900)] + [(99, "N.1", 99.0, 50, 0.0, 1.0, 1000), (98, "A.1", 99.0, 50, 0.0, None, 1001)]
+    m8 = spark.createDataFrame(data, "qseqid long, sseqid string, pident double, length long, evalue double, bitscore double, ord long")
+    acc = spark.createDataFrame([("A", 1), ("B", 1), ("C", 2), ("D", 3), ("N", 4)], "accession string, taxid long")
+    lin = spark.createDataFrame([(1, 1, 10, 100), (2, 2, 10, 100), (3, 3, 30, 300), (4, None, 10, 100)], "taxid long, species long, genus long, family long")
+    calls = SH.streamed_calls(m8, acc, lin)
+    assert "Python" not in calls._jdf.queryExecution().toString() and "InPandas" not in calls._jdf.queryExecution().toString()
+    assert _rows(calls.na.fill("", ["accession_id"])) == _rows(H.call_hits(m8, acc, lin).na.fill("", ["accession_id"]))
