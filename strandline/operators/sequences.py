@@ -281,46 +281,71 @@ def group_key(group: Column) -> Column:
     return F.when(group.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.to_json(F.struct(group.alias("g")))))
 
 
-def containment_edges(sketches: DataFrame, threshold: float) -> DataFrame:
-    """(grp, a, b) of sequences (grp, id, ord, sketch) of one group of which the later a is contained in the earlier b:
-    an inverted index of hashes. Of a's hashes only its rarest are looked up, as many as b can't all lack, and b must
-    hold a share of them; so a hash that very many hold joins rarely."""
-    rows = kept(sketches.select("grp", "id", "ord", F.size("sketch").alias("n"), F.explode("sketch").alias("h")))
-    frequent = rows.groupBy("grp", "h").agg(F.count("*").alias("f")).where("f > 1")  # others join with nothing
-    ranked = rows.join(frequent, ["grp", "h"]).withColumn("k", F.row_number().over(Window.partitionBy("grp", "id").orderBy("f", "h")))
-    single = F.col("n") - F.count("*").over(Window.partitionBy("grp", "id"))  # hashes that no other sequence has
-    needed = F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1 - single
-    ranked = kept(ranked.withColumn("prefix", F.col("k") <= needed))
-    a = ranked.where("prefix").select("grp", "h", F.col("id").alias("a"), F.col("ord").alias("oa"), F.col("n").alias("na"))
-    b = ranked.select("grp", "h", F.col("id").alias("b"), F.col("ord").alias("ob"))
-    near = a.join(b, ["grp", "h"]).where("ob < oa").select("grp", "a", "oa", "na", "b", "ob").distinct()
-    held = ranked.groupBy("grp", "id").agg(F.collect_list("h").alias("hs"))
-    both = near.join(held.select("grp", F.col("id").alias("a"), F.col("hs").alias("ha")), ["grp", "a"]).join(held.select("grp", F.col("id").alias("b"), F.col("hs").alias("hb")), ["grp", "b"])
-    return both.withColumn("shared", F.size(F.array_intersect("ha", "hb"))).drop("ha", "hb").where(F.col("shared") >= threshold * F.col("na"))
+#: Holders of a hash, the earliest first, that a sequence is compared with in the first round; later rounds take more.
+HEADS = 8
+
+
+def _held(first: DataFrame, threshold: float) -> DataFrame | None:
+    """(grp, id) of the sequences (grp, id, ord, sketch), of different sketches, that the greedy walk drops, or None.
+
+    Pairs aren't listed, as a hash that many hold makes very many. A sequence of which earlier ones hold too few hashes, all
+    taken together, stays. Others ask, by the rarest of their hashes that earlier ones hold, as many as a holder can't all
+    lack, for the first few holders of each that are left. One that a holder sure to stay contains goes; one that has seen
+    all earlier holders of these hashes, and that none contains, stays. What goes is no holder in the next round, which
+    takes more of the rest."""
+    pair = ["grp", "h"]
+    own, posting = Window.partitionBy("grp", "id"), Window.partitionBy(*pair).orderBy("ord")
+    need = F.greatest(F.ceil(F.lit(threshold) * F.size("sketch")), F.lit(1)).cast("int")
+    rows = first.select("grp", "id", "ord", need.alias("need"), F.explode("sketch").alias("h"))
+    begins = lambda held: held.groupBy(*pair).agg(F.min("ord").alias("begin"), F.count("*").alias("f"))
+
+    def asked(some: DataFrame, held: DataFrame) -> DataFrame:
+        """Rows of which an earlier sequence has the hash, of sequences of which earlier ones have enough, rarest first."""
+        old = some.join(begins(held).where("f > 1"), pair).where("begin < ord").withColumn("older", F.count("*").over(own)).where("older >= need")
+        return old.withColumn("k", F.row_number().over(own.orderBy("f", "h"))).withColumn("prefix", F.col("k") <= F.col("older") - F.col("need") + 1).drop("begin", "k", "older")
+
+    asks = kept(asked(rows, rows))
+    open_ = asks.select("grp", "id", F.lit(True).alias("open")).distinct()
+    held = rows.drop("need").join(asks.select(*pair).distinct(), pair, "left_semi").join(open_, ["grp", "id"], "left")
+    held = kept(held.withColumn("open", F.coalesce("open", F.lit(False))))
+    gone, most = None, HEADS
+    while asks.first() is not None:
+        heads = kept(held.withColumn("j", F.row_number().over(posting)).where(F.col("j") <= most).drop("j"))
+        last = heads.groupBy(*pair).agg(F.max("ord").alias("last"))
+        prefix = asks.where("prefix")
+        seen = prefix.join(last, pair).groupBy("grp", "id").agg(F.min((F.col("f") <= most) | (F.col("last") >= F.col("ord"))).alias("all"))
+        holder = heads.select(*pair, F.col("id").alias("b"), F.col("ord").alias("ob"), "open")
+        near = kept(prefix.join(holder, pair).where("ob < ord").select("grp", "id", "need", "b", "open").distinct())
+        ha = asks.groupBy("grp", "id").agg(F.collect_list("h").alias("ha"))
+        hb = held.withColumnRenamed("id", "b").join(near.select("grp", "b").distinct(), ["grp", "b"], "left_semi").groupBy("grp", "b").agg(F.collect_list("h").alias("hb"))
+        edges = near.join(ha, ["grp", "id"]).join(hb, ["grp", "b"]).where(F.size(F.array_intersect("ha", "hb")) >= F.col("need"))
+        edges = edges.groupBy("grp", "id").agg(F.min("open").alias("waits"))  # false: one that stays contains it
+        fate = F.when(~F.col("waits"), "goes").when(F.col("waits").isNull() & F.col("all"), "stays")
+        fates = kept(seen.join(edges, ["grp", "id"], "left").select("grp", "id", fate.alias("fate")))
+        new = fates.where("fate = 'goes'").select("grp", "id")
+        gone = new if gone is None else gone.unionByName(new)
+        left = held.join(new, ["grp", "id"], "left_anti")
+        rest = asks.select("grp", "id", "ord", "need", "h").join(fates.where("fate is null"), ["grp", "id"], "left_semi")
+        asks = kept(asked(rest, left))
+        open_ = asks.select("grp", "id", F.lit(True).alias("open")).distinct()
+        held = left.drop("open").join(asks.select(*pair).distinct(), pair, "left_semi").join(open_, ["grp", "id"], "left")
+        held = kept(held.withColumn("open", F.coalesce("open", F.lit(False))))
+        most *= 4
+    return gone
 
 
 def reduce_redundant(sequences: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Greedy reduction of each group (grp, id, length, sketch), longest first: a sequence goes if one that stays holds
-    `threshold` of its sketch. Of equal sketches the first stands for all: the others go, whether it stays or not.
-    Candidates come from the inverted index. Then, in rounds of joins, sequences of which all holders have gone stay, and
-    what those that stay hold goes, until all is decided. Empty sketches are held by nothing; sequences without group are
-    a group of their own."""
+    `threshold` of its sketch. Of equal sketches the first stands for all: the others go, whether it stays or not. All is
+    decided in rounds of joins. Empty sketches are held by nothing; sequences without group are a group of their own."""
     sequences = kept(sequences.withColumnRenamed("grp", "__grp").withColumn("grp", group_key(F.col("__grp"))))  # sketches are costly
     empty = sequences.where(F.coalesce(F.size("sketch"), F.lit(0)) <= 0)
     first = sequences.where(F.size("sketch") > 0).groupBy("grp", "sketch").agg(F.min(F.struct((-F.col("length")).alias("l"), "id")).alias("ord"))
     first = kept(first.select("grp", F.col("ord.id").alias("id"), "ord", "sketch"))
-    edges = kept(containment_edges(first, threshold).select("grp", "a", "b"))
-    gone, open_ = None, edges
-    while open_.first() is not None:
-        # holders that nothing undecided holds stay, and so all that they hold goes
-        stay = open_.select("grp", "b").distinct().join(open_.select("grp", F.col("a").alias("b")), ["grp", "b"], "left_anti")
-        new = kept(open_.join(stay, ["grp", "b"], "left_semi").select("grp", "a").distinct())
-        gone = new if gone is None else gone.unionByName(new)
-        rest = open_.join(new, ["grp", "a"], "left_anti").join(new.select("grp", F.col("a").alias("b")), ["grp", "b"], "left_anti")
-        open_ = kept(rest)
+    gone = _held(first, threshold)
     left = first.select("grp", "id")
     if gone is not None:
-        left = left.join(gone.select("grp", F.col("a").alias("id")), ["grp", "id"], "left_anti")
+        left = left.join(gone, ["grp", "id"], "left_anti")
     return sequences.join(left, ["grp", "id"], "left_semi").unionByName(empty).drop("grp").withColumnRenamed("__grp", "grp")
 
 
