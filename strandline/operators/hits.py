@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import lineage as L
 from strandline.operators.filters import nucleotide_hsps, taxon_filter, valid_alignments
+from strandline.operators.scalar import kept
 
 
 def with_taxid(m8: DataFrame, acc2tax: DataFrame) -> DataFrame:
@@ -60,6 +61,7 @@ def _fitting(rows: DataFrame, keys: Column | str, score: str) -> DataFrame:
 
 def _most_frequent(rows: DataFrame, first: str) -> DataFrame:
     """Of each query's rows the one whose accession most rows of all queries name, the first on ties."""
+    rows = kept(rows)  # both are made from them
     counts = rows.groupBy("sseqid").agg(F.count("*").alias("__n"))
     ranked = rows.join(counts, "sseqid")
     return ranked.withColumn("__k", F.row_number().over(Window.partitionBy("qseqid").orderBy(F.desc("__n"), first))).where("__k = 1").drop("__k", "__n")
@@ -75,7 +77,7 @@ def disjoint(begins: list[int], ends: list[int], most: float = 0.1) -> list[int]
     """The numbers of the intervals, in their order, that share no more than `most` of the shorter one's length with any
     kept before. Kept intervals lie in an index by their begin: of those of any length none holds another, so their ends
     are in order too, and only the neighbours of a new one that reach into it are asked."""
-    kept, low, high = [], [], []
+    chosen, low, high = [], [], []
     for k, (b, e) in enumerate(zip(begins, ends, strict=True)):
         at = bisect_right(low, b)
         clashes = False
@@ -84,11 +86,11 @@ def disjoint(begins: list[int], ends: list[int], most: float = 0.1) -> list[int]
                 clashes = min(high[j], e) - max(low[j], b) > most * min(high[j] - low[j], e - b)
                 j += step
         if not clashes:
-            kept.append(k)
+            chosen.append(k)
             if e > b:  # what has no length shares nothing
                 low.insert(at, b)
                 high.insert(at, e)
-    return kept
+    return chosen
 
 
 def disjoint_hsps(hsps: Column, max_overlap: float = 0.1) -> Column:
@@ -103,20 +105,34 @@ def disjoint_hsps(hsps: Column, max_overlap: float = 0.1) -> Column:
     return F.when(F.size(hsps) == 1, hsps).otherwise(F.transform(chosen(several("b"), several("e")), lambda k: hsps[k]))
 
 
+def _hsp(columns: list[str]) -> Column:
+    low, high = F.least("qstart", "qend").alias("b"), F.greatest("qstart", "qend").alias("e")
+    return F.struct("ord", low, high, *(F.col(c) for c in columns if c not in ("ord", "qseqid", "sseqid")))
+
+
 def hsp_covers(m8: DataFrame) -> DataFrame:
     """(qseqid, sseqid, cover, score, first): the greedy disjoint alignments of each pair, in order of `ord`."""
-    low, high = F.least("qstart", "qend").alias("b"), F.greatest("qstart", "qend").alias("e")
-    item = F.struct("ord", low, high, *(F.col(c) for c in m8.columns if c not in ("ord", "qseqid", "sseqid")))
-    pairs = m8.groupBy("qseqid", "sseqid").agg(F.array_sort(F.collect_list(item)).alias("hsps"))
+    pairs = m8.groupBy("qseqid", "sseqid").agg(F.array_sort(F.collect_list(_hsp(m8.columns))).alias("hsps"))
     covered = pairs.select("qseqid", "sseqid", disjoint_hsps(F.col("hsps")).alias("cover"))
     return covered.withColumns({"score": F.aggregate("cover", F.lit(0.0), lambda a, x: a + x["bitscore"]), "first": F.col("cover")[0]["ord"]})
 
 
 def top_hit_nt(m8: DataFrame, acc2tax: DataFrame, lineage: DataFrame, min_length: int = 36, min_pident: float = 80.0, max_evalue: float = 1.0) -> DataFrame:
-    """Nucleotide search: every alignment of a query's best disjoint cover among those of its most specific taxa."""
-    covers = hsp_covers(nucleotide_hsps(m8, min_length, min_pident, max_evalue))
-    rows = with_lineage(with_taxid(covers, acc2tax), lineage)
-    best = _most_frequent(_fitting(rows, "qseqid", "score"), "first").select("qseqid", "sseqid", F.explode("cover").alias("h"))
+    """Nucleotide search: every alignment of a query's best disjoint cover among those of its most specific taxa.
+
+    Taxa are looked up first, so that covers are made of pairs that may win alone, and only for queries that have a pair of
+    several alignments: of others the best scored alignment is the best cover. One shuffle and one sort by query serve all
+    windows."""
+    hsps = nucleotide_hsps(m8, min_length, min_pident, max_evalue)
+    rows = with_lineage(with_taxid(hsps, acc2tax), lineage)
+    rows = rows.select(*m8.columns, L.specificity(F.col("species"), F.col("genus"), F.col("family")).alias("__spec"), (F.lit(0.0) + F.col("bitscore")).alias("__score")).repartition("qseqid")
+    query = Window.partitionBy("qseqid")
+    rows = rows.withColumn("__n", F.count("*").over(Window.partitionBy("qseqid", "sseqid"))).withColumn("__least", F.min("__spec").over(query)).where("__spec = __least")
+    rows = rows.withColumns({"__most": F.max("__n").over(query), "__top": F.max("__score").over(query)}).where("__most > 1 or __score = __top")
+    rows = kept(rows.select(*m8.columns, "__score", "__most"))
+    single = rows.where("__most = 1").select("qseqid", "sseqid", F.array(_hsp(m8.columns)).alias("cover"), F.col("__score").alias("score"), F.col("ord").alias("first"))
+    covers = hsp_covers(rows.where("__most > 1").select(*m8.columns)).withColumn("__top", F.max("score").over(query)).where("score = __top").drop("__top")
+    best = _most_frequent(single.unionByName(covers), "first").select("qseqid", "sseqid", F.explode("cover").alias("h"))
     return best.select(*(F.col(c) if c in ("qseqid", "sseqid") else F.col(f"h.{c}") for c in m8.columns))
 
 
