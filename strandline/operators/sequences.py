@@ -377,6 +377,8 @@ def reduce_all(sequences: DataFrame, threshold: float = 0.5, large: int = LARGE)
     cut = kept(cut_groups(sequences, large))
     columns = sequences.columns
     giant = cut.where("part is not null")
+    if giant.first() is None:
+        return reduce_redundant(cut.select(*columns), threshold)
     parts = giant.withColumns({"__whole": F.col("grp"), "grp": F.struct(F.col("grp").alias("g"), "part")}).drop("part")
     left = reduce_redundant(parts, threshold).withColumn("grp", F.col("__whole")).select(*columns)
     return reduce_redundant(cut.where("part is null").select(*columns).unionByName(left), threshold)
