@@ -154,7 +154,9 @@ def best_accessions(scores: DataFrame, n: int = 10) -> DataFrame:
     """Accessions (taxon, accession, score, n_contigs) worth showing: all with contigs, filled up to n by score."""
     w = Window.partitionBy("taxon").orderBy(F.desc("score"), "accession")
     with_contig = F.col("n_contigs") > 0
-    ranked = scores.withColumns({"__total": F.sum(with_contig.cast("int")).over(Window.partitionBy("taxon")), "__k": F.sum((~with_contig).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))})
+    ranked = scores.withColumn("__k", F.sum((~with_contig).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))).where(with_contig | (F.col("__k") <= n))
+    # in the same order, so that rows are sorted once
+    ranked = ranked.withColumn("__total", F.sum(with_contig.cast("int")).over(Window.partitionBy("taxon")))
     return ranked.where(with_contig | (F.col("__k") <= n - F.col("__total"))).drop("__total", "__k")
 
 
