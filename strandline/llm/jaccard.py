@@ -8,7 +8,11 @@ Equal sets are one node from the start. Texts that can reach the threshold share
 shingles, so linking the neighbours (by set size) of each such shingle gives clusters outside which no link can be; the
 lists of very frequent shingles are dealt in SALTS parts.
 
-Within clusters the global order is cut at FRAGMENTS - 1 points: each fragment counts the shared shingles of its pairs by
+Such clusters chain texts that only have a passage in common, the more the larger the corpus. So each set has a parity
+bitmap, a few bytes for each hundred shingles: two sets differ by at least as many shingles as their bitmaps by bits. Pairs
+of a cluster that their bitmaps allow to link make the clusters that are compared; no full set is sent before.
+
+Within those the global order is cut at FRAGMENTS - 1 points: each fragment counts the shared shingles of its pairs by
 matrix products over blocks of BLOCK nodes, the counts are summed per pair and tested exactly, and links become
 components. Large clusters are dealt by pairs of blocks, so no task holds a whole cluster.
 
@@ -19,6 +23,8 @@ rows with one doc_id are one node with the links of all of them, and each gets a
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +40,22 @@ WORD_BITS, SHINGLE_BITS, RANGES, STEPS = 21, 22, 96, 8
 CHUNK = 1 << 18
 #: Fragments of the order, nodes of a block, parts of the list of a very frequent shingle.
 FRAGMENTS, BLOCK, SALTS = 4, 256, 64
+#: Bits of a parity bitmap at most, and parts at most in which the bitmaps of one size class of a cluster are dealt.
+MOST_BITS, PARTS = 1 << 15, 64
+#: Ids that are broadcast at most (some 20 MB) to leave texts out before they are shuffled.
+BROADCAST_IDS = 1 << 20
+
+
+@contextmanager
+def _without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Removes the shuffle files of a job when it is done, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def _hashes(words: np.ndarray, n: int) -> np.ndarray:
@@ -106,12 +128,21 @@ def _node(distinct: np.ndarray) -> tuple[int, int]:
     return (d & (1 << 64) - 1) - (1 << 63), (d >> 64) - (1 << 63)
 
 
-_SETS = "doc_id long, n int, node long, more long, prefix array<long>, parts array<long>"
+def _parities(distinct: np.ndarray, percent: int) -> bytes:
+    """A parity bitmap: of each value of the hashes' low bits whether an odd number of shingles has it. Its bits are a power
+    of two, five times as many as sets of this size that link may differ by; it is folded by halves to fit a smaller one."""
+    apart = 2 * len(distinct) * (100 - percent) // (100 + percent)
+    bits = min(MOST_BITS, max(64, 1 << (5 * apart).bit_length()))
+    odd = np.bincount((distinct & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+_SETS = "doc_id long, n int, node long, more long, prefix array<long>, parts array<long>, bits binary"
 
 
 def shingle_sets(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
-    """(doc_id, n, node, more, prefix, parts), a row per document: the size of its set, the two halves of the set's
-    digest, its first shingles in the order, and where the order cuts it in FRAGMENTS equal parts."""
+    """(doc_id, n, node, more, prefix, parts, bits), a row per document: the size of its set, the two halves of the set's
+    digest, its first shingles in the order, where the order cuts it in FRAGMENTS equal parts, and its parity bitmap."""
 
     def run(batches):
         for ids, texts in text_chunks(batches, CHUNK):
@@ -120,14 +151,14 @@ def shingle_sets(docs: DataFrame, n: int, percent: int, levels) -> DataFrame:
             for k in range(len(texts)):
                 words = w.hash[w.first[k] : w.first[k + 1]]
                 if not len(words):
-                    rows.append((0, *[None] * 4))
+                    rows.append((0, *[None] * 5))
                     continue
                 distinct, order = _ordered(words, n, levels.value)
                 m = len(order)
                 parts = [int(order[m * q // FRAGMENTS] >> np.uint64(1)) for q in range(1, FRAGMENTS)]
-                rows.append((m, *_node(distinct), order[: m - -(-percent * m // 100) + 1].view(np.int64), parts))
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n", "node", "more", "prefix", "parts"])
+                rows.append((m, *_node(distinct), order[: m - -(-percent * m // 100) + 1].view(np.int64), parts, _parities(distinct, percent)))
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n", "node", "more", "prefix", "parts", "bits"])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SETS)
 
@@ -177,6 +208,82 @@ def neighbours(postings: DataFrame, percent: int, hot_level: int) -> DataFrame:
     return found.where("a <> b").select("a", "b").unionByName(once(firsts, False).where("a <> b").select("a", "b"))
 
 
+# ------------------------------------------------------------------ bitmaps
+def _folded(bitmaps: list[bytes], words: int) -> np.ndarray:
+    """Bitmaps of one length as rows of so many 64-bit words."""
+    out = np.frombuffer(b"".join(bitmaps), np.uint64).reshape(len(bitmaps), -1)
+    while out.shape[1] > words:
+        half = out.shape[1] // 2
+        out = out[:, :half] ^ out[:, half:]
+    return out
+
+
+def _may_link(a: list[bytes], na: np.ndarray, b: list[bytes], nb: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in a and in b of all pairs that may link by their sizes and bitmaps."""
+    la, lb = (np.array([len(x) for x in side]) for side in (a, b))
+    for long in np.unique(la):
+        x = np.flatnonzero(la == long)
+        for other in np.unique(lb):
+            y = np.flatnonzero(lb == other)
+            if 100 * na[x].max() < percent * nb[y].min() or 100 * nb[y].max() < percent * na[x].min():
+                continue
+            words = int(min(long, other)) // 8
+            left, right = _folded([a[k] for k in x], words), np.ascontiguousarray(_folded([b[k] for k in y], words).T)
+            step = max(1, (1 << 15) // len(y))
+            for low in range(0, len(x), step):
+                some = x[low : low + step]
+                differ = np.zeros((len(some), len(y)), np.uint16)  # MOST_BITS at most
+                for w in range(words):
+                    differ += np.bitwise_count(left[low : low + step, w, None] ^ right[w])
+                m, n = na[some][:, None], nb[y][None, :]
+                i, j = np.nonzero(((100 + percent) * differ.astype(np.int64) <= (100 - percent) * (m + n)) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n)))
+                yield some[i], y[j]
+
+
+def resembling(nodes: DataFrame, clusters: DataFrame, percent: int, total: int) -> DataFrame:
+    """(a, b): edges that connect, within each cluster (node, component), all pairs of nodes (node, n, bits) that may link by
+    their sizes and bitmaps. Clusters of more than BLOCK nodes are dealt by size classes and pairs of blocks of these; a
+    class is compared with itself and with the next one. total: how many nodes there are."""
+
+    def run(group: pa.Table):
+        side, node, n = (group[c].to_numpy() for c in ("side", "node", "n"))
+        bits, n = group["bits"].to_pylist(), n.astype(np.int64)
+        alone = not group["up"][0].as_py() and group["i"][0].as_py() == group["j"][0].as_py()
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if alone else 1))
+        if not len(x) or not len(y):
+            return
+        edges = []
+        for i, j in _may_link([bits[k] for k in x], n[x], [bits[k] for k in y], n[y], percent):
+            p, q = node[x[i]], node[y[j]]
+            if (apart := p != q).any():
+                edges.append(forest(p[apart], q[apart]))
+        if edges:
+            a, b = forest(*(np.concatenate(c) for c in zip(*edges, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    # components() lists all nodes of a cluster but the least, which names it
+    listed = clusters.unionByName(clusters.select(F.col("component").alias("node"), "component").distinct())
+    large = listed.groupBy("component").agg(F.count("*").alias("count")).where(F.col("count") > BLOCK).select("component", F.lit(True).alias("large"))
+    kind = F.floor(F.log("n") / F.lit(math.log(100 / percent)) + 1e-9) if percent < 100 else F.col("n")
+    member = nodes.select("node", "n", "bits").join(listed, "node").join(F.broadcast(large), "component", "left")
+    member = materialize(member.select(F.col("component").alias("cluster"), F.when(F.col("large"), kind).otherwise(-1).cast("int").alias("kind"), "node", "n", "bits"))
+    blocks = F.least(F.ceil(F.col("count") / BLOCK), F.lit(PARTS)).cast("int")
+    counts = materialize(member.groupBy("cluster", "kind").agg(F.count("*").alias("count")))
+    beside = [counts.select("cluster", (F.col("kind") + step).alias("kind"), blocks.alias(name)) for step, name in ((-1, "above"), (1, "below"))]
+    per = counts.withColumn("blocks", blocks)
+    for other in beside:
+        per = per.join(other, ["cluster", "kind"], "left")
+    per = materialize(per.fillna(0, ["above", "below"]).where("count > 1 or above > 0 or below > 0"))
+    dealt = keyed_join(member, per, ["cluster", "kind"], total).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    each = lambda n: F.slice(F.sequence(F.lit(0), F.col(n)), F.lit(1), F.col(n))  # noqa: E731  0 to n - 1
+    pair = lambda kind, up, i, j, side: F.struct(kind.alias("kind"), F.lit(up).alias("up"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    own = F.transform(each("blocks"), lambda o: pair(F.col("kind"), 0, F.least("block", o), F.greatest("block", o), F.col("block") > o))
+    above = F.transform(each("above"), lambda o: pair(F.col("kind"), 1, F.col("block"), o, F.lit(0)))
+    below = F.transform(each("below"), lambda o: pair(F.col("kind") - 1, 1, o, F.col("block"), F.lit(1)))
+    pieces = dealt.select("cluster", F.explode(F.concat(own, above, below)).alias("p"), "node", "n", "bits").select("cluster", "p.*", "node", "n", "bits")
+    return map_groups(pieces, ["cluster", "kind", "up", "i", "j"], run, "a long, b long")
+
+
 # ------------------------------------------------------------------ comparison
 def segments(texts: DataFrame, n: int, levels, cuts: list[int]) -> DataFrame:
     """The fragments of each set (doc_id, text, node, cluster, block, blocks), for each pair of blocks that its own belongs to."""
@@ -270,6 +377,11 @@ def _once(texts: DataFrame, sets: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id): a row per document; documents whose sets have 100 * intersection >=
     percent * union link, component_id is the smallest doc_id reachable by links."""
+    with _without_shuffle_files(docs.sparkSession):
+        return _components(docs, n, percent)
+
+
+def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     levels = spark.sparkContext.broadcast(frequency_levels(docs, n))
@@ -283,17 +395,21 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     # one row for each set
     nodes = sets.join(groups.select("node", "more", "row"), ["node", "more", "row"], "left_semi")
     prefixes = nodes.select(F.explode("prefix").alias("s"), "n", "node")  # large, used once
-    nodes = materialize(nodes.select("node", "doc_id", "n", "parts"))
+    nodes = materialize(nodes.select("node", "doc_id", "n", "parts", "bits"))
     stats = nodes.agg(F.count("*").alias("n"), *(F.percentile_approx(F.col("parts")[q], 0.5).alias(f"p{q}") for q in range(FRAGMENTS - 1))).first()
     cuts = [stats[f"p{q}"] or 0 for q in range(FRAGMENTS - 1)]
     hot_level = int(STEPS * math.log2(hot_count(stats["n"]) + 1))
     # clusters outside which nothing links, dealt by pairs of blocks
     clusters = components(neighbours(prefixes, percent, hot_level))
+    clusters = components(resembling(nodes, clusters, percent, stats["n"]))
     member = nodes.select("node", "doc_id").join(clusters, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("cluster"))
     member = materialize(member)
     sizes = materialize(member.groupBy("cluster").agg(F.count("*").alias("count")).where("count > 1")).withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
     dealt = keyed_join(member, sizes, ["cluster"], stats["n"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    pieces = segments(_once(docs.where("text is not null"), sets).join(dealt, "doc_id"), n, levels, cuts)
+    texts = docs.where("text is not null")
+    if (sizes.agg(F.sum("count")).first()[0] or 0) <= BROADCAST_IDS:
+        texts = texts.join(F.broadcast(dealt.select("doc_id")), "doc_id", "left_semi")
+    pieces = segments(_once(texts, sets).join(dealt, "doc_id"), n, levels, cuts)
     partial = map_groups(pieces, ["cluster", "i", "j", "fragment"], _partial, "cluster long, i int, j int, a array<long>, b array<long>, na array<long>, nb array<long>, shared binary")
     links = map_groups(partial, ["cluster", "i", "j"], _links(percent), "a long, b long")
     # components of sets as the least of their documents
